@@ -221,7 +221,7 @@ class Domain(Mapping):
 
     @cached_property
     def runs(self) -> DataFrame:
-        """Run history: one row per user and day of events (region = user, entity = user mod 3)."""
+        """Run history: one row per user and day of events (region = user mod 8, entity = user mod 10)."""
         day = F.date_trunc("day", "ts")
         start, end = F.min("ts"), F.max("ts")
         failed = F.count_if(F.col("event_type") == "error") > 0
@@ -236,7 +236,7 @@ class Domain(Mapping):
             )
             .select(
                 F.concat(F.lit("r"), (F.col("user_id") % 8).cast("string")).alias("region_code"),
-                F.concat(F.lit("entity_"), F.col("user_id").cast("string")).alias("entity_type"),
+                F.concat(F.lit("entity_"), (F.col("user_id") % 10).cast("string")).alias("entity_type"),
                 F.when(F.col("_failed"), "failed").when(F.col("records_processed") == 1, "running")
                 .otherwise("success").alias("sync_status"),
                 "sync_started_at", "sync_completed_at",

@@ -6,28 +6,36 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def coordinate(value: Column, numeric: bool = False) -> Column:
-    """Coordinate to double; empty or unreadable text is NULL.
+def _text(value: Column) -> Column:
+    return F.try_variant_get(value, "$", "string")
 
-    ``numeric`` says the source field is a JSON number: there a zero means "not set" and is NULL,
-    while a quoted ``"0"`` is a reading and stays.
-    """
-    if numeric:
-        return F.nullif(value.try_cast("double"), F.lit(0.0))
-    return F.nullif(value, F.lit("")).try_cast("double")
 
+def _numeric_zero(value: Column) -> Column:
+    """True for a JSON number equal to zero; a quoted zero is text and counts as a value."""
+    return (F.schema_of_variant(value) != "STRING") & (F.try_variant_get(value, "$", "double") == 0)
 
-def whole_id(value: Column, numeric: bool = True) -> Column:
-    """Id to long, with the same rule for zero as :func:`coordinate`."""
-    if numeric:
-        return F.nullif(value.try_cast("bigint"), F.lit(0))
-    return F.nullif(F.trim(value), F.lit("")).try_cast("bigint")
 
+def coordinate(value: Column) -> Column:
+    """JSON value to double; empty or unreadable text and the number zero are NULL."""
+    return F.when(_numeric_zero(value), None).otherwise(_text(value).try_cast("double"))
 
-def currency(text: Column, zero_is_null: bool = False) -> Column:
-    """Amount in front of a currency suffix: ``"120.00 USD"`` -> 120.0."""
-    amount = F.element_at(F.split(F.trim(text), r"\s+"), 1).try_cast("double")
-    return F.nullif(amount, F.lit(0.0)) if zero_is_null else amount
+
+def whole_id(value: Column) -> Column:
+    """JSON value to long, with the same rule for zero; fractions are cut from numbers only."""
+    whole = F.when(F.schema_of_variant(value) == "STRING", _text(value).try_cast("bigint")).otherwise(
+        F.try_variant_get(value, "$", "double").try_cast("bigint")
+    )
+    return F.nullif(whole, F.when(_numeric_zero(value), F.lit(0)))
+
+
+def amount(text: Column) -> Column:
+    """Amount in front of a currency suffix: ``"120.00 USD"`` -> 120.0. Zero is an amount."""
+    return F.try_element_at(F.split(F.trim(text), r"\s+"), F.lit(1)).try_cast("double")
+
+
+def currency(value: Column) -> Column:
+    """JSON value to an amount: text as in :func:`amount`, a number as it is, the number zero NULL."""
+    return F.when(_numeric_zero(value), None).otherwise(amount(_text(value)))
 
 
 def lenient_timestamp(text: Column) -> Column:

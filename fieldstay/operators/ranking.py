@@ -83,21 +83,10 @@ def sliced_dense_rank(df: DataFrame, rank: Rank) -> DataFrame:
         .repartitionByRange(slices, *[F.col(k) for k in keys], rank.order())
         .withColumn("_slice", F.spark_partition_id())
     )
-    before = (
-        sliced.groupBy(*keys, "_slice")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn(
-            "_before",
-            F.sum("_n").over(
-                Window.partitionBy(*keys)
-                .orderBy("_slice")
-                .rowsBetween(Window.unboundedPreceding, -1)
-            ),
-        )
-        .drop("_n")
-    )
     local = F.dense_rank().over(Window.partitionBy(*keys, "_slice").orderBy(rank.order()))
-    ranked = join_on(sliced.withColumn("_local", local), before, [*keys, "_slice"])
+    ranked = join_on(
+        sliced.withColumn("_local", local), _rows_before(sliced, keys), [*keys, "_slice"]
+    )
     return ranked.select(
         *keys,
         rank.value,
@@ -105,6 +94,41 @@ def sliced_dense_rank(df: DataFrame, rank: Rank) -> DataFrame:
     )
 
 
+def positions(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, window_rows: int = WINDOW_ROWS
+) -> DataFrame:
+    """Add each row's 0-based position within its key, NULLs last.
+
+    While the largest key (checked) has few rows this is one window. Otherwise rows are
+    range-partitioned by key and order, numbered inside each slice and shifted by the rows of the key
+    in earlier slices, so one key can be spread over many tasks.
+    """
+    keys, by = list(keys), [F.col(c).asc_nulls_last() for c in order]
+    largest = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+    if (largest or 0) <= window_rows:
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*by)) - 1)
+    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Equal rows are told apart by a random number, so that a mass of them is cut as well.
+    sliced = durable(
+        df.withColumn("_tie", F.rand(7))
+        .repartitionByRange(slices, *[F.col(k) for k in keys], *by, F.col("_tie"))
+        .withColumn("_slice", F.spark_partition_id())
+    )
+    local = Window.partitionBy(*keys, "_slice").orderBy(*by, "_tie")
+    numbered = join_on(
+        sliced.withColumn("_local", F.row_number().over(local)), _rows_before(sliced, keys), [*keys, "_slice"]
+    )
+    at = F.col("_local") + F.coalesce("_before", F.lit(0)) - 1
+    return numbered.withColumn(name, at).drop("_local", "_before", "_slice", "_tie")
+
+
+def _rows_before(sliced: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of a key in its earlier slices: (keys, _slice, _before)."""
+    earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    counts = sliced.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_n"))
+    return counts.withColumn("_before", F.sum("_n").over(earlier)).drop("_n")
+
+
 @dataclass(frozen=True)
 class Percentile:
     """``name`` = continuous percentile ``p`` of the microsecond column ``micros``, over ``unit``."""
