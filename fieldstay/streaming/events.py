@@ -229,7 +229,8 @@ def start_property_status_stream(
     stream: DataFrame, store: SnapshotStore, companies: DataFrame, properties: DataFrame, checkpoint: str,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Keep the newest status event of every property in ``property_status`` of the store."""
+    """Keep the newest status event of every property in ``property_status`` of the store; an event
+    that was received before the stored one does not replace it, in whatever batch it comes."""
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         events = resolve_region(normalise_property_events(drop_test_events(batch)), companies, properties)
@@ -238,7 +239,11 @@ def start_property_status_stream(
             store.write("property_status", newest)
             return
         table = store.read("property_status")
-        merged = merge(table, newest, ["region_code", "property_id"])
+        newer = F.struct(*[F.col(f"s.{c}") for c in ORDER]) > F.struct(*[F.col(f"t.{c}") for c in ORDER])
+        values = {
+            c: F.when(newer, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")) for c in table.columns
+        }
+        merged = merge(table, newest, ["region_code", "property_id"], values=values)
         store.write("property_status", merged.drop("op"))
 
     return _start(stream, on_batch, checkpoint, available_now)
