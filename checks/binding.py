@@ -6,10 +6,14 @@ from collections.abc import Mapping
 from datetime import datetime
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from fieldstay.functions.times import Clock
+from fieldstay.operators.runlog import latest_status
+from fieldstay.session import scratch_path, tune
+from fieldstay.sources.snapshot import write_by_month
 
 CLOCK = Clock(datetime(2001, 7, 15, 12, 0, 0))
 EVENT_CLOCK = Clock(datetime(2024, 1, 31, 0, 0, 0))
@@ -20,16 +24,24 @@ def int_div(c: str, n: int) -> Column:
 
 
 class Domain(Mapping):
-    """Lazy mapping of domain table name to DataFrame over one directory of test tables."""
+    """Lazy mapping of domain table name to DataFrame over one directory of test tables.
+
+    The domain's tables are stored tables. Those that take a join or an aggregate to derive are
+    written once per application into the shared folder, tasks by month of creation, and read from
+    there by every query that follows.
+    """
 
     NAMES = (
         "regions properties tasks reservations task_assignments task_requirements tags task_tags"
-        " people change_events runs property_photos"
+        " people change_events runs property_photos sync_status"
+    ).split()
+    STORED = (
+        "properties tasks reservations task_requirements tags task_tags property_photos runs sync_status"
     ).split()
+    _written: dict[tuple[str, str, str], tuple[str, StructType]] = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-        self.spark, self.sf_dir = spark, sf_dir
+        self.spark, self.sf_dir = tune(spark), sf_dir
 
     def raw(self, name: str) -> DataFrame:
         df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
@@ -39,7 +51,20 @@ class Domain(Mapping):
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self.NAMES:
             raise KeyError(name)
-        return getattr(self, name)
+        return self.stored(name) if name in self.STORED else getattr(self, name)
+
+    def stored(self, name: str) -> DataFrame:
+        """The table as written by the first query of this application that needed it."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if key not in self._written:
+            df, path = getattr(self, name), scratch_path(self.spark, name)
+            if name == "tasks":
+                write_by_month(df, path)
+            else:
+                df.write.parquet(path)
+            self._written[key] = (path, self.spark.read.parquet(path).schema)
+        path, schema = self._written[key]
+        return self.spark.read.schema(schema).parquet(path)
 
     def __iter__(self):
         return iter(self.NAMES)
@@ -110,7 +135,7 @@ class Domain(Mapping):
             F.when(k % 4 != 0, (F.col("o_totalprice") / 1000).cast("decimal(15,2)")).alias("rate_paid"),
         )
         return orders.join(
-            self.properties.select(F.col("id").alias("property_pk"), "region_code"), "property_pk"
+            self["properties"].select(F.col("id").alias("property_pk"), "region_code"), "property_pk"
         )
 
     @cached_property
@@ -130,7 +155,7 @@ class Domain(Mapping):
             F.lit(None).cast("string").alias("guide_url"),
         )
         return orders.join(
-            self.properties.select(F.col("id").alias("property_pk"), "region_code"), "property_pk"
+            self["properties"].select(F.col("id").alias("property_pk"), "region_code"), "property_pk"
         )
 
     @cached_property
@@ -246,6 +271,11 @@ class Domain(Mapping):
             )
         )
 
+    @cached_property
+    def sync_status(self) -> DataFrame:
+        """The newest run of each region and entity."""
+        return latest_status(self["runs"])
+
 
 # The order that makes line items total: no two are equal in all of these.
 LINE_ORDER = (

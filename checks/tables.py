@@ -12,7 +12,7 @@ from checks.landed import _items
 from checks.records import FOLD_SQL, folded_source
 from checks.registry import big, check, cnt, pct, rnd, stamp, text
 from fieldstay.operators import dedup, export, keys, maintenance, merge, quality, reconcile, runlog
-from fieldstay.session import scratch_path
+from fieldstay.session import durable, scratch_path
 from fieldstay.sources import snapshot
 from fieldstay.streaming import events as ev
 from fieldstay.streaming import rollups
@@ -176,10 +176,10 @@ RUN_TIMES = f"""{stamp("r.sync_started_at")} AS sync_started_at, {stamp("r.sync_
 
 
 def status(d: Domain) -> DataFrame:
-    return runlog.latest_status(d["runs"])
+    return d["sync_status"]
 
 
-check("latest_status", status, "runs", f"WITH {LATEST} SELECT * REPLACE ({RUN_TIMES.replace(' AS ', ' AS ').strip()}) FROM status r")
+check("latest_status", lambda d: runlog.latest_status(d["runs"]), "runs", f"WITH {LATEST} SELECT * REPLACE ({RUN_TIMES.replace(' AS ', ' AS ').strip()}) FROM status r")
 check("sync_health", lambda d: quality.sync_health(d["runs"], EVENT_CLOCK), "runs", f"""
 SELECT entity_type, count(DISTINCT region_code) AS regions_synced, {stamp("max(last_successful_sync_at)")} AS most_recent_sync,
  CAST(floor(date_diff('second', max(last_successful_sync_at), {EVENT_NOW}) / 3600) AS BIGINT) % 24 AS hours_since_last,
@@ -647,7 +647,7 @@ check("json_payload_sink", payloads, "properties", f"""SELECT property_id AS sou
 
 
 def link_export(d: Domain) -> DataFrame:
-    table = resolved_links(d)
+    table = durable(resolved_links(d))
     present = set(table.columns)
     blank = {c: F.lit(None).cast("string") for c in export.LINK_COLUMNS if c not in present and c != "synced_at"}
     rows = synced(table.withColumns(blank), "task_id")

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from fieldstay.operators.links import fold_requirements
 from fieldstay.operators.merge import merge
+from fieldstay.operators.ranking import join_sparse
 
 # Exported columns, their target names, and the ones forced to text.
 PROPERTY_COLUMNS = (
@@ -122,9 +123,7 @@ def export_links(
     wanted = changed.select("task_pk").where(F.col("task_pk").isNotNull()).distinct()
     folded = fold_requirements(requirements.join(wanted, "task_pk", "left_semi"))
     rows = export_rows(changed, LINK_COLUMNS, LINK_RENAMES, LINK_TEXT)
-    linked = rows.where(F.col("task_pk").isNotNull()).join(folded, "task_pk", "left")
-    rest = rows.where(F.col("task_pk").isNull())
-    return linked.unionByName(rest, allowMissingColumns=True).withColumn("part", F.coalesce("part", F.lit(0)))
+    return join_sparse(rows, folded, "task_pk").withColumn("part", F.coalesce("part", F.lit(0)))
 
 
 def latest_property_status(events: DataFrame) -> DataFrame:

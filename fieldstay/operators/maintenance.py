@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldstay.functions.times import Clock
+from fieldstay.operators.ranking import join_sparse
 from fieldstay.plans.common import count_all
 
 
@@ -26,9 +27,8 @@ def cascade_delete(
     for name, (df, fk) in children.items():
         out[name] = df.join(ids, df[fk] == ids["_gone"], "left_anti")
     for name, (df, fk) in soft.items():
-        hit = df.where(F.col(fk).isNotNull()).join(ids, F.col(fk) == F.col("_gone"), "left")
-        cleared = hit.withColumn(fk, F.when(F.col("_gone").isNull(), F.col(fk))).select(*df.columns)
-        out[name] = cleared.unionByName(df.where(F.col(fk).isNull()))
+        marked = join_sparse(df, ids.select(F.col("_gone").alias(fk)).withColumn("_hit", F.lit(True)), fk)
+        out[name] = marked.withColumn(fk, F.when(F.col("_hit").isNull(), F.col(fk))).select(*df.columns)
     return out
 
 

@@ -19,8 +19,14 @@ from fieldstay.plans.common import count_all
 BROADCAST_ROWS = 100_000
 
 
-def complete_key(keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+def null_slot(keys: Sequence[str], slots: int = 1024) -> Column:
+    """Zero for a complete key, else a number by the row's position in its partition.
+
+    Rows with a NULL in their key match nothing. As a join column this spreads them over all tasks
+    instead of sending every one of them to the task of the NULL key.
+    """
+    complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    return F.when(complete, F.lit(0)).otherwise(F.pmod(F.monotonically_increasing_id(), F.lit(slots)) + 1)
 
 
 def merge(
@@ -46,12 +52,12 @@ def merge(
     """
     values, defaults = dict(values or {}), dict(defaults or {})
     columns, given = target.columns, set(source.columns)
-    known = complete_key(keys)
-    old = target.where(known).withColumn("_t", F.lit(True)).alias("t")
-    new = source.where(known).withColumn("_s", F.lit(True))
+    slot = null_slot(keys)
+    old = target.withColumns({"_t": F.lit(True), "_slot": slot}).alias("t")
+    new = source.withColumns({"_s": F.lit(True), "_slot": slot})
     small = source_rows is not None and source_rows <= BROADCAST_ROWS
     new = (F.broadcast(new) if small else new).alias("s")
-    on = reduce(lambda a, b: a & b, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys])
+    on = reduce(lambda a, b: a & b, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in [*keys, "_slot"]])
     in_old, in_new = F.col("_t").isNotNull(), F.col("_s").isNotNull()
 
     def result(c: str) -> Column:
@@ -73,21 +79,13 @@ def merge(
     op = F.when(~in_old, "insert").when(in_new, touched).otherwise("keep").alias("op")
     shape = [*[result(c).alias(c) for c in columns], op]
 
-    if small or not insert:
-        # The table stays where it is; batch keys it already has are found by a semi join.
-        merged = old.join(new, on, "left").select(*shape)
-        if insert:
-            present = target.where(known).select(*keys).join(
-                F.broadcast(source.where(known).select(*keys)), list(keys), "left_semi"
-            )
-            fresh = source.where(known).join(present, list(keys), "left_anti")
-            merged = merged.unionByName(_inserted(fresh, target, defaults, stamp))
-    else:
-        merged = old.join(new, on, "full_outer").select(*shape)
-
-    merged = merged.unionByName(target.where(~known).withColumn("op", F.lit("keep")))
+    if insert and not small:
+        return old.join(new, on, "full_outer").select(*shape)
+    # The table stays where it is; batch keys it already has are found by a semi join.
+    merged = old.join(new, on, "left").select(*shape)
     if insert:
-        merged = merged.unionByName(_inserted(source.where(~known), target, defaults, stamp))
+        present = target.select(*keys).join(F.broadcast(source.select(*keys)), list(keys), "left_semi")
+        merged = merged.unionByName(_inserted(source.join(present, list(keys), "left_anti"), target, defaults, stamp))
     return merged
 
 

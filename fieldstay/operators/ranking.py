@@ -27,6 +27,15 @@ def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
     return out.drop(*[f"_r_{k}" for k in keys])
 
 
+def join_sparse(left: DataFrame, right: DataFrame, key: str, slots: int = 1024) -> DataFrame:
+    """Left join on a key that many left rows lack: rows with a NULL key are spread over all tasks."""
+    slot = F.when(F.col(key).isNotNull(), F.lit(0)).otherwise(
+        F.pmod(F.monotonically_increasing_id(), F.lit(slots)) + 1
+    )
+    there = right.withColumn("_slot", F.lit(0).cast("long"))
+    return left.withColumn("_slot", slot).join(there, [key, "_slot"], "left").drop("_slot")
+
+
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """One row per key, the first in ``order``; NULL keys are equal to each other.
 

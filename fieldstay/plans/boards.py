@@ -17,6 +17,7 @@ from fieldstay.plans.common import (
     avg_hours,
     case,
     count_all,
+    created_since,
     department,
     finished,
     is_open,
@@ -152,9 +153,7 @@ def inspection_compliance(
     tables: Tables, clock: Clock, window_days: int = 90, min_inspections: int = 3
 ) -> DataFrame:
     """Requirement and photo completion of inspections, per property and per inspector."""
-    tasks = tables["tasks"].where(
-        department("inspection") & (F.col("created_at") >= clock.days_ago(window_days))
-    )
+    tasks = created_since(tables["tasks"], clock, window_days).where(department("inspection"))
     photo = F.col("photo_required")
     has_photos = ~F.col("photos").isin("[]", "null")
     # Requirements shrink to one row per task before the join, whatever the size of a task.
@@ -279,21 +278,31 @@ def operational_alerts(tables: Tables, clock: Clock) -> DataFrame:
     waiting = F.date_diff(clock.date(), F.col("created_at").cast("date"))
     region, text = F.col("region_code"), F.lit
 
-    def task_alert(rows: DataFrame, kind: str, severity: str, words: str) -> DataFrame:
-        return _alert(
-            rows, kind, severity,
-            region_code=region, entity_id=F.col("task_id").cast("string"), entity_name=F.col("task_name"),
-            category=F.col("type_department"),
-            alert_message=F.concat(text(words), waiting.cast("string"), text(" days")),
-            alert_trigger_date=F.col("created_at"),
+    def waiting_alert(when: Column, kind: str, severity: str, words: str) -> Column:
+        message = F.concat(text(words), waiting.cast("string"), text(" days"))
+        return F.when(
+            when, F.struct(text(kind).alias("alert_type"), text(severity).alias("severity"), message.alias("alert_message"))
         )
 
-    stale = task_alert(
-        tasks.where(stage("new") & (waiting > 7)), "STALE_TASK", "High", "Task pending for "
+    # A task can raise both alerts; one scan serves the two rules.
+    idle = tasks.where(stage("new") & ((waiting > 7) | (priority("urgent") & (waiting > 1)))).select(
+        "region_code", "task_id", "task_name", "type_department", "created_at",
+        F.inline(
+            F.array_compact(
+                F.array(
+                    waiting_alert(waiting > 7, "STALE_TASK", "High", "Task pending for "),
+                    waiting_alert(
+                        priority("urgent") & (waiting > 1), "URGENT_NOT_STARTED", "Critical",
+                        "Urgent task not started for ",
+                    ),
+                )
+            )
+        ),
     )
-    urgent = task_alert(
-        tasks.where(stage("new") & priority("urgent") & (waiting > 1)),
-        "URGENT_NOT_STARTED", "Critical", "Urgent task not started for ",
+    waiting_tasks = idle.select(
+        "alert_type", "severity", "region_code", F.col("task_id").cast("string").alias("entity_id"),
+        F.col("task_name").alias("entity_name"), F.col("type_department").alias("category"), "alert_message",
+        F.col("created_at").alias("alert_trigger_date"),
     )
     loaded = (
         tasks.where(is_open() & F.col("property_pk").isNotNull())
@@ -342,7 +351,7 @@ def operational_alerts(tables: Tables, clock: Clock) -> DataFrame:
         alert_message=F.concat(text("Only "), F.col("workers").cast("string"), text(" workers active in last 7 days")),
         alert_trigger_date=F.col("latest"),
     )
-    return reduce(DataFrame.union, [stale, urgent, backlog, checkout, activity])
+    return reduce(DataFrame.union, [waiting_tasks, backlog, checkout, activity])
 
 
 def critical_alerts(alerts: DataFrame) -> DataFrame:

@@ -68,6 +68,16 @@ def count_all() -> Column:
     return F.count(F.lit(1))
 
 
+def created_since(tasks: DataFrame, clock: Clock, days: int = 0, months: int = 0) -> DataFrame:
+    """Tasks created from midnight ``days`` (or calendar ``months``) back. On storage partitioned by
+    ``created_month`` only the months in question are read."""
+    cutoff = clock.months_ago(months) if months else clock.days_ago(days)
+    kept = tasks.where(F.col("created_at") >= cutoff)
+    if "created_month" in tasks.columns:
+        kept = kept.where(F.col("created_month") >= F.trunc(cutoff, "month"))
+    return kept
+
+
 def total_micros() -> Column:
     return micros_between("created_at", "finished_at")
 

@@ -19,6 +19,7 @@ from fieldstay.plans.common import (
     avg_hours_to_complete,
     avg_minutes,
     count_all,
+    created_since,
     department,
     finished,
     is_open,
@@ -60,8 +61,7 @@ def portfolio_executive_summary(tables: Tables, clock: Clock) -> DataFrame:
 
 def _region_tasks(tables: Tables, clock: Clock) -> DataFrame:
     return (
-        tables["tasks"]
-        .where(F.col("created_at") >= clock.days_ago(90))
+        created_since(tables["tasks"], clock, 90)
         .groupBy("region_code")
         .agg(
             count_all().alias("tasks_90d"),
@@ -116,8 +116,7 @@ def regional_performance_scorecard(tables: Tables, clock: Clock) -> DataFrame:
 
 def _daily_volume(tables: Tables, clock: Clock) -> DataFrame:
     return (
-        tables["tasks"]
-        .where(F.col("created_at") >= clock.days_ago(30))
+        created_since(tables["tasks"], clock, 30)
         .groupBy("region_code", F.col("created_at").cast("date").alias("task_date"))
         .agg(count_all().alias("tasks_created"), F.count_if(finished()).alias("tasks_completed"))
     )
@@ -225,7 +224,7 @@ def regional_dashboard(tables: Tables, clock: Clock) -> DataFrame:
 def task_completion_metrics(tables: Tables, clock: Clock, window_days: int = 90) -> DataFrame:
     """Completion rates and durations per region and department."""
     keys = ["region_code", "type_department"]
-    tasks = tables["tasks"].where(F.col("created_at") >= clock.days_ago(window_days))
+    tasks = created_since(tables["tasks"], clock, window_days)
     same_day = finished() & (F.col("finished_at").cast("date") == F.col("created_at").cast("date"))
     metrics = tasks.groupBy(*keys).agg(
         count_all().alias("total_tasks_90d"),
@@ -257,7 +256,7 @@ def _rounded_percentiles(df: DataFrame, spread: DataFrame, keys: list[str]) -> D
 def priority_response_times(tables: Tables, clock: Clock, window_days: int = 90) -> DataFrame:
     """Hours to start and to resolve per region, department and priority."""
     keys = ["region_code", "type_department", "type_priority"]
-    tasks = tables["tasks"].where(F.col("created_at") >= clock.days_ago(window_days))
+    tasks = created_since(tables["tasks"], clock, window_days)
 
     def within(hours: int):
         return F.count_if(finished() & (total_micros() <= hours * MICROS_PER_HOUR))

@@ -14,6 +14,7 @@ from fieldstay.plans.common import (
     DEPARTMENTS,
     avg_hours_to_complete,
     count_all,
+    created_since,
     department,
     finished,
     is_open,
@@ -73,8 +74,7 @@ def monthly_trend_analysis(tables: Tables, clock: Clock) -> DataFrame:
     """Tasks per month, region and department with the previous month's volume."""
     keys = ["region_code", "type_department"]
     monthly = (
-        tables["tasks"]
-        .where(F.col("created_at") >= clock.months_ago(12))
+        created_since(tables["tasks"], clock, months=12)
         .groupBy(F.trunc("created_at", "month").alias("month"), *keys)
         .agg(
             count_all().alias("tasks_created"),
@@ -129,8 +129,7 @@ def seasonal_demand_patterns(tables: Tables, clock: Clock) -> DataFrame:
     """Task volume by month and weekday over twelve months; names are blank-padded to nine."""
     created = F.col("created_at")
     return (
-        tables["tasks"]
-        .where(created >= clock.months_ago(12))
+        created_since(tables["tasks"], clock, months=12)
         .groupBy(
             "region_code",
             F.month(created).alias("month_num"),

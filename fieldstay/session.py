@@ -8,18 +8,30 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Settings the operators rely on; all of them can be changed in a running session.
+RUNTIME_SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A skewed join is split even where that costs one more exchange downstream.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the runtime settings to a session made elsewhere."""
+    for key, value in RUNTIME_SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def build_session(app: str = "fieldstay", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the settings the operators rely on. On a cluster the submit settings win."""
+    """A session for the operators. On a cluster the master comes from the submit command."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     settings = {
-        "spark.sql.session.timeZone": "UTC",
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        # A skewed join is split even where that costs one more exchange downstream.
-        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+        **RUNTIME_SETTINGS,
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.ui.enabled": "false",
         **conf,

@@ -76,6 +76,16 @@ class SnapshotStore:
         return self.spark.read.parquet(f"{self.root}/{table}/rows")
 
 
+def write_by_month(df: DataFrame, path: str, column: str = "created_at", month: str = "created_month") -> None:
+    """Write a table partitioned by the month of a time column, newest first inside a file.
+
+    Rebalancing brings a month together and cuts a heavy month into several files.
+    """
+    dated = df.withColumn(month, F.trunc(column, "month"))
+    arranged = dated.hint("rebalance", F.col(month)).sortWithinPartitions(F.col(month), F.col(column).desc())
+    arranged.write.partitionBy(month).parquet(path)
+
+
 def replace_partitions(df: DataFrame, path: str, partition_by: tuple[str, ...]) -> None:
     """Overwrite only the partitions that ``df`` has rows for."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)

@@ -41,6 +41,14 @@ def _moment(at: datetime) -> Column:
     return F.lit(at.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
 
 
+def _created_in(tasks: DataFrame, first: datetime, last: datetime) -> DataFrame:
+    """Tasks created in [first, last); month-partitioned storage reads only those months."""
+    rows = tasks.where((F.col("created_at") >= _moment(first)) & (F.col("created_at") < _moment(last)))
+    if "created_month" in tasks.columns:
+        rows = rows.where(F.col("created_month").between(F.lit(first.date().replace(day=1)), F.lit(last.date())))
+    return rows
+
+
 def bucket_range(start: datetime, end: datetime, unit: str) -> tuple[datetime, datetime]:
     """The whole buckets inside [start, end): first bucket start and end of the last bucket."""
 
@@ -61,9 +69,8 @@ def refresh_range(stored: DataFrame, tasks: DataFrame, start: datetime, end: dat
     Only tasks created in that range are read.
     """
     first, last = bucket_range(start, end, unit)
-    inside = (F.col("created_at") >= _moment(first)) & (F.col("created_at") < _moment(last))
     outside = (F.col("bucket") < _moment(first)) | (F.col("bucket") >= _moment(last))
-    return stored.where(outside).unionByName(task_rollup(tasks.where(inside), unit))
+    return stored.where(outside).unionByName(task_rollup(_created_in(tasks, first, last), unit))
 
 
 def policy_range(clock: Clock, unit: str = "day") -> tuple[datetime, datetime]:
@@ -87,8 +94,7 @@ def real_time(stored: DataFrame, tasks: DataFrame, refreshed_to: datetime, unit:
 def write_refreshed(tasks: DataFrame, path: str, start: datetime, end: datetime, unit: str = "day") -> None:
     """Recompute the buckets inside [start, end) and overwrite just their partitions."""
     first, last = bucket_range(start, end, unit)
-    inside = (F.col("created_at") >= _moment(first)) & (F.col("created_at") < _moment(last))
-    rollup = task_rollup(tasks.where(inside), unit).withColumn("bucket_day", F.col("bucket").cast("date"))
+    rollup = task_rollup(_created_in(tasks, first, last), unit).withColumn("bucket_day", F.col("bucket").cast("date"))
     replace_partitions(rollup, path, ("bucket_day",))
 
 
