@@ -12,21 +12,21 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldstay.operators.ranking import first_per_key
+from fieldstay.operators.ranking import first_per_key, row_slot
 from fieldstay.plans.common import count_all
 
 # A batch of at most this many rows (known to the caller) is broadcast: the table is not shuffled.
 BROADCAST_ROWS = 100_000
 
 
-def null_slot(keys: Sequence[str], slots: int = 1024) -> Column:
-    """Zero for a complete key, else a number by the row's position in its partition.
+def null_slot(df: DataFrame, keys: Sequence[str]) -> Column:
+    """Zero for a complete key, else a number by the row's content.
 
     Rows with a NULL in their key match nothing. As a join column this spreads them over all tasks
     instead of sending every one of them to the task of the NULL key.
     """
     complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    return F.when(complete, F.lit(0)).otherwise(F.pmod(F.monotonically_increasing_id(), F.lit(slots)) + 1)
+    return F.when(complete, F.lit(0)).otherwise(row_slot(df))
 
 
 def merge(
@@ -52,9 +52,8 @@ def merge(
     """
     values, defaults = dict(values or {}), dict(defaults or {})
     columns, given = target.columns, set(source.columns)
-    slot = null_slot(keys)
-    old = target.withColumns({"_t": F.lit(True), "_slot": slot}).alias("t")
-    new = source.withColumns({"_s": F.lit(True), "_slot": slot})
+    old = target.withColumns({"_t": F.lit(True), "_slot": null_slot(target, keys)}).alias("t")
+    new = source.withColumns({"_s": F.lit(True), "_slot": null_slot(source, keys)})
     small = source_rows is not None and source_rows <= BROADCAST_ROWS
     new = (F.broadcast(new) if small else new).alias("s")
     on = reduce(lambda a, b: a & b, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in [*keys, "_slot"]])

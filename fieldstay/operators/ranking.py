@@ -27,11 +27,19 @@ def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
     return out.drop(*[f"_r_{k}" for k in keys])
 
 
-def join_sparse(left: DataFrame, right: DataFrame, key: str, slots: int = 1024) -> DataFrame:
+def row_slot(df: DataFrame, slots: int = 1024) -> Column:
+    """A number from 1 to ``slots`` by the row's content.
+
+    It depends on nothing but the row, so a task that is run again after a lost executor sends every
+    row where the first run sent it.
+    """
+    plain = [f.name for f in df.schema if f.dataType.typeName() not in ("map", "variant")]
+    return F.pmod(F.xxhash64(*plain), F.lit(slots)) + 1
+
+
+def join_sparse(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Left join on a key that many left rows lack: rows with a NULL key are spread over all tasks."""
-    slot = F.when(F.col(key).isNotNull(), F.lit(0)).otherwise(
-        F.pmod(F.monotonically_increasing_id(), F.lit(slots)) + 1
-    )
+    slot = F.when(F.col(key).isNotNull(), F.lit(0)).otherwise(row_slot(left))
     there = right.withColumn("_slot", F.lit(0).cast("long"))
     return left.withColumn("_slot", slot).join(there, [key, "_slot"], "left").drop("_slot")
 
@@ -94,7 +102,7 @@ def sliced_dense_rank(df: DataFrame, rank: Rank) -> DataFrame:
     )
     local = F.dense_rank().over(Window.partitionBy(*keys, "_slice").orderBy(rank.order()))
     ranked = join_on(
-        sliced.withColumn("_local", local), _rows_before(sliced, keys), [*keys, "_slice"]
+        sliced.withColumn("_local", local), _rows_before(sliced, keys, F.count(F.lit(1))), [*keys, "_slice"]
     )
     return ranked.select(
         *keys,
@@ -108,33 +116,36 @@ def positions(
 ) -> DataFrame:
     """Add each row's 0-based position within its key, NULLs last.
 
-    While the largest key (checked) has few rows this is one window. Otherwise rows are
-    range-partitioned by key and order, numbered inside each slice and shifted by the rows of the key
-    in earlier slices, so one key can be spread over many tasks.
+    While the largest key (checked) has few rows this is one window. Otherwise equal rows are first
+    reduced to a count, the rest is range-partitioned by key and order, counted up inside each slice
+    and shifted by the rows of the key in earlier slices: neither a key nor its copies meet in one
+    task. ``order`` must name every column that is not a key.
     """
     keys, by = list(keys), [F.col(c).asc_nulls_last() for c in order]
     largest = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
     if (largest or 0) <= window_rows:
         return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*by)) - 1)
     slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # Equal rows are told apart by a random number, so that a mass of them is cut as well.
     sliced = durable(
-        df.withColumn("_tie", F.rand(7))
-        .repartitionByRange(slices, *[F.col(k) for k in keys], *by, F.col("_tie"))
+        df.groupBy(*df.columns)
+        .agg(F.count(F.lit(1)).alias("_copies"))
+        .repartitionByRange(slices, *[F.col(k) for k in keys], *by)
         .withColumn("_slice", F.spark_partition_id())
     )
-    local = Window.partitionBy(*keys, "_slice").orderBy(*by, "_tie")
-    numbered = join_on(
-        sliced.withColumn("_local", F.row_number().over(local)), _rows_before(sliced, keys), [*keys, "_slice"]
+    earlier = Window.partitionBy(*keys, "_slice").orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+    counted = join_on(
+        sliced.withColumn("_local", F.coalesce(F.sum("_copies").over(earlier), F.lit(0))),
+        _rows_before(sliced, keys, F.sum("_copies")),
+        [*keys, "_slice"],
     )
-    at = F.col("_local") + F.coalesce("_before", F.lit(0)) - 1
-    return numbered.withColumn(name, at).drop("_local", "_before", "_slice", "_tie")
+    first = F.col("_local") + F.coalesce("_before", F.lit(0))
+    return counted.select(*df.columns, F.explode(F.sequence(first, first + F.col("_copies") - 1)).alias(name))
 
 
-def _rows_before(sliced: DataFrame, keys: list[str]) -> DataFrame:
+def _rows_before(sliced: DataFrame, keys: list[str], size: Column) -> DataFrame:
     """Rows of a key in its earlier slices: (keys, _slice, _before)."""
     earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    counts = sliced.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_n"))
+    counts = sliced.groupBy(*keys, "_slice").agg(size.alias("_n"))
     return counts.withColumn("_before", F.sum("_n").over(earlier)).drop("_n")
 
 
