@@ -8,7 +8,6 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from fieldstay.functions.times import Clock
 from fieldstay.operators.runlog import latest_status
@@ -36,9 +35,9 @@ class Domain(Mapping):
         " people change_events runs property_photos sync_status"
     ).split()
     STORED = (
-        "properties tasks reservations task_requirements tags task_tags property_photos runs sync_status"
+        "properties tasks reservations task_requirements tags task_tags property_photos change_events runs sync_status"
     ).split()
-    _written: dict[tuple[str, str, str], tuple[str, StructType]] = {}
+    _written: dict[tuple[str, str, str], DataFrame] = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = tune(spark), sf_dir
@@ -62,9 +61,8 @@ class Domain(Mapping):
                 write_by_month(df, path)
             else:
                 df.write.parquet(path)
-            self._written[key] = (path, self.spark.read.parquet(path).schema)
-        path, schema = self._written[key]
-        return self.spark.read.schema(schema).parquet(path)
+            self._written[key] = self.spark.read.parquet(path)
+        return self._written[key]
 
     def __iter__(self):
         return iter(self.NAMES)

@@ -19,6 +19,7 @@ from fieldstay.operators.export import latest_property_status
 from fieldstay.operators.links import SUB_STATUS, count_blocking
 from fieldstay.operators.maintenance import delete_matching
 from fieldstay.operators.merge import merge
+from fieldstay.session import durable
 from fieldstay.sources.snapshot import SnapshotStore
 
 EVENT_SCHEMA = "event_id long, received_at timestamp, payload string"
@@ -26,8 +27,22 @@ TEST_EVENT = "test_webhook_event"  # fixed value
 ORDER = ["received_at", "event_id"]
 
 
+# The parts of a payload that are read; objects under a text field arrive as their JSON text.
+_STATE = "id string, company_id string, status string, started_at string, finished_at string"
+PAYLOAD_SCHEMA = (
+    f"{_STATE}, task struct<{_STATE}>, event string, event_type string, task_id string, property_id string,"
+    " external_property_id string, sub_statuses string"
+)
+DOC = "_doc"
+
+
+def _parsed(events: DataFrame) -> DataFrame:
+    """Events with their payload parsed once."""
+    return events.withColumn(DOC, F.from_json("payload", PAYLOAD_SCHEMA))
+
+
 def _get(path: str) -> Column:
-    return F.get_json_object("payload", f"$.{path}")
+    return F.col(f"{DOC}.{path}")
 
 
 def _first(*paths: str) -> Column:
@@ -37,12 +52,12 @@ def _first(*paths: str) -> Column:
 def _scalar_status(path: str) -> Column:
     """Status text; of a status object its code, or else its name."""
     raw = _get(path)
-    as_object = F.coalesce(non_empty(_get(f"{path}.code")), _get(f"{path}.name"))
+    as_object = F.coalesce(non_empty(F.get_json_object(raw, "$.code")), F.get_json_object(raw, "$.name"))
     return F.when(F.ltrim(raw).startswith("{"), as_object).otherwise(raw)
 
 
 def drop_test_events(events: DataFrame) -> DataFrame:
-    return events.where(F.coalesce(_get("event"), F.lit("")) != TEST_EVENT)
+    return events.where(F.coalesce(F.get_json_object("payload", "$.event"), F.lit("")) != TEST_EVENT)
 
 
 def normalise_task_events(events: DataFrame) -> DataFrame:
@@ -55,7 +70,7 @@ def normalise_task_events(events: DataFrame) -> DataFrame:
     task_id = F.when(nested, _first("task.id", "task_id", "id")).otherwise(_first("task_id", "id"))
     company = F.coalesce(non_empty(_get("task.company_id")), _get("company_id"))
     status = F.when(nested, _scalar_status("task.status")).otherwise(_scalar_status("status"))
-    return events.select(
+    return _parsed(events).select(
         *[c for c in events.columns if c != "payload"],
         F.coalesce(task_id, F.lit("")).alias("task_id"),
         F.nullif(company.try_cast("bigint"), F.lit(0)).alias("company_id"),
@@ -71,7 +86,7 @@ def normalise_property_events(events: DataFrame) -> DataFrame:
     """Property-status events as columns with blocking counts."""
     statuses = _get("sub_statuses")
     blocking = count_blocking(F.from_json(statuses, SUB_STATUS))
-    return events.select(
+    return _parsed(events).select(
         *[c for c in events.columns if c != "payload"],
         F.coalesce(_first("property_id", "id"), F.lit("")).alias("property_id"),
         F.nullif(_get("company_id").try_cast("bigint"), F.lit(0)).alias("company_id"),
@@ -143,7 +158,12 @@ def apply_task_deletes(tasks: DataFrame, events: DataFrame) -> DataFrame:
 
 
 def apply_task_events(tasks: DataFrame, events: DataFrame, clock: Clock) -> DataFrame:
-    """Final task table after a batch: deletes win, as nothing brings a deleted row back."""
+    """Final task table after a batch: deletes win, as nothing brings a deleted row back.
+
+    The batch is read by several joins, so its few columns are materialised first.
+    """
+    used = ["task_id", "region_code", "action", "status", "started_at", "finished_at", *ORDER]
+    events = durable(events.select(*used))
     return apply_task_updates(apply_task_deletes(tasks, events), events, clock)
 
 
