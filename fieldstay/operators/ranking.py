@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from fieldstay.session import durable
 
 # Up to this many rows a rank is one ordinary window; beyond it ranks are computed in slices.
-WINDOW_ROWS = 2_000_000
+WINDOW_ROWS = 1_000_000
 # Percentile buckets are 2**26 microseconds (about 67 s) wide: a bucket holds at most 2**26
 # distinct values and ten years of durations make fewer than 5 million buckets.
 BUCKET_BITS = 26
@@ -170,15 +170,21 @@ def exact_percentiles(
     """
     keys = list(keys)
     metrics = sorted({w.micros for w in wanted})
+    # One struct holds the group: structs compare NULL parts as equal, so plain joins and windows on
+    # it agree on their partitioning.
+    owner = F.struct(*[F.col(k) for k in keys]).alias("_k") if keys else F.lit(0).alias("_k")
     if len(metrics) == 1:
-        values = df.select(*keys, F.lit(0).alias("_m"), F.col(metrics[0]).alias("_v"))
+        values = df.select(owner, F.lit(0).alias("_m"), F.col(metrics[0]).alias("_v"))
     else:
         pairs = [F.struct(F.lit(i).alias("_m"), F.col(m).alias("_v")) for i, m in enumerate(metrics)]
-        values = df.select(*keys, F.inline(F.array(*pairs)))
-    group = [*keys, "_m"]
-    bucket = F.shiftright(F.col("_v"), BUCKET_BITS).alias("_b")
-    hist = values.where(F.col("_v").isNotNull()).groupBy(*group, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    hist = hist.withColumn("_b", bucket)
+        values = df.select(owner, F.inline(F.array(*pairs)))
+    group = ["_k", "_m"]
+    # The filter names every join column, so that the join adds none of its own below the histogram
+    # and both of its readers share one exchange.
+    counted = values.withColumn("_b", F.shiftright(F.col("_v"), BUCKET_BITS)).where(
+        F.col("_v").isNotNull() & F.col("_b").isNotNull() & F.col("_m").isNotNull() & F.col("_k").isNotNull()
+    )
+    hist = counted.groupBy(*group, "_b", "_v").agg(F.count(F.lit(1)).alias("_c"))
 
     whole = Window.partitionBy(*group)
     buckets = (
@@ -209,7 +215,7 @@ def exact_percentiles(
 
     inside = Window.partitionBy(*group, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     ordered = (
-        join_on(hist, needed, [*group, "_b"], "inner")
+        hist.join(needed, [*group, "_b"])
         .withColumn("_hi", F.col("_start") + F.sum("_c").over(inside))
         .withColumn("_lo", F.col("_hi") - F.col("_c"))
     )
@@ -223,4 +229,4 @@ def exact_percentiles(
         ]
         low, high = F.col(f"_lo{i}").cast("double"), F.col(f"_hi{i}").cast("double")
         results.append(((low + (high - low) * F.col(f"_f{i}")) / w.unit).alias(w.name))
-    return ordered.groupBy(*keys).agg(*picks).select(*keys, *results)
+    return ordered.groupBy("_k").agg(*picks).select(*[F.col(f"_k.{k}").alias(k) for k in keys], *results)
