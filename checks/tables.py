@@ -670,12 +670,13 @@ def companies(d: Domain) -> DataFrame:
 
 
 def task_events(d: Domain) -> DataFrame:
-    return ev.resolve_region(ev.normalise_task_events(d["change_events"]), companies(d))
+    resolved = ev.resolve_region(ev.normalise_task_events(d["change_events"]), companies(d))
+    return durable(resolved.drop("payload"))
 
 
-def live_tasks(d: Domain) -> DataFrame:
+def live_tasks(d: Domain, *extra: str) -> DataFrame:
     return d["tasks"].select("task_id", "region_code", F.lit("old").alias("task_status"), "started_at", "finished_at",
-                             F.lit("2001-01-01").cast("timestamp").alias("synced_at"))
+                             F.lit("2001-01-01").cast("timestamp").alias("synced_at"), *extra)
 
 
 check("normalise_task_event", lambda d: ev.normalise_task_events(d["change_events"]).drop("payload"), "change_events", f"""
@@ -789,10 +790,11 @@ def landed_events(d: Domain, events: DataFrame) -> DataFrame:
 
 def streamed_tasks(d: Domain) -> DataFrame:
     store = snapshot.SnapshotStore(d.spark, scratch_path(d.spark, "store"))
-    store.write("tasks", live_tasks(d))
-    query = ev.start_task_stream(landed_events(d, with_tests(d["change_events"])), store, companies(d), EVENT_CLOCK, scratch_path(d.spark, "ckpt"))
-    query.awaitTermination()
-    return store.read("tasks")
+    by_year = live_tasks(d, "created_month").withColumn("year", F.year("created_month")).drop("created_month")
+    store.write("tasks", by_year, "year")
+    events = landed_events(d, with_tests(d["change_events"]))
+    ev.start_task_stream(events, store, companies(d), EVENT_CLOCK, scratch_path(d.spark, "ckpt"), column="year").awaitTermination()
+    return store.read("tasks").drop("year")
 
 
 STREAM_SQL = f"WITH {UPDATES.replace('FROM change_events c', 'FROM (SELECT * FROM change_events WHERE event_id % 100 <> 0) c')} {UPDATED} WHERE {KILLED}"
@@ -864,13 +866,28 @@ def snapshots(d: Domain) -> DataFrame:
     """Two versions of a table; readers get the second, partitioned by region."""
     store = snapshot.SnapshotStore(d.spark, scratch_path(d.spark, "store"))
     store.write("properties", property_table(d))
-    store.write("properties", merged_properties(d).drop("op"), ("region_code",))
+    store.write("properties", merged_properties(d).drop("op"), "region_code")
     return store.read("properties")
 
 
 check("snapshot_sink", snapshots, "properties", f"SELECT * EXCLUDE (op) FROM ({merge_sql(chr(39) + 'dirty' + chr(39))})")
 
 
+def partial_upsert(d: Domain) -> DataFrame:
+    """A batch for two regions is merged into the stored table; the other regions are not rewritten."""
+    store = snapshot.SnapshotStore(d.spark, scratch_path(d.spark, "store"))
+    store.write("properties", property_table(d), "region_code")
+    batch = property_batch(d).where("region_code IN ('asia', 'europe')")
+    merge.upsert_table(store, "properties", batch, ["property_id", "region_code"], "region_code", stamp=CLOCK.timestamp())
+    return store.read("properties")
+
+
+check("upsert_touched_partitions", partial_upsert, "properties", f"""
+SELECT * EXCLUDE (op) FROM ({merge_sql("'dirty'")}) WHERE region_code IN ('asia', 'europe')
+UNION ALL SELECT id, property_id, region_code, property_name, property_status, '2001-01-01 00:00:00.000000' FROM properties
+WHERE id % 10 <> 0 AND region_code NOT IN ('asia', 'europe')""")
+
+
 def csv_back(d: Domain) -> DataFrame:
     path = scratch_path(d.spark, "csv")
     snapshot.csv_extract(runlog.sync_recent(d["runs"], EVENT_CLOCK), path, [F.col("sync_started_at").desc()])

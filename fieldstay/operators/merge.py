@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from fieldstay.operators.ranking import first_per_key, row_slot
 from fieldstay.plans.common import count_all
+from fieldstay.session import durable
+from fieldstay.sources.snapshot import SnapshotStore, touched_values
 
 # A batch of at most this many rows (known to the caller) is broadcast: the table is not shuffled.
 BROADCAST_ROWS = 100_000
@@ -154,6 +156,17 @@ def upsert_child(
     return merge(target, first, keys, no_update=["id"], update=not only_keys)
 
 
+def upsert_table(
+    store: SnapshotStore, table: str, batch: DataFrame, keys: Sequence[str], column: str, **options
+) -> DataFrame:
+    """Merge a batch into a stored table whose partition column is in the key: only the partitions
+    that the batch touches are read and written. Returns the merge counts."""
+    touched = touched_values(batch, column)
+    merged = durable(merge(store.read(table, touched), batch, keys, **options))
+    store.replace(table, merged.drop("op"), touched)
+    return merge_counts(merged)
+
+
 def upsert_dimension(
     target: DataFrame, batch: DataFrame, keys: Sequence[str], *, on_insert: Mapping[str, Column] | None = None,
     keep: Sequence[str] = (), stamp: Column | None = None,

@@ -2,78 +2,104 @@
 
 from __future__ import annotations
 
+import json
 import uuid
+from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+PART = "_part"  # folder column that repeats the partition value
 
 
 class SnapshotStore:
-    """Parquet tables that change by writing a new version and then moving a pointer.
+    """Parquet tables that change by writing new folders and then moving a pointer.
 
-    Readers see the old version until the pointer file is replaced, and a failed write leaves the
-    table as it was. The files are written by ordinary Spark jobs; only the pointer, a few bytes,
-    is handled on the driver.
+    The pointer is a small file that names the current folder of each partition value (or of the
+    whole table). Readers see the old folders until it is replaced, and a failed write leaves the
+    table as it was. A change can be confined to the partitions it touches. Data is written and read
+    by ordinary Spark jobs; the driver handles the pointer only.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
     def _fs(self, path: str):
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
 
-    def _pointer(self, table: str) -> str:
-        return f"{self.root}/{table}/CURRENT"
-
-    def current(self, table: str) -> str | None:
-        """Folder of the current version, or None for a table that was never written."""
-        fs, p = self._fs(self._pointer(table))
+    def _pointer(self, table: str) -> dict | None:
+        fs, p = self._fs(f"{self.root}/{table}/CURRENT")
         if not fs.exists(p):
             return None
         stream = fs.open(p)
         try:
-            return f"{self.root}/{table}/{stream.readUTF()}"
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
         finally:
             stream.close()
 
-    def exists(self, table: str) -> bool:
-        return self.current(table) is not None
-
-    def read(self, table: str) -> DataFrame:
-        folder = self.current(table)
-        if folder is None:
-            raise FileNotFoundError(f"no table {table} in {self.root}")
-        return self.spark.read.parquet(folder)
-
-    def write(self, table: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> str:
-        """Write a new version and make it current."""
-        version = f"v-{uuid.uuid4().hex}"
-        folder = f"{self.root}/{table}/{version}"
-        df.write.partitionBy(*partition_by).parquet(folder)
-        fs, staged = self._fs(f"{self.root}/{table}/_pointer-{version}")
+    def _point(self, table: str, pointer: dict) -> None:
+        """Replace the pointer file in one rename."""
+        fs, staged = self._fs(f"{self.root}/{table}/_pointer-{uuid.uuid4().hex}")
         stream = fs.create(staged, True)
         try:
-            stream.writeUTF(version)
+            stream.write(bytearray(json.dumps(pointer).encode()))
         finally:
             stream.close()
-        _, target = self._fs(self._pointer(table))
-        jvm = self.spark._jvm
-        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-            target.toUri(), self.spark._jsc.hadoopConfiguration()
-        )
-        options = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
-        options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+        _, target = self._fs(f"{self.root}/{table}/CURRENT")
+        fs_api = self.spark._jvm.org.apache.hadoop.fs
+        context = fs_api.FileContext.getFileContext(target.toUri(), self.spark._jsc.hadoopConfiguration())
+        options = self.spark.sparkContext._gateway.new_array(fs_api.Options.Rename, 1)
+        options[0] = fs_api.Options.Rename.OVERWRITE
         context.rename(staged, target, options)
-        return folder
 
-    def append(self, table: str, df: DataFrame) -> None:
-        """Add rows to an append-only table (one folder, no versions)."""
-        df.write.mode("append").parquet(f"{self.root}/{table}/rows")
+    def _write_folders(self, table: str, df: DataFrame, column: str | None) -> dict[str, str]:
+        """Write rows into a new folder; returns the folder of each partition value."""
+        folder = f"{self.root}/{table}/v-{uuid.uuid4().hex}"
+        if column is None:
+            df.write.parquet(folder)
+            return {"": folder}
+        # Rebalancing brings a value together and cuts a heavy one into several files.
+        named = df.withColumn(PART, F.col(column).cast("string")).hint("rebalance", F.col(PART))
+        named.write.partitionBy(PART).parquet(folder)
+        fs, p = self._fs(folder)
+        names = [f.getPath().getName() for f in fs.listStatus(p) if f.isDirectory()]
+        return {unquote(n.split("=", 1)[1]): f"{folder}/{n}" for n in names if n.startswith(f"{PART}=")}
+
+    def exists(self, table: str) -> bool:
+        return self._pointer(table) is not None
+
+    def write(self, table: str, df: DataFrame, partition_by: str | None = None) -> None:
+        """Replace the whole table."""
+        parts = self._write_folders(table, df, partition_by)
+        self._point(table, {"column": partition_by, "schema": df.schema.json(), "parts": parts})
+
+    def read(self, table: str, values: Sequence[str] | None = None) -> DataFrame:
+        """The table, or only the rows of some partition values."""
+        pointer = self._pointer(table)
+        if pointer is None:
+            raise FileNotFoundError(f"no table {table} in {self.root}")
+        parts = pointer["parts"]
+        folders = list(parts.values()) if values is None else [parts[v] for v in values if v in parts]
+        schema = StructType.fromJson(json.loads(pointer["schema"]))
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("recursiveFileLookup", True).parquet(*folders)
+
+    def replace(self, table: str, df: DataFrame, values: Sequence[str]) -> None:
+        """Replace the rows of some partition values by ``df``; the other partitions stay as they are."""
+        pointer = self._pointer(table)
+        fresh = self._write_folders(table, df.select(*self.read(table, []).columns), pointer["column"])
+        kept = {v: f for v, f in pointer["parts"].items() if v not in values}
+        self._point(table, {**pointer, "parts": {**kept, **fresh}})
+
 
-    def read_appended(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{table}/rows")
+def touched_values(df: DataFrame, column: str) -> list[str]:
+    """Partition values that occur in ``df``: at most as many as the table has partitions."""
+    names = df.select(F.coalesce(F.col(column).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__"))).distinct()
+    return [r[0] for r in names.collect()]
 
 
 def write_by_month(df: DataFrame, path: str, column: str = "created_at", month: str = "created_month") -> None:
@@ -113,5 +139,5 @@ def load_all_regions(batch: DataFrame, store: SnapshotStore, table: str) -> Data
     )
     bad = health.where(F.col("errors") > 0).select("region_code")
     good = batch.join(bad, "region_code", "left_anti").drop("error")
-    store.write(table, good, ("region_code",))
+    store.write(table, good, "region_code")
     return health.withColumn("sync_status", F.when(F.col("errors") > 0, "failed").otherwise("success"))

@@ -20,7 +20,7 @@ from fieldstay.operators.links import SUB_STATUS, count_blocking
 from fieldstay.operators.maintenance import delete_matching
 from fieldstay.operators.merge import merge
 from fieldstay.session import durable
-from fieldstay.sources.snapshot import SnapshotStore
+from fieldstay.sources.snapshot import SnapshotStore, touched_values
 
 EVENT_SCHEMA = "event_id long, received_at timestamp, payload string"
 TEST_EVENT = "test_webhook_event"  # fixed value
@@ -160,10 +160,8 @@ def apply_task_deletes(tasks: DataFrame, events: DataFrame) -> DataFrame:
 def apply_task_events(tasks: DataFrame, events: DataFrame, clock: Clock) -> DataFrame:
     """Final task table after a batch: deletes win, as nothing brings a deleted row back.
 
-    The batch is read by several joins, so its few columns are materialised first.
+    ``events`` is read by several joins: hand in stored rows rather than a raw parse.
     """
-    used = ["task_id", "region_code", "action", "status", "started_at", "finished_at", *ORDER]
-    events = durable(events.select(*used))
     return apply_task_updates(apply_task_deletes(tasks, events), events, clock)
 
 
@@ -226,45 +224,62 @@ def read_event_stream(spark: SparkSession, path: str, max_files: int | None = No
 
 def start_task_stream(
     stream: DataFrame, store: SnapshotStore, companies: DataFrame, clock: Clock, checkpoint: str,
-    available_now: bool = True,
+    available_now: bool = True, column: str = "created_month",
 ) -> StreamingQuery:
     """Log and apply task events batch by batch to ``tasks`` in the store.
 
-    Each batch writes its log rows into a folder of its own number and then swaps the table snapshot,
-    both repeatable, so a batch that is run again after a failure leaves the same result.
+    The table is stored by a period of creation. A batch looks its task ids up in the two narrow
+    columns id and period and then rewrites only the periods it hit. Its log goes into a folder of its
+    own number. All of this can be repeated: a batch that is run again after a failure leaves the same
+    result.
     """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        events = drop_test_events(batch)
-        resolved = resolve_region(normalise_task_events(events), companies)
-        readable = resolved.where(unreadable().isNull())
-        log = mark_processed(event_log(resolved, "task", "task_id"), clock, unreadable())
+        resolved = resolve_region(normalise_task_events(drop_test_events(batch)), companies)
+        error = unreadable()
+        log = mark_processed(event_log(resolved, "task", "task_id"), clock, error)
         log.write.mode("overwrite").parquet(f"{store.root}/event_log/batch={batch_id}")
-        store.write("tasks", apply_task_events(store.read("tasks"), readable, clock))
+        used = ["task_id", "region_code", "action", "status", "started_at", "finished_at", *ORDER]
+        events = durable(resolved.where(error.isNull()).select(*used))
+        named = events.select("task_id").distinct()
+        known = store.read("tasks").select("task_id", column)
+        periods = touched_values(known.join(named, "task_id", "left_semi"), column)
+        if periods:
+            store.replace("tasks", apply_task_events(store.read("tasks", periods), events, clock), periods)
 
     return _start(stream, on_batch, checkpoint, available_now)
 
 
+STATUS_SLOTS = 64
+
+
 def start_property_status_stream(
     stream: DataFrame, store: SnapshotStore, companies: DataFrame, properties: DataFrame, checkpoint: str,
     available_now: bool = True,
 ) -> StreamingQuery:
     """Keep the newest status event of every property in ``property_status`` of the store; an event
-    that was received before the stored one does not replace it, in whatever batch it comes."""
+    that was received before the stored one does not replace it, in whatever batch it comes.
+
+    The table is stored in slots by property, of which a batch rewrites those it hit.
+    """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         events = resolve_region(normalise_property_events(drop_test_events(batch)), companies, properties)
-        newest = latest_property_status(events)
+        slot = F.pmod(F.xxhash64("property_id"), F.lit(STATUS_SLOTS))
+        newest = durable(latest_property_status(events).withColumn("slot", slot))
         if not store.exists("property_status"):
-            store.write("property_status", newest)
+            store.write("property_status", newest, "slot")
+            return
+        slots = touched_values(newest, "slot")
+        if not slots:
             return
-        table = store.read("property_status")
+        table = store.read("property_status", slots)
         newer = F.struct(*[F.col(f"s.{c}") for c in ORDER]) > F.struct(*[F.col(f"t.{c}") for c in ORDER])
         values = {
             c: F.when(newer, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")) for c in table.columns
         }
         merged = merge(table, newest, ["region_code", "property_id"], values=values)
-        store.write("property_status", merged.drop("op"))
+        store.replace("property_status", merged.drop("op"), slots)
 
     return _start(stream, on_batch, checkpoint, available_now)
 

@@ -95,7 +95,7 @@ def test_task_stream_survives_bad_events_and_logs(spark, tmp_path, tasks, compan
         (landing / name).write_text("\n".join(lines) + "\n")
 
     store = SnapshotStore(spark, str(tmp_path / "store"))
-    store.write("tasks", tasks)
+    store.write("tasks", tasks.withColumn("created_month", F.lit("2025-01-01")), "created_month")
 
     def run():
         stream = ev.read_event_stream(spark, str(landing))

@@ -258,6 +258,22 @@ def test_snapshot_versions(spark, rows, tmp_path):
         store.read("missing")
 
 
+def test_replace_rewrites_only_the_touched_partitions(spark, rows, tmp_path):
+    store = snapshot.SnapshotStore(spark, str(tmp_path))
+    schema = "k string, p string, v int"
+    store.write("t", rows(schema, ("a", "x", 1), ("b", "y/1 %", 2), ("c", None, 3)), "p")
+    before = store._pointer("t")["parts"]
+    counts = merge.upsert_table(store, "t", rows(schema, ("b", "y/1 %", 9), ("n", "new", 5)), ["k", "p"], "p")
+    assert tuple(counts.first())[:2] == (1, 1)
+    assert sorted(map(repr, map(tuple, store.read("t").collect()))) == sorted(
+        map(repr, [("a", "x", 1), ("b", "y/1 %", 9), ("c", None, 3), ("n", "new", 5)])
+    )
+    after = store._pointer("t")["parts"]
+    assert after["x"] == before["x"] and after["y/1 %"] != before["y/1 %"]
+    store.replace("t", store.read("t", ["x"]).where("false"), ["x"])
+    assert store.read("t").count() == 3 and store.read("t", ["x"]).count() == 0
+
+
 def test_replace_partitions_leaves_others(spark, rows, tmp_path):
     path = str(tmp_path / "p")
     snapshot.replace_partitions(rows("d string, v int", ("x", 1), ("y", 2)), path, ("d",))
