@@ -307,7 +307,7 @@ FROM properties WHERE id % 10 = 0 OR id % 100 = 1"""
 
 
 check("upsert_parent", merged_properties, "properties", merge_sql("'dirty'"))
-check("upsert_parent_small_batch", lambda d: merged_properties(d, source_rows=1000), "properties", merge_sql("'dirty'"))
+check("upsert_parent_small_batch", lambda d: merged_properties(d, small_batch=True), "properties", merge_sql("'dirty'"))
 check("owned_columns", lambda d: merged_properties(d, no_update=["property_status"]), "properties", merge_sql("property_status"))
 check("upsert_counts", lambda d: merge.merge_counts(merged_properties(d)), "properties", f"""
 SELECT {cnt("id % 10 = 0 OR id % 100 = 1")} AS inserted, {cnt("id % 10 = 1 AND id % 100 <> 1")} AS updated,

@@ -92,6 +92,8 @@ def load_children(
     on = {"parent_api_id": entity.id_column, "region_code": "region_code"}
     batch = typed(keys.require_key(rows, parents, on, child.parent_fk).drop("parent_api_id"))
     if child.table == "task_tags":
+        if not store.exists("tags"):
+            return
         tag = {"tag_id": "tag_id", "region_code": "region_code"}
         batch = keys.require_key(batch, store.read("tags"), tag, "tag_pk").drop("tag_id")
     column, period = _period(child.partition_column)

@@ -17,10 +17,6 @@ from fieldstay.plans.common import count_all
 from fieldstay.session import durable
 from fieldstay.sources.snapshot import SnapshotStore, touched_values
 
-# A batch of at most this many rows (known to the caller) is broadcast: the table is not shuffled.
-BROADCAST_ROWS = 100_000
-
-
 def null_slot(df: DataFrame, keys: Sequence[str]) -> Column:
     """Zero for a complete key, else a number by the row's content.
 
@@ -42,7 +38,7 @@ def merge(
     values: Mapping[str, Column] | None = None,
     defaults: Mapping[str, Column] | None = None,
     stamp: Column | None = None,
-    source_rows: int | None = None,
+    small_batch: bool = False,
 ) -> DataFrame:
     """The next snapshot of ``target`` after a batch ``source`` with at most one row per key.
 
@@ -50,14 +46,16 @@ def merge(
     ``insert=False`` ignores unmatched batch rows. ``values`` replaces the plain "take the batch
     value" rule of a column by an expression over ``t.<column>`` and ``s.<column>``. ``defaults``
     fill target-only columns of inserted rows. ``stamp`` is written to ``updated_at`` of every
-    changed row.
+    changed row. ``small_batch`` says the batch is likely to be small against the table: it is stored
+    first, so that Spark knows its size, and the table is joined in place instead of by a full outer
+    join. If the size is below the broadcast threshold the table is not shuffled.
     """
     values, defaults = dict(values or {}), dict(defaults or {})
     columns, given = target.columns, set(source.columns)
+    if small_batch:
+        source = durable(source)
     old = target.withColumns({"_t": F.lit(True), "_slot": null_slot(target, keys)}).alias("t")
-    new = source.withColumns({"_s": F.lit(True), "_slot": null_slot(source, keys)})
-    small = source_rows is not None and source_rows <= BROADCAST_ROWS
-    new = (F.broadcast(new) if small else new).alias("s")
+    new = source.withColumns({"_s": F.lit(True), "_slot": null_slot(source, keys)}).alias("s")
     on = reduce(lambda a, b: a & b, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in [*keys, "_slot"]])
     in_old, in_new = F.col("_t").isNotNull(), F.col("_s").isNotNull()
 
@@ -80,12 +78,12 @@ def merge(
     op = F.when(~in_old, "insert").when(in_new, touched).otherwise("keep").alias("op")
     shape = [*[result(c).alias(c) for c in columns], op]
 
-    if insert and not small:
+    if insert and not small_batch:
         return old.join(new, on, "full_outer").select(*shape)
     # The table stays where it is; batch keys it already has are found by a semi join.
     merged = old.join(new, on, "left").select(*shape)
     if insert:
-        present = target.select(*keys).join(F.broadcast(source.select(*keys)), list(keys), "left_semi")
+        present = target.select(*keys).join(source.select(*keys), list(keys), "left_semi")
         merged = merged.unionByName(_inserted(source.join(present, list(keys), "left_anti"), target, defaults, stamp))
     return merged
 
@@ -123,14 +121,14 @@ def upsert_parent(
     partition_column: str | None = None,
     no_update: Sequence[str] = (),
     stamp: Column | None = None,
-    source_rows: int | None = None,
+    small_batch: bool = False,
 ) -> DataFrame:
     """Parent rule: the partition column joins the match key, ``created_at`` is never updated."""
     keys = [*natural_key]
     if partition_column and partition_column not in keys:
         keys.append(partition_column)
     return merge(
-        target, batch, keys, no_update=[*no_update, "created_at"], stamp=stamp, source_rows=source_rows
+        target, batch, keys, no_update=[*no_update, "created_at"], stamp=stamp, small_batch=small_batch
     )
 
 

@@ -64,9 +64,10 @@ def decide_deletes(
 
 def reconcile_deletes(
     tasks: DataFrame, listed: DataFrame, good_parents: DataFrame, probes: DataFrame, clock: Clock,
-    past_days: int = 14, future_days: int = 30,
+    past_days: int = 14, future_days: int = 30, dry_run: bool = False,
 ) -> Reconciled:
-    """Apply :func:`decide_deletes`: the table with strikes kept up, and an audit of removed rows."""
+    """Apply :func:`decide_deletes`: the table with strikes kept up, and an audit of removed rows. A dry
+    run only counts what would happen."""
     decided = durable(decide_deletes(tasks, listed, good_parents, probes, clock, past_days, future_days))
     struck, reset = F.col("action") == "strike", F.col("action") == "reset"
     strikes, since = F.col("missing_strikes"), F.col("missing_since")
@@ -79,6 +80,8 @@ def reconcile_deletes(
     )
     removed = decided.where(F.col("action") == "delete").select(*tasks.columns)
     counts = decided.groupBy("region_code", "action").agg(count_all().alias("tasks"))
+    if dry_run:
+        return Reconciled(decided.select(*tasks.columns), delete_audit(removed.where(F.lit(False)), clock), counts)
     return Reconciled(changed.select(*tasks.columns), delete_audit(removed, clock), counts)
 
 

@@ -86,22 +86,28 @@ REFRESHED = (
 ).split()
 
 
+def _ordered(name: str, df: DataFrame) -> DataFrame:
+    order = VIEWS[name].order
+    return df.orderBy(*order()) if order else df
+
+
 def present(name: str, tables: Mapping[str, DataFrame], clock: Clock, **options) -> DataFrame:
     """A view in its presentation order."""
-    view = VIEWS[name]
-    df = view.build(tables, clock, **options)
-    return df.orderBy(*view.order()) if view.order else df
+    return _ordered(name, VIEWS[name].build(tables, clock, **options))
 
 
 def refresh_all(
     tables: Mapping[str, DataFrame], clock: Clock, folder: str, names: list[str] | None = None
 ) -> dict[str, DataFrame]:
-    """Recompute the views and overwrite ``folder/<view>``, stamped with the refresh time."""
+    """Recompute the views and overwrite ``folder/<view>``, stamped with the refresh time.
+
+    Views are stored as they come; the returned frames put them in order when they are read.
+    """
     out = {}
     for name in names or REFRESHED:
-        df = present(name, tables, clock).withColumn("refreshed_at", clock.timestamp())
+        df = VIEWS[name].build(tables, clock).withColumn("refreshed_at", clock.timestamp())
         df.write.mode("overwrite").parquet(f"{folder}/{name}")
-        out[name] = df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
+        out[name] = _ordered(name, df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}"))
     return out
 
 

@@ -58,7 +58,11 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder; whatever is written there goes when the application ends."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return path
 
 
 def durable(df: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from collections.abc import Sequence
 from urllib.parse import unquote
@@ -96,6 +97,22 @@ class SnapshotStore:
         self._point(table, {**pointer, "parts": {**kept, **fresh}})
 
 
+    def vacuum(self, table: str, older_than_hours: float = 24.0) -> int:
+        """Delete folders that are no longer current and are older than any reader still at work."""
+        current = {f.split("://")[-1] for f in (self._pointer(table) or {"parts": {}})["parts"].values()}
+        fs, p = self._fs(f"{self.root}/{table}")
+        limit, removed = (time.time() - older_than_hours * 3600) * 1000, 0
+        for version in fs.listStatus(p):
+            if not version.getPath().getName().startswith("v-"):
+                continue
+            inner = [f for f in fs.listStatus(version.getPath()) if f.isDirectory()]
+            for folder in inner or [version]:
+                old = folder.getModificationTime() < limit
+                if old and folder.getPath().toUri().getPath() not in current:
+                    removed += bool(fs.delete(folder.getPath(), True))
+        return removed
+
+
 def touched_values(df: DataFrame, column: str) -> list[str]:
     """Partition values that occur in ``df``: at most as many as the table has partitions."""
     names = df.select(F.coalesce(F.col(column).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__"))).distinct()

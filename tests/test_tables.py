@@ -35,7 +35,7 @@ def test_merge_against_a_plain_model(spark, target, source, how):
     schema = "k string, r string, v int, w int"
     t, s = spark.createDataFrame(target, schema), spark.createDataFrame(source, schema)
     options = {
-        "full": {}, "small": {"source_rows": len(source)}, "ignore": {"update": False},
+        "full": {}, "small": {"small_batch": True}, "ignore": {"update": False},
         "update_only": {"insert": False}, "owned": {"no_update": ["w"]},
     }[how]
     got = sorted(map(repr, (tuple(r) for r in merge.merge(t, s, ["k", "r"], **options).collect())))
@@ -140,6 +140,8 @@ def test_reconcile_deletes_needs_two_strikes(rows):
     assert table["far"] == table["badhome"] == table["noregion"] == (1, None)
     (audit,) = out.audit.collect()
     assert json.loads(audit.task_row)["task_id"] == "second" and audit.deleted_at == CLOCK.now
+    dry = reconcile.reconcile_deletes(tasks, listed, good, probes, CLOCK, dry_run=True)
+    assert dry.table.count() == 8 and dry.audit.count() == 0 and dry.counts.where("action = 'delete'").count() == 1
     again = reconcile.reconcile_deletes(out.table, listed, good, probes, CLOCK)
     assert {r.action for r in again.counts.where("action = 'strike'").collect()} <= {"strike"}
 
@@ -270,6 +272,7 @@ def test_replace_rewrites_only_the_touched_partitions(spark, rows, tmp_path):
     )
     after = store._pointer("t")["parts"]
     assert after["x"] == before["x"] and after["y/1 %"] != before["y/1 %"]
+    assert store.vacuum("t") == 0 and store.vacuum("t", older_than_hours=-1) == 1
     store.replace("t", store.read("t", ["x"]).where("false"), ["x"])
     assert store.read("t").count() == 3 and store.read("t", ["x"]).count() == 0
 
