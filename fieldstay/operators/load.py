@@ -106,7 +106,7 @@ def load_children(
         store.read(child.table, touched), batch, child.natural_key, [F.col("arrival").asc()],
         partition_column=child.partition_column,
     )
-    store.replace(child.table, durable(_number_new_rows(store, child.table, merged)).drop("op"), touched)
+    store.replace(child.table, _number_new_rows(store, child.table, merged).drop("op"), touched)
 
 
 def load_entity(

@@ -23,8 +23,7 @@ def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
         *[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys]
     )
     cond = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
-    out = left.join(renamed, cond, how) if keys else left.crossJoin(renamed)
-    return out.drop(*[f"_r_{k}" for k in keys])
+    return left.join(renamed, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
 def row_slot(df: DataFrame, slots: int = 1024) -> Column:
