@@ -60,7 +60,7 @@ class Domain(Mapping):
             if name == "tasks":
                 write_by_month(df, path)
             else:
-                df.write.parquet(path)
+                self._spread(df).write.parquet(path)
             self._written[key] = self.spark.read.parquet(path)
         return self._written[key]
 
@@ -70,6 +70,15 @@ class Domain(Mapping):
     def __len__(self) -> int:
         return len(self.NAMES)
 
+    def _spread(self, df: DataFrame) -> DataFrame:
+        """Small inputs come as one file with one row group: cut them so that every core has a part.
+        Inputs of ordinary size are stored as they are read."""
+        jvm, cores = self.spark._jvm, self.spark.sparkContext.defaultParallelism
+        folder = jvm.org.apache.hadoop.fs.Path(self.sf_dir)
+        fs = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        size = fs.getContentSummary(folder).getLength()
+        return df.repartition(cores) if size < cores * 16 * 2**20 else df
+
     @cached_property
     def regions(self) -> DataFrame:
         return self.raw("region").select(

@@ -746,12 +746,13 @@ def property_mirror(d: Domain) -> DataFrame:
     return d["properties"].select("property_id", "region_code", "property_status", F.lit("2001-01-01").cast("timestamp").alias("synced_at"))
 
 
-check("event_update_property", lambda d: ev.apply_property_events(property_mirror(d), resolved_property_events(d), EVENT_CLOCK),
-      "change_events regions properties", f"""WITH {PROPERTY_EVENTS},
+MIRROR_SQL = f"""WITH {PROPERTY_EVENTS},
 l AS (SELECT property_id, region_code, arg_max(status, (received_at, event_id)) AS st FROM pr WHERE status IS NOT NULL AND region_code <> 'unknown' GROUP BY 1, 2)
 SELECT p.property_id, p.region_code, coalesce(st, property_status) AS property_status,
  {stamp(f"CASE WHEN st IS NULL THEN TIMESTAMP '2001-01-01' ELSE {EVENT_NOW} END")} AS synced_at
-FROM properties p LEFT JOIN l ON l.property_id = p.property_id AND l.region_code = p.region_code""")
+FROM properties p LEFT JOIN l ON l.property_id = p.property_id AND l.region_code = p.region_code"""
+check("event_update_property", lambda d: ev.apply_property_events(property_mirror(d), resolved_property_events(d), EVENT_CLOCK),
+      "change_events regions properties", MIRROR_SQL)
 STATUS_COLS = "region_code, property_id, event_id, status, blocking_count, is_blocking"
 STATUS_SQL = f"""WITH {PROPERTY_EVENTS} SELECT region_code, property_id, event_id, status, blocking_count, blocking_count > 0 AS is_blocking FROM pr
 WHERE region_code <> 'unknown' QUALIFY row_number() OVER (PARTITION BY region_code, property_id ORDER BY received_at DESC, event_id DESC) = 1"""
@@ -801,14 +802,17 @@ STREAM_SQL = f"WITH {UPDATES.replace('FROM change_events c', 'FROM (SELECT * FRO
 check("event_apply_stream", streamed_tasks, EVENT_TABLES, STREAM_SQL)
 
 
-def streamed_status(d: Domain) -> DataFrame:
+def streamed_properties(d: Domain) -> snapshot.SnapshotStore:
     store = snapshot.SnapshotStore(d.spark, scratch_path(d.spark, "store"))
-    query = ev.start_property_status_stream(landed_events(d, property_events(d)), store, companies(d), d["properties"], scratch_path(d.spark, "ckpt"))
-    query.awaitTermination()
-    return store.read("property_status").select(*STATUS_COLS.split(", "))
+    store.write("properties", property_mirror(d), "region_code")
+    stream = landed_events(d, property_events(d))
+    ev.start_property_stream(stream, store, companies(d), d["properties"], EVENT_CLOCK, scratch_path(d.spark, "ckpt")).awaitTermination()
+    return store
+
 
+check("property_status_stream", lambda d: streamed_properties(d).read("property_status").select(*STATUS_COLS.split(", ")), "change_events regions properties", STATUS_SQL)
 
-check("property_status_stream", streamed_status, "change_events regions properties", STATUS_SQL)
+check("event_update_property_stream", lambda d: streamed_properties(d).read("properties"), "change_events regions properties", MIRROR_SQL)
 
 # Roll-ups -----------------------------------------------------------------------------------------
 DONE = "task_status_stage = 'finished'"

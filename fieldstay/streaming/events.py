@@ -237,8 +237,7 @@ def start_task_stream(
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         resolved = resolve_region(normalise_task_events(drop_test_events(batch)), companies)
         error = unreadable()
-        log = mark_processed(event_log(resolved, "task", "task_id"), clock, error)
-        log.write.mode("overwrite").parquet(f"{store.root}/event_log/batch={batch_id}")
+        write_log(store, mark_processed(event_log(resolved, "task", "task_id"), clock, error), "task", batch_id)
         used = ["task_id", "region_code", "action", "status", "started_at", "finished_at", *ORDER]
         events = durable(resolved.where(error.isNull()).select(*used))
         named = events.select("task_id").distinct()
@@ -253,37 +252,60 @@ def start_task_stream(
 STATUS_SLOTS = 64
 
 
-def start_property_status_stream(
-    stream: DataFrame, store: SnapshotStore, companies: DataFrame, properties: DataFrame, checkpoint: str,
-    available_now: bool = True,
+def start_property_stream(
+    stream: DataFrame, store: SnapshotStore, companies: DataFrame, properties: DataFrame, clock: Clock,
+    checkpoint: str, available_now: bool = True,
 ) -> StreamingQuery:
-    """Keep the newest status event of every property in ``property_status`` of the store; an event
-    that was received before the stored one does not replace it, in whatever batch it comes.
+    """Log property-status events, apply them to ``properties`` of the store (by region) if it is
+    there, and keep each property's newest event in ``property_status``.
 
-    The table is stored in slots by property, of which a batch rewrites those it hit.
+    ``properties`` finds the region of events without a company. An event that was received before
+    the stored one does not replace it, in whatever batch it comes. The status table is stored in
+    slots by property, of which a batch rewrites those it hit.
     """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        events = resolve_region(normalise_property_events(drop_test_events(batch)), companies, properties)
-        slot = F.pmod(F.xxhash64("property_id"), F.lit(STATUS_SLOTS))
-        newest = durable(latest_property_status(events).withColumn("slot", slot))
-        if not store.exists("property_status"):
-            store.write("property_status", newest, "slot")
-            return
-        slots = touched_values(newest, "slot")
-        if not slots:
-            return
-        table = store.read("property_status", slots)
-        newer = F.struct(*[F.col(f"s.{c}") for c in ORDER]) > F.struct(*[F.col(f"t.{c}") for c in ORDER])
-        values = {
-            c: F.when(newer, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")) for c in table.columns
-        }
-        merged = merge(table, newest, ["region_code", "property_id"], values=values)
-        store.replace("property_status", merged.drop("op"), slots)
+        normal = normalise_property_events(drop_test_events(batch))
+        events = durable(resolve_region(normal, companies, properties))
+        log = mark_processed(event_log(events, "property-status", "property_id"), clock, unreadable())
+        write_log(store, log, "property-status", batch_id)
+        events = events.where(unreadable().isNull())
+        _update_mirror(store, events, clock)
+        _update_status(store, events)
 
     return _start(stream, on_batch, checkpoint, available_now)
 
 
+def _update_mirror(store: SnapshotStore, events: DataFrame, clock: Clock) -> None:
+    if not store.exists("properties"):
+        return
+    regions = touched_values(events.where(F.col("region_code") != "unknown"), "region_code")
+    if regions:
+        mirror = store.read("properties", regions)
+        store.replace("properties", apply_property_events(mirror, events, clock), regions)
+
+
+def _update_status(store: SnapshotStore, events: DataFrame) -> None:
+    slot = F.pmod(F.xxhash64("property_id"), F.lit(STATUS_SLOTS))
+    newest = durable(latest_property_status(events).withColumn("slot", slot))
+    if not store.exists("property_status"):
+        store.write("property_status", newest, "slot")
+        return
+    slots = touched_values(newest, "slot")
+    if not slots:
+        return
+    table = store.read("property_status", slots)
+    newer = F.struct(*[F.col(f"s.{c}") for c in ORDER]) > F.struct(*[F.col(f"t.{c}") for c in ORDER])
+    values = {c: F.when(newer, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")) for c in table.columns}
+    merged = merge(table, newest, ["region_code", "property_id"], values=values)
+    store.replace("property_status", merged.drop("op"), slots)
+
+
+def write_log(store: SnapshotStore, log: DataFrame, kind: str, batch_id: int) -> None:
+    """Write the log rows of one batch into their own folder, so that writing them again changes nothing."""
+    log.drop("event_kind").write.mode("overwrite").parquet(f"{store.root}/event_log/event_kind={kind}/batch={batch_id}")
+
+
 def _start(stream: DataFrame, on_batch, checkpoint: str, available_now: bool) -> StreamingQuery:
     writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(on_batch)
     return (writer.trigger(availableNow=True) if available_now else writer).start()

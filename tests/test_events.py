@@ -111,6 +111,28 @@ def test_task_stream_survives_bad_events_and_logs(spark, tmp_path, tasks, compan
     assert log == {1: None, 2: "payload is not JSON", 4: None, 5: None}
 
 
+def test_property_stream_keeps_the_newest(spark, tmp_path, companies, rows):
+    mirror = rows("property_id string, region_code string, property_status string, synced_at timestamp",
+                  ("11", "n", "dirty", None), ("12", "s", "dirty", None))
+    store = SnapshotStore(spark, str(tmp_path / "store"))
+    store.write("properties", mirror, "region_code")
+    landing = tmp_path / "in"
+    landing.mkdir()
+
+    def run(name, *lines):
+        text = [json.dumps({"event_id": i, "received_at": f"2025-01-01T00:00:0{i}Z", "payload": p if isinstance(p, str) else json.dumps(p)}) for i, p in lines]
+        (landing / name).write_text("\n".join(text) + "\n")
+        stream = ev.read_event_stream(spark, str(landing))
+        ev.start_property_stream(stream, store, companies, mirror, CLOCK, str(tmp_path / "ckpt")).awaitTermination()
+
+    run("a.json", (5, {"property_id": 11, "status": "clean"}), (6, "{broken"), (7, {"property_id": "404", "status": "x"}))
+    run("b.json", (4, {"property_id": 11, "company_id": 1, "status": "late"}), (8, {"property_id": 12, "status": "inspected"}))
+    assert {r.property_id: (r.status, r.event_id) for r in store.read("property_status").collect()} == {"11": ("clean", 5), "12": ("inspected", 8)}
+    assert {r.property_id: r.property_status for r in store.read("properties").collect()} == {"11": "late", "12": "inspected"}
+    log = {r.event_id: (r.error_message, r.event_kind) for r in spark.read.parquet(f"{store.root}/event_log").collect()}
+    assert set(log) == {4, 5, 6, 7, 8} and log[6] == ("payload is not JSON", "property-status")
+
+
 def test_whole_buckets_only():
     at = datetime
     assert rollups.bucket_range(at(2025, 1, 1, 12), at(2025, 1, 4, 12), "day") == (at(2025, 1, 2), at(2025, 1, 4))

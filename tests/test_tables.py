@@ -118,6 +118,41 @@ def test_link_by_dates_rule_order_and_ties(rows):
     assert got == {1: 11, 2: 11, 3: None, 4: 10, 5: None, 6: 77, 7: None}
 
 
+DAY = st.one_of(st.none(), st.integers(0, 30).map(lambda n: date(2025, 1, 1).fromordinal(date(2025, 1, 1).toordinal() + n)))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    tasks=st.lists(st.tuples(st.sampled_from([1, 2]), st.sampled_from(["housekeeping", "other", None]), DAY, DAY, DAY), max_size=12),
+    stays=st.lists(st.tuples(st.sampled_from([1, 2]), DAY, DAY), max_size=12),
+)
+def test_link_by_dates_against_all_pairs(spark, tasks, stays):
+    t = spark.createDataFrame(
+        [(i, p, "n", dept, sched, cin, cout, None) for i, (p, dept, sched, cin, cout) in enumerate(tasks)],
+        "id int, property_pk int, region_code string, type_department string, scheduled_date date, checkin_date date,"
+        " checkout_date date, reservation_pk int")
+    r = spark.createDataFrame([(i, p, "n", a, b) for i, (p, a, b) in enumerate(stays)],
+                              "id int, property_pk int, region_code string, checkin_date date, checkout_date date")
+    wanted = {}
+    for i, (p, dept, sched, cin, cout) in enumerate(tasks):
+        best = None
+        for j, (q, a, b) in enumerate(stays):
+            if p != q or a is None or b is None:
+                continue
+            if cin == a and cout == b:
+                rule = 1
+            elif dept == "housekeeping" and sched and a <= sched and sched.toordinal() <= b.toordinal() + 1:
+                rule = 2
+            elif cin and cout and cin <= b and cout >= a:
+                rule = 3
+            else:
+                continue
+            key = (rule, abs(((cin or sched) - a).days), j)
+            best = key if best is None else min(best, key)
+        wanted[i] = best and best[2]
+    assert {x.id: x.reservation_pk for x in keys.link_by_dates(t, r).collect()} == wanted
+
+
 def test_reconcile_deletes_needs_two_strikes(rows):
     day = date(2025, 3, 1)
     tasks = rows(
