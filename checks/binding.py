@@ -139,7 +139,9 @@ class Domain(Mapping):
             F.col("o_orderdate").cast("date").alias("checkin_date"),
             F.date_add(F.col("o_orderdate").cast("date"), (1 + k % 6).cast("int")).alias("checkout_date"),
             F.when(k % 3 == 0, k).when(k % 3 == 1, k - 1).alias("reservation_pk"),
-            F.when(k % 4 != 0, (F.col("o_totalprice") / 1000).cast("decimal(15,2)")).alias("rate_paid"),
+            # A thousandth of the price, cut to cents on whole numbers: no rounding tie can differ.
+            F.when(k % 4 != 0, (F.floor(F.round(F.col("o_totalprice") * 100) / 1000).cast("decimal(15,2)") / 100)
+                   .cast("decimal(15,2)")).alias("rate_paid"),
         )
         return orders.join(
             self["properties"].select(F.col("id").alias("property_pk"), "region_code"), "property_pk"
