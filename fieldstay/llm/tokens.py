@@ -71,7 +71,7 @@ class Encoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """``(ids, offsets)``: unsigned 32-bit ids of all texts, end ids included; text i's from ``offsets[i]``."""
-        texts = pc.fill_null(plain(texts).cast(pa.large_string()), "")
+        texts = pc.fill_null(plain(texts), "")
         n = len(texts)
         if not self.by_word:
             lists = [e.ids + self.end for e in self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
@@ -80,7 +80,7 @@ class Encoder:
         if self.folds and not any(pc.any(pc.match_substring(texts, s)).as_py() for s in self.special):
             texts = pc.ascii_lower(texts)
         words = split_words(texts)
-        ids = self._ids_of(words.values.cast(pa.large_binary()).to_pylist())
+        ids = self._ids_of(words.values.cast(pa.binary()).to_pylist())
         sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         # One more "word" ends each text.
         table = np.frombuffer(b"".join([*ids, np.asarray(self.end, "<u4").tobytes()]), "<u4")

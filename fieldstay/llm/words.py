@@ -29,7 +29,7 @@ def plain(column: pa.Array | pa.ChunkedArray) -> pa.Array:
 
 def split_words(texts: pa.Array) -> Words:
     """Split every text (null: none) into words and code them by their distinct values."""
-    texts = pc.fill_null(plain(texts).cast(pa.large_string()), "")
+    texts = pc.fill_null(plain(texts), "")
     lists = pc.ascii_split_whitespace(texts)
     flat = pc.list_flatten(lists)
     lengths = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -47,7 +47,7 @@ def split_words(texts: pa.Array) -> Words:
 def word_hashes(values: pa.Array, seed: int) -> np.ndarray:
     """A 64-bit hash of each distinct word."""
     one = xxhash.xxh64_intdigest
-    return np.fromiter((one(w, seed) for w in values.cast(pa.large_binary()).to_pylist()), np.uint64, len(values))
+    return np.fromiter((one(w, seed) for w in values.cast(pa.binary()).to_pylist()), np.uint64, len(values))
 
 
 def buckets(values: pa.Array, size: int, seed: int) -> np.ndarray:
@@ -59,7 +59,7 @@ def buckets(values: pa.Array, size: int, seed: int) -> np.ndarray:
 def batches_of(batch: pa.RecordBatch, text: str, most_bytes: int = 1 << 24):
     """Slices of a batch with at most ``most_bytes`` of text each, or a single row."""
     column = batch.column(batch.schema.get_field_index(text))
-    sizes = pc.fill_null(pc.binary_length(column.cast(pa.large_string())), 0).to_numpy(zero_copy_only=False)
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
     start, held = 0, 0
     for i, size in enumerate(sizes):
         if held and held + size > most_bytes:
