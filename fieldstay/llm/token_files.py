@@ -149,7 +149,7 @@ def read_token_files(manifest: DataFrame, folder: str, *, step_bytes: int = 1 <<
                         sizes = np.array([len(p) for p in parts], np.int64)
                         bounds = np.concatenate([[0], np.cumsum(sizes)])
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(names, pa.int64()), pa.array(start + bounds[:-1]), pa.array(sizes), binary_slices(np.concatenate(parts), bounds).cast(pa.binary())],
+                            [pa.array(names, pa.int64()), pa.array(start + bounds[:-1]), pa.array(sizes), binary_slices(np.concatenate(parts), bounds)],
                             names=["id", "start", "n_tokens", "ids"],
                         )
                         start, at = start + int(bounds[-1]), to

@@ -22,6 +22,8 @@ from fieldstay.llm.words import batches_of, plain, split_words
 # Words remembered per worker; beyond it the memory starts anew.
 REMEMBERED = 1_000_000
 TAIL = b".,;:!?"
+# Unknown words handed to the library in one text.
+JOINED = 2_000
 
 _encoders: dict = {}
 
@@ -38,14 +40,35 @@ class Encoder:
         # Letters may be folded first where the normaliser folds them anyway; special tokens are told apart by case.
         self.folds = '"Lowercase"' in json.dumps(json.loads(text).get("normalizer"))
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        suffix = json.loads(text)["model"].get("end_of_word_suffix")
+        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends_word = np.zeros(max(vocab.values(), default=0) + 1, bool)
+        if suffix:
+            self.ends_word[[i for token, i in vocab.items() if token.endswith(suffix)]] = True
         self.memory: dict[bytes, bytes] = {}
         vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.width = 2 if max([vocabulary - 1, *self.end]) < 1 << 16 else 4
 
-    def _library(self, words: list[bytes]) -> list[bytes]:
-        out = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
+    def _singly(self, words: list[str]) -> list[bytes]:
+        out = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
         return [np.asarray(e.ids, "<u4").tobytes() for e in out]
 
+    def _library(self, words: list[str]) -> list[bytes]:
+        """The ids of each word. Words of letters are encoded joined by blanks: each is one piece, and the last id of
+        a piece is one that ends a word, so as many such ids as words tell them apart."""
+        out: dict[str, bytes] = {}
+        letters = [w for w in words if w.isalpha()] if self.ends_word.any() else []
+        for i in range(0, len(letters), JOINED):
+            chunk = letters[i : i + JOINED]
+            ids = np.asarray(self.tokenizer.encode_batch_fast([" ".join(chunk)], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(ends) == len(chunk) and ends[-1] == len(ids):
+                data, bounds = ids.tobytes(), (4 * ends).tolist()
+                out.update(zip(chunk, (data[a:b] for a, b in zip([0, *bounds], bounds)), strict=False))
+        rest = [w for w in words if w not in out]
+        out.update(zip(rest, self._singly(rest), strict=True))
+        return [out[w] for w in words]
+
     def _ids_of(self, words: list[bytes]) -> list[bytes]:
         """The ids of each distinct word as little-endian bytes."""
         if len(self.memory) + len(words) > REMEMBERED:
@@ -62,7 +85,7 @@ class Encoder:
             for part in split.get(i, (words[i],)):
                 if part not in memory:
                     missing[part] = None
-        memory.update(zip(missing, self._library(list(missing)), strict=True))
+        memory.update(zip(missing, self._library([w.decode() for w in missing]), strict=True))
         for i in holes:
             if i in split:
                 memory[words[i]] = memory[split[i][0]] + memory[split[i][1]]
@@ -106,7 +129,7 @@ def binary_slices(ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
     """Slices of ``ids`` as binary values: little-endian unsigned 32-bit numbers."""
     data = np.ascontiguousarray(ids, "<u4")
     return pa.Array.from_buffers(
-        pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer((offsets * 4).astype(np.int64)), pa.py_buffer(data)]
+        pa.binary(), len(offsets) - 1, [None, pa.py_buffer((offsets * 4).astype(np.int32)), pa.py_buffer(data)]
     )
 
 
@@ -139,7 +162,7 @@ def token_pieces(
                         pa.array(totals[owner].astype(np.int64)),
                         pa.array(start.astype(np.int64)),
                         pa.array(length.astype(np.int64)),
-                        binary_slices(ids, bounds).cast(pa.binary()),
+                        binary_slices(ids, bounds),
                     ],
                     names=["id", "doc_tokens", "start", "length", "ids"],
                 )
