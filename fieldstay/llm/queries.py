@@ -3,22 +3,43 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldstay.llm import packing, token_files, tokens
+from fieldstay.llm import factor_machine, packing, simhash, substrings, token_files, tokens, toxicity
 from fieldstay.llm.storage import materialise
+from fieldstay.llm.training import remainder
 from fieldstay.session import scratch_path, tune
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 SEQUENCE = 2048
+# Scores from here on count as label 1.
+ACCEPTED = 0.3
+METADATA = ("n_chars",)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def in_fold(id_col: str, folds: int, fold: int) -> Column:
+    return F.coalesce(remainder(id_col, folds) == fold, F.lit(False))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), folds=4, held_out=2)
+    return toxicity.score(docs, model).select(
+        F.col("id").alias("doc_id"),
+        in_fold("id", 4, 2).alias("held_out"),
+        "score",
+        (F.col("score") >= ACCEPTED).cast("int").alias("predicted"),
+        "threshold",
+        "flagged",
+    )
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_documents(table(spark, sf_dir, "documents"))
 
@@ -31,6 +52,45 @@ def packed_documents(docs: DataFrame) -> DataFrame:
     )
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=2)
+    return found.select(
+        F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+    )
+
+
+def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = substrings.remove_repeats(table(spark, sf_dir, "documents"), k=20)
+    return cleaned.select(
+        F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
+# Numbers each window by its earliest place; all but the first cover their words.
+OP8_SQL = """
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT doc_id, i, list_aggregate(w[i:i + 19], 'string_agg', ' ') AS t
+  FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 19)) AS i FROM d WHERE len(w) >= 20)
+), later AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY t ORDER BY doc_id, i) AS nth FROM windows) WHERE nth > 1
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(generate_series(i, i + 19)) AS i FROM later
+), lists AS (
+  SELECT doc_id, list(i) AS cut FROM gone GROUP BY doc_id
+), words AS (
+  SELECT d.doc_id, w, generate_subscripts(w, 1) AS i FROM d
+), kept AS (
+  SELECT words.doc_id, string_agg(w[words.i], ' ' ORDER BY words.i) AS t
+  FROM words LEFT JOIN gone ON gone.doc_id = words.doc_id AND gone.i = words.i WHERE gone.i IS NULL GROUP BY words.doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(cut), 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN lists USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     folder = scratch_path(spark, "token-files")
@@ -39,5 +99,24 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select(F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
-QUERIES = {"op5_packing": op5_packing, "op9_token_files": op9_token_files}
-ORACLES: dict[str, str] = {}
+def op10_factor_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return with_quality(docs, table(spark, sf_dir, "labels"), ("doc_id",)).select(
+        "doc_id", in_fold("doc_id", 5, 0).alias("held_out"), "score", (F.col("score") >= ACCEPTED).cast("int").alias("predicted")
+    )
+
+
+def with_quality(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...]) -> DataFrame:
+    model = factor_machine.fit(docs, labels, metadata=METADATA, folds=5, held_out=0)
+    return factor_machine.score(docs, model, metadata=METADATA, keep=keep)
+
+
+QUERIES = {
+    "op3_toxicity": op3_toxicity,
+    "op5_packing": op5_packing,
+    "op7_simhash": op7_simhash,
+    "op8_substrings": op8_substrings,
+    "op9_token_files": op9_token_files,
+    "op10_factor_machine": op10_factor_machine,
+}
+ORACLES: dict[str, str] = {"op8_substrings": OP8_SQL}

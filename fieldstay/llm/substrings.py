@@ -49,15 +49,17 @@ def gram_hashes(hashes: np.ndarray, k: int, base: int) -> np.ndarray:
 
 
 def least_of(values: np.ndarray, width: int) -> np.ndarray:
-    """The minimum of every ``width`` consecutive values."""
-    n = len(values) - width + 1
-    if n <= 0:
-        return values[:0]
-    block, size = values, 1
+    """Where the first minimum of every ``width`` consecutive values is."""
+    n = max(0, len(values) - width + 1)
+    best, size = np.arange(len(values)), 1
+
+    def lower(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        return np.where(values[right] < values[left], right, left)
+
     while size * 2 <= width:
-        block = np.minimum(block[: len(block) - size], block[size:])
+        best = lower(best[: len(best) - size], best[size:])
         size *= 2
-    return np.minimum(block[:n], block[width - size : width - size + n])
+    return lower(best[:n], best[width - size : width - size + n])
 
 
 def inside(words: Words, k: int) -> np.ndarray:
@@ -81,11 +83,13 @@ def _minimizer_runs(rows: DataFrame, k: int) -> DataFrame:
             for batch in batches_of(whole, "text", STEP_BYTES):
                 words = split_words(batch.column(1))
                 hashes = word_hashes(words.values, 1)[words.codes]
-                least = least_of(gram_hashes(hashes, gram, 0x9E3779B97F4A7C15), k - gram + 1)
+                grams = gram_hashes(hashes, gram, 0x9E3779B97F4A7C15)
                 at = np.flatnonzero(inside(words, k))
-                value, owner = least[at], owners(words)[at]
+                place, owner = least_of(grams, k - gram + 1)[at], owners(words)[at]
+                value = grams[place]
+                # Windows share a run by the minimizer's place: equal windows of one text are in runs of their own.
                 first = np.ones(len(at), bool)
-                first[1:] = (value[1:] != value[:-1]) | (owner[1:] != owner[:-1])
+                first[1:] = (place[1:] != place[:-1]) | (owner[1:] != owner[:-1])
                 begin = np.flatnonzero(first)
                 length = np.diff(np.append(begin, len(at)))
                 yield pa.RecordBatch.from_arrays(
