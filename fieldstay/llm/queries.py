@@ -6,7 +6,19 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldstay.llm import factor_machine, packing, simhash, substrings, token_files, tokens, toxicity
+from fieldstay.llm import (
+    decontamination,
+    factor_machine,
+    packing,
+    preferences,
+    quality_rules,
+    sharding,
+    simhash,
+    substrings,
+    token_files,
+    tokens,
+    toxicity,
+)
 from fieldstay.llm.storage import materialise
 from fieldstay.llm.training import remainder
 from fieldstay.session import scratch_path, tune
@@ -27,6 +39,57 @@ def in_fold(id_col: str, folds: int, fold: int) -> Column:
     return F.coalesce(remainder(id_col, folds) == fold, F.lit(False))
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged, _ = quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.withColumnRenamed("id", "doc_id")
+
+
+def op2_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation is chosen over itself with its last answer replaced by the one of the next conversation."""
+    turns = table(spark, sf_dir, "conversations")
+    answers = turns.filter(F.col("role") == "assistant")
+    last = answers.groupBy("conv_id").agg(F.max("turn").alias("last"))
+    final = answers.join(last.withColumnRenamed("conv_id", "c"), (F.col("conv_id") == F.col("c")) & (F.col("turn") == F.col("last")))
+    swapped = last.join(final.select((F.col("conv_id") - 1).alias("conv_id"), "role", "text"), "conv_id").select(
+        "conv_id", F.col("last").alias("turn"), "role", "text"
+    )
+    before = turns.join(last, "conv_id", "left").filter(F.col("last").isNull() | (F.col("turn") < F.col("last")))
+    rejected = before.select("conv_id", "turn", "role", "text").unionByName(swapped)
+    out = preferences.format_preferences(turns, rejected, key="conv_id")
+    mask = F.array_join(F.transform("mask", lambda m: F.concat_ws("+", m["start"].cast("string"), m["length"].cast("string"))), ",")
+    return out.withColumn("mask", mask)
+
+
+OP2_SQL = """
+WITH answers AS (SELECT conv_id, max(turn) AS last FROM conversations WHERE role = 'assistant' GROUP BY conv_id),
+final AS (SELECT c.conv_id, c.role, c.text FROM conversations c JOIN answers a ON c.conv_id = a.conv_id AND c.turn = a.last AND c.role = 'assistant'),
+good AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations),
+bad AS (
+  SELECT c.conv_id, c.turn, c.role, c.text FROM good c LEFT JOIN answers a ON c.conv_id = a.conv_id WHERE a.last IS NULL OR c.turn < a.last
+  UNION ALL
+  SELECT a.conv_id, a.last, f.role, coalesce(f.text, '') FROM answers a JOIN final f ON f.conv_id = a.conv_id + 1
+), met AS (
+  SELECT coalesce(g.conv_id, b.conv_id) AS pair_id, coalesce(g.turn, b.turn) AS turn, g.role AS grole, g.text AS gtext, b.role AS brole, b.text AS btext,
+         g.conv_id IS NULL OR b.conv_id IS NULL OR g.role <> b.role OR g.text <> b.text AS differs
+  FROM good g FULL JOIN bad b ON g.conv_id = b.conv_id AND g.turn = b.turn
+), marked AS (
+  SELECT *, min(CASE WHEN differs THEN turn END) OVER (PARTITION BY pair_id) AS first FROM met
+), parts AS (
+  SELECT pair_id, turn, 'prompt' AS segment, grole AS role, gtext AS text FROM marked WHERE first IS NULL OR turn < first
+  UNION ALL SELECT pair_id, turn, 'chosen', grole, gtext FROM marked WHERE turn >= first AND grole IS NOT NULL
+  UNION ALL SELECT pair_id, turn, 'rejected', brole, btext FROM marked WHERE turn >= first AND brole IS NOT NULL
+), lines AS (
+  SELECT *, '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS line, turn // 64 AS part FROM parts
+), placed AS (
+  SELECT *, sum(length(line)) OVER (PARTITION BY pair_id, segment, part ORDER BY turn) - length(line) AS ahead FROM lines
+)
+SELECT pair_id, segment, CAST(part AS BIGINT) AS part, count(*) AS n_turns, string_agg(line, '' ORDER BY turn) AS text,
+       coalesce(string_agg(CASE WHEN segment <> 'prompt' AND role = 'assistant'
+         THEN CAST(CAST(ahead + length(role) + 5 AS BIGINT) AS VARCHAR) || '+' || CAST(length(text) + 8 AS VARCHAR) END, ',' ORDER BY turn), '') AS mask
+FROM placed GROUP BY pair_id, segment, part
+"""
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), folds=4, held_out=2)
@@ -40,6 +103,45 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), width=13)
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+OP4_SQL = """
+WITH folded AS (
+  SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark
+), d AS (
+  SELECT kind, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM folded
+), grams AS (
+  SELECT DISTINCT id AS item, k, list_aggregate(w[i:i + k - 1], 'string_agg', ' ') AS t
+  FROM (SELECT id, w, least(13, len(w)) AS k, unnest(generate_series(1, len(w) - least(13, len(w)) + 1)) AS i FROM d WHERE kind = 'b' AND len(w) > 0)
+), widths AS (SELECT DISTINCT k FROM grams),
+windows AS (
+  SELECT id, i, k, list_aggregate(w[i:i + k - 1], 'string_agg', ' ') AS t
+  FROM (SELECT id, w, k, unnest(generate_series(1, len(w) - k + 1)) AS i FROM d CROSS JOIN widths WHERE kind = 'd' AND len(w) >= k)
+), hits AS (SELECT windows.id, i, windows.k, item FROM windows JOIN grams ON windows.t = grams.t AND windows.k = grams.k),
+items AS (
+  SELECT id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS s
+  FROM (SELECT DISTINCT id, CAST(item AS VARCHAR) AS item FROM hits) GROUP BY id
+), covered AS (
+  SELECT id, count(*) AS n_hit FROM (SELECT DISTINCT id, unnest(generate_series(i, i + k - 1)) AS p FROM hits) GROUP BY id
+)
+SELECT d.id AS doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(s, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN items USING (id) LEFT JOIN covered USING (id) WHERE kind = 'd'
+"""
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_documents(table(spark, sf_dir, "documents"))
 
@@ -52,6 +154,15 @@ def packed_documents(docs: DataFrame) -> DataFrame:
     )
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32")
+    placed = sharding.assign(table(spark, sf_dir, "documents"), shards=16, carry=(crc,))
+    return placed.select(
+        F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=2)
     return found.select(
@@ -112,11 +223,15 @@ def with_quality(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...]) -> D
 
 
 QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
+    "op2_preferences": op2_preferences,
     "op3_toxicity": op3_toxicity,
+    "op4_decontamination": op4_decontamination,
     "op5_packing": op5_packing,
+    "op6_sharding": op6_sharding,
     "op7_simhash": op7_simhash,
     "op8_substrings": op8_substrings,
     "op9_token_files": op9_token_files,
     "op10_factor_machine": op10_factor_machine,
 }
-ORACLES: dict[str, str] = {"op8_substrings": OP8_SQL}
+ORACLES: dict[str, str] = {"op2_preferences": OP2_SQL, "op4_decontamination": OP4_SQL, "op8_substrings": OP8_SQL}

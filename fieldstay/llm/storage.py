@@ -52,33 +52,35 @@ def slots_for(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def with_row_key(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(row_key, id, text)``: ``row_key`` is a long that is never null, differs between rows that differ in id
-    or text, and is ordered as the ids are (nulls first; equal ids by the hash of the text).
+def with_row_key(docs: DataFrame, id_col: str, text_col: str, *, carry: bool = False) -> DataFrame:
+    """``(row_key, id, text)``, or with ``carry`` all columns and ``row_key``: a long that is never null, differs
+    between rows that differ in id or text, and is ordered as the ids are (nulls first; equal ids by the hash of the
+    text). A column already named ``row_key`` is replaced.
 
     Ids that are unique longs are their own keys, which one pass over the id column finds out. Otherwise the
     distinct (id, text hash) pairs are sorted by range and numbered, whatever the type of the id.
     Rows equal in both share a key and are one document.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    if rows.schema["id"].dataType.simpleString() in ("bigint", "int"):
-        clean = rows.groupBy("id").count().agg(
-            F.coalesce(F.max("count"), F.lit(0)).alias("most"), F.count(F.when(F.col("id").isNull(), 1)).alias("nulls")
-        )
-        if clean.filter("most <= 1 and nulls = 0").take(1):
-            return rows.select(F.col("id").cast("long").alias("row_key"), "id", "text")
-    tagged = rows.withColumn("tag", F.xxhash64("text"))
-    pairs = tagged.select("id", "tag").distinct()
+    columns = [F.col(id_col).alias("id"), F.col(text_col).alias("text")]
+    if carry:
+        columns = [F.col(f"`{c}`") for c in docs.columns if c != "row_key"]
+    own_id, own_text = (id_col, text_col) if carry else ("id", "text")
+    rows = docs.select(*columns)
+    if docs.schema[id_col].dataType.simpleString() in ("bigint", "int"):
+        ids = docs.groupBy(id_col).agg(F.count("*").alias("_n"))
+        odd = ids.filter((F.col("_n") > 1) | F.col(id_col).isNull())
+        if not odd.take(1):
+            return rows.withColumn("row_key", F.col(own_id).cast("long"))
+    tagged = rows.withColumn("_tag", F.xxhash64(own_text))
+    pairs = tagged.select(F.col(own_id).alias("_id"), F.col("_tag").alias("_t")).distinct()
     keys = materialise(
-        pairs.repartitionByRange(slots_for(spark), "id", "tag")
-        .sortWithinPartitions("id", "tag")
+        pairs.repartitionByRange(slots_for(spark), "_id", "_t").sortWithinPartitions("_id", "_t")
         .withColumn("row_key", F.monotonically_increasing_id()),
         "row-keys",
-    ).select(F.col("id").alias("k_id"), F.col("tag").alias("k_tag"), "row_key")
-    return tagged.join(keys, F.col("id").eqNullSafe(F.col("k_id")) & (F.col("tag") == F.col("k_tag"))).select(
-        "row_key", "id", "text"
     )
+    same = F.col(own_id).eqNullSafe(F.col("_id")) & (F.col("_tag") == F.col("_t"))
+    return tagged.join(keys, same).select(*rows.columns, "row_key")
 
 
 def numbered(rows: DataFrame, group: str, order: list[str], slot: str) -> DataFrame:

@@ -218,7 +218,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     columns are not carried; no rows give no rows.
     """
     rows = with_row_key(docs, id_col, text_col)
-    spans = repeated_spans(rows.dropDuplicates(["row_key"]) if "tag" in rows.columns else rows, k)
+    spans = repeated_spans(rows, k)
     listed = spans.groupBy("row_key").agg(
         F.collect_list(F.struct("start", "n", "source_key", "source_start")).alias("spans")
     )
