@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -18,7 +19,7 @@ from fieldstay.llm.storage import materialise, release, with_row_key
 from fieldstay.llm.words import Words, batches_of, split_words, word_hashes
 
 GRAM = 8
-STEP_BYTES = 1 << 22
+STEP_BYTES = 1 << 23
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -113,8 +114,9 @@ def _edges(rows: DataFrame, k: int) -> DataFrame:
         for whole in batches:
             for batch in batches_of(whole, "text", STEP_BYTES):
                 words = split_words(batch.column(1))
-                k1 = gram_hashes(word_hashes(words.values, 1)[words.codes], k, 0xD6E8FEB86659FD93)
-                k2 = gram_hashes(word_hashes(words.values, 2)[words.codes], k, 0xA0761D6478BD642F)
+                wide = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words.values.cast(pa.binary()).to_pylist())), "<u8")
+                k1 = gram_hashes(wide[0::2][words.codes], k, 0xD6E8FEB86659FD93)
+                k2 = gram_hashes(wide[1::2][words.codes], k, 0xA0761D6478BD642F)
                 lists = batch.column(2)
                 runs = lists.flatten()
                 counts = np.diff(lists.offsets.to_numpy())
@@ -150,6 +152,15 @@ def _edges(rows: DataFrame, k: int) -> DataFrame:
     return rows.select("row_key", "text", "runs").mapInArrow(run, "k1 long, k2 long, row_key long, pos long, first_pos long")
 
 
+def exact_copies(rows: DataFrame) -> DataFrame:
+    """``(row_key, source_key)`` of the texts that equal one with a smaller key, by two independent hashes."""
+    text = F.coalesce("text", F.lit(""))
+    digests = rows.select("row_key", F.xxhash64(text).alias("d1"), F.xxhash64(F.lit(1), text).alias("d2"))
+    groups = digests.groupBy("d1", "d2").agg(F.min("row_key").alias("source_key"), F.max("row_key").alias("last"))
+    several = groups.filter("source_key < last").drop("last")
+    return digests.join(several, ["d1", "d2"]).filter("row_key > source_key").select("row_key", "source_key").distinct()
+
+
 def repeated_spans(rows: DataFrame, k: int = 20) -> DataFrame:
     """``(row_key, start, n, source_key, source_start)`` over keyed texts: the ``n`` windows of ``k`` words from word
     ``start`` on also start, one after the other, from word ``source_start`` of an earlier text (or earlier in the
@@ -167,17 +178,17 @@ def repeated_spans(rows: DataFrame, k: int = 20) -> DataFrame:
     """
     runs = materialise(_minimizer_runs(rows, k), "minimizers")
     shared = runs.groupBy("value").count().filter("count > 1").select("value")
-    wanted = runs.join(shared, "value", "left_semi").groupBy("row_key").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
-    # The lists are small beside the texts and all of a text's rows are one text's.
-    edges = materialise(_edges(rows.join(wanted, "row_key"), k), "edges")
+    # The lists are small beside the texts and all of a list is one text's.
+    lists = runs.join(shared, "value", "left_semi").groupBy("row_key").agg(F.collect_set(F.struct("start", "n")).alias("runs"))
+    wanted = materialise(lists, "wanted")
     release(runs)
+    edges = materialise(_edges(rows.join(wanted, "row_key"), k), "edges")
+    release(wanted)
     across = edges.filter("first_pos is null").select("k1", "k2", "row_key", "pos")
-    sources = (
-        across.groupBy("k1", "k2")
-        .agg(F.min("row_key").alias("source_key"), F.min_by("pos", "row_key").alias("source_pos"), F.count("*").alias("copies"))
-        .filter("copies > 1")
-        .drop("copies")
+    firsts = across.groupBy("k1", "k2").agg(
+        F.min("row_key").alias("source_key"), F.max("row_key").alias("last"), F.min_by("pos", "row_key").alias("source_pos")
     )
+    sources = materialise(firsts.filter("source_key < last").drop("last"), "sources")
     later = across.join(sources, ["k1", "k2"]).filter("row_key > source_key").drop("k1", "k2")
     own = edges.filter("first_pos is not null").select(
         "row_key", "pos", F.col("row_key").alias("source_key"), F.col("first_pos").alias("source_pos")
@@ -203,7 +214,7 @@ def repeated_spans(rows: DataFrame, k: int = 20) -> DataFrame:
         .drop("path")
     )
     spans = materialise(paths, "spans")
-    release(edges)
+    release(edges, sources)
     return spans
 
 
@@ -211,14 +222,18 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     """``(id, text, n_words, n_removed, kept_text, spans)`` of every row. Words (runs of bytes other than ASCII white
     space) covered by a window of ``k`` words that also starts earlier (smaller id; in the same document, an earlier
     word) are removed; windows are judged on the input. ``kept_text`` has the other words joined by one space;
-    ``spans`` lists the repeated paths with their source.
+    ``spans`` lists the repeated paths with their source (``n`` null: a copy of the whole source).
 
     Null and empty texts have no words (``kept_text`` empty). Rows equal in id and text are one document and get the
     same result; equal ids with different texts are ordered by a hash of the text, null ids come first. Other
     columns are not carried; no rows give no rows.
     """
     rows = with_row_key(docs, id_col, text_col)
-    spans = repeated_spans(rows, k)
+    # A copy's every window starts earlier; without copies far fewer edges remain.
+    copies = materialise(exact_copies(rows), "copies")
+    spans = repeated_spans(rows.join(copies, "row_key", "left_anti"), k)
+    whole = copies.select("row_key", F.lit(0).cast("long").alias("start"), F.lit(None).cast("long").alias("n"), "source_key", F.lit(0).cast("long").alias("source_start"))
+    spans = spans.unionByName(whole)
     listed = spans.groupBy("row_key").agg(
         F.collect_list(F.struct("start", "n", "source_key", "source_start")).alias("spans")
     )
@@ -233,7 +248,9 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                 for text, begin, size in zip(texts, starts, batch.column(3).to_pylist(), strict=True):
                     words = (text or b"").split()
                     n_words.append(len(words))
-                    if begin:
+                    if size == [None]:
+                        words = [] if len(words) >= k else words
+                    elif begin:
                         steps = np.zeros(len(words) + 1, np.int64)
                         np.add.at(steps, np.asarray(begin), 1)
                         np.add.at(steps, np.asarray(begin) + np.asarray(size) + (k - 1), -1)
