@@ -218,34 +218,43 @@ def repeated_spans(rows: DataFrame, k: int = 20) -> DataFrame:
     return spans
 
 
-def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 20) -> DataFrame:
-    """``(id, text, n_words, n_removed, kept_text, spans)`` of every row. Words (runs of bytes other than ASCII white
-    space) covered by a window of ``k`` words that also starts earlier (smaller id; in the same document, an earlier
-    word) are removed; windows are judged on the input. ``kept_text`` has the other words joined by one space;
-    ``spans`` lists the repeated paths with their source (``n`` null: a copy of the whole source).
+def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 20, carry: bool = False) -> DataFrame:
+    """``(id, n_words, n_removed, kept_text, spans)`` of every row, or with ``carry`` all columns and those four. Words
+    (runs of bytes other than ASCII white space) covered by a window of ``k`` words that also starts earlier (smaller
+    id; in the same document, an earlier word) are removed; windows are judged on the input. ``kept_text`` has the
+    other words joined by one space; ``spans`` lists the repeated paths with their source (``n`` null: a copy of the
+    whole source).
 
     Null and empty texts have no words (``kept_text`` empty). Rows equal in id and text are one document and get the
-    same result; equal ids with different texts are ordered by a hash of the text, null ids come first. Other
-    columns are not carried; no rows give no rows.
+    same result; equal ids with different texts are ordered by a hash of the text, null ids come first. Carried columns
+    named like the added ones are replaced; without ``carry`` other columns are not carried; no rows give no rows.
     """
-    rows = with_row_key(docs, id_col, text_col)
+    added = ("row_key", "n_words", "n_removed", "kept_text", "spans")
+    rows = with_row_key(docs.drop(*added) if carry else docs, id_col, text_col, carry=carry)
+    own_id, own_text = (id_col, text_col) if carry else ("id", "text")
+    texts = rows.select("row_key", F.col(own_text).alias("text"))
     # A copy's every window starts earlier; without copies far fewer edges remain.
-    copies = materialise(exact_copies(rows), "copies")
-    spans = repeated_spans(rows.join(copies, "row_key", "left_anti"), k)
-    whole = copies.select("row_key", F.lit(0).cast("long").alias("start"), F.lit(None).cast("long").alias("n"), "source_key", F.lit(0).cast("long").alias("source_start"))
-    spans = spans.unionByName(whole)
-    listed = spans.groupBy("row_key").agg(
+    copies = materialise(exact_copies(texts), "copies")
+    spans = repeated_spans(texts.join(copies, "row_key", "left_anti"), k)
+    zero, none = F.lit(0).cast("long"), F.lit(None).cast("long")
+    whole = copies.select("row_key", zero.alias("start"), none.alias("n"), "source_key", zero.alias("source_start"))
+    listed = spans.unionByName(whole).groupBy("row_key").agg(
         F.collect_list(F.struct("start", "n", "source_key", "source_start")).alias("spans")
     )
-    joined = rows.join(listed, "row_key", "left")
+    kept = [c for c in rows.columns if c not in ("row_key", "text")] if not carry else docs.drop(*added).columns
+    shaped = rows.join(listed, "row_key", "left").select(
+        F.struct(F.lit(1).alias("_one"), *(F.col(f"`{c}`") for c in kept), F.col("spans").alias("spans")).alias("kept"),
+        F.col(own_text).alias("text"),
+        F.col("spans.start").alias("begin"),
+        F.col("spans.n").alias("size"),
+    )
 
     def run(batches):
-        for whole in batches:
-            for batch in batches_of(whole, "text", STEP_BYTES):
-                texts = batch.column(1).cast(pa.binary()).to_pylist()
-                starts = batch.column(2).to_pylist()
-                n_words, n_removed, kept = [], [], []
-                for text, begin, size in zip(texts, starts, batch.column(3).to_pylist(), strict=True):
+        for batch in batches:
+            for part in batches_of(batch, "text", STEP_BYTES):
+                texts = part.column(1).cast(pa.binary()).to_pylist()
+                n_words, n_removed, kept_text = [], [], []
+                for text, begin, size in zip(texts, part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True):
                     words = (text or b"").split()
                     n_words.append(len(words))
                     if size == [None]:
@@ -254,16 +263,15 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                         steps = np.zeros(len(words) + 1, np.int64)
                         np.add.at(steps, np.asarray(begin), 1)
                         np.add.at(steps, np.asarray(begin) + np.asarray(size) + (k - 1), -1)
-                        stays = np.flatnonzero(np.cumsum(steps[:-1]) == 0)
-                        words = [words[i] for i in stays]
+                        words = [words[i] for i in np.flatnonzero(np.cumsum(steps[:-1]) == 0)]
                     n_removed.append(n_words[-1] - len(words))
-                    kept.append(b" ".join(words))
-                arrays = [pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())]
-                names = ["n_words", "n_removed", "kept_text"]
-                yield pa.RecordBatch.from_arrays([batch.column(0), *arrays, batch.column(4)], names=["id", *names, "spans"])
+                    kept_text.append(b" ".join(words))
+                counted = [pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64())]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), *counted, pa.array(kept_text, pa.binary()).cast(pa.string())],
+                    names=["kept", "n_words", "n_removed", "kept_text"],
+                )
 
-    shaped = joined.select(
-        "id", "text", F.col("spans.start").alias("begin"), F.col("spans.n").alias("size"), "spans"
-    )
-    fields = f"id {rows.schema['id'].dataType.simpleString()}, n_words long, n_removed long, kept_text string, spans array<struct<start:long,n:long,source_key:long,source_start:long>>"
-    return shaped.mapInArrow(run, fields)
+    shape = shaped.schema["kept"].dataType.simpleString()
+    done = shaped.mapInArrow(run, f"kept {shape}, n_words long, n_removed long, kept_text string")
+    return done.select(*(F.col(f"kept.`{c}`") for c in kept), "n_words", "n_removed", "kept_text", "kept.spans")
