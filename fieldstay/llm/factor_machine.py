@@ -10,6 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldstay.llm.storage import map_arrow
 from fieldstay.llm.training import labelled_sample, platt, sigmoid
 from fieldstay.llm.words import Words, batches_of, buckets, plain, split_words
 
@@ -198,7 +199,7 @@ def features(texts: DataFrame, *, size: int) -> DataFrame:
                     names=["label", "index", "value", "dense"],
                 )
 
-    return texts.mapInArrow(run, "label int, index array<int>, value array<float>, dense array<double>")
+    return map_arrow(texts, run, "label int, index array<int>, value array<float>, dense array<double>")
 
 
 def fit(
@@ -255,4 +256,4 @@ def score(
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(result)], names=["kept", "score"])
 
     shape = kept.schema["kept"].dataType.simpleString()
-    return kept.mapInArrow(run, f"kept {shape}, score double").select(*(F.col(f"kept.`{c}`") for c in keep), "score")
+    return map_arrow(kept, run, f"kept {shape}, score double").select(*(F.col(f"kept.`{c}`") for c in keep), "score")

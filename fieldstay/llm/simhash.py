@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from fieldstay.llm.components import stars
-from fieldstay.llm.storage import materialise
+from fieldstay.llm.storage import map_arrow, materialise
 from fieldstay.llm.words import plain
 
 BLOCK = 1 << 16
@@ -53,7 +53,7 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
             values = np.fromiter((fingerprint(t.as_py(), shingle, seed) for t in texts), np.uint64, len(texts))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values.view(np.int64))], names=["id", "fp"])
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {id_type}, fp long")
+    return map_arrow(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), run, f"id {id_type}, fp long")
 
 
 def ball(half: int) -> list[int]:

@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from fieldstay.session import scratch_path, tune
 
+ARROW_ROWS = 2_000
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -47,6 +48,12 @@ def release(*tables: DataFrame) -> None:
             hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+def map_arrow(df: DataFrame, run, schema: str) -> DataFrame:
+    """``mapInArrow`` with batches of few rows, so that a worker's memory stays small where texts are long."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    return df.mapInArrow(run, schema)
+
+
 def slots_for(spark: SparkSession) -> int:
     """How many ways to deal out rows by a hash: the shuffle partitions the session is set to."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))

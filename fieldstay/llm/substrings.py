@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fieldstay.llm.storage import materialise, release, with_row_key
+from fieldstay.llm.storage import map_arrow, materialise, release, with_row_key
 from fieldstay.llm.words import Words, batches_of, split_words, word_hashes
 
 GRAM = 8
@@ -103,7 +103,7 @@ def _minimizer_runs(rows: DataFrame, k: int) -> DataFrame:
                     names=["value", "row_key", "start", "n"],
                 )
 
-    return rows.select("row_key", "text").mapInArrow(run, "value long, row_key long, start long, n long")
+    return map_arrow(rows.select("row_key", "text"), run, "value long, row_key long, start long, n long")
 
 
 def _edges(rows: DataFrame, k: int) -> DataFrame:
@@ -149,7 +149,7 @@ def _edges(rows: DataFrame, k: int) -> DataFrame:
                     names=["k1", "k2", "row_key", "pos", "first_pos"],
                 )
 
-    return rows.select("row_key", "text", "runs").mapInArrow(run, "k1 long, k2 long, row_key long, pos long, first_pos long")
+    return map_arrow(rows.select("row_key", "text", "runs"), run, "k1 long, k2 long, row_key long, pos long, first_pos long")
 
 
 def exact_copies(rows: DataFrame) -> DataFrame:
@@ -273,5 +273,5 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                 )
 
     shape = shaped.schema["kept"].dataType.simpleString()
-    done = shaped.mapInArrow(run, f"kept {shape}, n_words long, n_removed long, kept_text string")
+    done = map_arrow(shaped, run, f"kept {shape}, n_words long, n_removed long, kept_text string")
     return done.select(*(F.col(f"kept.`{c}`") for c in kept), "n_words", "n_removed", "kept_text", "kept.spans")

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fieldstay.llm.storage import freeing_shuffles, materialise, slots_for
+from fieldstay.llm.storage import freeing_shuffles, map_arrow, materialise, slots_for
 from fieldstay.llm.tokens import binary_slices, encoder
 from fieldstay.llm.words import batches_of
 
@@ -115,7 +115,7 @@ def write_token_files(
     ordered = rows.repartitionByRange(slots_for(spark), "id", "tag").sortWithinPartitions("id", "tag")
     with freeing_shuffles(spark):
         manifest = materialise(
-            ordered.select("id", "text").mapInArrow(run, "file_no long, file string, records long, tokens long"), "manifest"
+            map_arrow(ordered.select("id", "text"), run, "file_no long, file string, records long, tokens long"), "manifest"
         )
     # One row a file, so a single window is small.
     return manifest.withColumn("base", F.coalesce(F.sum("tokens").over(Window.orderBy("file_no").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
@@ -155,7 +155,7 @@ def read_token_files(manifest: DataFrame, folder: str, *, step_bytes: int = 1 <<
                         start, at = start + int(bounds[-1]), to
 
     dealt = manifest.select("file_no", "file", "records", "base").repartition(slots_for(manifest.sparkSession), "file_no")
-    return dealt.mapInArrow(run, "id long, start long, n_tokens long, ids binary")
+    return map_arrow(dealt, run, "id long, start long, n_tokens long, ids binary")
 
 
 def read_record(folder: str, file: str, number: int) -> tuple[int | None, np.ndarray]:

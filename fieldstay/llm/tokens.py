@@ -17,6 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldstay.llm.storage import map_arrow
 from fieldstay.llm.words import batches_of, plain, split_words
 
 # Words remembered per worker; beyond it the memory starts anew.
@@ -168,4 +169,4 @@ def token_pieces(
                 )
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, f"id {id_type}, doc_tokens long, start long, length long, ids binary")
+    return map_arrow(rows, run, f"id {id_type}, doc_tokens long, start long, length long, ids binary")
