@@ -10,7 +10,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from fieldstay.functions.times import MICROS_PER_HOUR, Clock, avg_micros, hours_between
 from fieldstay.plans.common import count_all, finished, priority, stage, total_micros
-from fieldstay.sources.snapshot import replace_partitions
+from fieldstay.session import durable
+from fieldstay.sources.snapshot import drop_partitions, replace_partitions
 
 KEYS = ["bucket", "region_code", "type_department"]
 
@@ -49,12 +50,17 @@ def _created_in(tasks: DataFrame, first: datetime, last: datetime) -> DataFrame:
     return rows
 
 
+def bucket_start(at: datetime, unit: str) -> datetime:
+    """Start of the bucket a moment lies in."""
+    day = at.replace(hour=0, minute=0, second=0, microsecond=0)
+    return day.replace(day=1) if unit == "month" else day
+
+
 def bucket_range(start: datetime, end: datetime, unit: str) -> tuple[datetime, datetime]:
     """The whole buckets inside [start, end): first bucket start and end of the last bucket."""
 
     def floor(at: datetime) -> datetime:
-        day = at.replace(hour=0, minute=0, second=0, microsecond=0)
-        return day.replace(day=1) if unit == "month" else day
+        return bucket_start(at, unit)
 
     def following(at: datetime) -> datetime:
         return (at + timedelta(days=32)).replace(day=1) if unit == "month" else at + timedelta(days=1)
@@ -85,17 +91,26 @@ def policy_range(clock: Clock, unit: str = "day") -> tuple[datetime, datetime]:
 
 
 def real_time(stored: DataFrame, tasks: DataFrame, refreshed_to: datetime, unit: str = "day") -> DataFrame:
-    """Stored buckets before a moment and a fresh aggregate of everything from there on."""
-    edge = _moment(bucket_range(refreshed_to, refreshed_to, unit)[0])
+    """Stored buckets before the one a moment lies in and a fresh aggregate of everything from there on:
+    a refresh stores whole buckets only, so that bucket is not stored."""
+    edge = _moment(bucket_start(refreshed_to, unit))
     fresh = task_rollup(tasks.where(F.col("created_at") >= edge), unit)
     return stored.where(F.col("bucket") < edge).unionByName(fresh)
 
 
 def write_refreshed(tasks: DataFrame, path: str, start: datetime, end: datetime, unit: str = "day") -> None:
-    """Recompute the buckets inside [start, end) and overwrite just their partitions."""
+    """Recompute the buckets inside [start, end) and overwrite just their partitions; buckets of the range
+    that have no tasks any more are removed."""
     first, last = bucket_range(start, end, unit)
     rollup = task_rollup(_created_in(tasks, first, last), unit).withColumn("bucket_day", F.col("bucket").cast("date"))
+    rollup = durable(rollup)
+    # At most the days of the range.
+    filled = {str(r[0]) for r in rollup.select("bucket_day").distinct().collect()}
     replace_partitions(rollup, path, ("bucket_day",))
+    drop_partitions(
+        rollup.sparkSession, path, "bucket_day",
+        lambda day: str(first.date()) <= day < str(last.date()) and day not in filled,
+    )
 
 
 def streaming_rollup(tasks: DataFrame, unit: str = "1 day", lateness: str = "1 day") -> DataFrame:
