@@ -61,12 +61,13 @@ def old_rows_report(batch: DataFrame, clock: Clock, column: str = "created_at",
     return batch.groupBy("region_code").agg(F.count_if(old).alias("old_rows"), count_all().alias("rows"))
 
 
-def tier_layout(df: DataFrame, column: str = "created_at", slices: int = 16) -> DataFrame:
+def tier_layout(df: DataFrame, column: str = "created_at") -> DataFrame:
     """Rows arranged for cold storage: one region side by side, newest first.
 
     The exchange key has a slice of the row's hash next to the region, so a region with most of the
-    rows is written by several tasks.
+    rows is written by as many tasks as there are shuffle partitions.
     """
+    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     slot = F.pmod(F.xxhash64(*df.columns), F.lit(slices))
     return df.repartition(F.col("region_code"), slot).sortWithinPartitions(
         F.col("region_code"), F.col(column).desc()

@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 
 from fieldstay.session import durable
 
-# Up to this many rows a rank is one ordinary window; beyond it ranks are computed in slices.
-WINDOW_ROWS = 1_000_000
 # Percentile buckets are 2**26 microseconds (about 67 s) wide: a bucket holds at most 2**26
 # distinct values and ten years of durations make fewer than 5 million buckets.
 BUCKET_BITS = 26
@@ -70,20 +68,14 @@ class Rank:
         return c.desc_nulls_last() if self.descending else c.asc_nulls_last()
 
 
-def dense_ranks(df: DataFrame, ranks: Sequence[Rank], window_rows: int = WINDOW_ROWS) -> DataFrame:
+def dense_ranks(df: DataFrame, ranks: Sequence[Rank]) -> DataFrame:
     """Add dense ranks to an aggregated frame.
 
-    The frame is materialised once. While it is small (checked) each rank is one window. A larger
-    frame is ranked by its distinct values: these are range-partitioned into slices, ranked inside
-    each slice, shifted by the number of values in earlier slices and joined back.
+    The frame is materialised once and ranked by its distinct values: these are range-partitioned
+    into slices, ranked inside each slice, shifted by the number of values in earlier slices and
+    joined back.
     """
     base = durable(df)
-    if base.count() <= window_rows:
-        for r in ranks:
-            base = base.withColumn(
-                r.name, F.dense_rank().over(Window.partitionBy(*r.within).orderBy(r.order()))
-            )
-        return base
     for r in ranks:
         base = join_on(base, sliced_dense_rank(base, r), [*r.within, r.value])
     return base
@@ -110,20 +102,14 @@ def sliced_dense_rank(df: DataFrame, rank: Rank) -> DataFrame:
     )
 
 
-def positions(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, window_rows: int = WINDOW_ROWS
-) -> DataFrame:
+def positions(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
     """Add each row's 0-based position within its key, NULLs last.
 
-    While the largest key (checked) has few rows this is one window. Otherwise equal rows are first
-    reduced to a count, the rest is range-partitioned by key and order, counted up inside each slice
-    and shifted by the rows of the key in earlier slices: neither a key nor its copies meet in one
-    task. ``order`` must name every column that is not a key.
+    Equal rows are first reduced to a count, the rest is range-partitioned by key and order, counted
+    up inside each slice and shifted by the rows of the key in earlier slices: neither a key nor its
+    copies meet in one task. ``order`` must name every column that is not a key.
     """
     keys, by = list(keys), [F.col(c).asc_nulls_last() for c in order]
-    largest = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
-    if (largest or 0) <= window_rows:
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*by)) - 1)
     slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sliced = durable(
         df.groupBy(*df.columns)
