@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldstay.operators.ranking import join_on
+from fieldstay.operators.ranking import join_on, row_slot
 
 BIN_DAYS = 8
 
@@ -24,17 +24,28 @@ def _find(df: DataFrame, ref: DataFrame, on: Mapping[str, str], take: str, into:
     return df.withColumns(keys).join(_lookup(ref, on, take, into), list(keys), how).drop(*keys)
 
 
+def _find_sparse(
+    df: DataFrame, ref: DataFrame, on: Mapping[str, str], take: str, into: str, needs: Column
+) -> DataFrame:
+    """Left join of the rows that ``needs`` names; the others have no key and are spread over all tasks."""
+    asked = {f"_k_{d}": F.when(needs, F.col(d).cast("string")) for d in on}
+    slot = F.when(needs, F.lit(0).cast("long")).otherwise(row_slot(df))
+    there = _lookup(ref, on, take, into).withColumn("_slot", F.lit(0).cast("long"))
+    keys = [*asked, "_slot"]
+    return df.withColumns({**asked, "_slot": slot}).join(there, keys, "left").drop(*keys)
+
+
 def fill_key(df: DataFrame, ref: DataFrame, on: Mapping[str, str], fk: str, take: str = "id") -> DataFrame:
     """Set ``fk`` where it is NULL and a reference row matches; other values stay.
 
-    Only rows that need it (key present, ``fk`` missing) take part in the join, so a mass of
-    resolved or keyless rows never meets in one task.
+    One pass over ``df``. Rows that need nothing (key absent, or ``fk`` there) match nothing and are
+    spread, so a mass of resolved or keyless rows never meets in one task.
     """
     needs = F.col(fk).isNull()
     for d in on:
         needs = needs & F.col(d).isNotNull()
-    found = _find(df.where(needs).drop(fk), ref, on, take, fk, "left")
-    return df.where(~needs).unionByName(found.select(*df.columns))
+    found = _find_sparse(df, ref, on, take, "_found", needs)
+    return found.withColumn(fk, F.coalesce(fk, "_found")).select(*df.columns)
 
 
 def overwrite_key(df: DataFrame, ref: DataFrame, on: Mapping[str, str], fk: str, take: str = "id") -> DataFrame:
@@ -42,9 +53,8 @@ def overwrite_key(df: DataFrame, ref: DataFrame, on: Mapping[str, str], fk: str,
     has_key = F.lit(True)
     for d in on:
         has_key = has_key & F.col(d).isNotNull()
-    found = _find(df.where(has_key), ref, on, take, "_found", "left")
-    found = found.withColumn(fk, F.coalesce("_found", fk)).select(*df.columns)
-    return found.unionByName(df.where(~has_key))
+    found = _find_sparse(df, ref, on, take, "_found", has_key)
+    return found.withColumn(fk, F.coalesce("_found", fk)).select(*df.columns)
 
 
 def require_key(df: DataFrame, ref: DataFrame, on: Mapping[str, str], fk: str, take: str = "id") -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from fieldstay.operators.entities import ENTITIES, Child, Entity, child_schema,
 from fieldstay.operators.merge import upsert_child, upsert_parent
 from fieldstay.plans.common import count_all
 from fieldstay.session import durable
-from fieldstay.sources.pages import pages_of_known_parents, unwrap_child_pages, unwrap_pages
+from fieldstay.sources.pages import pages_of_known_parents, unreadable_pages, unwrap_child_pages, unwrap_pages
 from fieldstay.sources.snapshot import SnapshotStore, touched_values
 
 TIMES = ("created_at", "updated_at", "started_at", "finished_at", "assigned_at", "uploaded_at")
@@ -125,10 +126,15 @@ def load_entity(
     else:
         status = _no_status(store)
     status = durable(runlog.start_runs(status, started, clock))
+    # A page that cannot be read holds its region back: its rows stay as they are and the last success too.
+    bodies = [pages, *(child_pages or {}).values()]
+    broken = reduce(DataFrame.unionByName, [unreadable_pages(p) for p in bodies])
+    failed = durable(broken.groupBy("region_code").agg(count_all().alias("pages"), F.min("reason").alias("reason")))
+    child_pages = {k: p.join(failed, "region_code", "left_anti") for k, p in (child_pages or {}).items()}
     if name == "tasks" and store.exists("properties"):
         pages = pages_of_known_parents(pages, store.read("properties"))
     # Records are parsed once; parents and every child list read the columns they need.
-    parsed = durable(unwrap_pages(pages, record_schema(entity)))
+    parsed = durable(unwrap_pages(pages.join(failed, "region_code", "left_anti"), record_schema(entity)))
     counts, touched = load_parents(store, entity, parsed, clock)
     for child_name, child in entity.children.items():
         if child.source:
@@ -140,6 +146,13 @@ def load_entity(
     results = started.join(counts, "region_code", "left").fillna(0, ["records_processed", "records_new"]).withColumns(
         {"sync_status": F.lit("success"), "error_message": F.lit(None).cast("string")}
     )
+    message = F.concat(F.col("pages").cast("string"), F.lit(" unreadable pages: "), F.col("reason"))
+    results = results.join(failed, "region_code", "left").withColumns(
+        {
+            "error_message": F.when(F.col("pages").isNotNull(), message),
+            "sync_status": F.when(F.col("pages").isNotNull(), "failed").otherwise(F.col("sync_status")),
+        }
+    ).drop("pages", "reason")
     closed, history = runlog.finish_runs(status, results, clock)
     store.write("sync_status", durable(closed))
     history.write.mode("append").parquet(f"{store.root}/sync_history")

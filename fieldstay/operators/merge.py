@@ -175,5 +175,8 @@ def upsert_dimension(
 
 
 def upsert_links(target: DataFrame, batch: DataFrame, stamp: Column | None = None) -> DataFrame:
-    """Reservation-task links on (reservation, task, region)."""
-    return merge(target, batch, ["reservation_id", "task_id", "region_code"], stamp=stamp)
+    """Reservation-task links on (reservation, task, region). Of several rows for one link in a batch one
+    counts: the greatest by its other columns in their order."""
+    keys = ["reservation_id", "task_id", "region_code"]
+    others = [F.col(c).desc_nulls_last() for c in batch.columns if c not in keys]
+    return merge(target, first_per_key(batch, keys, others) if others else batch.distinct(), keys, stamp=stamp)

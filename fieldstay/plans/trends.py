@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from fieldstay.functions.numbers import percent, rounded
 from fieldstay.functions.times import MICROS_PER_HOUR, Clock, avg_micros
-from fieldstay.operators.ranking import join_on
+from fieldstay.operators.ranking import join_sparse
 from fieldstay.plans.common import (
     DEPARTMENTS,
     avg_hours_to_complete,
@@ -206,4 +206,5 @@ def task_assignees(tables: Tables, clock: Clock) -> DataFrame:
     tasks = tables["tasks"].select(
         F.col("id").alias("task_pk"), "task_name", "task_status_stage", "scheduled_date"
     )
-    return join_on(tasks.join(assigned, "task_pk", "left"), people, ["assignee_id"])
+    named = join_sparse(tasks.join(assigned, "task_pk", "left"), people, "assignee_id")
+    return named.select(*tasks.columns, "assignee_id", "registered_name")
