@@ -27,6 +27,12 @@ def _envelope(body: Column, element: T.DataType, key: str) -> Column:
     return F.when(is_list, as_list).otherwise(as_object)
 
 
+def unreadable_pages(pages: DataFrame) -> DataFrame:
+    """(region_code, reason) of pages whose body is missing or is no whole JSON value."""
+    broken = pages.where(F.try_parse_json("body").isNull())
+    return broken.select("region_code", F.concat(F.lit("no JSON: "), F.coalesce(F.left("body", F.lit(40)), F.lit("no body"))).alias("reason"))
+
+
 def unwrap_pages(pages: DataFrame, schema: T.StructType, key: str = "results") -> DataFrame:
     """One row per record: region_code, page, pos, ``record``."""
     return pages.select(

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -222,8 +224,13 @@ def read_event_stream(spark: SparkSession, path: str, max_files: int | None = No
     return reader.json(path)
 
 
+def _now(clock: Clock | Callable[[], Clock]) -> Clock:
+    """The clock of a batch: a stream that runs on is given a function, so that each batch's times are its own."""
+    return clock() if callable(clock) else clock
+
+
 def start_task_stream(
-    stream: DataFrame, store: SnapshotStore, companies: DataFrame, clock: Clock, checkpoint: str,
+    stream: DataFrame, store: SnapshotStore, companies: DataFrame, clock: Clock | Callable[[], Clock], checkpoint: str,
     available_now: bool = True, column: str = "created_month",
 ) -> StreamingQuery:
     """Log and apply task events batch by batch to ``tasks`` in the store.
@@ -235,16 +242,17 @@ def start_task_stream(
     """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
+        now = _now(clock)
         resolved = resolve_region(normalise_task_events(drop_test_events(batch)), companies)
         error = unreadable()
-        write_log(store, mark_processed(event_log(resolved, "task", "task_id"), clock, error), "task", batch_id)
+        write_log(store, mark_processed(event_log(resolved, "task", "task_id"), now, error), "task", batch_id)
         used = ["task_id", "region_code", "action", "status", "started_at", "finished_at", *ORDER]
         events = durable(resolved.where(error.isNull()).select(*used))
         named = events.select("task_id").distinct()
         known = store.read("tasks").select("task_id", column)
         periods = touched_values(known.join(named, "task_id", "left_semi"), column)
         if periods:
-            store.replace("tasks", apply_task_events(store.read("tasks", periods), events, clock), periods)
+            store.replace("tasks", apply_task_events(store.read("tasks", periods), events, now), periods)
 
     return _start(stream, on_batch, checkpoint, available_now)
 
@@ -253,7 +261,7 @@ STATUS_SLOTS = 64
 
 
 def start_property_stream(
-    stream: DataFrame, store: SnapshotStore, companies: DataFrame, properties: DataFrame, clock: Clock,
+    stream: DataFrame, store: SnapshotStore, companies: DataFrame, properties: DataFrame, clock: Clock | Callable[[], Clock],
     checkpoint: str, available_now: bool = True,
 ) -> StreamingQuery:
     """Log property-status events, apply them to ``properties`` of the store (by region) if it is
@@ -265,12 +273,13 @@ def start_property_stream(
     """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
+        now = _now(clock)
         normal = normalise_property_events(drop_test_events(batch))
         events = durable(resolve_region(normal, companies, properties))
-        log = mark_processed(event_log(events, "property-status", "property_id"), clock, unreadable())
+        log = mark_processed(event_log(events, "property-status", "property_id"), now, unreadable())
         write_log(store, log, "property-status", batch_id)
         events = events.where(unreadable().isNull())
-        _update_mirror(store, events, clock)
+        _update_mirror(store, events, now)
         _update_status(store, events)
 
     return _start(stream, on_batch, checkpoint, available_now)
