@@ -16,7 +16,7 @@ def sentence(seed, n):
 def edge_texts():
     """(doc_id, text): nulls, empty and blank texts, a very long text, copies, near copies, repeated rows and ids."""
     base = sentence(1, 120)
-    long = sentence(2, 30_000)
+    long = sentence(2, 4_000)
     rows = [
         (1, base),
         (2, base),
@@ -70,3 +70,11 @@ def edge_labels(spark):
 @pytest.fixture(scope="session")
 def no_labels(spark):
     return spark.createDataFrame([], "doc_id long, quality int, toxic int")
+
+
+@pytest.fixture(scope="session", autouse=True)
+def few_partitions(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
