@@ -123,6 +123,21 @@ def _histograms(cells: DataFrame, rows: Column, figures: list[str]) -> dict[str,
     return {f: sorted(v) for f, v in out.items()}
 
 
+def _thresholds(binned: DataFrame, edges: dict[str, list[float]]) -> dict[str, list[float]]:
+    """The threshold behind each edge: midway to the next value that occurs above it, so that a rule keeps its distance
+    from the rows on either side. At most bins times figures rows reach the driver."""
+    stacked = ", ".join(f"'{n}', bin_{n}, {n}" for n in edges)
+    least = binned.selectExpr(f"stack({len(edges)}, {stacked}) as (figure, bin, value)").groupBy("figure", "bin").agg(F.min("value").alias("value"))
+    values: dict[str, dict[int, float]] = {n: {} for n in edges}
+    for row in least.collect():
+        values[row["figure"]][row["bin"]] = row["value"]
+    out = {}
+    for n, own in edges.items():
+        above = [min((v for b, v in values[n].items() if b > i), default=e) for i, e in enumerate(own)]
+        out[n] = [(e + a) / 2 for e, a in zip(own, above, strict=True)]
+    return out
+
+
 def _best_test(histograms: dict, edges: dict[str, list[float]], bad: int, good: int, least: int) -> tuple[float, Test, int, int] | None:
     """The test with the largest gain: rejected rows that stay, times the rise in the log of their share."""
     from math import log2
@@ -150,7 +165,7 @@ def learn(
     """A decision list over rows ``(figure columns, bad, prune)``: ``bad`` 1 for a rejected row, 0 for an accepted one,
     ``prune`` true for the third on which rules are pruned.
 
-    Thresholds are quantiles of each figure, so rows collapse to counts by bin and every growing step is one grouped
+    Thresholds lie at quantiles of each figure, so rows collapse to counts by bin and every growing step is one grouped
     count over them. A rule grows by the test with the largest information gain until it is pure or gains nothing; it
     is then cut back to the beginning that is most precise on the pruning rows. Rules that stay below ``precision`` or
     cover fewer than ``least_hits`` rejected rows there end the list. Covered rows are taken out before the next rule.
@@ -164,12 +179,13 @@ def learn(
         limits = F.array(*(F.lit(float(e)) for e in edges[name])) if edges[name] else F.array().cast("array<double>")
         return F.size(F.filter(limits, lambda e: e < F.col(name)))
 
-    binned = figures.select(*(bin_of(n).alias(f"bin_{n}") for n in names), F.col("bad").cast("long").alias("bad"), (1 - F.col("bad")).cast("long").alias("good"), "prune")
+    binned = figures.select(*names, *(bin_of(n).alias(f"bin_{n}") for n in names), F.col("bad").cast("long").alias("bad"), (1 - F.col("bad")).cast("long").alias("good"), "prune")
     grouped = binned.groupBy(*(f"bin_{n}" for n in names), "prune").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     cells = materialise(grouped, "cells")
+    limits = _thresholds(binned, edges)
 
     def holds(test: Test) -> Column:
-        at = edges[test.figure].index(test.threshold)
+        at = limits[test.figure].index(test.threshold)
         return F.col(f"bin_{test.figure}") > at if test.above else F.col(f"bin_{test.figure}") <= at
 
     left, rules = F.lit(True), []
@@ -179,7 +195,7 @@ def learn(
             histograms = _histograms(cells, chosen, names)
             first = next((v for v in histograms.values() if v), [])
             bad, good = sum(r[1] for r in first), sum(r[2] for r in first)
-            best = _best_test(histograms, edges, bad, good, least_hits) if bad else None
+            best = _best_test(histograms, limits, bad, good, least_hits) if bad else None
             if best is None:
                 break
             tests.append(best[1])
