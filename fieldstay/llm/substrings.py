@@ -157,7 +157,7 @@ def exact_copies(rows: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     digests = rows.select("row_key", F.xxhash64(text).alias("d1"), F.xxhash64(F.lit(1), text).alias("d2"))
     groups = digests.groupBy("d1", "d2").agg(F.min("row_key").alias("source_key"), F.max("row_key").alias("last"))
-    several = groups.filter("source_key < last").drop("last")
+    several = materialise(groups.filter("source_key < last").drop("last"), "several")
     return digests.join(several, ["d1", "d2"]).filter("row_key > source_key").select("row_key", "source_key").distinct()
 
 
@@ -177,11 +177,12 @@ def repeated_spans(rows: DataFrame, k: int = 20) -> DataFrame:
     does not meet in one task.
     """
     runs = materialise(_minimizer_runs(rows, k), "minimizers")
-    shared = runs.groupBy("value").count().filter("count > 1").select("value")
+    # Stored, so that the join's sides are plain exchanges and a value in a third of all texts can be divided.
+    shared = materialise(runs.groupBy("value").count().filter("count > 1").select("value"), "shared")
     # The lists are small beside the texts and all of a list is one text's.
     lists = runs.join(shared, "value", "left_semi").groupBy("row_key").agg(F.collect_set(F.struct("start", "n")).alias("runs"))
     wanted = materialise(lists, "wanted")
-    release(runs)
+    release(runs, shared)
     edges = materialise(_edges(rows.join(wanted, "row_key"), k), "edges")
     release(wanted)
     across = edges.filter("first_pos is null").select("k1", "k2", "row_key", "pos")
