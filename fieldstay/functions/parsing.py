@@ -28,6 +28,12 @@ def whole_id(value: Column) -> Column:
     return F.nullif(whole, F.when(_numeric_zero(value), F.lit(0)))
 
 
+def whole_number(text: Column, kind: str) -> Column:
+    """``"4"``, ``4`` and ``2.0`` to a whole number of type ``kind``; fractions and other text are NULL."""
+    exact = F.trim(text).try_cast("decimal(38, 9)")
+    return F.when(exact == F.floor(exact), exact).try_cast(kind)
+
+
 def amount(text: Column) -> Column:
     """Amount in front of a currency suffix: ``"120.00 USD"`` -> 120.0. Zero is an amount."""
     return F.try_element_at(F.split(F.trim(text), r"\s+"), F.lit(1)).try_cast("double")

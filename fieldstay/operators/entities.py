@@ -9,8 +9,8 @@ from pyspark.sql import types as T
 TYPES = {
     "text": T.StringType(),
     "id": T.StringType(),
-    "int": T.IntegerType(),
-    "long": T.LongType(),
+    "int": T.StringType(),
+    "long": T.StringType(),
     "num": T.StringType(),
     "bool": T.BooleanType(),
     "any": T.VariantType(),
@@ -20,23 +20,13 @@ TYPES = {
 @dataclass(frozen=True)
 class Field:
     """One mapped field. ``kind`` is a key of TYPES; ``num`` is text read leniently as a double,
-    ``any`` keeps the JSON value so that numbers and quoted numbers stay apart."""
+    ``int`` and ``long`` whole numbers, also if they are sent as text or with a zero fraction, ``any`` keeps the JSON value so that numbers and quoted numbers stay apart."""
 
     source: str
     column: str
     kind: str = "text"
 
 
-def fields(text: str) -> tuple[Field, ...]:
-    """Fields written as ``source>column:kind``; column and kind may be left out."""
-    out = []
-    for word in text.split():
-        name, _, kind = word.partition(":")
-        source, _, column = name.partition(">")
-        out.append(Field(source, column or source, kind or "text"))
-    return tuple(out)
-
-
 @dataclass(frozen=True)
 class Child:
     """A list of sub-records and the table it becomes."""
@@ -94,51 +84,110 @@ def record_schema(entity: Entity) -> T.StructType:
 
 PROPERTY_PHOTOS = Child(
     "property_photos", "property_pk", ("photo_id", "property_pk"),
-    fields("id>photo_id:id caption default>is_default:bool original_url url"), source="photos",
+    (
+        Field("id", "photo_id", "id"),
+        Field("caption", "caption"),
+        Field("default", "is_default", "bool"),
+        Field("original_url", "original_url"),
+        Field("url", "url"),
+    ), source="photos",
 )
 PROPERTY_CONTACTS = Child(
     "property_contacts", "property_pk", ("property_pk", "contact_id"),
-    fields("id>contact_id:id type>contact_type name email phone"),
+    (
+        Field("id", "contact_id", "id"),
+        Field("type", "contact_type"),
+        Field("name", "name"),
+        Field("email", "email"),
+        Field("phone", "phone"),
+    ),
 )
 RESERVATION_GUESTS = Child(
     "reservation_guests", "reservation_pk", ("reservation_pk", "guest_name", "guest_email"),
-    fields("name>guest_name email>guest_email phone>guest_phone primary>is_primary:bool"), source="guests",
+    (
+        Field("name", "guest_name"),
+        Field("email", "guest_email"),
+        Field("phone", "guest_phone"),
+        Field("primary", "is_primary", "bool"),
+    ), source="guests",
 )
 TASK_CHILDREN = {
     "assignments": Child(
         "task_assignments", "task_pk", ("task_pk", "assignee_id"),
-        fields("assignee_id:id name>assignee_name assigned_at"), source="assignments",
+        (
+            Field("assignee_id", "assignee_id", "id"),
+            Field("name", "assignee_name"),
+            Field("assigned_at", "assigned_at"),
+        ), source="assignments",
     ),
     "photos": Child(
         "task_photos", "task_pk", ("task_pk", "photo_id"),
-        fields("id>photo_id:id url caption uploaded_at"), source="photos",
+        (
+            Field("id", "photo_id", "id"),
+            Field("url", "url"),
+            Field("caption", "caption"),
+            Field("uploaded_at", "uploaded_at"),
+        ), source="photos",
     ),
     "comments": Child(
         "task_comments", "task_pk", ("comment_id", "region_code"),
-        fields("id>comment_id:id comment created_at updated_at"),
-        nested={"author": fields("id>author_id:id name>author_name")},
+        (
+            Field("id", "comment_id", "id"),
+            Field("comment", "comment"),
+            Field("created_at", "created_at"),
+            Field("updated_at", "updated_at"),
+        ),
+        nested={"author": (Field("id", "author_id", "id"), Field("name", "author_name"))},
     ),
     "requirements": Child(
         "task_requirements", "task_pk", ("task_pk", "requirement_id"),
-        fields(
-            "id>requirement_id:id section_name action:any response type>type_requirement"
-            " photo_required:bool photos:any note home_element_name"
+        (
+            Field("id", "requirement_id", "id"),
+            Field("section_name", "section_name"),
+            Field("action", "action", "any"),
+            Field("response", "response"),
+            Field("type", "type_requirement"),
+            Field("photo_required", "photo_required", "bool"),
+            Field("photos", "photos", "any"),
+            Field("note", "note"),
+            Field("home_element_name", "home_element_name"),
         ),
         partition_column="created_at",
     ),
-    "task_tags": Child("task_tags", "task_pk", ("task_pk", "tag_pk"), fields("id>tag_id:id"), source="task_tags"),
+    "task_tags": Child("task_tags", "task_pk", ("task_pk", "tag_pk"), (Field("id", "tag_id", "id"),), source="task_tags"),
     "supplies": Child(
         "task_supplies", "task_pk", ("task_pk", "supply_usage_id"),
-        fields(
-            "id>supply_usage_id supply_id name description size quantity:num unit_cost:num total_price:num"
-            " bill_to billable:bool markup_pricing_type markup_rate:num"
+        (
+            Field("id", "supply_usage_id"),
+            Field("supply_id", "supply_id"),
+            Field("name", "name"),
+            Field("description", "description"),
+            Field("size", "size"),
+            Field("quantity", "quantity", "num"),
+            Field("unit_cost", "unit_cost", "num"),
+            Field("total_price", "total_price", "num"),
+            Field("bill_to", "bill_to"),
+            Field("billable", "billable", "bool"),
+            Field("markup_pricing_type", "markup_pricing_type"),
+            Field("markup_rate", "markup_rate", "num"),
         ),
         source="supplies",
     ),
     "costs": Child(
         "task_costs", "task_pk", ("task_pk", "cost_id"),
-        fields("id>cost_id cost:num description bill_to created_at updated_at"),
-        nested={"type_cost": fields("id>type_cost_id code>type_cost_code name>type_cost_name")},
+        (
+            Field("id", "cost_id"),
+            Field("cost", "cost", "num"),
+            Field("description", "description"),
+            Field("bill_to", "bill_to"),
+            Field("created_at", "created_at"),
+            Field("updated_at", "updated_at"),
+        ),
+        nested={"type_cost": (
+            Field("id", "type_cost_id"),
+            Field("code", "type_cost_code"),
+            Field("name", "type_cost_name"),
+        )},
         source="costs",
     ),
 }
@@ -148,19 +197,39 @@ ENTITIES = {
     for e in (
         Entity(
             "properties", ("property_id", "region_code"),
-            fields(
-                "id>property_id company_id:any name>property_name status>property_status reference_company_id"
-                " reference_external_property_id reference_property_id address1>property_address1"
-                " address2>property_address2 city>property_city state>property_state zipcode>property_zipcode"
-                " country>property_country building>property_building latitude>latitude_numeric:any"
-                " longitude>longitude_numeric:any display>property_display:bool wifi_name wifi_password"
-                " bedrooms:int bathrooms:int living_area:int year_built:int"
+            (
+                Field("id", "property_id"),
+                Field("company_id", "company_id", "any"),
+                Field("name", "property_name"),
+                Field("status", "property_status"),
+                Field("reference_company_id", "reference_company_id"),
+                Field("reference_external_property_id", "reference_external_property_id"),
+                Field("reference_property_id", "reference_property_id"),
+                Field("address1", "property_address1"),
+                Field("address2", "property_address2"),
+                Field("city", "property_city"),
+                Field("state", "property_state"),
+                Field("zipcode", "property_zipcode"),
+                Field("country", "property_country"),
+                Field("building", "property_building"),
+                Field("latitude", "latitude_numeric", "any"),
+                Field("longitude", "longitude_numeric", "any"),
+                Field("display", "property_display", "bool"),
+                Field("wifi_name", "wifi_name"),
+                Field("wifi_password", "wifi_password"),
+                Field("bedrooms", "bedrooms", "int"),
+                Field("bathrooms", "bathrooms", "int"),
+                Field("living_area", "living_area", "int"),
+                Field("year_built", "year_built", "int"),
             ),
             nested={
-                "notes": fields(
-                    "about>property_notes_general access>property_notes_access"
-                    " guest_access>property_notes_guest_access direction>property_notes_direction"
-                    " trash_info>property_notes_trash_info wifi>property_notes_wifi"
+                "notes": (
+                    Field("about", "property_notes_general"),
+                    Field("access", "property_notes_access"),
+                    Field("guest_access", "property_notes_guest_access"),
+                    Field("direction", "property_notes_direction"),
+                    Field("trash_info", "property_notes_trash_info"),
+                    Field("wifi", "property_notes_wifi"),
                 )
             },
             children={"photos": PROPERTY_PHOTOS, "contacts": PROPERTY_CONTACTS},
@@ -169,34 +238,77 @@ ENTITIES = {
         ),
         Entity(
             "reservations", ("reservation_id", "region_code"),
-            fields(
-                "id>reservation_id property_id status>reservation_status access_code checkin_date checkin_time"
-                " checkin_early:bool checkout_date checkout_time checkout_late:bool note>reservation_note"
-                " guide_url reference_reservation_id reference_property_id reference_external_property_id"
-                " adults:int children:int pets:int source"
+            (
+                Field("id", "reservation_id"),
+                Field("property_id", "property_id"),
+                Field("status", "reservation_status"),
+                Field("access_code", "access_code"),
+                Field("checkin_date", "checkin_date"),
+                Field("checkin_time", "checkin_time"),
+                Field("checkin_early", "checkin_early", "bool"),
+                Field("checkout_date", "checkout_date"),
+                Field("checkout_time", "checkout_time"),
+                Field("checkout_late", "checkout_late", "bool"),
+                Field("note", "reservation_note"),
+                Field("guide_url", "guide_url"),
+                Field("reference_reservation_id", "reference_reservation_id"),
+                Field("reference_property_id", "reference_property_id"),
+                Field("reference_external_property_id", "reference_external_property_id"),
+                Field("adults", "adults", "int"),
+                Field("children", "children", "int"),
+                Field("pets", "pets", "int"),
+                Field("source", "source"),
             ),
             children={"guests": RESERVATION_GUESTS},
         ),
         Entity(
             "tasks", ("task_id", "region_code"),
-            fields(
-                "id>task_id home_id name>task_name description>task_description status>task_status"
-                " paused>task_paused:bool bill_to rate_type rate_paid:any created_at finished_at started_at"
-                " template_id>template_task_id type_department type_priority scheduled_date scheduled_time"
-                " checkin_date checkout_date report_url reference_property_id total_cost:num total_time:int"
-                " estimated_time:int estimated_rate:num billable:bool itemized_cost:bool task_series_id"
-                " parent_task_id"
+            (
+                Field("id", "task_id"),
+                Field("home_id", "home_id"),
+                Field("name", "task_name"),
+                Field("description", "task_description"),
+                Field("status", "task_status"),
+                Field("paused", "task_paused", "bool"),
+                Field("bill_to", "bill_to"),
+                Field("rate_type", "rate_type"),
+                Field("rate_paid", "rate_paid", "any"),
+                Field("created_at", "created_at"),
+                Field("finished_at", "finished_at"),
+                Field("started_at", "started_at"),
+                Field("template_id", "template_task_id"),
+                Field("type_department", "type_department"),
+                Field("type_priority", "type_priority"),
+                Field("scheduled_date", "scheduled_date"),
+                Field("scheduled_time", "scheduled_time"),
+                Field("checkin_date", "checkin_date"),
+                Field("checkout_date", "checkout_date"),
+                Field("report_url", "report_url"),
+                Field("reference_property_id", "reference_property_id"),
+                Field("total_cost", "total_cost", "num"),
+                Field("total_time", "total_time", "int"),
+                Field("estimated_time", "estimated_time", "int"),
+                Field("estimated_rate", "estimated_rate", "num"),
+                Field("billable", "billable", "bool"),
+                Field("itemized_cost", "itemized_cost", "bool"),
+                Field("task_series_id", "task_series_id"),
+                Field("parent_task_id", "parent_task_id"),
             ),
             nested={
-                "created_by": fields("id>created_by_id name>created_by_name"),
-                "finished_by": fields("id>finished_by_id name>finished_by_name"),
-                "type_task_status": fields("code>task_status_code name>task_status_name stage>task_status_stage"),
-                "subdepartment": fields("id>subdepartment_id name>subdepartment_name"),
-                "template": fields("name>template_name"),
-                "requested_by": fields("id>requested_by_id name>requested_by_name"),
-                "summary": fields("note>summary_note"),
-                "linked_reservation": fields(
-                    "id>linked_reservation_id external_reservation_id>linked_reservation_external_id"
+                "created_by": (Field("id", "created_by_id"), Field("name", "created_by_name")),
+                "finished_by": (Field("id", "finished_by_id"), Field("name", "finished_by_name")),
+                "type_task_status": (
+                    Field("code", "task_status_code"),
+                    Field("name", "task_status_name"),
+                    Field("stage", "task_status_stage"),
+                ),
+                "subdepartment": (Field("id", "subdepartment_id"), Field("name", "subdepartment_name")),
+                "template": (Field("name", "template_name"),),
+                "requested_by": (Field("id", "requested_by_id"), Field("name", "requested_by_name")),
+                "summary": (Field("note", "summary_note"),),
+                "linked_reservation": (
+                    Field("id", "linked_reservation_id"),
+                    Field("external_reservation_id", "linked_reservation_external_id"),
                 ),
             },
             children=TASK_CHILDREN,
@@ -204,34 +316,74 @@ ENTITIES = {
         ),
         Entity(
             "people", ("person_id", "region_code"),
-            fields("id>person_id name>person_name active:bool accept_decline_tasks:bool"),
+            (
+                Field("id", "person_id"),
+                Field("name", "person_name"),
+                Field("active", "active", "bool"),
+                Field("accept_decline_tasks", "accept_decline_tasks", "bool"),
+            ),
             nested={
-                "availability": fields(
-                    " ".join(
-                        f"{d}>availability_{d}"
-                        for d in ("monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday")
-                    )
+                "availability": (
+                    Field("monday", "availability_monday"),
+                    Field("tuesday", "availability_tuesday"),
+                    Field("wednesday", "availability_wednesday"),
+                    Field("thursday", "availability_thursday"),
+                    Field("friday", "availability_friday"),
+                    Field("saturday", "availability_saturday"),
+                    Field("sunday", "availability_sunday"),
                 )
             },
         ),
         Entity(
             "supplies", ("supply_id", "region_code"),
-            fields(
-                "id>supply_id company_id:any name>supply_name description size internal_id unit_cost:num"
-                " stock_count:int low_stock_alert:bool low_stock_count:int supply_category_id"
+            (
+                Field("id", "supply_id"),
+                Field("company_id", "company_id", "any"),
+                Field("name", "supply_name"),
+                Field("description", "description"),
+                Field("size", "size"),
+                Field("internal_id", "internal_id"),
+                Field("unit_cost", "unit_cost", "num"),
+                Field("stock_count", "stock_count", "int"),
+                Field("low_stock_alert", "low_stock_alert", "bool"),
+                Field("low_stock_count", "low_stock_count", "int"),
+                Field("supply_category_id", "supply_category_id"),
             ),
-            nested={"type_stock_status": fields("code>stock_status_code name>stock_status_name")},
+            nested={"type_stock_status": (
+                Field("code", "stock_status_code"),
+                Field("name", "stock_status_name"),
+            )},
         ),
-        Entity("tags", ("tag_id", "region_code"), fields("id>tag_id name>tag_name description>tag_description")),
+        Entity("tags", ("tag_id", "region_code"), (
+            Field("id", "tag_id"),
+            Field("name", "tag_name"),
+            Field("description", "tag_description"),
+        )),
         Entity(
             "subdepartments", ("subdepartment_id", "region_code"),
-            fields("id>subdepartment_id name>subdepartment_name reference_company_id"),
+            (
+                Field("id", "subdepartment_id"),
+                Field("name", "subdepartment_name"),
+                Field("reference_company_id", "reference_company_id"),
+            ),
         ),
-        Entity("templates", ("template_id", "region_code"), fields("id>template_id template_name department_code")),
-        Entity("property_tags", ("property_tag_id", "region_code"), fields("id>property_tag_id name>tag_name company_id:any")),
+        Entity("templates", ("template_id", "region_code"), (
+            Field("id", "template_id"),
+            Field("template_name", "template_name"),
+            Field("department_code", "department_code"),
+        )),
+        Entity("property_tags", ("property_tag_id", "region_code"), (
+            Field("id", "property_tag_id"),
+            Field("name", "tag_name"),
+            Field("company_id", "company_id", "any"),
+        )),
         Entity(
             "reservation_tags", ("reservation_tag_id", "region_code"),
-            fields("id>reservation_tag_id name>tag_name company_id:any"),
+            (
+                Field("id", "reservation_tag_id"),
+                Field("name", "tag_name"),
+                Field("company_id", "company_id", "any"),
+            ),
         ),
     )
 }

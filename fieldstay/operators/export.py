@@ -14,10 +14,25 @@ from fieldstay.operators.ranking import join_sparse
 
 # Exported columns, their target names, and the ones forced to text.
 PROPERTY_COLUMNS = (
-    "region_code property_id reference_external_property_id reference_company_id property_name"
-    " property_status property_address1 property_address2 property_city property_state property_zipcode"
-    " latitude_numeric longitude_numeric bedrooms bathrooms wifi_name wifi_password synced_at"
-).split()
+    "region_code",
+    "property_id",
+    "reference_external_property_id",
+    "reference_company_id",
+    "property_name",
+    "property_status",
+    "property_address1",
+    "property_address2",
+    "property_city",
+    "property_state",
+    "property_zipcode",
+    "latitude_numeric",
+    "longitude_numeric",
+    "bedrooms",
+    "bathrooms",
+    "wifi_name",
+    "wifi_password",
+    "synced_at",
+)
 PROPERTY_RENAMES = {
     "property_id": "source_property_id",
     "reference_external_property_id": "listing_id",
@@ -28,11 +43,39 @@ PROPERTY_RENAMES = {
 }
 PROPERTY_TEXT = ("source_property_id", "listing_id", "reference_company_id", "property_zipcode")
 LINK_COLUMNS = (
-    "region_code reservation_id task_id reservation_pk task_pk home_id reference_property_id task_name"
-    " task_description type_department type_priority task_status_code task_status_name task_status_stage"
-    " scheduled_date scheduled_time task_created_at started_at finished_at paused rate_type rate_paid"
-    " total_time template_id report_url assignments supplies costs tags task_tags raw_payload synced_at"
-).split()
+    "region_code",
+    "reservation_id",
+    "task_id",
+    "reservation_pk",
+    "task_pk",
+    "home_id",
+    "reference_property_id",
+    "task_name",
+    "task_description",
+    "type_department",
+    "type_priority",
+    "task_status_code",
+    "task_status_name",
+    "task_status_stage",
+    "scheduled_date",
+    "scheduled_time",
+    "task_created_at",
+    "started_at",
+    "finished_at",
+    "paused",
+    "rate_type",
+    "rate_paid",
+    "total_time",
+    "template_id",
+    "report_url",
+    "assignments",
+    "supplies",
+    "costs",
+    "tags",
+    "task_tags",
+    "raw_payload",
+    "synced_at",
+)
 LINK_RENAMES = {
     "task_id": "source_task_id",
     "home_id": "source_property_id",
@@ -117,7 +160,8 @@ def export_links(
 ) -> DataFrame:
     """Changed link rows with the folded requirements of their task.
 
-    A task with more requirements than one list holds comes as several rows, numbered by ``part``.
+    A task with more requirements than one list holds comes as several rows, numbered by ``part``: the key of
+    an exported row is (reservation, task, region, part).
     """
     changed = changed_since(links, watermarks, table, full)
     wanted = changed.select("task_pk").where(F.col("task_pk").isNotNull()).distinct()

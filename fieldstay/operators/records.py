@@ -7,11 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldstay.functions.parsing import coordinate, currency, id_text, whole_id
+from fieldstay.functions.parsing import coordinate, currency, id_text, whole_id, whole_number
 from fieldstay.operators.entities import Child, Entity, Field
 from fieldstay.operators.ranking import first_per_key
 
 ARRIVAL = ["page", "pos"]
+WHOLE = {"int": "int", "long": "bigint"}
 
 
 def parent_value(f: Field, value: Column) -> Column:
@@ -24,6 +25,8 @@ def parent_value(f: Field, value: Column) -> Column:
         return currency(value)
     if f.kind == "num":
         return value.try_cast("double")
+    if f.kind in WHOLE:
+        return whole_number(value, WHOLE[f.kind])
     return value
 
 
@@ -36,7 +39,7 @@ def map_parents(records: DataFrame, entity: Entity, synced_at: Column) -> DataFr
     """Parent columns of every record with region, sync time and arrival order."""
     flat = [parent_value(f, F.col(f"record.{f.source}")).alias(f.column) for f in entity.fields]
     nested = [
-        F.col(f"record.{obj}.{f.source}").alias(f.column)
+        parent_value(f, F.col(f"record.{obj}.{f.source}")).alias(f.column)
         for obj, group in entity.nested.items()
         for f in group
     ]
@@ -66,6 +69,8 @@ def child_value(f: Field, value: Column) -> Column:
         return id_text(value)
     if f.kind == "num":
         return value.try_cast("double")
+    if f.kind in WHOLE:
+        return whole_number(value, WHOLE[f.kind])
     if f.kind == "any":
         return json_or_null(value)
     if f.column in ("is_default", "is_primary"):
