@@ -45,9 +45,9 @@ def _best_task(tables: Tables, clock: Clock, dept: str, prefix: str) -> DataFram
         ["property_pk", "checkout_date"],
         [progress.asc(), F.col("id").asc()],
     )
-    # The few board tasks are the streamed side; assignment rows are reduced to distinct tasks.
+    # Only assignments of the few board tasks are reduced to distinct tasks.
     assigned = (
-        tables["task_assignments"].select(F.col("task_pk").alias("id")).distinct()
+        tables["task_assignments"].select(F.col("task_pk").alias("id")).join(best.select("id"), "id", "left_semi").distinct()
         .withColumn("_assigned", F.lit(True))
     )
     return best.join(assigned, "id", "left").select(
@@ -156,10 +156,10 @@ def inspection_compliance(
     tasks = created_since(tables["tasks"], clock, window_days).where(department("inspection"))
     photo = F.col("photo_required")
     has_photos = ~F.col("photos").isin("[]", "null")
-    # Requirements shrink to one row per task before the join, whatever the size of a task.
+    # Requirements of the window's inspections shrink to one row per task, whatever the size of a task.
     per_task = (
         tables["task_requirements"]
-        .where(F.col("task_pk").isNotNull())
+        .join(tasks.select(F.col("id").alias("task_pk")), "task_pk", "left_semi")
         .groupBy("task_pk")
         .agg(
             count_all().alias("requirements"),

@@ -29,11 +29,18 @@ Tables = Mapping[str, DataFrame]
 def reservation_turnaround_analysis(tables: Tables, clock: Clock) -> DataFrame:
     """Weekly check-outs per region with the tasks linked to them.
 
-    Tasks are counted per reservation first, so the join is one row to one row.
+    Only tasks of those reservations are counted, per reservation first, so the join is one row to one row.
     """
+    departures = (
+        tables["reservations"]
+        .where(
+            (F.col("reservation_status") == "active") & (F.col("checkout_date") >= clock.date_ago(90))
+        )
+        .select(F.col("id").alias("reservation_pk"), "region_code", "checkout_date")
+    )
     linked = (
         tables["tasks"]
-        .where(F.col("reservation_pk").isNotNull())
+        .join(departures.select("reservation_pk"), "reservation_pk", "left_semi")
         .groupBy("reservation_pk")
         .agg(
             count_all().alias("linked"),
@@ -44,13 +51,6 @@ def reservation_turnaround_analysis(tables: Tables, clock: Clock) -> DataFrame:
             F.count(F.when(finished(), total_micros())).alias("timed"),
         )
     )
-    departures = (
-        tables["reservations"]
-        .where(
-            (F.col("reservation_status") == "active") & (F.col("checkout_date") >= clock.date_ago(90))
-        )
-        .select(F.col("id").alias("reservation_pk"), "region_code", "checkout_date")
-    )
     week = F.date_trunc("week", "checkout_date").cast("date").alias("week_of")
     total = {c: F.coalesce(F.sum(c), F.lit(0)) for c in ("linked", "housekeeping", "inspection", "completed")}
     return (
