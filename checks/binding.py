@@ -71,13 +71,8 @@ class Domain(Mapping):
         return len(self.NAMES)
 
     def _spread(self, df: DataFrame) -> DataFrame:
-        """Small inputs come as one file with one row group: cut them so that every core has a part.
-        Inputs of ordinary size are stored as they are read."""
-        jvm, cores = self.spark._jvm, self.spark.sparkContext.defaultParallelism
-        folder = jvm.org.apache.hadoop.fs.Path(self.sf_dir)
-        fs = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        size = fs.getContentSummary(folder).getLength()
-        return df.repartition(cores) if size < cores * 16 * 2**20 else df
+        """Inputs may come as one file with one row group: deal them out over the shuffle partitions."""
+        return df.repartition(int(self.spark.conf.get("spark.sql.shuffle.partitions")))
 
     @cached_property
     def regions(self) -> DataFrame:

@@ -76,6 +76,20 @@ SELECT task_id, t.region_code, {text("property_pk")} AS home_id, p.property_id,
 FROM tasks t JOIN properties p ON p.id = t.property_pk WHERE {LISTED.replace("id %", "p.id %")}""")
 
 
+def broken_load(d: Domain) -> DataFrame:
+    """One region sends a page that is cut off: it fails and keeps its last success, the others load."""
+    store = SnapshotStore(d.spark, scratch_path(d.spark, "store"))
+    pages = landed.property_pages(d)
+    load_entity(store, "properties", pages, EARLIER)
+    cut = F.when((F.col("region_code") == "asia") & (F.col("page") % 7 == 0), F.lit('[{"id": "1", "na')).otherwise(F.col("body"))
+    return load_entity(store, "properties", pages.withColumn("body", cut), CLOCK).select(
+        "region_code", "sync_status", (F.col("last_successful_sync_at") == CLOCK.timestamp()).alias("moved"), F.col("error_message").isNotNull().alias("told"))
+
+
+check("load_unreadable_page", broken_load, "regions", """
+SELECT region_code, CASE region_code WHEN 'asia' THEN 'failed' ELSE 'success' END AS sync_status, region_code <> 'asia' AS moved, region_code = 'asia' AS told FROM regions""")
+
+
 # Entities with a transform only -------------------------------------------------------------------
 def transformed(d: Domain, name: str, rows: DataFrame, region: Column, key: Column, *columns: Column) -> DataFrame:
     """Records built from ``rows``, landed one per page (every fiftieth twice) and transformed."""

@@ -289,4 +289,10 @@ def blocking(d: Domain) -> DataFrame:
 check("count_blocking", blocking, "properties", """
 WITH b AS (SELECT property_id, CASE WHEN id % 7 = 0 THEN 0 ELSE CASE id % 4 WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 2 THEN 2 ELSE 4 END END::BIGINT AS n FROM properties)
 SELECT property_id, n AS blocking_count, n > 0 AS is_blocking FROM b""")
-
+PART_SQL = """
+SELECT task_pk, CAST(pos // 2 AS BIGINT) AS part, '[' || string_agg('{"requirement_id":"' || requirement_id || '"' ||
+  CASE WHEN s IS NOT NULL THEN ',"section_name":"' || s || '"' ELSE '' END || CASE WHEN response IS NOT NULL THEN ',"response":"' || response || '"' ELSE '' END ||
+  ',"photo_required":' || photo_required || '}', ',' ORDER BY pos) || ']' AS requirements
+FROM (SELECT *, row_number() OVER (PARTITION BY task_pk ORDER BY s NULLS LAST, requirement_id, response NULLS LAST, photo_required) - 1 AS pos
+  FROM (SELECT *, CASE WHEN task_pk % 4 <> 0 THEN section_name END AS s FROM task_requirements)) GROUP BY ALL"""
+check("fold_requirements_parts", lambda d: links.fold_requirements(folded_source(d), part_rows=2), "task_requirements", PART_SQL)

@@ -19,6 +19,44 @@ from fieldstay.streaming import rollups
 
 NOW, EVENT_NOW = "TIMESTAMP '2001-07-15 12:00:00'", "TIMESTAMP '2024-01-31'"
 
+
+
+def store_of(d: Domain, name: str) -> snapshot.SnapshotStore:
+    store = snapshot.SnapshotStore(d.spark, scratch_path(d.spark, "store"))
+    table = d["tasks"].select("id", "region_code", "task_name", F.trunc("created_at", "month").alias("created_month"))
+    store.write(name, table, "created_month")
+    return store
+
+
+def vacuumed(d: Domain) -> DataFrame:
+    """One month is replaced; what is no longer current is deleted at once and the table still reads whole."""
+    store = store_of(d, "tasks")
+    march = store.read("tasks", ["2001-03-01"])
+    store.replace("tasks", march.withColumn("task_name", F.lit("March")), ["2001-03-01"])
+    store.vacuum("tasks", older_than_hours=-1)
+    return store.read("tasks").groupBy("created_month", (F.col("task_name") == "March").alias("renamed")).agg(F.count(F.lit(1)).alias("n"))
+
+
+check("snapshot_vacuum", vacuumed, "tasks", f"""SELECT {text("date_trunc('month', created_at)::DATE")} AS created_month,
+ date_trunc('month', created_at) = TIMESTAMP '2001-03-01' AS renamed, count(*) AS n FROM tasks GROUP BY ALL""")
+
+
+def conflicting(d: Domain) -> DataFrame:
+    """Two writers start from the same pointer; the second fails and the first one's change stays."""
+    store = store_of(d, "tasks")
+    seen = store._pointer("tasks")
+    store.replace("tasks", store.read("tasks", ["2001-03-01"]).where("false"), ["2001-03-01"])
+    try:
+        store._point("tasks", seen)
+        raise AssertionError("the second writer was not stopped")
+    except snapshot.ConflictError:
+        return store.read("tasks").select("id", "region_code")
+
+
+check("snapshot_conflict", conflicting, "tasks", "SELECT id, region_code FROM tasks WHERE NOT (created_at >= TIMESTAMP '2001-03-01' AND created_at < TIMESTAMP '2001-04-01')")
+check("snapshot_pruned_read", lambda d: store_of(d, "tasks").read("tasks", between=("2001-02-01", "2001-04-01")).select("id", "task_name"), "tasks",
+      "SELECT id, task_name FROM tasks WHERE created_at >= TIMESTAMP '2001-02-01' AND created_at < TIMESTAMP '2001-05-01'")
+
 # D: duplicates ------------------------------------------------------------------------------------
 REQ_KEY, PHOTO_KEY = ["task_pk", "requirement_id"], ["property_pk", "photo_id"]
 
@@ -432,6 +470,17 @@ check("upsert_link_rows", upserted_links, "tasks", f"""SELECT {text("reservation
 FROM tasks WHERE reservation_pk IS NOT NULL""")
 
 
+def doubled_links(d: Domain) -> DataFrame:
+    """Each link of the batch comes twice; the greater name counts."""
+    links = link_table(d).select("reservation_id", "task_id", "region_code", "task_name")
+    batch = links.unionByName(links.withColumn("task_name", F.concat("task_name", F.lit("!"))))
+    return merge.upsert_links(links.where(F.col("task_id").cast("long") % 2 == 0), batch)
+
+
+check("upsert_link_duplicates", doubled_links, "tasks", f"""SELECT {text("reservation_pk")} AS reservation_id, task_id, region_code,
+ task_name || '!' AS task_name, CASE id % 2 WHEN 0 THEN 'update' ELSE 'insert' END AS op FROM tasks WHERE reservation_pk IS NOT NULL""")
+
+
 def dated_tasks(d: Domain) -> DataFrame:
     return d["tasks"].select("id", "property_pk", "region_code", "type_department", "scheduled_date", "checkin_date", "checkout_date",
                              F.when(F.col("id") % 3 == 0, F.col("id")).alias("reservation_pk"))
@@ -849,6 +898,29 @@ check("cagg_real_time", tail, "tasks", f"""{rollup_sql("month")} WHERE created_a
 UNION ALL {rollup_sql("month")} WHERE created_at < TIMESTAMP '2001-04-01' AND id % 2 = 0 GROUP BY ALL""")
 
 
+def midmonth(d: Domain) -> DataFrame:
+    """Refreshed up to the middle of April: April is not stored whole, so it is computed anew."""
+    stored = rollups.task_rollup(d["tasks"].where((F.col("id") % 2 == 0) & (F.col("created_at") < "2001-04-01")), "month")
+    return rollups.real_time(stored, d["tasks"], datetime(2001, 4, 15, 7), "month")
+
+
+check("cagg_real_time_midmonth", midmonth, "tasks", f"""{rollup_sql("month")} WHERE created_at >= TIMESTAMP '2001-04-01' GROUP BY ALL
+UNION ALL {rollup_sql("month")} WHERE created_at < TIMESTAMP '2001-04-01' AND id % 2 = 0 GROUP BY ALL""")
+
+
+def emptied(d: Domain) -> DataFrame:
+    """A stored daily roll-up after all tasks of one week were deleted and the month was refreshed."""
+    path = scratch_path(d.spark, "rollup")
+    rollups.write_refreshed(d["tasks"], path, datetime(2001, 5, 1), datetime(2001, 7, 1))
+    gone = F.col("created_at").between("2001-05-08", "2001-05-14 23:59:59.999999")
+    rollups.write_refreshed(d["tasks"].where(~gone), path, datetime(2001, 5, 1), datetime(2001, 6, 1))
+    return d.spark.read.parquet(path).drop("bucket_day")
+
+
+check("cagg_refresh_emptied", emptied, "tasks", f"""{rollup_sql("day")} WHERE created_at >= TIMESTAMP '2001-05-01' AND created_at < TIMESTAMP '2001-07-01'
+ AND NOT (created_at >= TIMESTAMP '2001-05-08' AND created_at < TIMESTAMP '2001-05-15') GROUP BY ALL""")
+
+
 def rollup_stream(d: Domain) -> DataFrame:
     """Closed day buckets of a task stream; the last day stays open until the watermark passes it."""
     source, out = scratch_path(d.spark, "tasks"), scratch_path(d.spark, "rollup")
