@@ -8,10 +8,16 @@ from pyspark.sql import functions as F
 from fieldstay.llm.storage import materialise, release
 
 
+def _stored(least: DataFrame) -> DataFrame:
+    """One row a node, written first: the join's sides are then plain exchanges, and a node with a third of all edges
+    can be divided."""
+    return materialise(least, "least")
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every node links its larger neighbours to the smallest node it sees."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), F.least("a", "m").alias("m"))
+    least = _stored(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), F.least("a", "m").alias("m")))
     return (
         both.join(least, F.col("a") == F.col("n")).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
     )
@@ -19,7 +25,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Every node links itself and its smaller neighbours to the smallest of them; in every edge a > b."""
-    least = edges.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), "m")
+    least = _stored(edges.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), "m"))
     below = edges.join(least, F.col("a") == F.col("n")).filter("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return below.unionByName(least.select(F.col("n").alias("a"), F.col("m").alias("b"))).distinct()
 
@@ -38,8 +44,10 @@ def stars(edges: DataFrame) -> DataFrame:
     now = materialise(edges.distinct(), "edges")
     seen = _signature(now)
     while seen[0]:
-        after = materialise(_small_star(_large_star(now)), "edges")
+        large = materialise(_large_star(now), "edges")
         release(now)
+        after = materialise(_small_star(large), "edges")
+        release(large)
         now, before, seen = after, seen, _signature(after)
         if seen == before:
             break
