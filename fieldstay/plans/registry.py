@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -13,6 +14,7 @@ from fieldstay.functions.times import Clock
 from fieldstay.plans import boards, properties, regions, trends, workers
 from fieldstay.plans.common import PRIORITY_ORDER, case, count_all
 from fieldstay.session import scratch_path
+from fieldstay.sources.snapshot import SnapshotStore
 
 Order = Callable[[], list[Column]]
 
@@ -86,6 +88,10 @@ REFRESHED = (
 ).split()
 
 
+# Views refreshed at a time.
+SIDE_BY_SIDE = 4
+
+
 def _ordered(name: str, df: DataFrame) -> DataFrame:
     order = VIEWS[name].order
     return df.orderBy(*order()) if order else df
@@ -99,16 +105,23 @@ def present(name: str, tables: Mapping[str, DataFrame], clock: Clock, **options)
 def refresh_all(
     tables: Mapping[str, DataFrame], clock: Clock, folder: str, names: list[str] | None = None
 ) -> dict[str, DataFrame]:
-    """Recompute the views and overwrite ``folder/<view>``, stamped with the refresh time.
+    """Recompute the views and replace them in the snapshot store ``folder``, stamped with the refresh time.
 
-    Views are stored as they come; the returned frames put them in order when they are read.
+    A reader finds the old view until the new one is whole. Views are built side by side, so that short
+    stages of one fill the gaps of another; the returned frames put them in order when they are read.
     """
-    out = {}
-    for name in names or REFRESHED:
-        df = VIEWS[name].build(tables, clock).withColumn("refreshed_at", clock.timestamp())
-        df.write.mode("overwrite").parquet(f"{folder}/{name}")
-        out[name] = _ordered(name, df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}"))
-    return out
+    store = SnapshotStore(tables["regions"].sparkSession, folder)
+
+    def refresh(name: str) -> DataFrame:
+        store.write(name, VIEWS[name].build(tables, clock).withColumn("refreshed_at", clock.timestamp()))
+        return _ordered(name, store.read(name))
+
+    wanted = list(names or REFRESHED)
+    # Tables are made ready by one thread; the views only read them.
+    for used in tables:
+        tables[used]
+    with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
+        return dict(zip(wanted, pool.map(refresh, wanted), strict=True))
 
 
 def refresh_report(tables: Mapping[str, DataFrame], clock: Clock, folder: str | None = None) -> DataFrame:

@@ -73,4 +73,15 @@ def durable(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, "stage")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stage = path
+    return out
+
+
+def discard(*stages: DataFrame) -> None:
+    """Delete the files of stages that nothing reads any more, as after a batch of a long-running stream."""
+    for stage in stages:
+        path = getattr(stage, "_stage", None)
+        if path:
+            hadoop = stage.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            hadoop.getFileSystem(stage.sparkSession._jsc.hadoopConfiguration()).delete(hadoop, True)

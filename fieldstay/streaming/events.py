@@ -21,7 +21,7 @@ from fieldstay.operators.export import latest_property_status
 from fieldstay.operators.links import SUB_STATUS, count_blocking
 from fieldstay.operators.maintenance import delete_matching
 from fieldstay.operators.merge import merge
-from fieldstay.session import durable
+from fieldstay.session import discard, durable
 from fieldstay.sources.snapshot import SnapshotStore, touched_values
 
 EVENT_SCHEMA = "event_id long, received_at timestamp, payload string"
@@ -253,6 +253,7 @@ def start_task_stream(
         periods = touched_values(known.join(named, "task_id", "left_semi"), column)
         if periods:
             store.replace("tasks", apply_task_events(store.read("tasks", periods), events, now), periods)
+        discard(events)
 
     return _start(stream, on_batch, checkpoint, available_now)
 
@@ -275,12 +276,13 @@ def start_property_stream(
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         now = _now(clock)
         normal = normalise_property_events(drop_test_events(batch))
-        events = durable(resolve_region(normal, companies, properties))
-        log = mark_processed(event_log(events, "property-status", "property_id"), now, unreadable())
+        staged = durable(resolve_region(normal, companies, properties))
+        log = mark_processed(event_log(staged, "property-status", "property_id"), now, unreadable())
         write_log(store, log, "property-status", batch_id)
-        events = events.where(unreadable().isNull())
+        events = staged.where(unreadable().isNull())
         _update_mirror(store, events, now)
         _update_status(store, events)
+        discard(staged)
 
     return _start(stream, on_batch, checkpoint, available_now)
 
@@ -299,15 +301,18 @@ def _update_status(store: SnapshotStore, events: DataFrame) -> None:
     newest = durable(latest_property_status(events).withColumn("slot", slot))
     if not store.exists("property_status"):
         store.write("property_status", newest, "slot")
+        discard(newest)
         return
     slots = touched_values(newest, "slot")
     if not slots:
+        discard(newest)
         return
     table = store.read("property_status", slots)
     newer = F.struct(*[F.col(f"s.{c}") for c in ORDER]) > F.struct(*[F.col(f"t.{c}") for c in ORDER])
     values = {c: F.when(newer, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")) for c in table.columns}
     merged = merge(table, newest, ["region_code", "property_id"], values=values)
     store.replace("property_status", merged.drop("op"), slots)
+    discard(newest)
 
 
 def write_log(store: SnapshotStore, log: DataFrame, kind: str, batch_id: int) -> None:
