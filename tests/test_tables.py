@@ -326,3 +326,50 @@ def test_write_by_month_prunes(spark, rows, tmp_path):
     assert df.count() == 3
     plan = df.where("created_month >= date'2025-02-01'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(created_month" in plan
+
+
+def test_vacuum_knows_current_folders_by_qualified_path(spark, rows, tmp_path):
+    # The pointer was written with a scheme and an authority; listings come without it.
+    store = snapshot.SnapshotStore(spark, f"file://{tmp_path}/s")
+    store.write("t", rows("p string, v int", ("x", 1), ("y", 2)), "p")
+    assert store.vacuum("t", older_than_hours=-1) == 0
+    again = snapshot.SnapshotStore(spark, f"{tmp_path}/s")
+    assert again.vacuum("t", older_than_hours=-1) == 0 and again.read("t").count() == 2
+
+
+def test_qualified_paths_keep_the_authority(spark):
+    fs = spark._jvm.org.apache.hadoop.fs
+    local = fs.Path(f"{snapshot.POINTER}").getFileSystem(spark._jsc.hadoopConfiguration())
+    one = snapshot.qualified(fs.Path("file:///wh/t/v-1"), local)
+    assert one == snapshot.qualified(fs.Path("/wh/t/v-1"), local)
+    assert one != snapshot.qualified(fs.Path("file:///wh/t/v-2"), local)
+
+
+def test_second_writer_fails_and_loses_nothing(spark, rows, tmp_path):
+    store = snapshot.SnapshotStore(spark, str(tmp_path))
+    store.write("t", rows("p string, v int", ("x", 1), ("y", 2)), "p")
+    seen = store._pointer("t")
+    store.replace("t", rows("p string, v int", ("x", 5)), ["x"])
+    with pytest.raises(snapshot.ConflictError):
+        store._point("t", seen)
+    assert sorted((r.p, r.v) for r in store.read("t").collect()) == [("x", 5), ("y", 2)]
+    assert [r.p for r in store.read("t", between=("y", "z")).collect()] == ["y"]
+
+
+def test_task_without_assignee_gets_no_name(rows):
+    from fieldstay.plans.trends import task_assignees
+
+    tables = {
+        "people": rows("person_id string, person_name string", (None, "Nobody"), ("7", "Ann")),
+        "task_assignments": rows("task_pk long, assignee_id string", (1, None), (2, "7")),
+        "tasks": rows("id long, task_name string, task_status_stage string, scheduled_date string", (1, "a", "new", None), (2, "b", "new", None)),
+    }
+    assert {r.task_pk: r.registered_name for r in task_assignees(tables, None).collect()} == {1: None, 2: "Ann"}
+
+
+def test_whole_numbers_sent_as_text(rows):
+    from fieldstay.functions.parsing import whole_number
+
+    texts = ["4", " 4 ", "2.0", "2.5", "x", None, "99999999999"]
+    got = [r[0] for r in rows("i int, t string", *enumerate(texts)).orderBy("i").select(whole_number(F.col("t"), "int")).collect()]
+    assert got == [4, 4, 2, None, None, None, None]
