@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from fieldstay.operators.ranking import join_on, row_slot
 
-BIN_DAYS = 8
+# Widths in days of the bins of each level, and how many bins of a level a range may touch before the next is its own.
+BIN_DAYS = (8, 512, 32_768, 2_097_152)
+MOST_BINS = 65
 
 
 def _lookup(ref: DataFrame, on: Mapping[str, str], take: str, into: str) -> DataFrame:
@@ -70,9 +72,20 @@ def unresolved_count(df: DataFrame, ref: DataFrame, on: Mapping[str, str]) -> Da
 
 
 def _bins(first: Column, last: Column) -> Column:
-    """Numbers of the fixed-width day bins a date range touches."""
+    """(level, bin, own) of the day bins a date range touches: those of its own level, the finest on which it touches
+    few, and those of all coarser levels. A range of a thousand years takes no more rows than one of a year."""
     lo, hi = F.unix_date(F.least(first, last)), F.unix_date(F.greatest(first, last))
-    return F.sequence(F.floor(lo / BIN_DAYS), F.floor(hi / BIN_DAYS))
+    level = F.lit(len(BIN_DAYS) - 1)
+    for n in reversed(range(len(BIN_DAYS) - 1)):
+        level = F.when(F.floor(hi / BIN_DAYS[n]) - F.floor(lo / BIN_DAYS[n]) < MOST_BINS, n).otherwise(level)
+
+    def at(n: int) -> Column:
+        numbers = F.sequence(F.floor(lo / BIN_DAYS[n]), F.floor(hi / BIN_DAYS[n]))
+        own = (level == n).alias("_own")
+        rows = F.transform(numbers, lambda b: F.struct(F.lit(n).alias("_level"), b.alias("_bin"), own))
+        return F.when(level <= n, rows).otherwise(F.array())
+
+    return F.concat(*(at(n) for n in range(len(BIN_DAYS))))
 
 
 def link_by_dates(tasks: DataFrame, reservations: DataFrame) -> DataFrame:
@@ -83,8 +96,9 @@ def link_by_dates(tasks: DataFrame, reservations: DataFrame) -> DataFrame:
     wins, then the lowest id.
 
     Reservations with equal dates and tasks with equal dates have equal answers, so both sides are
-    reduced to distinct dates first. They then meet on (property, region, day bin): neither a busy
-    property nor a long history makes a group of all pairs.
+    reduced to distinct dates first. They then meet on (property, region, day bin), on the level of the
+    longer range: neither a busy property nor a long history makes a group of all pairs, and a date far
+    off by a typing error takes few rows.
     """
     place = ["property_pk", "region_code"]
     asked = [*place, "_cleaning", "scheduled_date", "checkin_date", "checkout_date"]
@@ -96,21 +110,24 @@ def link_by_dates(tasks: DataFrame, reservations: DataFrame) -> DataFrame:
     questions = (
         open_tasks.select(*asked).distinct()
         .where(F.col("property_pk").isNotNull() & F.col("region_code").isNotNull() & starts.isNotNull())
-        .withColumn("_bin", F.explode(_bins(starts, ends)))
+        .select("*", F.inline(_bins(starts, ends)))
     )
     stays = (
         reservations.where(F.col("checkin_date").isNotNull() & F.col("checkout_date").isNotNull())
         .groupBy(*place, F.col("checkin_date").alias("_in"), F.col("checkout_date").alias("_out"))
         .agg(F.min("id").alias("_res"))
-        .withColumn("_bin", F.explode(_bins(F.col("_in"), F.date_add("_out", 1))))
+        .select("*", F.inline(_bins(F.col("_in"), F.date_add("_out", 1))))
     )
     same = (F.col("checkin_date") == F.col("_in")) & (F.col("checkout_date") == F.col("_out"))
     around = F.col("_cleaning") & F.col("scheduled_date").between(F.col("_in"), F.date_add("_out", 1))
     overlap = (F.col("checkin_date") <= F.col("_out")) & (F.col("checkout_date") >= F.col("_in"))
     rule = F.when(same, 1).when(around, 2).when(overlap, 3)
     distance = F.abs(F.date_diff(F.coalesce("checkin_date", "scheduled_date"), F.col("_in")))
+    meet = [*place, "_level", "_bin"]
+    met = questions.where("_own").drop("_own").join(stays.drop("_own"), meet)
+    met = met.unionByName(questions.where("not _own").drop("_own").join(stays.where("_own").drop("_own"), meet))
     answers = (
-        questions.join(stays, [*place, "_bin"])
+        met
         .withColumn("_rule", rule)
         .where(F.col("_rule").isNotNull())
         .groupBy(*asked)

@@ -373,3 +373,18 @@ def test_whole_numbers_sent_as_text(rows):
     texts = ["4", " 4 ", "2.0", "2.5", "x", None, "99999999999"]
     got = [r[0] for r in rows("i int, t string", *enumerate(texts)).orderBy("i").select(whole_number(F.col("t"), "int")).collect()]
     assert got == [4, 4, 2, None, None, None, None]
+
+
+def test_links_by_dates_with_very_long_ranges(rows):
+    day = date
+    stays = rows(
+        "id long, property_pk long, region_code string, checkin_date date, checkout_date date",
+        (1, 1, "a", day(2025, 1, 1), day(2025, 1, 5)), (2, 1, "a", day(2025, 1, 5), day(9025, 1, 1)), (3, 2, "a", day(25, 1, 1), day(2025, 1, 1)),
+    )
+    tasks = rows(
+        "id long, property_pk long, region_code string, type_department string, scheduled_date date, checkin_date date, checkout_date date, reservation_pk long",
+        (1, 1, "a", "housekeeping", day(2025, 1, 3), None, None, None), (2, 1, "a", "x", day(4000, 1, 1), day(4000, 1, 1), day(4000, 1, 2), None),
+        (3, 2, "a", "x", day(1025, 1, 1), day(1, 1, 1), day(9000, 1, 1), None), (4, 3, "a", "x", day(2025, 1, 1), day(2025, 1, 1), day(2025, 1, 2), None),
+    )
+    got = {r.id: r.reservation_pk for r in keys.link_by_dates(tasks, stays).collect()}
+    assert got == {1: 1, 2: 2, 3: 3, 4: None}
