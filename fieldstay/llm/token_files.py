@@ -65,6 +65,13 @@ def unpack_record(payload) -> tuple[int | None, np.ndarray]:
     return (doc_id if known else None), np.frombuffer(payload, f"<u{width}", offset=PAYLOAD.size).astype("<u4")
 
 
+def put(store: fs.FileSystem, source: str, target: str) -> None:
+    """Rename to the final name; what an earlier attempt of the task left there is replaced."""
+    if store.get_file_info(target).type != fs.FileType.NotFound:
+        store.delete_file(target)
+    store.move(source, target)
+
+
 def write_token_files(
     docs: DataFrame, folder: str, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text",
     end_id: int | None = 1, by_word: bool = True,
@@ -103,8 +110,8 @@ def write_token_files(
             index.write(np.asarray([at], "<u8").tobytes())
             data.close()
             index.close()
-            store.move(f"{own}.idx", f"{root}/{name}.idx")
-            store.move(own, f"{root}/{name}")
+            put(store, f"{own}.idx", f"{root}/{name}.idx")
+            put(store, own, f"{root}/{name}")
             yield pa.RecordBatch.from_pydict(
                 {"file_no": pa.array([number], pa.int64()), "file": [name], "records": pa.array([records], pa.int64()), "tokens": pa.array([tokens], pa.int64())}
             )
