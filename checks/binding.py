@@ -213,9 +213,9 @@ class Domain(Mapping):
 
     @cached_property
     def property_photos(self) -> DataFrame:
-        """Two line items per property stand for photos: (part, property of the order)."""
+        """Line items stand for photos: (part, property of the order)."""
         orders = self.raw("orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("property_pk"))
-        return self.raw("lineitem").where(F.col("l_linenumber") == 1).join(orders, "l_orderkey").select(
+        return self.raw("lineitem").join(orders, "l_orderkey").select(
             "property_pk",
             (F.col("l_partkey") % 50).cast("string").alias("photo_id"),
             F.struct("l_orderkey", *LINE_ORDER).alias("arrival"),

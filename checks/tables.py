@@ -61,10 +61,17 @@ check("snapshot_pruned_read", lambda d: store_of(d, "tasks").read("tasks", betwe
 REQ_KEY, PHOTO_KEY = ["task_pk", "requirement_id"], ["property_pk", "photo_id"]
 
 
+def lines(d: Domain, *columns: str) -> DataFrame:
+    """Line items in the place of a child table that has no stand-in of its own."""
+    return d.raw("lineitem").selectExpr(*columns)
+
+
 def duplicate_sources(d: Domain) -> dict:
     return {
         "property_photos": (d["property_photos"], PHOTO_KEY),
-        "reservation_guests": (d["task_requirements"], ["task_pk", "section_name", "response"]),
+        "reservation_guests": (lines(d, "l_suppkey AS reservation_pk", "l_linestatus AS guest_name", "l_returnflag AS guest_email"), ["reservation_pk", "guest_name", "guest_email"]),
+        "task_photos": (lines(d, "l_orderkey AS task_pk", "l_suppkey % 3 AS photo_id"), ["task_pk", "photo_id"]),
+        "task_comments": (lines(d, "l_partkey AS comment_id", "l_linestatus AS region_code"), ["comment_id", "region_code"]),
         "task_assignments": (d["task_assignments"], ["task_pk", "assignee_id"]),
         "task_requirements": (d["task_requirements"], REQ_KEY),
     }
@@ -78,7 +85,9 @@ def dup_line(name: str, table: str, key: str) -> str:
 check("duplicate_report", lambda d: dedup.duplicate_report(duplicate_sources(d)),
       "property_photos task_requirements task_assignments", " UNION ALL ".join([
           dup_line("property_photos", "property_photos", "property_pk, photo_id"),
-          dup_line("reservation_guests", "task_requirements", "task_pk, section_name, response"),
+          dup_line("task_photos", "lineitem", "l_orderkey, l_suppkey % 3"),
+          dup_line("task_comments", "lineitem", "l_partkey, l_linestatus"),
+          dup_line("reservation_guests", "lineitem", "l_suppkey, l_linestatus, l_returnflag"),
           dup_line("task_assignments", "task_assignments", "task_pk, assignee_id"),
           dup_line("task_requirements", "task_requirements", "task_pk, requirement_id")]))
 
@@ -121,8 +130,8 @@ def active(d: Domain) -> DataFrame:
 
 
 GONE = "property_pk NOT IN (SELECT id FROM properties WHERE property_status = 'active')"
-check("unmatched_properties", lambda d: quality.unmatched_properties(d["properties"], d["property_photos"]), "properties property_photos",
-      "SELECT id, property_id, region_code, property_name FROM properties WHERE id NOT IN (SELECT property_pk FROM property_photos)")
+check("unmatched_properties", lambda d: quality.unmatched_properties(d["properties"], d["property_photos"].where("photo_id = '0'")), "properties property_photos",
+      "SELECT id, property_id, region_code, property_name FROM properties WHERE id NOT IN (SELECT property_pk FROM property_photos WHERE photo_id = '0')")
 check("orphan_reservations", lambda d: quality.orphans(d["reservations"], active(d), "reservation_id"), "reservations properties",
       f"SELECT id, reservation_id, region_code FROM reservations WHERE {GONE}")
 check("orphan_tasks", lambda d: quality.orphans(d["tasks"], active(d), "task_id"), "tasks properties",
