@@ -11,7 +11,7 @@ from checks.binding import CLOCK, EVENT_CLOCK, Domain
 from checks.landed import _items
 from checks.records import FOLD_SQL, folded_source
 from checks.registry import big, check, cnt, pct, rnd, stamp, text
-from fieldstay.operators import dedup, export, keys, maintenance, merge, quality, reconcile, runlog
+from fieldstay.operators import dedup, export, keys, maintenance, merge, quality, reconcile, runlog, runs
 from fieldstay.session import durable, scratch_path
 from fieldstay.sources import snapshot
 from fieldstay.streaming import events as ev
@@ -540,7 +540,7 @@ def striking_tasks(d: Domain) -> DataFrame:
         F.when(k % 2 == 1, F.lit("2001-07-01").cast("timestamp")).alias("missing_since"))
 
 
-def reconciled(d: Domain) -> reconcile.Reconciled:
+def findings(d: Domain) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Region europe listed nothing; one property in nine failed; a third of tasks is not listed."""
     k = F.col("id")
     here = d["tasks"].where("region_code <> 'europe'")
@@ -548,7 +548,22 @@ def reconciled(d: Domain) -> reconcile.Reconciled:
     good = d["properties"].where(k % 9 != 0).select("region_code", F.col("property_id").alias("home_id"))
     verdict = F.when(k % 4 == 0, "present").when(k % 4 < 3, "deleted").otherwise("unknown")
     probes = here.where(k % 3 == 0).select("region_code", "task_id", verdict.alias("verdict"))
-    return reconcile.reconcile_deletes(striking_tasks(d), listed, good, probes, CLOCK, 400, 30)
+    return listed, good, probes
+
+
+def reconciled(d: Domain) -> reconcile.Reconciled:
+    return reconcile.reconcile_deletes(striking_tasks(d), *findings(d), CLOCK, 400, 30)
+
+
+def stored_reconciled(d: Domain) -> DataFrame:
+    """The same on a stored table; what was removed is in the audit."""
+    store = snapshot.SnapshotStore(d.spark, scratch_path(d.spark, "store"))
+    tasks = striking_tasks(d).withColumn("month", F.trunc("scheduled_date", "month"))
+    store.write("tasks", tasks, "month")
+    runs.reconcile_stored_tasks(store, *findings(d), CLOCK, "month", 400, 30)
+    kept = store.read("tasks").select("task_id", "region_code", "missing_strikes", F.lit(False).alias("removed"))
+    audit = d.spark.read.parquet(f"{store.root}/task_delete_audit")
+    return kept.unionByName(audit.select("task_id", "region_code", F.lit(None).cast("int").alias("missing_strikes"), F.lit(True).alias("removed")))
 
 
 ACTIONS = f"""a AS (SELECT id, task_id, region_code, {text("property_pk")} AS home_id, task_name, scheduled_date, {big("id % 2")} AS strikes,
@@ -561,6 +576,8 @@ SELECT task_id, region_code, home_id, task_name, {text("scheduled_date")} AS sch
  CASE action WHEN 'reset' THEN 0 WHEN 'strike' THEN strikes + 1 ELSE strikes END AS missing_strikes,
  {stamp(f"CASE action WHEN 'reset' THEN NULL WHEN 'strike' THEN coalesce(since, {NOW}) ELSE since END")} AS missing_since
 FROM a WHERE action <> 'delete'""")
+check("reconcile_stored_tasks", stored_reconciled, "tasks", f"""WITH {ACTIONS} SELECT task_id, region_code,
+ CASE action WHEN 'reset' THEN 0 WHEN 'strike' THEN strikes + 1 WHEN 'delete' THEN NULL ELSE strikes END AS missing_strikes, action = 'delete' AS removed FROM a""")
 check("reconcile_counts", lambda d: reconciled(d).counts, "tasks", f"WITH {ACTIONS} SELECT region_code, action, count(*) AS tasks FROM a GROUP BY 1, 2")
 check("delete_audit", lambda d: reconciled(d).audit, "tasks", f"""WITH {ACTIONS}
 SELECT {stamp(NOW)} AS deleted_at, region_code, task_id, task_name, {text("a.scheduled_date")} AS scheduled_date, 'confirmed missing on 2 successive runs' AS reason,
@@ -569,7 +586,7 @@ SELECT {stamp(NOW)} AS deleted_at, region_code, task_id, task_name, {text("a.sch
 FROM a WHERE action = 'delete'""")
 
 
-def lifecycle(d: Domain, dry_run: bool = False):
+def lifecycle(d: Domain, dry_run: bool = False, run=reconcile.reconcile_lifecycle):
     """Regions: asia's list is incomplete, europe's empty; states and ids move by key."""
     k = F.col("id")
     mirror = d["properties"].select(
@@ -580,7 +597,14 @@ def lifecycle(d: Domain, dry_run: bool = False):
         "region_code", "property_id", F.when(k % 7 < 3, "inactive").otherwise("active").alias("status"),
         F.when(k % 2 == 0, F.concat(F.lit("x"), "property_id")).alias("external_id"), k.alias("position"))
     complete = d["regions"].select("region_code", (F.col("region_code") != "asia").alias("complete"))
-    return reconcile.reconcile_lifecycle(mirror, listed, complete, CLOCK, dry_run)
+    return run(mirror, listed, complete, CLOCK, dry_run)
+
+
+def stored_lifecycle(mirror: DataFrame, listed: DataFrame, complete: DataFrame, clock, dry_run: bool) -> tuple[DataFrame, DataFrame]:
+    store = snapshot.SnapshotStore(mirror.sparkSession, scratch_path(mirror.sparkSession, "store"))
+    store.write("properties", mirror, "region_code")
+    counts = runs.reconcile_stored_properties(store, listed, complete, clock, dry_run)
+    return store.read("properties"), counts
 
 
 LIFE = """m AS (SELECT id, property_id, region_code, CASE id % 5 WHEN 0 THEN 'deleted' WHEN 1 THEN 'dirty' WHEN 2 THEN 'inactive' ELSE 'active' END AS st,
@@ -588,9 +612,11 @@ LIFE = """m AS (SELECT id, property_id, region_code, CASE id % 5 WHEN 0 THEN 'de
   CASE WHEN id % 7 < 3 THEN 'inactive' ELSE 'active' END AS lst, CASE WHEN id % 2 = 0 THEN 'x' || property_id ELSE '' END AS lext FROM properties),
 n AS (SELECT *, NOT hit AND region_code NOT IN ('europe', 'asia') AND st <> 'deleted' AS gone,
   hit AND lst <> st AND (lst IN ('inactive', 'deleted') OR st IN ('inactive', 'deleted')) AS moved, hit AND lext <> coalesce(ext, '') AS ext_moved FROM m)"""
-check("reconcile_lifecycle", lambda d: lifecycle(d)[0], "properties", f"""WITH {LIFE}
+LIFE_SQL = f"""WITH {LIFE}
 SELECT property_id, region_code, CASE WHEN gone THEN 'deleted' WHEN moved THEN lst ELSE st END AS property_status,
- CASE WHEN ext_moved THEN lext ELSE ext END AS external_id, {stamp(f"CASE WHEN gone OR moved OR ext_moved THEN {NOW} ELSE TIMESTAMP '2001-01-01' END")} AS synced_at FROM n""")
+ CASE WHEN ext_moved THEN lext ELSE ext END AS external_id, {stamp(f"CASE WHEN gone OR moved OR ext_moved THEN {NOW} ELSE TIMESTAMP '2001-01-01' END")} AS synced_at FROM n"""
+check("reconcile_lifecycle", lambda d: lifecycle(d)[0], "properties", LIFE_SQL)
+check("reconcile_stored_properties", lambda d: lifecycle(d, run=stored_lifecycle)[0], "properties", LIFE_SQL)
 check("reconcile_lifecycle_report", lambda d: lifecycle(d, True)[1], "properties", f"""WITH {LIFE}
 SELECT region_code, {cnt("moved")} AS status_fixed, {cnt("ext_moved")} AS external_fixed, {cnt("gone")} AS marked_deleted FROM n GROUP BY 1""")
 
@@ -692,6 +718,25 @@ FROM properties WHERE {fresh()}"""
 check("export_property_dim", lambda d: export.export_properties(full_properties(d), watermarks(d, "property_dim")), "properties", EXPORT_DIM)
 
 
+def pushed_twice(d: Domain) -> DataFrame:
+    """All rows go out first; a day later only rows synced since; each row carries the number of its push."""
+    store = snapshot.SnapshotStore(d.spark, scratch_path(d.spark, "store"))
+    out = scratch_path(d.spark, "pushed")
+    table = synced(d["properties"]).select("property_id", "region_code", "synced_at")
+    store.write("properties", table, "region_code")
+    for n in (1, 2):
+        runs.push_changes(
+            store, "properties", "property_dim", lambda rows, marks: export.changed_since(rows, marks, "property_dim"),
+            lambda rows, n=n: rows.withColumn("push", F.lit(n)).write.mode("append").parquet(out))
+        later = F.when(F.col("property_id").cast("long") % 4 == 0, CLOCK.timestamp() + F.expr("INTERVAL 1 DAY")).otherwise(F.col("synced_at"))
+        store.write("properties", durable(store.read("properties").withColumn("synced_at", later)), "region_code")
+    return d.spark.read.parquet(out).select("property_id", "region_code", "push")
+
+
+check("push_changes", pushed_twice, "properties", """SELECT property_id, region_code, 1 AS push FROM properties
+UNION ALL SELECT property_id, region_code, 2 FROM properties WHERE id % 4 = 0""")
+
+
 def payloads(d: Domain) -> DataFrame:
     rows = export.export_rows(full_properties(d), ["property_id", "region_code", "property_zipcode", "synced_at", "wifi_name"],
                               export.PROPERTY_RENAMES, export.PROPERTY_TEXT)
