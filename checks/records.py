@@ -11,9 +11,11 @@ from checks import landed
 from checks.binding import CLOCK, Domain
 from checks.registry import big, check, text
 from fieldstay.functions import parsing
-from fieldstay.operators import links, records
+from fieldstay.operators import links, records, runs
 from fieldstay.operators.entities import ENTITIES, PROPERTY_CONTACTS, TASK_CHILDREN, child_schema, record_schema
+from fieldstay.session import scratch_path
 from fieldstay.sources import pages
+from fieldstay.sources.snapshot import SnapshotStore
 
 PROPERTIES, TASKS, RESERVATIONS = ENTITIES["properties"], ENTITIES["tasks"], ENTITIES["reservations"]
 
@@ -296,3 +298,23 @@ SELECT task_pk, CAST(pos // 2 AS BIGINT) AS part, '[' || string_agg('{"requireme
 FROM (SELECT *, row_number() OVER (PARTITION BY task_pk ORDER BY s NULLS LAST, requirement_id, response NULLS LAST, photo_required) - 1 AS pos
   FROM (SELECT *, CASE WHEN task_pk % 4 <> 0 THEN section_name END AS s FROM task_requirements)) GROUP BY ALL"""
 check("fold_requirements_parts", lambda d: links.fold_requirements(folded_source(d), part_rows=2), "task_requirements", PART_SQL)
+
+
+def loaded_links(d: Domain) -> DataFrame:
+    """Links of odd tasks are loaded on one day, all links on the next, with stored reservations and tasks as keys."""
+    store = SnapshotStore(d.spark, scratch_path(d.spark, "store"))
+    store.write("reservations", d["reservations"].select("id", "reservation_id", "region_code"), "region_code")
+    store.write("tasks", d["tasks"].select("id", "task_id", "region_code"), "region_code")
+    records = raw_links(d)
+    runs.load_links(store, records.where(F.col("reservation_id") % 2 == 1), CLOCK)
+    counts = runs.load_links(store, records, CLOCK)
+    rows = store.read("reservation_tasks").groupBy("region_code").agg(
+        F.count(F.lit(1)).alias("links"), F.count("reservation_pk").alias("with_reservation"), F.count("task_pk").alias("with_task"))
+    return rows.join(counts, "region_code")
+
+
+check("load_links", loaded_links, "tasks reservations", """
+SELECT t.region_code, count(*) AS links, count(r.id) AS with_reservation, count(*) AS with_task,
+ count(*) FILTER (WHERE reservation_pk % 2 = 0) AS inserted, count(*) FILTER (WHERE reservation_pk % 2 = 1) AS updated
+FROM tasks t LEFT JOIN reservations r ON r.id = t.reservation_pk AND r.region_code = t.region_code
+WHERE reservation_pk IS NOT NULL AND t.id % 19 <> 0 GROUP BY 1""")
