@@ -19,6 +19,8 @@ STATISTICS = (
     "mark_share", "log_lines", "repeated_lines",
 )
 SEED = 17
+# Text handled at a time; a worker's arrays are a few dozen times as large.
+STEP_BYTES = 1 << 21
 
 
 class Model(NamedTuple):
@@ -184,7 +186,7 @@ def features(texts: DataFrame, *, size: int) -> DataFrame:
 
     def run(batches):
         for whole in batches:
-            for part in batches_of(whole, "text"):
+            for part in batches_of(whole, "text", STEP_BYTES):
                 words = split_words(part.column(1))
                 rows = word_rows(words, size)
                 dense = dense_features(part.drop_columns(["label"]), words)
@@ -246,7 +248,7 @@ def score(
 
     def run(batches):
         for whole in batches:
-            for part in batches_of(whole, "text"):
+            for part in batches_of(whole, "text", STEP_BYTES):
                 if model is None:
                     result = np.full(part.num_rows, 0.5)
                 else:
