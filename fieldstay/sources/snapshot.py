@@ -101,11 +101,15 @@ class SnapshotStore:
     def exists(self, table: str) -> bool:
         return self._pointer(table) is not None
 
-    def write(self, table: str, df: DataFrame, partition_by: str | None = None) -> None:
+    def notes(self, table: str) -> dict:
+        """What the writer of the table noted about it; changes of partitions keep it."""
+        return (self._pointer(table) or {}).get("notes", {})
+
+    def write(self, table: str, df: DataFrame, partition_by: str | None = None, notes: dict | None = None) -> None:
         """Replace the whole table."""
         number = max(self._numbers(table), default=0)
         parts = self._write_folders(table, df, partition_by)
-        self._point(table, {"column": partition_by, "schema": df.schema.json(), "parts": parts, "number": number})
+        self._point(table, {"column": partition_by, "schema": df.schema.json(), "parts": parts, "number": number, "notes": notes or {}})
 
     def read(
         self, table: str, values: Sequence[str] | None = None, between: tuple[str, str] | None = None

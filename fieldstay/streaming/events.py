@@ -258,9 +258,6 @@ def start_task_stream(
     return _start(stream, on_batch, checkpoint, available_now)
 
 
-STATUS_SLOTS = 64
-
-
 def start_property_stream(
     stream: DataFrame, store: SnapshotStore, companies: DataFrame, properties: DataFrame, clock: Clock | Callable[[], Clock],
     checkpoint: str, available_now: bool = True,
@@ -297,10 +294,13 @@ def _update_mirror(store: SnapshotStore, events: DataFrame, clock: Clock) -> Non
 
 
 def _update_status(store: SnapshotStore, events: DataFrame) -> None:
-    slot = F.pmod(F.xxhash64("property_id"), F.lit(STATUS_SLOTS))
+    # As many slots as there were shuffle partitions when the table was made.
+    slots_now = int(store.spark.conf.get("spark.sql.shuffle.partitions"))
+    count = store.notes("property_status").get("slots", slots_now)
+    slot = F.pmod(F.xxhash64("property_id"), F.lit(count))
     newest = durable(latest_property_status(events).withColumn("slot", slot))
     if not store.exists("property_status"):
-        store.write("property_status", newest, "slot")
+        store.write("property_status", newest, "slot", {"slots": count})
         discard(newest)
         return
     slots = touched_values(newest, "slot")
