@@ -65,8 +65,18 @@ def contamination(
     Null and empty texts have no words; null ids are kept; rows equal in id and text get the same result; an empty
     benchmark hits nothing; other columns are not carried.
     """
+    return contamination_of(
+        with_row_key(docs, id_col, text_col), benchmark, item_col=item_col, item_text_col=item_text_col, width=width, share=share
+    )
+
+
+def contamination_of(
+    rows: DataFrame, benchmark: DataFrame, *, item_col: str = "item_id", item_text_col: str = "text", width: int = 13, share: float = 0.05
+) -> DataFrame:
+    """``contamination`` of ``(row_key, id, text)``, by the keys the rows have. Another call of ``with_row_key`` may give
+    other keys, so what meets the result again must come from the same keyed rows."""
     grams = materialise(benchmark_windows(benchmark, width, id_col=item_col, text_col=item_text_col), "grams")
-    scanned = materialise(scan(with_row_key(docs, id_col, text_col), grams), "scanned")
+    scanned = materialise(scan(rows, grams), "scanned")
     candidates = scanned.select("row_key", F.explode("found").alias("f")).select("row_key", "f.*")
     hits = candidates.join(grams, ["gram", "width"])
     spans = F.collect_set(F.struct("start", "width"))
@@ -87,28 +97,35 @@ def contamination(
     ).withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") >= F.col("n_words") * F.lit(share).cast("decimal(9,6)")))
 
 
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``docs`` with all columns and ``row_key``, and of the same rows ``(row_key, id, text)``."""
+    keyed = with_row_key(docs, id_col, text_col, carry=True)
+    return keyed, keyed.select("row_key", F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+
+
 def clean_documents(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs``, all columns, whose document is not contaminated."""
-    found = contamination(docs, benchmark, id_col=id_col, text_col=text_col, **options)
+    keyed, rows = _keyed(docs, id_col, text_col)
+    found = contamination_of(rows, benchmark, **options)
     bad = materialise(found.filter("contaminated").select(F.col("row_key").alias("_row_key")).distinct(), "contaminated")
-    keyed = with_row_key(docs, id_col, text_col, carry=True)
     return keyed.join(bad, F.col("row_key") == F.col("_row_key"), "left_anti").select(*docs.columns)
 
 
 def clean_spans(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs``, all rows and columns, with hit words cut out of the text; what lies between words stays."""
-    found = contamination(docs, benchmark, id_col=id_col, text_col=text_col, **options)
+    keyed, rows = _keyed(docs, id_col, text_col)
+    found = contamination_of(rows, benchmark, **options)
     spans = materialise(
         found.filter("n_hit > 0").select(F.col("row_key").alias("_row_key"), F.col("hit_spans").alias("_spans")).dropDuplicates(["_row_key"]), "spans"
     )
     word = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
-    keyed = with_row_key(docs, id_col, text_col, carry=True).join(spans, F.col("row_key") == F.col("_row_key"), "left")
+    marked = keyed.join(spans, F.col("row_key") == F.col("_row_key"), "left")
     gone = F.array_distinct(F.flatten(F.transform("_spans", lambda s: F.sequence(s["start"], s["start"] + s["width"] - 1))))
     # Gap, word, gap, word, ..., gap; a set of word numbers to leave out, as places in the list of words.
     words = F.regexp_extract_all(text_col, F.lit(word), F.lit(0))
     gaps = F.split(text_col, word)
     holes = F.transform(F.sequence(F.lit(1), F.size(words)), lambda i: F.array_position("_gone", i) > 0)
-    shaped = keyed.withColumn("_gone", gone).withColumn("_holes", holes)
+    shaped = marked.withColumn("_gone", gone).withColumn("_holes", holes)
     cut = F.concat(
         F.element_at(gaps, 1),
         F.array_join(F.zip_with(F.arrays_zip(words.alias("w"), F.col("_holes").alias("h")), F.slice(gaps, 2, F.size(words)), lambda x, g: F.concat(F.when(x["h"], F.lit("")).otherwise(x["w"]), g)), ""),

@@ -111,6 +111,30 @@ def test_clean_documents_and_spans(spark):
     assert cut == {1: "Lead.   -! Rest of it", 2: "untouched  text", 3: None}
 
 
+@pytest.mark.parametrize("id_type", ["string", "long"])
+def test_cleaning_of_rows_whose_keys_are_sampled(spark, id_type):
+    """More rows than the range bounds are drawn from, so that each numbering of the rows is another one."""
+    name = "spark.sql.execution.rangeExchange.sampleSizePerPartition"
+    before = spark.conf.get(name)
+    passage = " ".join(f"q{i}" for i in range(13))
+    bad = {i for i in range(3_000) if i % 3 == 0}
+    rows = [(i, f"lead {passage} end{i}" if i in bad else " ".join(f"n{i}x{k}" for k in range(15))) for i in range(3_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("more", F.col("doc_id"))
+    # Ids of text, or whole numbers of which one is null.
+    own = F.col("doc_id").cast("string") if id_type == "string" else F.when(F.col("doc_id") != 1, F.col("doc_id"))
+    docs = docs.withColumn("doc_id", own).repartition(6)
+    items = spark.createDataFrame([(1, passage)], "item_id long, text string")
+    spark.conf.set(name, "1")
+    try:
+        left = decontamination.clean_documents(docs, items).collect()
+        cut = {r.more: r.text for r in decontamination.clean_spans(docs, items).collect()}
+    finally:
+        spark.conf.set(name, before)
+    assert sorted(r.more for r in left) == [i for i in range(3_000) if i not in bad]
+    assert len(cut) == 3_000 and {i for i, text in cut.items() if passage in text} == set()
+    assert all(cut[i] == text for i, text in rows if i not in bad)
+
+
 def fingerprint(text):
     words = (text or "").encode().lower().split()
     if not words:
