@@ -90,6 +90,20 @@ def test_sample_is_bounded_and_leaves_out_the_fold(edge_docs, edge_labels):
     assert {r.id: r.label for r in everything}.get(3, 1) == 1
 
 
+def test_texts_beyond_the_bound_leave_the_others_in_training(rows, monkeypatch):
+    """Texts longer than the bound, and of two that only fit alone the second, are left out; all short ones stay."""
+    given = {}
+    monkeypatch.setattr(toxicity, "train", lambda tokens, starts, labels, langs, size: given.update(sizes=np.diff(starts), labels=labels))
+    pad = max(toxicity.WIDTHS)
+    short = [(i, "good words " * 5, "en") for i in range(40)]
+    docs = rows("doc_id long, text string, lang string", *short, *((i, "bad " * 3_000, "en") for i in (100, 101, 102)), *((i, "bad " * 1_000, "en") for i in (200, 201)))
+    labels = rows("doc_id long, toxic int", *((i, i % 2) for i in range(40)), *((i, 1) for i in (100, 101, 102, 200, 201)))
+    toxicity.fit(docs, labels, folds=2, held_out=2, train_words=40 * (10 + pad) + 1_000 + pad)
+    assert sorted(given["sizes"]) == [10 + pad] * 40 + [1_000 + pad]
+    assert given["labels"].sum() == 21
+    assert toxicity.fit(docs, labels, folds=2, held_out=2, train_words=9) is None
+
+
 def test_platt_and_thresholds():
     scores = np.array([-2.0, -1.0, -0.5, 0.5, 1.0, 2.0] * 10)
     labels = np.array([0, 0, 1, 0, 1, 1] * 10, float)
