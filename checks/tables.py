@@ -132,6 +132,15 @@ def active(d: Domain) -> DataFrame:
 GONE = "property_pk NOT IN (SELECT id FROM properties WHERE property_status = 'active')"
 check("unmatched_properties", lambda d: quality.unmatched_properties(d["properties"], d["property_photos"].where("photo_id = '0'")), "properties property_photos",
       "SELECT id, property_id, region_code, property_name FROM properties WHERE id NOT IN (SELECT property_pk FROM property_photos WHERE photo_id = '0')")
+
+
+def photoless(d: Domain) -> DataFrame:
+    """Properties without any photo, whatever the photos' numbers."""
+    return quality.unmatched_properties(d["properties"], d["property_photos"])
+
+
+check("properties_without_photo", photoless, "properties property_photos",
+      "SELECT id, property_id, region_code, property_name FROM properties p WHERE NOT EXISTS (SELECT 1 FROM property_photos f WHERE f.property_pk = p.id)")
 check("orphan_reservations", lambda d: quality.orphans(d["reservations"], active(d), "reservation_id"), "reservations properties",
       f"SELECT id, reservation_id, region_code FROM reservations WHERE {GONE}")
 check("orphan_tasks", lambda d: quality.orphans(d["tasks"], active(d), "task_id"), "tasks properties",

@@ -388,3 +388,11 @@ def test_links_by_dates_with_very_long_ranges(rows):
     )
     got = {r.id: r.reservation_pk for r in keys.link_by_dates(tasks, stays).collect()}
     assert got == {1: 1, 2: 2, 3: 3, 4: None}
+
+
+def test_a_property_with_any_photo_is_not_listed(rows):
+    from checks.tables import photoless
+
+    properties = rows("id long, property_id string, region_code string, property_name string", *((i, f"p{i}", "a", f"P{i}") for i in (1, 2, 3)))
+    photos = rows("property_pk long, photo_id string", (1, "0"), (2, "7"), (2, "8"), (None, "0"))
+    assert [r.id for r in photoless({"properties": properties, "property_photos": photos}).collect()] == [3]
