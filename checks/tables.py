@@ -180,6 +180,17 @@ def child_tables(d: Domain) -> dict:
 check("child_counts", lambda d: quality.child_counts(child_tables(d)), "task_requirements tasks", """
 SELECT 'supplies' AS child, region_code, count(*) AS records FROM task_requirements q JOIN tasks t ON q.task_pk = t.id WHERE photos = '["p"]' GROUP BY 2
 UNION ALL SELECT 'costs', region_code, count(*) FROM tasks WHERE rate_paid IS NOT NULL GROUP BY 2""")
+
+
+def whole_child_tables(d: Domain) -> dict:
+    """As ``child_tables``, with every requirement as a supply."""
+    place = d["tasks"].select(F.col("id").alias("task_pk"), "region_code")
+    return child_tables(d) | {"supplies": d["task_requirements"].join(place, "task_pk")}
+
+
+check("child_counts_whole", lambda d: quality.child_counts(whole_child_tables(d)), "task_requirements tasks", """
+SELECT 'supplies' AS child, region_code, count(*) AS records FROM task_requirements q JOIN tasks t ON q.task_pk = t.id GROUP BY 2
+UNION ALL SELECT 'costs', region_code, count(*) FROM tasks WHERE rate_paid IS NOT NULL GROUP BY 2""")
 check("field_fill",
       lambda d: quality.field_fill(d["tasks"], ["finished_by_id", "rate_paid", "started_at"], CLOCK.hours_ago(24 * 365), "created_at"),
       "tasks", f"""SELECT count(*) AS total, count(finished_by_id) AS has_finished_by_id, count(rate_paid) AS has_rate_paid,

@@ -396,3 +396,12 @@ def test_a_property_with_any_photo_is_not_listed(rows):
     properties = rows("id long, property_id string, region_code string, property_name string", *((i, f"p{i}", "a", f"P{i}") for i in (1, 2, 3)))
     photos = rows("property_pk long, photo_id string", (1, "0"), (2, "7"), (2, "8"), (None, "0"))
     assert [r.id for r in photoless({"properties": properties, "property_photos": photos}).collect()] == [3]
+
+
+def test_every_requirement_counts_as_supply(rows):
+    from checks.tables import whole_child_tables
+
+    tasks = rows("id long, region_code string, rate_paid double", (1, "a", None), (2, "b", 3.0))
+    requirements = rows("task_pk long, photos string", (1, '["p"]'), (1, "[]"), (2, None), (9, "[]"))
+    counts = quality.child_counts(whole_child_tables({"tasks": tasks, "task_requirements": requirements})).collect()
+    assert {(r.child, r.region_code): r.records for r in counts} == {("supplies", "a"): 2, ("supplies", "b"): 1, ("costs", "b"): 1}
