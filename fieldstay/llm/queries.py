@@ -7,8 +7,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldstay.llm import (
+    collocations,
+    cross_polytope,
     decontamination,
     factor_machine,
+    merkle,
     packing,
     preferences,
     quality_rules,
@@ -222,6 +225,126 @@ def with_quality(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...]) -> D
     return factor_machine.score(docs, model, metadata=METADATA, keep=keep)
 
 
+def op11_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_polytope.near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.98).withColumnRenamed("id", "vec_id")
+
+
+# Reachability by repeated minima over the links; copies and near copies make short chains.
+OP11_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS x FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT p.vec_id AS a, q.vec_id AS b FROM v p JOIN v q ON p.label = q.label AND p.vec_id <> q.vec_id AND len(p.x) = len(q.x)
+  WHERE list_cosine_similarity(p.x, q.x) >= 0.98
+), reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+degree AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings e LEFT JOIN least ON least.a = e.vec_id LEFT JOIN degree ON degree.a = e.vec_id
+"""
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fields = ("doc_id", "source", "lang", "n_chars", "text")
+    changed = [merkle.field(F.col(c) + 1 if c == "n_chars" else F.col(c)) for c in fields]
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0, merkle.hexed(merkle.sha(*changed)))
+    proved = merkle.manifest(docs, fields=fields, claimed=tampered)
+    return proved.withColumnRenamed("id", "doc_id").drop("claimed")
+
+
+# A level at a time over lists of digests; the CRC-32 is folded bit by bit.
+OP12_SQL = """
+WITH RECURSIVE fields AS (
+  SELECT doc_id, lang, [CAST(doc_id AS VARCHAR), source, lang, CAST(n_chars AS VARCHAR), text] AS f,
+         [CAST(doc_id AS VARCHAR), source, lang, CAST(n_chars + 1 AS VARCHAR), text] AS g,
+         list_transform(range(length(CAST(doc_id AS VARCHAR))), lambda i: ascii(substr(CAST(doc_id AS VARCHAR), CAST(i + 1 AS INTEGER), 1))) AS bytes
+  FROM documents
+), leaves AS (
+  SELECT doc_id, lang,
+    sha256(list_aggregate(list_transform(f, lambda x: CASE WHEN x IS NULL THEN '-' ELSE strlen(x) || ':' || x END), 'string_agg', '')) AS leaf,
+    sha256(list_aggregate(list_transform(g, lambda x: CASE WHEN x IS NULL THEN '-' ELSE strlen(x) || ':' || x END), 'string_agg', '')) AS other,
+    xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(bytes, lambda b: CAST(b AS BIGINT))), lambda c, b:
+      list_reduce(list_prepend(xor(c, b), CAST(range(8) AS BIGINT[])), lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)), 4294967295) AS crc
+  FROM fields
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS r FROM leaves
+), langs AS (SELECT lang, list(leaf ORDER BY r) AS leaf_list, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS g FROM ranked GROUP BY lang),
+trees AS (
+  SELECT g, 0 AS level, leaf_list AS x FROM langs
+  UNION ALL
+  SELECT g, level + 1, list_transform(range((len(x) + 1) // 2), lambda i: sha256(x[2 * i + 1] || coalesce(x[2 * i + 2], ''))) FROM trees WHERE len(x) > 1
+), subroots AS (SELECT g, x[1] AS subroot, level AS height FROM trees WHERE len(x) = 1),
+crown AS (
+  SELECT 0 AS level, (SELECT list(subroot ORDER BY g) FROM subroots) AS x
+  UNION ALL
+  SELECT level + 1, list_transform(range((len(x) + 1) // 2), lambda i: sha256(x[2 * i + 1] || coalesce(x[2 * i + 2], ''))) FROM crown WHERE len(x) > 1
+), top AS (SELECT x[1] AS root FROM crown WHERE len(x) = 1),
+every AS (
+  SELECT g, level AS step, level, x, FALSE AS upper FROM trees WHERE len(x) > 1
+  UNION ALL SELECT subroots.g, height + crown.level, crown.level, crown.x, TRUE FROM subroots CROSS JOIN crown WHERE len(crown.x) > 1
+), docs AS (
+  SELECT ranked.doc_id, langs.g, r, leaf, coalesce(CASE WHEN crc % 7 = 0 THEN other END, leaf) AS claimed
+  FROM ranked JOIN langs ON ranked.lang IS NOT DISTINCT FROM langs.lang
+), steps AS (
+  SELECT doc_id, docs.r AS leaf_r, docs.g, step, x, CASE WHEN upper THEN docs.g ELSE docs.r END // CAST(pow(2, level) AS BIGINT) AS spot
+  FROM docs JOIN every USING (g)
+), sides AS (
+  SELECT g, leaf_r, step, CASE WHEN spot % 2 = 1 THEN x[spot] END AS before, CASE WHEN spot % 2 = 0 THEN x[spot + 2] END AS after FROM steps
+), lists AS (
+  SELECT g, leaf_r, string_agg(coalesce(before, after, ''), '' ORDER BY step) AS proof, list([coalesce(before, ''), coalesce(after, '')] ORDER BY step) AS sib
+  FROM sides GROUP BY g, leaf_r
+), folds AS (
+  SELECT docs.g, r, 0 AS done, claimed AS h, coalesce(sib, []) AS sib FROM docs LEFT JOIN lists ON lists.g = docs.g AND leaf_r = r
+  UNION ALL SELECT g, r, done + 1, sha256(sib[done + 1][1] || h || sib[done + 1][2]), sib FROM folds WHERE done < len(sib)
+)
+SELECT docs.doc_id, leaf, subroot, root, sha256(coalesce(proof, '')) AS proof_sha256, h AS folded_root, h = root AS verified
+FROM docs JOIN subroots ON subroots.g = docs.g CROSS JOIN top LEFT JOIN lists ON lists.g = docs.g AND leaf_r = docs.r
+JOIN folds ON folds.g = docs.g AND folds.r = docs.r AND done = len(folds.sib)
+"""
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), least=10, top=2000, covered=50)
+
+
+OP13_SQL = """
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS doc,
+         string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS p FROM documents
+), lists AS (SELECT lang, regexp_extract_all(unnest(p), '[^\x20\x09]+') AS w FROM pieces),
+grams AS (
+  SELECT lang, k, list_aggregate(w[i:i + k - 1], 'string_agg', ' ') AS g, count(*) AS f
+  FROM (SELECT lang, w, k, unnest(generate_series(1, len(w) - k + 1)) AS i FROM lists CROSS JOIN (SELECT unnest([1, 2, 3]) AS k) WHERE len(w) >= k)
+  GROUP BY ALL
+), totals AS (SELECT lang, sum(f) AS n FROM grams WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT lang, k, g, f AS a, string_split(g, ' ') AS w FROM grams WHERE k > 1 AND f >= 10),
+cuts AS (
+  SELECT lang, k, g, a, c, list_aggregate(w[1:c], 'string_agg', ' ') AS lp, list_aggregate(w[c + 1:k], 'string_agg', ' ') AS rp
+  FROM (SELECT *, unnest(generate_series(1, k - 1)) AS c FROM candidates)
+), scored AS (
+  SELECT cuts.lang, cuts.k, cuts.g, a, c, x.f AS l, y.f AS r,
+         CAST(CAST(1000000 AS HUGEINT) * a * a // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+  FROM cuts JOIN grams x ON x.lang = cuts.lang AND x.g = lp AND x.k = c JOIN grams y ON y.lang = cuts.lang AND y.g = rp AND y.k = cuts.k - c
+), weakest AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, g ORDER BY score, c) AS nth FROM scored) WHERE nth = 1
+), inside AS (
+  SELECT lang, g, max(a) AS most FROM (
+    SELECT lang, list_aggregate(w[i:i + 1], 'string_agg', ' ') AS g, a FROM (SELECT *, unnest([1, 2]) AS i FROM candidates WHERE k = 3)
+  ) GROUP BY lang, g
+), kept AS (
+  SELECT weakest.* FROM weakest LEFT JOIN inside ON weakest.k = 2 AND inside.lang = weakest.lang AND inside.g = weakest.g
+  WHERE most IS NULL OR 100 * most < 50 * a
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g) AS rank FROM kept
+)
+SELECT ranked.lang, rank, g AS phrase, a, l, r, CAST(n AS BIGINT) AS n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_preferences": op2_preferences,
@@ -233,5 +356,15 @@ QUERIES = {
     "op8_substrings": op8_substrings,
     "op9_token_files": op9_token_files,
     "op10_factor_machine": op10_factor_machine,
+    "op11_cross_polytope": op11_cross_polytope,
+    "op12_merkle": op12_merkle,
+    "op13_collocations": op13_collocations,
+}
+ORACLES: dict[str, str] = {
+    "op2_preferences": OP2_SQL,
+    "op4_decontamination": OP4_SQL,
+    "op8_substrings": OP8_SQL,
+    "op11_cross_polytope": OP11_SQL,
+    "op12_merkle": OP12_SQL,
+    "op13_collocations": OP13_SQL,
 }
-ORACLES: dict[str, str] = {"op2_preferences": OP2_SQL, "op4_decontamination": OP4_SQL, "op8_substrings": OP8_SQL}
