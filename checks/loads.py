@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from unittest import mock
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from checks import landed
 from checks.binding import CLOCK, Domain
 from checks.registry import big, check, stamp, text
 from fieldstay.functions.times import Clock
-from fieldstay.operators import records
+from fieldstay.operators import load, records, runs
 from fieldstay.operators.entities import ENTITIES, record_schema
 from fieldstay.operators.load import load_entity
 from fieldstay.session import scratch_path
@@ -90,6 +92,77 @@ check("load_unreadable_page", broken_load, "regions", """
 SELECT region_code, CASE region_code WHEN 'asia' THEN 'failed' ELSE 'success' END AS sync_status, region_code <> 'asia' AS moved, region_code = 'asia' AS told FROM regions""")
 
 
+def rolled_back(d: Domain) -> DataFrame:
+    """The second load stops between parents and children: all tables are as after the first, the runs have failed."""
+    store = SnapshotStore(d.spark, scratch_path(d.spark, "store"))
+    pages = landed.property_pages(d)
+    load_entity(store, "properties", pages, EARLIER)
+    again = pages.withColumn("body", F.replace("body", F.lit("Customer#"), F.lit("House ")))
+    try:
+        with mock.patch.object(load, "load_children", side_effect=ConnectionError("photos are lost")):
+            load_entity(store, "properties", again, CLOCK)
+        raise AssertionError("the load did not stop")
+    except ConnectionError:
+        pass
+    status = store.read("sync_status").select("region_code", "sync_status", "error_message", "last_successful_sync_at")
+    photos = _photos(store).groupBy("property_id").agg(F.count(F.lit(1)).alias("photos"))
+    rows = store.read("properties").select("property_id", "region_code", "property_name", "updated_at")
+    return rows.join(photos, "property_id", "left").fillna(0, ["photos"]).join(status, "region_code")
+
+
+check("load_rollback", rolled_back, "properties", f"""
+SELECT region_code, property_id, property_name, {stamp("TIMESTAMP '2001-07-14 12:00:00'")} AS updated_at,
+ {big("CASE WHEN id % 10 <> 9 THEN id % 4 ELSE 0 END")} AS photos, 'failed' AS sync_status, 'ConnectionError: photos are lost' AS error_message,
+ {stamp("TIMESTAMP '2001-07-14 12:00:00'")} AS last_successful_sync_at
+FROM properties WHERE {LISTED}""")
+
+
+def partly_loaded(d: Domain) -> DataFrame:
+    """Requests for every fifth reservation of region asia fail: it is ``partial`` and does not count as a success; what came
+    is stored."""
+    store = SnapshotStore(d.spark, scratch_path(d.spark, "store"))
+
+    def lost(key: str) -> Column:
+        return (F.col("region_code") == "asia") & (F.col(key) % 5 == 0)
+
+    made = d["reservations"].select("region_code", "reservation_id", lost("id").alias("failed"))
+    body = F.to_json(F.struct("id", F.col("task_name").alias("name")))
+    links = d["tasks"].where(F.col("reservation_pk").isNotNull() & ~lost("reservation_pk"))
+    runs.load_links(store, links.select("region_code", F.col("reservation_pk").alias("reservation_id"), body.alias("record")), CLOCK, made)
+    links = store.read("reservation_tasks").groupBy("region_code").agg(F.count(F.lit(1)).alias("links"))
+    return store.read("sync_status").select(
+        "region_code", "sync_status", "error_message", "records_new", "api_calls_made", "last_successful_sync_at").join(links, "region_code")
+
+
+check("load_partial", partly_loaded, "reservations tasks", f"""
+WITH calls AS (SELECT region_code, count(*) AS calls, count(*) FILTER (WHERE region_code = 'asia' AND id % 5 = 0) AS lost FROM reservations GROUP BY 1),
+links AS (SELECT region_code, count(*) AS links FROM tasks WHERE reservation_pk IS NOT NULL AND NOT (region_code = 'asia' AND reservation_pk % 5 = 0) GROUP BY 1)
+SELECT region_code, CASE WHEN lost > 0 THEN 'partial' ELSE 'success' END AS sync_status, CASE WHEN lost > 0 THEN lost || ' reservation fetch failures' END AS error_message,
+ links AS records_new, calls AS api_calls_made, CASE WHEN lost = 0 THEN {stamp("TIMESTAMP '2001-07-15 12:00:00'")} END AS last_successful_sync_at, links
+FROM calls JOIN links USING (region_code)""")
+
+
+def not_loaded(d: Domain) -> DataFrame:
+    """A load that ends in an exception leaves ``failed``, never ``running``."""
+    store = SnapshotStore(d.spark, scratch_path(d.spark, "store"))
+    pages = landed.property_pages(d).withColumn("body", F.when(F.col("page") == -1, "").otherwise(F.raise_error(F.lit("the feed broke off"))))
+    try:
+        load_entity(store, "properties", pages, CLOCK)
+        raise AssertionError("the load did not stop")
+    except AssertionError:
+        raise
+    except Exception:  # noqa: BLE001 - whatever Spark makes of the error
+        pass
+    return store.read("sync_status").select(
+        "region_code", "sync_status", F.col("error_message").contains("broke off").alias("told"), "sync_completed_at", "last_successful_sync_at",
+        F.lit(store.exists("properties")).alias("made"))
+
+
+check("load_failed", not_loaded, "regions", f"""
+SELECT region_code, 'failed' AS sync_status, true AS told, {stamp("TIMESTAMP '2001-07-15 12:00:00'")} AS sync_completed_at,
+ CAST(NULL AS VARCHAR) AS last_successful_sync_at, false AS made FROM regions""")
+
+
 # Entities with a transform only -------------------------------------------------------------------
 def transformed(d: Domain, name: str, rows: DataFrame, region: Column, key: Column, *columns: Column) -> DataFrame:
     """Records built from ``rows``, landed one per page (every fiftieth twice) and transformed."""

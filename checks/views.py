@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
-from checks.binding import CLOCK
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from checks.binding import CLOCK, Domain
 from checks.registry import ORACLES, big, check, cnt, div, pct, rnd, stamp, text
 from fieldstay.plans import boards, properties, regions, registry, trends, workers
+from fieldstay.plans.common import LAST
+from fieldstay.session import scratch_path
+from fieldstay.sources.snapshot import SnapshotStore
+from fieldstay.sources.stored import StoredTables
 
 HOURS, MINUTES = "3600000000.0::DOUBLE", "60000000.0::DOUBLE"
 DONE, OPEN = "task_status_stage = 'finished'", "task_status_stage IN ('new', 'in_progress')"
@@ -483,6 +490,26 @@ SELECT property_pk, type_department, id AS task_pk, task_name, {text("scheduled_
        count(*) OVER (PARTITION BY property_pk, type_department) AS group_size
 FROM tasks t WHERE t.scheduled_date BETWEEN DATE '2001-01-01' AND DATE '2001-06-30'""")
 
+
+
+def pruned_board(d: Domain) -> DataFrame:
+    """The cleaners' board of a table stored by month of creation: a window on the finish opens the months that meet it."""
+    store = SnapshotStore(d.spark, scratch_path(d.spark, "store"))
+    store.write("tasks", d["tasks"].withColumn("created_month", F.trunc("created_at", "month")), "created_month", ranges=["finished_at"])
+    seen = store.snapshot()
+    first = str(CLOCK.today - timedelta(days=90))
+    opened = [f for v in seen.chosen("tasks", finished_at=(first, LAST)) for f in seen.state("tasks").parts[v].folders]
+    recent = seen.read("tasks", between=("2001-03-01", "9999")).inputFiles()
+    board = workers.worker_leaderboard_housekeeping(StoredTables(seen), CLOCK)
+    source = workers._completed(StoredTables(seen), CLOCK, 90).inputFiles()
+    # A task of March can be finished in April, so March may be opened; nothing older is.
+    if len(opened) * 4 > len(seen.state("tasks").parts) or not set(source) <= set(recent):
+        raise AssertionError(f"{len(opened)} folders are opened")
+    return board
+
+
+check("pruned_by_finish", pruned_board, "tasks", leaderboard_sql("housekeeping").replace(f"INTERVAL {WINDOW} DAY", "INTERVAL 90 DAY"))
+
 # A refresh runs every view with its regular 90 days; the statements above are reused with that window.
 check("refresh_all", lambda d: registry.refresh_report(d, CLOCK), "", "\nUNION ALL ".join(
     f"SELECT '{n}' AS view_name, count(*) AS view_rows FROM ({ORACLES[n].replace(f'INTERVAL {WINDOW} DAY', 'INTERVAL 90 DAY')})"

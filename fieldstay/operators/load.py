@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -15,7 +16,7 @@ from fieldstay.operators.merge import upsert_child, upsert_parent
 from fieldstay.plans.common import count_all
 from fieldstay.session import durable
 from fieldstay.sources.pages import pages_of_known_parents, unreadable_pages, unwrap_child_pages, unwrap_pages
-from fieldstay.sources.snapshot import SnapshotStore, touched_values
+from fieldstay.sources.snapshot import Snapshot, SnapshotStore, Transaction, touched_values
 
 TIMES = ("created_at", "updated_at", "started_at", "finished_at", "assigned_at", "uploaded_at")
 DATES = ("scheduled_date", "checkin_date", "checkout_date")
@@ -44,40 +45,57 @@ def _period(partition_column: str | None) -> tuple[str, Column]:
     return "created_month", F.trunc(partition_column, "month")
 
 
-def _open(store: SnapshotStore, table: str, batch: DataFrame, column: str, extra: Mapping[str, str]) -> None:
+def _child_period(entity: Entity, child: Child) -> tuple[str, Column]:
+    """Storage partition of a child table: that of its own partition column; the parent's month where the parent
+    has one and its key is in the child's, so that a load rewrites only the months it has parents of."""
+    if child.partition_column is None and entity.partition_column and child.parent_fk in child.natural_key:
+        return "parent_month", F.col("parent_month")
+    return _period(child.partition_column)
+
+
+def _open(change: Transaction, table: str, batch: DataFrame, column: str, extra: Mapping[str, str], **shape) -> None:
     """Create the table, empty, the first time a batch for it arrives."""
-    if store.exists(table):
+    if change.exists(table):
         return
     blank = [F.lit(None).cast(kind).alias(name) for name, kind in extra.items()]
-    store.write(table, batch.select(*blank, "*").where(F.lit(False)), column)
+    change.write(table, batch.select(*blank, "*").where(F.lit(False)), column, **shape)
 
 
-def _number_new_rows(store: SnapshotStore, table: str, merged: DataFrame) -> DataFrame:
-    """Give inserted rows an id above every stored one. Ids are unique but not consecutive, so no
-    task has to see all new rows."""
-    top = store.read(table).agg(F.max("id")).first()[0] or 0
-    return merged.withColumn("id", F.coalesce("id", F.lit(top + 1) + F.monotonically_increasing_id()))
+def _number_new_rows(change: Transaction, table: str, merged: DataFrame) -> DataFrame:
+    """Give inserted rows ids of a block that no other load gets. Ids are unique but not consecutive, so no
+    task has to see all new rows; an old table without a sequence is looked through once for its largest id."""
+    placed = durable(merged.withColumn("_new", F.monotonically_increasing_id()))
+    last = placed.where(F.col("id").isNull()).agg(F.max("_new")).first()[0]
+    if last is None:
+        return placed.drop("_new")
+    known = table in change.store.snapshot().ids
+    least = 1 if known else (change.read(table).agg(F.max("id")).first()[0] or 0) + 1
+    first = change.store.reserve(table, last + 1, least)
+    return placed.withColumn("id", F.coalesce("id", F.lit(first) + F.col("_new"))).drop("_new")
 
 
-def load_parents(store: SnapshotStore, entity: Entity, parsed: DataFrame, clock: Clock) -> tuple[DataFrame, list[str]]:
+def load_parents(change: Transaction, entity: Entity, parsed: DataFrame, clock: Clock) -> tuple[DataFrame, list[str]]:
     """Upsert the parents of parsed records, fill their foreign keys, and replace the partitions they
     touch. Returns counts per region and the partitions."""
     column, period = _period(entity.partition_column)
     batch = typed(records.transform_parents(parsed, entity, clock.timestamp())).withColumn(column, period)
     links = FOREIGN_KEYS.get(entity.name, ())
     extra = {"id": "bigint", **{fk: "bigint" for fk, _, _ in links}}
-    _open(store, entity.name, batch.withColumn("updated_at", clock.timestamp()), column, extra)
+    key = [*entity.natural_key, *([] if column in entity.natural_key else [column])]
+    stamped = batch.withColumn("updated_at", clock.timestamp())
+    kept = [c for c in ("finished_at", "scheduled_date") if c in batch.columns]
+    _open(change, entity.name, stamped, column, extra, key=key, ranges=kept, finder=entity.id_column)
     batch = durable(batch)
     touched = touched_values(batch, column)
     merged = upsert_parent(
-        store.read(entity.name, touched), batch, entity.natural_key, partition_column=entity.partition_column,
+        change.read(entity.name, touched), batch, entity.natural_key, partition_column=entity.partition_column,
         no_update=entity.no_update, stamp=clock.timestamp(),
     )
     for fk, table, on in links:
-        if store.exists(table):
-            merged = keys.fill_key(merged, store.read(table), on, fk)
-    merged = durable(_number_new_rows(store, entity.name, merged))
-    store.replace(entity.name, merged.drop("op"), touched)
+        if change.exists(table):
+            merged = keys.fill_key(merged, change.read(table), on, fk)
+    merged = _number_new_rows(change, entity.name, merged)
+    change.upsert(entity.name, merged, touched)
     counts = merged.where(F.col("op") != "keep").groupBy("region_code").agg(
         count_all().alias("records_processed"), F.count_if(F.col("op") == "insert").alias("records_new")
     )
@@ -85,29 +103,33 @@ def load_parents(store: SnapshotStore, entity: Entity, parsed: DataFrame, clock:
 
 
 def load_children(
-    store: SnapshotStore, entity: Entity, child: Child, rows: DataFrame, parent_partitions: list[str]
+    change: Transaction, entity: Entity, child: Child, rows: DataFrame, parents: DataFrame
 ) -> None:
     """Resolve the parent (and tag) keys of child rows, upsert them, replace the partitions they touch.
-    Rows without a stored parent are dropped."""
-    parents = store.read(entity.name, parent_partitions)
+    Rows without a stored parent are dropped. ``parents`` has the stored parents' ids and, where they are stored by
+    month, their ``parent_month``."""
     on = {"parent_api_id": entity.id_column, "region_code": "region_code"}
     batch = typed(keys.require_key(rows, parents, on, child.parent_fk).drop("parent_api_id"))
     if child.table == "task_tags":
-        if not store.exists("tags"):
+        if not change.exists("tags"):
             return
         tag = {"tag_id": "tag_id", "region_code": "region_code"}
-        batch = keys.require_key(batch, store.read("tags"), tag, "tag_pk").drop("tag_id")
-    column, period = _period(child.partition_column)
+        batch = keys.require_key(batch, change.read("tags"), tag, "tag_pk").drop("tag_id")
+    column, period = _child_period(entity, child)
+    if column == "parent_month":
+        months = parents.select(F.col("id").alias(child.parent_fk), column)
+        batch = batch.join(months, child.parent_fk)
     batch = durable(batch.withColumn(column, period))
-    _open(store, child.table, batch.drop("arrival"), column, {"id": "bigint"})
+    key = [*child.natural_key, *([column] if child.natural_key and column not in child.natural_key else [])]
+    _open(change, child.table, batch.drop("arrival"), column, {"id": "bigint"}, key=key)
     touched = touched_values(batch, column)
     if not touched:
         return
     merged = upsert_child(
-        store.read(child.table, touched), batch, child.natural_key, [F.col("arrival").asc()],
+        change.read(child.table, touched), batch, child.natural_key, [F.col("arrival").asc()],
         partition_column=child.partition_column,
     )
-    store.replace(child.table, _number_new_rows(store, child.table, merged).drop("op"), touched)
+    change.upsert(child.table, _number_new_rows(change, child.table, merged), touched)
 
 
 def load_entity(
@@ -118,45 +140,106 @@ def load_entity(
 
     ``pages`` is (region_code, page, body), for tasks with the ``parent_id`` of their property;
     ``child_pages`` holds (region_code, parent_id, body) by child name. Returns the status rows.
+
+    Parents, children and the outcome are one commit: after an exception all tables are as they were, and the
+    runs are ``failed`` with its message. A load that meets another writer's change is done again.
     """
-    entity = ENTITIES[name]
     started = pages.select("region_code").distinct().withColumn("entity_type", F.lit(name))
-    if store.exists("sync_status"):
-        status = store.read("sync_status")
-    else:
-        status = _no_status(store)
-    status = durable(runlog.start_runs(status, started, clock))
+
+    def run(seen: Snapshot) -> None:
+        with store.begin(seen) as change:
+            close_runs(change, _load(change, ENTITIES[name], pages, clock, child_pages or {}, started), clock)
+
+    with logged_runs(store, started, clock):
+        store.attempt(run)
+    return store.read("sync_status", [name])
+
+
+def _load(
+    change: Transaction, entity: Entity, pages: DataFrame, clock: Clock, child_pages: Mapping[str, DataFrame], started: DataFrame
+) -> DataFrame:
+    """Stage the load of one entity; the outcome of each region."""
     # A page that cannot be read holds its region back: its rows stay as they are and the last success too.
-    bodies = [pages, *(child_pages or {}).values()]
+    bodies = [pages, *child_pages.values()]
     broken = reduce(DataFrame.unionByName, [unreadable_pages(p) for p in bodies])
     failed = durable(broken.groupBy("region_code").agg(count_all().alias("pages"), F.min("reason").alias("reason")))
-    child_pages = {k: p.join(failed, "region_code", "left_anti") for k, p in (child_pages or {}).items()}
-    if name == "tasks" and store.exists("properties"):
-        pages = pages_of_known_parents(pages, store.read("properties"))
+    child_pages = {k: p.join(failed, "region_code", "left_anti") for k, p in child_pages.items()}
+    if entity.name == "tasks" and change.exists("properties"):
+        pages = pages_of_known_parents(pages, change.read("properties"))
     # Records are parsed once; parents and every child list read the columns they need.
     parsed = durable(unwrap_pages(pages.join(failed, "region_code", "left_anti"), record_schema(entity)))
-    counts, touched = load_parents(store, entity, parsed, clock)
+    counts, touched = load_parents(change, entity, parsed, clock)
+    wanted = [c for c in entity.children.values() if c.source or child_pages]
+    if wanted:
+        stored = change.read(entity.name, touched)
+        month = [F.trunc(entity.partition_column, "month").alias("parent_month")] if entity.partition_column else []
+        columns = dict.fromkeys(["id", entity.id_column, "region_code", *([entity.partition_column] if month else [])])
+        parents = durable(stored.select(*columns, *month))
     for child_name, child in entity.children.items():
         if child.source:
-            load_children(store, entity, child, records.explode_children(parsed, entity, child_name), touched)
-        elif child_pages and child_name in child_pages:
+            load_children(change, entity, child, records.explode_children(parsed, entity, child_name), parents)
+        elif child_name in child_pages:
             elements = unwrap_child_pages(child_pages[child_name], child_schema(child))
-            stored = store.read(entity.name, touched)
-            load_children(store, entity, child, records.map_child_pages(elements, stored, child), touched)
-    results = started.join(counts, "region_code", "left").fillna(0, ["records_processed", "records_new"]).withColumns(
-        {"sync_status": F.lit("success"), "error_message": F.lit(None).cast("string")}
-    )
+            load_children(change, entity, child, records.map_child_pages(elements, parents, child), parents)
+    results = started.join(counts, "region_code", "left").fillna(0, ["records_processed", "records_new"])
     message = F.concat(F.col("pages").cast("string"), F.lit(" unreadable pages: "), F.col("reason"))
-    results = results.join(failed, "region_code", "left").withColumns(
+    return results.join(failed, "region_code", "left").withColumns(
         {
             "error_message": F.when(F.col("pages").isNotNull(), message),
-            "sync_status": F.when(F.col("pages").isNotNull(), "failed").otherwise(F.col("sync_status")),
+            "sync_status": F.when(F.col("pages").isNotNull(), "failed").otherwise("success"),
         }
     ).drop("pages", "reason")
-    closed, history = runlog.finish_runs(status, results, clock)
-    store.write("sync_status", durable(closed))
-    history.write.mode("append").parquet(f"{store.root}/sync_history")
-    return store.read("sync_status").where(F.col("entity_type") == name)
+
+
+@contextmanager
+def logged_runs(store: SnapshotStore, started: DataFrame, clock: Clock):
+    """Mark (region_code, entity_type) as running, in a commit of their own; after an exception inside, the runs
+    that are still running here become ``failed`` with its message."""
+
+    def open_runs(seen: Snapshot) -> None:
+        with store.begin(seen) as change:
+            _set_status(change, runlog.start_runs(_status(change, started), started, clock), started)
+
+    started = durable(started)
+    store.attempt(open_runs)
+    try:
+        yield
+    except BaseException as e:
+        text = f"{type(e).__name__}: {str(e).splitlines()[0] if str(e) else ''}"
+        results = started.withColumns({"sync_status": F.lit("failed"), "error_message": F.lit(text[:500])})
+
+        def fail(seen: Snapshot) -> None:
+            with store.begin(seen) as change:
+                close_runs(change, results, clock)
+
+        store.attempt(fail)
+        raise
+
+
+def close_runs(change: Transaction, results: DataFrame, clock: Clock) -> None:
+    """Stage the end of the runs of (region_code, entity_type, sync_status, error_message, counters): their status rows
+    and a history row each."""
+    results = durable(results)
+    closed, history = runlog.finish_runs(_status(change, results), results, clock)
+    closed, history = durable(closed), durable(history)
+    _set_status(change, closed, results)
+    change.append("sync_history", history.withColumn("started_day", F.to_date("sync_started_at")), "started_day")
+
+
+def _entities(runs: DataFrame) -> list[str]:
+    return touched_values(runs, "entity_type")
+
+
+def _status(change: Transaction, runs: DataFrame) -> DataFrame:
+    """The status rows of the entities of ``runs``."""
+    return change.read("sync_status", _entities(runs)) if change.exists("sync_status") else _no_status(change.store)
+
+
+def _set_status(change: Transaction, status: DataFrame, runs: DataFrame) -> None:
+    """Replace the status rows of the entities of ``runs``; loads of other entities have theirs in other partitions."""
+    if not change.exists("sync_status"):
+        change.write("sync_status", _no_status(change.store), "entity_type")
+    change.replace("sync_status", durable(status), _entities(runs))
 
 
 def _no_status(store: SnapshotStore) -> DataFrame:
@@ -172,12 +255,17 @@ def repair_keys(store: SnapshotStore, name: str) -> int:
     """Fill foreign keys of stored rows whose referenced row arrived later. Only partitions with such
     rows are rewritten; returns how many."""
     column, _ = _period(ENTITIES[name].partition_column)
-    rewritten: set[str] = set()
-    for fk, table, on in FOREIGN_KEYS.get(name, ()):
-        ref = store.read(table)
-        open_rows = store.read(name).where(F.col(fk).isNull()).select(column, *[c for c in on if c != column])
-        touched = touched_values(keys.require_key(open_rows, ref, on, "_found"), column)
-        if touched:
-            store.replace(name, durable(keys.fill_key(store.read(name, touched), ref, on, fk)), touched)
-            rewritten |= set(touched)
-    return len(rewritten)
+
+    def run(seen: Snapshot) -> int:
+        rewritten: set[str] = set()
+        with store.begin(seen) as change:
+            for fk, table, on in FOREIGN_KEYS.get(name, ()):
+                ref = change.read(table)
+                open_rows = change.read(name).where(F.col(fk).isNull()).select(column, *[c for c in on if c != column])
+                touched = touched_values(keys.require_key(open_rows, ref, on, "_found"), column)
+                if touched:
+                    change.replace(name, durable(keys.fill_key(change.read(name, touched), ref, on, fk)), touched)
+                    rewritten |= set(touched)
+        return len(rewritten)
+
+    return store.attempt(run)

@@ -32,19 +32,19 @@ def cascade_delete(
     return out
 
 
-def _kept(clock: Clock, days: int):
+def event_kept(clock: Clock, days: int):
     old = F.col("received_at") < clock.hours_ago(24 * days)
     return ~(F.coalesce("processed", F.lit(False)) & old)
 
 
 def retain_events(events: DataFrame, clock: Clock, days: int = 90) -> DataFrame:
     """Events without the processed ones older than ``days``; unprocessed events always stay."""
-    return events.where(_kept(clock, days))
+    return events.where(event_kept(clock, days))
 
 
 def retention_report(events: DataFrame, clock: Clock, days: int = 90) -> DataFrame:
     """Total, kept and deleted event counts."""
-    keep = F.count_if(_kept(clock, days))
+    keep = F.count_if(event_kept(clock, days))
     return events.agg(
         count_all().alias("total_events"), keep.alias("keep_events"), (count_all() - keep).alias("delete_events")
     )

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from fieldstay.operators.ranking import first_per_key, row_slot
 from fieldstay.plans.common import count_all
 from fieldstay.session import durable
-from fieldstay.sources.snapshot import SnapshotStore, touched_values
+from fieldstay.sources.snapshot import Snapshot, SnapshotStore, touched_values
 
 def null_slot(df: DataFrame, keys: Sequence[str]) -> Column:
     """Zero for a complete key, else a number by the row's content.
@@ -155,14 +155,24 @@ def upsert_child(
 
 
 def upsert_table(
-    store: SnapshotStore, table: str, batch: DataFrame, keys: Sequence[str], column: str, **options
-) -> DataFrame:
+    store: SnapshotStore, table: str, batch: DataFrame, keys: Sequence[str], column: str, *,
+    based_on: Snapshot | None = None, **options,
+) -> DataFrame:
     """Merge a batch into a stored table whose partition column is in the key: only the partitions
-    that the batch touches are read and written. Returns the merge counts."""
+    that the batch touches are read and written. Returns the merge counts.
+
+    Where another writer changes one of these partitions meanwhile, the merge is done again on the newer version; with
+    ``based_on``, the snapshot the caller has read, ConflictError is raised instead.
+    """
     touched = touched_values(batch, column)
-    merged = durable(merge(store.read(table, touched), batch, keys, **options))
-    store.replace(table, merged.drop("op"), touched)
-    return merge_counts(merged)
+
+    def run(seen: Snapshot) -> DataFrame:
+        merged = durable(merge(seen.read(table, touched), batch, keys, **options))
+        with store.begin(seen) as change:
+            change.upsert(table, merged, touched)
+        return merge_counts(merged)
+
+    return run(based_on) if based_on else store.attempt(run)
 
 
 def upsert_dimension(

@@ -20,11 +20,13 @@ DELETE_REASON = "confirmed missing on 2 successive runs"
 
 @dataclass(frozen=True)
 class Reconciled:
-    """The next table, the audit rows of what was removed, and counts per region and action."""
+    """The next table, the audit rows of what was removed, counts per region and action, and the rows with an action other
+    than ``keep`` as they were."""
 
     table: DataFrame
     audit: DataFrame
     counts: DataFrame
+    changed: DataFrame
 
 
 def _flag(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
@@ -80,9 +82,10 @@ def reconcile_deletes(
     )
     removed = decided.where(F.col("action") == "delete").select(*tasks.columns)
     counts = decided.groupBy("region_code", "action").agg(count_all().alias("tasks"))
+    moved = decided.where(F.col("action") != "keep")
     if dry_run:
-        return Reconciled(decided.select(*tasks.columns), delete_audit(removed.where(F.lit(False)), clock), counts)
-    return Reconciled(changed.select(*tasks.columns), delete_audit(removed, clock), counts)
+        return Reconciled(decided.select(*tasks.columns), delete_audit(removed.where(F.lit(False)), clock), counts, moved.where(F.lit(False)))
+    return Reconciled(changed.select(*tasks.columns), delete_audit(removed, clock), counts, moved)
 
 
 def delete_audit(rows: DataFrame, clock: Clock, reason: str = DELETE_REASON) -> DataFrame:
@@ -127,25 +130,33 @@ def decide_lifecycle(properties: DataFrame, listed: DataFrame, complete: DataFra
     ).select(*properties.columns, "new_status", "new_external_id", "marked_deleted")
 
 
-def reconcile_lifecycle(
-    properties: DataFrame, listed: DataFrame, complete: DataFrame, clock: Clock, dry_run: bool = False
-) -> tuple[DataFrame, DataFrame]:
-    """The next property table and the change counts per region; a dry run changes nothing."""
-    decided = durable(decide_lifecycle(properties, listed, complete))
+def lifecycle_change() -> Column:
+    """Whether :func:`decide_lifecycle` changes a row."""
+    return F.col("new_status").isNotNull() | F.col("new_external_id").isNotNull()
+
+
+def apply_lifecycle(decided: DataFrame, clock: Clock) -> tuple[DataFrame, DataFrame]:
+    """The next property table of decided rows and the change counts per region."""
     status, external = F.col("new_status"), F.col("new_external_id")
     counts = decided.groupBy("region_code").agg(
         F.count_if(status.isNotNull() & ~F.col("marked_deleted")).alias("status_fixed"),
         F.count(external).alias("external_fixed"),
         F.count_if("marked_deleted").alias("marked_deleted"),
     )
-    if dry_run:
-        return decided.select(*properties.columns), counts
-    changed = status.isNotNull() | external.isNotNull()
     table = decided.withColumns(
         {
             "property_status": F.coalesce(status, "property_status"),
             "external_id": F.coalesce(external, "external_id"),
-            "synced_at": F.when(changed, clock.timestamp()).otherwise(F.col("synced_at")),
+            "synced_at": F.when(lifecycle_change(), clock.timestamp()).otherwise(F.col("synced_at")),
         }
     )
-    return table.select(*properties.columns), counts
+    return table.drop("new_status", "new_external_id", "marked_deleted"), counts
+
+
+def reconcile_lifecycle(
+    properties: DataFrame, listed: DataFrame, complete: DataFrame, clock: Clock, dry_run: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """The next property table and the change counts per region; a dry run changes nothing."""
+    decided = durable(decide_lifecycle(properties, listed, complete))
+    table, counts = apply_lifecycle(decided, clock)
+    return decided.select(*properties.columns) if dry_run else table.select(*properties.columns), counts

@@ -26,6 +26,7 @@ from fieldstay.plans.common import (
     stage,
     total_micros,
 )
+from fieldstay.session import durable
 
 Tables = Mapping[str, DataFrame]
 
@@ -228,34 +229,27 @@ def department_sla_tracker(tables: Tables, clock: Clock) -> DataFrame:
     age = micros_between(F.col("created_at"), clock.timestamp())
     due = sla_hours() * F.lit(MICROS_PER_HOUR)
     late, has_due = age > due, due.isNotNull()
-    open_now = (
-        tables["tasks"]
-        .where(is_open())
-        .groupBy(*keys)
-        .agg(
-            count_all().alias("total_open"),
-            F.count_if(age <= due).alias("compliant"),
-            F.count_if((age > due * 0.75) & (age <= due)).alias("warning"),
-            F.count_if(late).alias("breached"),
-            percent(F.count_if(late), F.count_if(has_due)).alias("breach_rate"),
-            *[F.count_if(priority(p)).alias(f"{p}_open") for p in ("urgent", "high", "normal")],
-            *[F.count_if(priority(p) & late).alias(f"{p}_breached") for p in ("urgent", "high", "normal")],
-        )
-    )
-    last_week = (
+    waiting = is_open()
+    done = finished() & (F.col("finished_at") >= clock.days_ago(7))
+    rate = F.coalesce("breach_rate", F.lit(0))
+    # One scan serves the open tasks and the last week's.
+    return (
         tables["tasks"]
-        .where(finished() & (F.col("finished_at") >= clock.days_ago(7)))
+        .where(waiting | done)
         .groupBy(*keys)
         .agg(
-            count_all().alias("completions_7d"),
-            percent(F.count_if(total_micros() <= due), F.count_if(has_due)).alias("sla_compliance_rate_7d"),
-            rounded(avg_hours(total_micros()), 1).alias("avg_resolution_hours_7d"),
+            F.count_if(waiting).alias("total_open"),
+            F.count_if(waiting & (age <= due)).alias("compliant"),
+            F.count_if(waiting & (age > due * 0.75) & (age <= due)).alias("warning"),
+            F.count_if(waiting & late).alias("breached"),
+            percent(F.count_if(waiting & late), F.count_if(waiting & has_due)).alias("breach_rate"),
+            *[F.count_if(waiting & priority(p)).alias(f"{p}_open") for p in ("urgent", "high", "normal")],
+            *[F.count_if(waiting & priority(p) & late).alias(f"{p}_breached") for p in ("urgent", "high", "normal")],
+            F.count_if(done).alias("completions_7d"),
+            percent(F.count_if(done & (total_micros() <= due)), F.count_if(done & has_due)).alias("sla_compliance_rate_7d"),
+            rounded(avg_hours(total_micros(), done), 1).alias("avg_resolution_hours_7d"),
         )
-    )
-    rate = F.coalesce("breach_rate", F.lit(0))
-    return (
-        join_on(open_now, last_week, keys)
-        .fillna(0, ["completions_7d"])
+        .where(F.col("total_open") > 0)
         .withColumn(
             "health_status",
             F.when(rate <= 5, "Healthy").when(rate <= 15, "At Risk").when(rate <= 30, "Degraded")
@@ -304,10 +298,23 @@ def operational_alerts(tables: Tables, clock: Clock) -> DataFrame:
         F.col("task_name").alias("entity_name"), F.col("type_department").alias("category"), "alert_message",
         F.col("created_at").alias("alert_trigger_date"),
     )
+    # The other three rules count by property, or by worker: one more scan, stored, serves them all.
+    week = F.col("finished_at") >= clock.days_ago(7)
+    cleans = department("housekeeping") & finished() & (F.col("finished_at").cast("date") == clock.date())
+    counted = durable(
+        tasks.where(is_open() | week | cleans)
+        .groupBy("property_pk", F.when(week, F.col("region_code")).alias("worked_in"), F.when(week, F.col("finished_by_id")).alias("worker"), week.alias("recent"))
+        .agg(
+            F.count_if(is_open()).alias("backlog"),
+            F.max(F.when(is_open(), F.col("created_at"))).alias("latest"),
+            F.count_if(cleans).alias("cleaned"),
+            F.max(F.when(week, F.col("finished_at"))).alias("last_finish"),
+        )
+    )
     loaded = (
-        tasks.where(is_open() & F.col("property_pk").isNotNull())
+        counted.where((F.col("backlog") > 0) & F.col("property_pk").isNotNull())
         .groupBy("property_pk")
-        .agg(count_all().alias("backlog"), F.max("created_at").alias("latest"))
+        .agg(F.sum("backlog").alias("backlog"), F.max("latest").alias("latest"))
         .join(properties.withColumnRenamed("id", "property_pk"), "property_pk")
         .groupBy("region_code", "property_id", "property_name")
         .agg(F.sum("backlog").alias("backlog"), F.max("latest").alias("latest"))
@@ -320,9 +327,7 @@ def operational_alerts(tables: Tables, clock: Clock) -> DataFrame:
         alert_message=F.concat(text("Property has "), F.col("backlog").cast("string"), text(" tasks in backlog")),
         alert_trigger_date=F.col("latest"),
     )
-    cleaned = tasks.where(
-        department("housekeeping") & finished() & (F.col("finished_at").cast("date") == clock.date())
-    ).select("property_pk")
+    cleaned = counted.where(F.col("cleaned") > 0).select("property_pk")
     uncleaned = (
         tables["reservations"]
         .where((F.col("checkout_date") == clock.date()) & (F.col("reservation_status") == "active"))
@@ -339,9 +344,9 @@ def operational_alerts(tables: Tables, clock: Clock) -> DataFrame:
         alert_trigger_date=F.col("checkout_date").cast("timestamp"),
     )
     quiet = (
-        tasks.where(F.col("finished_at") >= clock.days_ago(7))
-        .groupBy("region_code")
-        .agg(F.count_distinct("finished_by_id").alias("workers"), F.max("finished_at").alias("latest"))
+        counted.where("recent")
+        .groupBy(F.col("worked_in").alias("region_code"))
+        .agg(F.count_distinct("worker").alias("workers"), F.max("last_finish").alias("latest"))
         .where(F.col("workers") < 3)
         .join(tables["regions"].select("region_code", "region_name"), "region_code", "left")
     )

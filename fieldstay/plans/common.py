@@ -7,6 +7,8 @@ view's presentation order.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from datetime import timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -21,6 +23,9 @@ from fieldstay.functions.times import (
     micros_between,
 )
 
+# After every date or time in text order.
+LAST = "9999-12-31 23:59:59.999999"
+
 DEPARTMENTS = ("housekeeping", "inspection", "maintenance")
 
 # Display order of priorities.
@@ -78,6 +83,20 @@ def created_since(tasks: DataFrame, clock: Clock, days: int = 0, months: int = 0
     return kept
 
 
+def within(tables: Mapping[str, DataFrame], name: str, **ranges: tuple[str, str]) -> DataFrame:
+    """A table of which only rows with a column inside (low, high), as ISO text, will be used: where the mapping knows the
+    columns' ranges, as :class:`fieldstay.sources.stored.StoredTables` does, it opens only the folders that meet them.
+    The rows are not filtered here."""
+    pruned = getattr(tables, "within", None)
+    return pruned(name, **ranges) if pruned else tables[name]
+
+
+def finished_since(tables: Mapping[str, DataFrame], clock: Clock, days: int) -> DataFrame:
+    """Tasks finished from midnight ``days`` back."""
+    tasks = within(tables, "tasks", finished_at=(str(clock.today - timedelta(days=days)), LAST))
+    return tasks.where(F.col("finished_at") >= clock.days_ago(days))
+
+
 def total_micros() -> Column:
     return micros_between("created_at", "finished_at")
 

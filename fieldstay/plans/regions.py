@@ -22,6 +22,7 @@ from fieldstay.plans.common import (
     created_since,
     department,
     finished,
+    finished_since,
     is_open,
     side_by_side,
     stage,
@@ -142,8 +143,7 @@ def _workload(tables: Tables, clock: Clock) -> DataFrame:
 def regional_workload_distribution(tables: Tables, clock: Clock) -> DataFrame:
     """Daily task volume of each region against its properties and active workers."""
     workers = (
-        tables["tasks"]
-        .where(F.col("finished_at") >= clock.days_ago(30))
+        finished_since(tables, clock, 30)
         .groupBy("region_code")
         .agg(F.count_distinct("finished_by_id").alias("active_workers_30d"))
     )

@@ -17,6 +17,7 @@ from fieldstay.plans.common import (
     count_all,
     department,
     finished,
+    finished_since,
     named_worker,
     pressing,
     priority,
@@ -28,9 +29,7 @@ WORKER = ["finished_by_name", "finished_by_id", "region_code"]
 
 def _completed(tables: Mapping[str, DataFrame], clock: Clock, days: int) -> DataFrame:
     """Tasks finished by a named worker within the window."""
-    return tables["tasks"].where(
-        finished() & named_worker() & (F.col("finished_at") >= clock.days_ago(days))
-    )
+    return finished_since(tables, clock, days).where(finished() & named_worker())
 
 
 def _span() -> Column:

@@ -1,165 +1,19 @@
-"""Table snapshots in a shared folder, and CSV extracts."""
+"""Partitioned folders, CSV extracts, and the store of table snapshots."""
 
 from __future__ import annotations
 
-import json
-import time
-import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 from urllib.parse import unquote
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-PART = "_part"  # folder column that repeats the partition value
-POINTER = "POINTER-"
+from fieldstay.sources.store import ConflictError, Snapshot, SnapshotStore, Transaction
 
-
-class ConflictError(RuntimeError):
-    """Another writer moved the table's pointer since it was read; nothing has been changed."""
-
-
-class SnapshotStore:
-    """Parquet tables that change by writing new folders and then moving a pointer.
-
-    The pointer is a small numbered file that names the current folder of each partition value (or of
-    the whole table); the highest number counts. Readers see the old folders until the next one is
-    there, and a failed write leaves the table as it was. A change claims the number after the one it
-    has read by a rename that fails where the name is taken, so of two writers one fails and loses
-    nothing of the other. A change can be confined to the partitions it touches. Data is written and read
-    by ordinary Spark jobs; the driver handles the pointer only.
-    """
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
-
-    def _fs(self, path: str):
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
-
-    def _numbers(self, table: str) -> list[int]:
-        fs, p = self._fs(f"{self.root}/{table}")
-        if not fs.exists(p):
-            return []
-        names = [f.getPath().getName() for f in fs.listStatus(p)]
-        return sorted(int(n.removeprefix(POINTER)) for n in names if n.startswith(POINTER))
-
-    def _pointer(self, table: str) -> dict | None:
-        """The current pointer with its ``number``."""
-        numbers = self._numbers(table)
-        if not numbers:
-            return None
-        fs, p = self._fs(f"{self.root}/{table}/{POINTER}{numbers[-1]:012d}")
-        stream = fs.open(p)
-        try:
-            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-        return {**json.loads(text), "number": numbers[-1]}
-
-    def _point(self, table: str, pointer: dict) -> None:
-        """Add the pointer after number ``pointer["number"]`` in one rename, or raise ConflictError."""
-        number = pointer["number"] + 1
-        fs, staged = self._fs(f"{self.root}/{table}/_pointer-{uuid.uuid4().hex}")
-        stream = fs.create(staged, True)
-        try:
-            stream.write(bytearray(json.dumps({**pointer, "number": number}).encode()))
-        finally:
-            stream.close()
-        _, target = self._fs(f"{self.root}/{table}/{POINTER}{number:012d}")
-        fs_api = self.spark._jvm.org.apache.hadoop.fs
-        context = fs_api.FileContext.getFileContext(target.toUri(), self.spark._jsc.hadoopConfiguration())
-        options = self.spark.sparkContext._gateway.new_array(fs_api.Options.Rename, 1)
-        options[0] = fs_api.Options.Rename.NONE
-        try:
-            if number <= max(self._numbers(table), default=0):
-                raise ConflictError(f"{table} was changed by another writer")
-            context.rename(staged, target, options)
-        except Py4JJavaError as e:
-            if "AlreadyExists" in str(e.java_exception):
-                raise ConflictError(f"{table} was changed by another writer") from e
-            raise
-        finally:
-            if fs.exists(staged):
-                fs.delete(staged, False)
-
-    def _write_folders(self, table: str, df: DataFrame, column: str | None) -> dict[str, str]:
-        """Write rows into a new folder; returns the folder of each partition value."""
-        folder = f"{self.root}/{table}/v-{uuid.uuid4().hex}"
-        if column is None:
-            df.write.parquet(folder)
-            return {"": folder}
-        # Rebalancing brings a value together and cuts a heavy one into several files.
-        named = df.withColumn(PART, F.col(column).cast("string")).hint("rebalance", F.col(PART))
-        named.write.partitionBy(PART).parquet(folder)
-        fs, p = self._fs(folder)
-        names = [f.getPath().getName() for f in fs.listStatus(p) if f.isDirectory()]
-        return {unquote(n.split("=", 1)[1]): f"{folder}/{n}" for n in names if n.startswith(f"{PART}=")}
-
-    def exists(self, table: str) -> bool:
-        return self._pointer(table) is not None
-
-    def notes(self, table: str) -> dict:
-        """What the writer of the table noted about it; changes of partitions keep it."""
-        return (self._pointer(table) or {}).get("notes", {})
-
-    def write(self, table: str, df: DataFrame, partition_by: str | None = None, notes: dict | None = None) -> None:
-        """Replace the whole table."""
-        number = max(self._numbers(table), default=0)
-        parts = self._write_folders(table, df, partition_by)
-        self._point(table, {"column": partition_by, "schema": df.schema.json(), "parts": parts, "number": number, "notes": notes or {}})
-
-    def read(
-        self, table: str, values: Sequence[str] | None = None, between: tuple[str, str] | None = None
-    ) -> DataFrame:
-        """The table, or only the rows of some partition values, or of those in a range of text order
-        (dates and months in ISO form). Folders of other values are not opened."""
-        pointer = self._pointer(table)
-        if pointer is None:
-            raise FileNotFoundError(f"no table {table} in {self.root}")
-        parts = pointer["parts"]
-        if between is not None:
-            values = [v for v in parts if between[0] <= v <= between[1]]
-        folders = list(parts.values()) if values is None else [parts[v] for v in values if v in parts]
-        schema = StructType.fromJson(json.loads(pointer["schema"]))
-        if not folders:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).option("recursiveFileLookup", True).parquet(*folders)
-
-    def replace(self, table: str, df: DataFrame, values: Sequence[str]) -> None:
-        """Replace the rows of some partition values by ``df``; the other partitions stay as they are."""
-        pointer = self._pointer(table)
-        fresh = self._write_folders(table, df.select(*self.read(table, []).columns), pointer["column"])
-        kept = {v: f for v, f in pointer["parts"].items() if v not in values}
-        self._point(table, {**pointer, "parts": {**kept, **fresh}})
-
-    def vacuum(self, table: str, older_than_hours: float = 24.0) -> int:
-        """Delete folders that are no longer current and are older than any reader still at work, and
-        pointers before the current one of that age. Folders are told apart by their qualified paths."""
-        fs, p = self._fs(f"{self.root}/{table}")
-        folders = (self._pointer(table) or {"parts": {}})["parts"].values()
-        current = {qualified(self._fs(f)[1], fs) for f in folders}
-        limit, removed = (time.time() - older_than_hours * 3600) * 1000, 0
-        for version in fs.listStatus(p):
-            if not version.getPath().getName().startswith("v-"):
-                continue
-            inner = [f for f in fs.listStatus(version.getPath()) if f.isDirectory()]
-            for folder in inner or [version]:
-                old = folder.getModificationTime() < limit
-                if old and qualified(folder.getPath(), fs) not in current:
-                    removed += bool(fs.delete(folder.getPath(), True))
-        for number in self._numbers(table)[:-1]:
-            old_pointer = self._fs(f"{self.root}/{table}/{POINTER}{number:012d}")[1]
-            if fs.getFileStatus(old_pointer).getModificationTime() < limit:
-                fs.delete(old_pointer, False)
-        return removed
-
-
-def qualified(path, fs) -> str:
-    """A Hadoop path with scheme and authority, however it was written."""
-    return str(path.makeQualified(fs.getUri(), fs.getWorkingDirectory()).toUri().toString())
+__all__ = [
+    "ConflictError", "Snapshot", "SnapshotStore", "Transaction", "csv_extract", "drop_partitions", "load_all_regions",
+    "replace_partitions", "touched_values", "write_by_month",
+]
 
 
 def touched_values(df: DataFrame, column: str) -> list[str]:

@@ -22,7 +22,7 @@ from fieldstay.operators.links import SUB_STATUS, count_blocking
 from fieldstay.operators.maintenance import delete_matching
 from fieldstay.operators.merge import merge
 from fieldstay.session import discard, durable
-from fieldstay.sources.snapshot import SnapshotStore, touched_values
+from fieldstay.sources.snapshot import ConflictError, Snapshot, SnapshotStore, Transaction, touched_values
 
 EVENT_SCHEMA = "event_id long, received_at timestamp, payload string"
 TEST_EVENT = "test_webhook_event"  # fixed value
@@ -139,6 +139,11 @@ def apply_task_updates(tasks: DataFrame, events: DataFrame, clock: Clock) -> Dat
 
     ``tasks`` is the table, ``events`` normalised task events with a region.
     """
+    return _updated_tasks(tasks, events, clock).drop("op")
+
+
+def _updated_tasks(tasks: DataFrame, events: DataFrame, clock: Clock) -> DataFrame:
+    """The rows of ``tasks`` after the updates, with their ``op``."""
     fields = ["task_status", "started_at", "finished_at"]
     known = events.where(
         ~is_delete(F.col("action")) & (F.col("region_code") != "unknown") & (F.col("task_id") != "")
@@ -148,7 +153,7 @@ def apply_task_updates(tasks: DataFrame, events: DataFrame, clock: Clock) -> Dat
     return merge(
         tasks, final.drop("last_event_at"), ["task_id", "region_code"], insert=False, values=keep_old,
         stamp=clock.timestamp(),
-    ).drop("op")
+    )
 
 
 def apply_task_deletes(tasks: DataFrame, events: DataFrame) -> DataFrame:
@@ -169,6 +174,10 @@ def apply_task_events(tasks: DataFrame, events: DataFrame, clock: Clock) -> Data
 
 def apply_property_events(properties: DataFrame, events: DataFrame, clock: Clock) -> DataFrame:
     """Set the status of existing properties from their events; events without a status are skipped."""
+    return _updated_properties(properties, events, clock).drop("op")
+
+
+def _updated_properties(properties: DataFrame, events: DataFrame, clock: Clock) -> DataFrame:
     known = events.where(
         (F.col("property_id") != "") & (F.col("region_code") != "unknown") & F.col("status").isNotNull()
     )
@@ -178,7 +187,7 @@ def apply_property_events(properties: DataFrame, events: DataFrame, clock: Clock
     return merge(
         properties, final.drop("last_event_at"), ["property_id", "region_code"], insert=False,
         stamp=clock.timestamp(),
-    ).drop("op")
+    )
 
 
 def event_log(events: DataFrame, kind: str, id_column: str) -> DataFrame:
@@ -235,29 +244,49 @@ def start_task_stream(
 ) -> StreamingQuery:
     """Log and apply task events batch by batch to ``tasks`` in the store.
 
-    The table is stored by a period of creation. A batch looks its task ids up in the two narrow
-    columns id and period and then rewrites only the periods it hit. Its log goes into a folder of its
-    own number. All of this can be repeated: a batch that is run again after a failure leaves the same
-    result.
+    The table is stored by a period of creation. A table with a key and a finder is asked which periods may have the
+    batch's tasks, and only the changed rows are written, beside their periods; :meth:`SnapshotStore.compact` merges
+    them when there are many. Of a table without them the periods hit are found by their ids and rewritten. The log
+    and the tasks are one commit that bears the batch's number: a batch that is run again after a failure
+    leaves the same result.
     """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         now = _now(clock)
         resolved = resolve_region(normalise_task_events(drop_test_events(batch)), companies)
         error = unreadable()
-        write_log(store, mark_processed(event_log(resolved, "task", "task_id"), now, error), "task", batch_id)
+        log = durable(mark_processed(event_log(resolved, "task", "task_id"), now, error))
         used = ["task_id", "region_code", "action", "status", "started_at", "finished_at", *ORDER]
         events = durable(resolved.where(error.isNull()).select(*used))
-        named = events.select("task_id").distinct()
-        known = store.read("tasks").select("task_id", column)
-        periods = touched_values(known.join(named, "task_id", "left_semi"), column)
-        if periods:
-            store.replace("tasks", apply_task_events(store.read("tasks", periods), events, now), periods)
-        discard(events)
+
+        def run(seen: Snapshot) -> None:
+            with store.begin(seen) as change:
+                if write_log(change, log, (_source(store, checkpoint), batch_id)):
+                    _update_tasks(change, events, now, column)
+
+        store.attempt(run)
+        _compact(store, "tasks")
+        discard(events, log)
 
     return _start(stream, on_batch, checkpoint, available_now)
 
 
+def _update_tasks(change: Transaction, events: DataFrame, clock: Clock, column: str) -> None:
+    named = events.select("task_id").distinct()
+    state = change.state("tasks")
+    if not (state.key and state.finder == "task_id"):
+        known = change.read("tasks").select("task_id", column)
+        periods = touched_values(known.join(named, "task_id", "left_semi"), column)
+        if periods:
+            change.replace("tasks", apply_task_events(change.read("tasks", periods), events, clock), periods)
+        return
+    hit = durable(change.read("tasks", change.find("tasks", named)).join(named, "task_id", "left_semi"))
+    left = apply_task_deletes(hit, events)
+    gone = hit.join(left.select(*state.key), list(state.key), "left_anti").withColumn("_deleted", F.lit(True))
+    after = _updated_tasks(left, events, clock).where(F.col("op") == "update").drop("op").withColumn("_deleted", F.lit(False))
+    change.change("tasks", after.unionByName(gone), F.col("_deleted"))
+
+
 def start_property_stream(
     stream: DataFrame, store: SnapshotStore, companies: DataFrame, properties: DataFrame, clock: Clock | Callable[[], Clock],
     checkpoint: str, available_now: bool = True,
@@ -275,49 +304,83 @@ def start_property_stream(
         normal = normalise_property_events(drop_test_events(batch))
         staged = durable(resolve_region(normal, companies, properties))
         log = mark_processed(event_log(staged, "property-status", "property_id"), now, unreadable())
-        write_log(store, log, "property-status", batch_id)
-        events = staged.where(unreadable().isNull())
-        _update_mirror(store, events, now)
-        _update_status(store, events)
-        discard(staged)
+        events = durable(staged.where(unreadable().isNull()))
+
+        def run(seen: Snapshot) -> None:
+            with store.begin(seen) as change:
+                if write_log(change, log, (_source(store, checkpoint), batch_id)):
+                    _update_mirror(change, events, now)
+                    _update_status(change, events)
+
+        store.attempt(run)
+        _compact(store, "properties")
+        discard(staged, events)
 
     return _start(stream, on_batch, checkpoint, available_now)
 
 
-def _update_mirror(store: SnapshotStore, events: DataFrame, clock: Clock) -> None:
-    if not store.exists("properties"):
+def _update_mirror(change: Transaction, events: DataFrame, clock: Clock) -> None:
+    if not change.exists("properties"):
         return
     regions = touched_values(events.where(F.col("region_code") != "unknown"), "region_code")
-    if regions:
-        mirror = store.read("properties", regions)
-        store.replace("properties", apply_property_events(mirror, events, clock), regions)
+    if not regions:
+        return
+    mirror, key = change.read("properties", regions), change.state("properties").key
+    if not key:
+        change.replace("properties", apply_property_events(mirror, events, clock), regions)
+        return
+    named = events.select("property_id", "region_code").distinct()
+    hit = mirror.join(named, ["property_id", "region_code"], "left_semi")
+    change.change("properties", _updated_properties(hit, events, clock).where(F.col("op") == "update").drop("op"))
 
 
-def _update_status(store: SnapshotStore, events: DataFrame) -> None:
+def _update_status(change: Transaction, events: DataFrame) -> None:
     # As many slots as there were shuffle partitions when the table was made.
-    slots_now = int(store.spark.conf.get("spark.sql.shuffle.partitions"))
-    count = store.notes("property_status").get("slots", slots_now)
+    there = change.exists("property_status")
+    slots_now = int(change.store.spark.conf.get("spark.sql.shuffle.partitions"))
+    count = change.state("property_status").notes.get("slots", slots_now) if there else slots_now
     slot = F.pmod(F.xxhash64("property_id"), F.lit(count))
     newest = durable(latest_property_status(events).withColumn("slot", slot))
-    if not store.exists("property_status"):
-        store.write("property_status", newest, "slot", {"slots": count})
+    if not there:
+        change.write("property_status", newest, "slot", {"slots": count})
         discard(newest)
         return
     slots = touched_values(newest, "slot")
     if not slots:
         discard(newest)
         return
-    table = store.read("property_status", slots)
+    table = change.read("property_status", slots)
     newer = F.struct(*[F.col(f"s.{c}") for c in ORDER]) > F.struct(*[F.col(f"t.{c}") for c in ORDER])
     values = {c: F.when(newer, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")) for c in table.columns}
     merged = merge(table, newest, ["region_code", "property_id"], values=values)
-    store.replace("property_status", merged.drop("op"), slots)
+    change.replace("property_status", merged.drop("op"), slots)
     discard(newest)
 
 
-def write_log(store: SnapshotStore, log: DataFrame, kind: str, batch_id: int) -> None:
-    """Write the log rows of one batch into their own folder, so that writing them again changes nothing."""
-    log.drop("event_kind").write.mode("overwrite").parquet(f"{store.root}/event_log/event_kind={kind}/batch={batch_id}")
+def write_log(change: Transaction, log: DataFrame, batch: tuple[str, int]) -> bool:
+    """Add the log rows of one batch, (stream, number), to ``event_log``, stored by day of receipt; False if they are
+    there already."""
+    rows = log.withColumn("received_day", F.to_date("received_at"))
+    return change.append("event_log", rows, "received_day", batch, key=("event_kind", "event_id", "received_day"))
+
+
+def _source(store: SnapshotStore, checkpoint: str) -> str:
+    """The id of the stream with a checkpoint: batches of a stream that starts anew count anew."""
+    return store._get(f"{checkpoint}/metadata")["id"]
+
+
+# A partition's changes, and a day's batches of log rows, are merged when there are more than these.
+MOST_CHANGES, MOST_BATCHES = 8, 32
+
+
+def _compact(store: SnapshotStore, table: str) -> None:
+    """Merge what many small batches have left; another writer's change goes first, the next batch tries again."""
+    for name, most in ((table, MOST_CHANGES), ("event_log", MOST_BATCHES)):
+        if store.exists(name):
+            try:
+                store.compact(name, most)
+            except ConflictError:
+                pass
 
 
 def _start(stream: DataFrame, on_batch, checkpoint: str, available_now: bool) -> StreamingQuery:

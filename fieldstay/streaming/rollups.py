@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from fieldstay.functions.times import MICROS_PER_HOUR, Clock, avg_micros, hours_between
+from fieldstay.functions.times import MICROS_PER_HOUR, Clock, avg_micros
 from fieldstay.plans.common import count_all, finished, priority, stage, total_micros
-from fieldstay.session import durable
-from fieldstay.sources.snapshot import drop_partitions, replace_partitions
+from fieldstay.sources.snapshot import Snapshot, SnapshotStore
 
 KEYS = ["bucket", "region_code", "type_department"]
 
@@ -98,37 +98,82 @@ def real_time(stored: DataFrame, tasks: DataFrame, refreshed_to: datetime, unit:
     return stored.where(F.col("bucket") < edge).unionByName(fresh)
 
 
-def write_refreshed(tasks: DataFrame, path: str, start: datetime, end: datetime, unit: str = "day") -> None:
-    """Recompute the buckets inside [start, end) and overwrite just their partitions; buckets of the range
-    that have no tasks any more are removed."""
+def write_refreshed(
+    tasks: DataFrame, store: SnapshotStore, table: str, start: datetime, end: datetime, unit: str = "day"
+) -> None:
+    """Recompute the buckets inside [start, end) and replace just their partitions of the stored roll-up, in one commit;
+    buckets of the range that have no tasks any more are gone."""
     first, last = bucket_range(start, end, unit)
     rollup = task_rollup(_created_in(tasks, first, last), unit).withColumn("bucket_day", F.col("bucket").cast("date"))
-    rollup = durable(rollup)
-    # At most the days of the range.
-    filled = {str(r[0]) for r in rollup.select("bucket_day").distinct().collect()}
-    replace_partitions(rollup, path, ("bucket_day",))
-    drop_partitions(
-        rollup.sparkSession, path, "bucket_day",
-        lambda day: str(first.date()) <= day < str(last.date()) and day not in filled,
-    )
+    days = [str((first + timedelta(days=n)).date()) for n in range((last - first).days)]
+
+    def run(seen: Snapshot) -> None:
+        with store.begin(seen) as change:
+            if change.exists(table):
+                change.replace(table, rollup, days)
+            else:
+                change.write(table, rollup, "bucket_day")
+
+    store.attempt(run)
+
+
+def refresh_changed(
+    store: SnapshotStore, source: str, target: str, build: Callable[[DataFrame], DataFrame], column: str | None = None
+) -> list[str]:
+    """Bring the stored ``target``, an aggregate of the stored ``source``, up to date; returns the partitions computed.
+
+    ``build`` makes target rows of source rows; each of its groups lies in one partition of the source, whose value it
+    hands on in ``column`` (by default the source's partition column). Which folders a partition was computed from is noted
+    with the target: only partitions whose folders have changed since then are read, and the others stay as they are.
+    """
+
+    def run(seen: Snapshot) -> list[str]:
+        state = seen.state(source)
+        by = column or state.column
+        now = {value: [*part.folders, *part.changes] for value, part in state.parts.items()}
+        done = seen.state(target).notes.get("source", {}) if seen.exists(target) else {}
+        changed = sorted(v for v in now if done.get(v) != now[v])
+        gone = [v for v in done if v not in now]
+        if changed or gone or not seen.exists(target):
+            rows = build(seen.read(source, changed))
+            with store.begin(seen) as change:
+                if change.exists(target):
+                    change.replace(target, rows, [*changed, *gone])
+                    change.note(target, source=now)
+                else:
+                    change.write(target, rows, by, {"source": now})
+        return changed
+
+    return store.attempt(run)
 
 
 def streaming_rollup(tasks: DataFrame, unit: str = "1 day", lateness: str = "1 day") -> DataFrame:
-    """The roll-up over a stream of created tasks. Distinct workers are approximate there, as a
-    stream has no exact distinct count."""
-    hours = hours_between("created_at", "finished_at")
-    return (
+    """The roll-up over a stream of created tasks, exact in all columns.
+
+    Tasks are first aggregated by bucket and worker, then by bucket: a bucket's distinct workers are its rows of the
+    first step, so the state holds a row a worker and day and no lists. Both steps close a bucket by the same watermark.
+    """
+    place = ["region_code", "type_department"]
+    counts = {
+        "tasks_created": count_all(),
+        "tasks_completed": F.count_if(finished()),
+        "tasks_new": F.count_if(stage("new")),
+        "tasks_in_progress": F.count_if(stage("in_progress")),
+        "urgent_tasks": F.count_if(priority("urgent")),
+        "high_tasks": F.count_if(priority("high")),
+    }
+    took = F.when(finished(), total_micros())
+    by_worker = (
         tasks.withWatermark("created_at", lateness)
-        .groupBy(F.window("created_at", unit), "region_code", "type_department")
+        .groupBy(F.window("created_at", unit), *place, "finished_by_id")
+        .agg(*[c.alias(n) for n, c in counts.items()], F.sum(took).alias("_micros"), F.count(took).alias("_timed"))
+    )
+    return (
+        by_worker.groupBy(F.window(F.window_time("window"), unit), *place)
         .agg(
-            count_all().alias("tasks_created"),
-            F.count_if(finished()).alias("tasks_completed"),
-            F.count_if(stage("new")).alias("tasks_new"),
-            F.count_if(stage("in_progress")).alias("tasks_in_progress"),
-            F.count_if(priority("urgent")).alias("urgent_tasks"),
-            F.count_if(priority("high")).alias("high_tasks"),
-            F.approx_count_distinct("finished_by_id").alias("unique_workers"),
-            F.avg(F.when(finished(), hours)).alias("avg_hours_to_complete"),
+            *[F.sum(n).alias(n) for n in counts],
+            F.count("finished_by_id").alias("unique_workers"),
+            (F.sum("_micros").cast("double") / F.sum("_timed") / MICROS_PER_HOUR).alias("avg_hours_to_complete"),
         )
         .select(F.col("window.start").alias("bucket"), "*")
         .drop("window")

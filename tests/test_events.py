@@ -107,7 +107,7 @@ def test_task_stream_survives_bad_events_and_logs(spark, tmp_path, tasks, compan
     run()
     got = {(r.task_id, r.region_code): r.task_status for r in store.read("tasks").collect()}
     assert got == {("7", "n"): "second", ("7", "s"): "new"}
-    log = {r.event_id: r.error_message for r in spark.read.parquet(f"{store.root}/event_log").collect()}
+    log = {r.event_id: r.error_message for r in store.read("event_log").collect()}
     assert log == {1: None, 2: "payload is not JSON", 4: None, 5: None}
 
 
@@ -129,7 +129,7 @@ def test_property_stream_keeps_the_newest(spark, tmp_path, companies, rows):
     run("b.json", (4, {"property_id": 11, "company_id": 1, "status": "late"}), (8, {"property_id": 12, "status": "inspected"}))
     assert {r.property_id: (r.status, r.event_id) for r in store.read("property_status").collect()} == {"11": ("clean", 5), "12": ("inspected", 8)}
     assert {r.property_id: r.property_status for r in store.read("properties").collect()} == {"11": "late", "12": "inspected"}
-    log = {r.event_id: (r.error_message, r.event_kind) for r in spark.read.parquet(f"{store.root}/event_log").collect()}
+    log = {r.event_id: (r.error_message, r.event_kind) for r in store.read("event_log").collect()}
     assert set(log) == {4, 5, 6, 7, 8} and log[6] == ("payload is not JSON", "property-status")
 
 
@@ -151,12 +151,12 @@ def test_write_refreshed_replaces_only_its_days(spark, rows, tmp_path):
     def made(day, worker):
         return (datetime(2025, 1, day, 8), datetime(2025, 1, day, 10), "n", "housekeeping", "urgent", "finished", worker)
 
-    path = str(tmp_path / "daily")
+    store = SnapshotStore(spark, str(tmp_path / "store"))
     early = rows(ROLLUP, made(1, "a"), made(2, "a"), made(3, "a"))
-    rollups.write_refreshed(early, path, datetime(2025, 1, 1), datetime(2025, 1, 4))
+    rollups.write_refreshed(early, store, "days", datetime(2025, 1, 1), datetime(2025, 1, 4))
     late = rows(ROLLUP, made(1, "b"), made(2, "b"), made(2, "c"), made(3, "b"))
-    rollups.write_refreshed(late, path, datetime(2025, 1, 1, 6), datetime(2025, 1, 3, 6))
-    got = {str(r.bucket_day)[-2:]: (r.tasks_created, r.unique_workers, r.avg_hours_to_complete) for r in spark.read.parquet(path).collect()}
+    rollups.write_refreshed(late, store, "days", datetime(2025, 1, 1, 6), datetime(2025, 1, 3, 6))
+    got = {str(r.bucket_day)[-2:]: (r.tasks_created, r.unique_workers, r.avg_hours_to_complete) for r in store.read("days").collect()}
     assert got == {"01": (1, 1, 2.0), "02": (2, 2, 2.0), "03": (1, 1, 2.0)}
 
 

@@ -51,7 +51,7 @@ def test_properties_twice(store, pages):
     assert photos == {(first["1"].id, "10"): "v", (first["1"].id, "11"): None, (first["2"].id, "20"): "u", (second["4"].id, "40"): "u"}
     (row,) = status.collect()
     assert (row.sync_status, row.records_processed, row.records_new) == ("success", 2, 1)
-    assert store.spark.read.parquet(f"{store.root}/sync_history").count() == 2
+    assert store.read("sync_history").count() == 2
 
 
 def test_stream_owned_status_is_not_overwritten(store, pages):
@@ -82,9 +82,9 @@ def test_tasks_with_children_and_keys(store, pages, rows):
     assert [(r.task_pk, r.tag_pk) for r in store.read("task_tags").collect()] == [(tasks["100"].id, store.read("tags").first().id)]
     assert [(r.task_pk, r.cost) for r in store.read("task_costs").collect()] == [(tasks["100"].id, 3.5)]
     assert store.read("task_assignments").count() == 2
-    before = store._pointer("tasks")["parts"]
+    before = store.folders("tasks")
     load_entity(store, "tasks", pages((1, [task(101, 1, created_at="2025-02-01T00:00:00Z", name="renamed")])), DAY2)
-    after = store._pointer("tasks")["parts"]
+    after = store.folders("tasks")
     assert after["2025-01-01"] == before["2025-01-01"] and after["2025-02-01"] != before["2025-02-01"]
     assert by(store.read("tasks"), "task_id")["101"].task_name == "renamed"
 

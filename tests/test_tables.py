@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from fieldstay.functions.times import Clock
 from fieldstay.operators import dedup, export, keys, maintenance, merge, quality, reconcile, runlog
-from fieldstay.sources import snapshot
+from fieldstay.sources import snapshot, store as stores
 
 CLOCK = Clock(datetime(2025, 3, 1, 6, 30))
 KEY = st.sampled_from([None, "a", "b", "c", "d"])
@@ -299,13 +299,13 @@ def test_replace_rewrites_only_the_touched_partitions(spark, rows, tmp_path):
     store = snapshot.SnapshotStore(spark, str(tmp_path))
     schema = "k string, p string, v int"
     store.write("t", rows(schema, ("a", "x", 1), ("b", "y/1 %", 2), ("c", None, 3)), "p")
-    before = store._pointer("t")["parts"]
+    before = store.folders("t")
     counts = merge.upsert_table(store, "t", rows(schema, ("b", "y/1 %", 9), ("n", "new", 5)), ["k", "p"], "p")
     assert tuple(counts.first())[:2] == (1, 1)
     assert sorted(map(repr, map(tuple, store.read("t").collect()))) == sorted(
         map(repr, [("a", "x", 1), ("b", "y/1 %", 9), ("c", None, 3), ("n", "new", 5)])
     )
-    after = store._pointer("t")["parts"]
+    after = store.folders("t")
     assert after["x"] == before["x"] and after["y/1 %"] != before["y/1 %"]
     assert store.vacuum("t") == 0 and store.vacuum("t", older_than_hours=-1) == 1
     store.replace("t", store.read("t", ["x"]).where("false"), ["x"])
@@ -339,19 +339,19 @@ def test_vacuum_knows_current_folders_by_qualified_path(spark, rows, tmp_path):
 
 def test_qualified_paths_keep_the_authority(spark):
     fs = spark._jvm.org.apache.hadoop.fs
-    local = fs.Path(f"{snapshot.POINTER}").getFileSystem(spark._jsc.hadoopConfiguration())
-    one = snapshot.qualified(fs.Path("file:///wh/t/v-1"), local)
-    assert one == snapshot.qualified(fs.Path("/wh/t/v-1"), local)
-    assert one != snapshot.qualified(fs.Path("file:///wh/t/v-2"), local)
+    local = fs.Path("HEAD").getFileSystem(spark._jsc.hadoopConfiguration())
+    one = stores.qualified(fs.Path("file:///wh/t/v-1"), local)
+    assert one == stores.qualified(fs.Path("/wh/t/v-1"), local)
+    assert one != stores.qualified(fs.Path("file:///wh/t/v-2"), local)
 
 
 def test_second_writer_fails_and_loses_nothing(spark, rows, tmp_path):
     store = snapshot.SnapshotStore(spark, str(tmp_path))
     store.write("t", rows("p string, v int", ("x", 1), ("y", 2)), "p")
-    seen = store._pointer("t")
+    seen = store.snapshot()
     store.replace("t", rows("p string, v int", ("x", 5)), ["x"])
     with pytest.raises(snapshot.ConflictError):
-        store._point("t", seen)
+        store.replace("t", rows("p string, v int", ("x", 6)), ["x"], based_on=seen)
     assert sorted((r.p, r.v) for r in store.read("t").collect()) == [("x", 5), ("y", 2)]
     assert [r.p for r in store.read("t", between=("y", "z")).collect()] == ["y"]
 
@@ -399,9 +399,9 @@ def test_a_property_with_any_photo_is_not_listed(rows):
 
 
 def test_every_requirement_counts_as_supply(rows):
-    from checks.tables import whole_child_tables
+    from checks.tables import child_tables
 
     tasks = rows("id long, region_code string, rate_paid double", (1, "a", None), (2, "b", 3.0))
     requirements = rows("task_pk long, photos string", (1, '["p"]'), (1, "[]"), (2, None), (9, "[]"))
-    counts = quality.child_counts(whole_child_tables({"tasks": tasks, "task_requirements": requirements})).collect()
+    counts = quality.child_counts(child_tables({"tasks": tasks, "task_requirements": requirements})).collect()
     assert {(r.child, r.region_code): r.records for r in counts} == {("supplies", "a"): 2, ("supplies", "b"): 1, ("costs", "b"): 1}
