@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fieldstay.llm.storage import map_arrow, materialise, release, slots_for
+from fieldstay.llm.storage import map_arrow, materialise, ranked, release, slots_for
 from fieldstay.llm.words import batches_of, plain, split_words
 
 # A group's subtree is built from at most twice so many suffixes.
@@ -347,6 +347,9 @@ def collocations(
         F.when(first, F.col("l1")).otherwise(F.col("l2")).alias("l"), F.when(first, F.col("r1")).otherwise(F.col("r2")).alias("r"),
         F.least("s1", "s2").alias("score"),
     )
-    order = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), F.col("phrase"))
-    ranked = pairs.unionByName(triples).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
-    return ranked.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
+    scored = materialise(pairs.unionByName(triples).withColumns({"_s": -F.col("score"), "_a": -F.col("a")}), "scored")
+    placed = materialise(ranked(scored, ["lang", "_s", "_a", "phrase"], "ranked"), "placed")
+    first = placed.groupBy("lang").agg(F.min("pos").alias("first"))
+    rank = (F.col("pos") - F.col("first") + 1).alias("rank")
+    best = placed.join(first.join(totals, "lang"), "lang").select("lang", rank, "phrase", "a", "l", "r", "n", "score")
+    return best.filter(F.col("rank") <= top)

@@ -7,9 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from fieldstay.llm.storage import materialise, slots_for
+from fieldstay.llm.storage import materialise, ranked
 
 # Levels built, or joined, at once: a bucket covers at most 2 ** SPAN leaf ranks of its lowest level.
 SPAN = 10
@@ -30,26 +29,6 @@ def hexed(digest: Column) -> Column:
     return F.lower(F.hex(digest))
 
 
-def _ranked(rows: DataFrame, order: Sequence[str], name: str) -> DataFrame:
-    """``rows`` with ``pos``, gapless from 0 in the given order. Equal rows are dealt out by a number of their own, so
-    many repeats do not meet in one task."""
-    spread = rows.withColumn("_any", F.monotonically_increasing_id())
-    placed = materialise(
-        spread.repartitionByRange(slots_for(rows.sparkSession), *order, "_any").sortWithinPartitions(*order, "_any")
-        .drop("_any").withColumn("_place", F.monotonically_increasing_id()),
-        name,
-    )
-    slot = F.shiftright("_place", 33)
-    # One row for each partition of the exchange above.
-    sizes = placed.groupBy(slot.alias("_slot")).agg(F.count("*").alias("_n"))
-    before = sizes.select("_slot", (F.sum("_n").over(Window.orderBy("_slot")) - F.col("_n")).alias("_before"))
-    inside = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
-    return (
-        placed.withColumn("_slot", slot).join(materialise(before, "slots"), "_slot")
-        .withColumn("pos", F.col("_before") + inside).select(*rows.columns, "pos")
-    )
-
-
 def _next_level(nodes: Column) -> Column:
     """Every two consecutive nodes (the last run may be one) under their digest; the parent covers their intervals."""
 
@@ -186,9 +165,9 @@ def manifest(
     leaf = sha(*[field(F.col(f"`{c}`")) for c in fields])
     stated = F.lit(None).cast("binary") if claimed is None else F.unhex(claimed)
     base = docs.select(F.col(f"`{group_col}`").alias("g"), F.col(f"`{id_col}`").alias("id"), leaf.alias("digest"), stated.alias("stated"))
-    placed = materialise(_ranked(materialise(base, "leaves"), ["g", "id", "digest"], "ranked-leaves"), "placed")
+    placed = materialise(ranked(materialise(base, "leaves"), ["g", "id", "digest"], "ranked-leaves"), "placed")
     groups = materialise(placed.groupBy("g").agg(F.min("pos").alias("first"), F.count("*").alias("n")), "groups")
-    numbered = _ranked(groups, ["g"], "ranked-groups").withColumnRenamed("pos", "grp")
+    numbered = ranked(groups, ["g"], "ranked-groups").withColumnRenamed("pos", "grp")
     # The bits of the last rank; logarithms are not exact at powers of two.
     height = F.when(F.col("n") == 1, 0).otherwise(F.length(F.bin(F.col("n") - 1)))
     numbered = materialise(numbered.withColumn("height", height), "heights")

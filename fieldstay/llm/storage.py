@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -90,6 +91,26 @@ def with_row_key(docs: DataFrame, id_col: str, text_col: str, *, carry: bool = F
     return tagged.join(keys, same).select(*rows.columns, "row_key")
 
 
+def ranked(rows: DataFrame, order: Sequence[str | Column], name: str) -> DataFrame:
+    """``rows`` with ``pos``, gapless from 0 in the given order, sorted by range, so that no group meets in one task.
+    Equal rows are dealt out by a number of their own, so many repeats do not either."""
+    spread = rows.withColumn("_any", F.monotonically_increasing_id())
+    placed = materialise(
+        spread.repartitionByRange(slots_for(rows.sparkSession), *order, "_any").sortWithinPartitions(*order, "_any")
+        .drop("_any").withColumn("_place", F.monotonically_increasing_id()),
+        name,
+    )
+    slot = F.shiftright("_place", 33)
+    # One row for each partition of the exchange above.
+    sizes = placed.groupBy(slot.alias("_slot")).agg(F.count("*").alias("_n"))
+    before = sizes.select("_slot", (F.sum("_n").over(Window.orderBy("_slot")) - F.col("_n")).alias("_before"))
+    inside = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    return (
+        placed.withColumn("_slot", slot).join(materialise(before, "slots"), "_slot")
+        .withColumn("pos", F.col("_before") + inside).select(*rows.columns, "pos")
+    )
+
+
 def numbered(rows: DataFrame, group: str, order: list[str], slot: str) -> DataFrame:
     """``rows`` with ``rank``, gapless from 0 within ``group``, without gathering a group in one task.
 
