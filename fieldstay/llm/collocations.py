@@ -17,10 +17,10 @@ from fieldstay.llm.storage import map_arrow, materialise, ranked, release, slots
 from fieldstay.llm.words import batches_of, plain, split_words
 
 # A group's subtree is built from at most twice so many suffixes.
-BUDGET = 1 << 20
+BUDGET = 1 << 19
 # The budget grows where there would be more groups than this, so the list of their bounds stays small.
 MOST_GROUPS = 1 << 18
-SLICE_BYTES = 1 << 23
+SLICE_BYTES = 1 << 22
 BREAK = "."
 CODEC = "zstd"
 
@@ -49,7 +49,7 @@ def _summed(columns: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndar
         new[1:] = np.logical_or.reduce([c[order][1:] != c[order][:-1] for c in columns])
         new = np.flatnonzero(new)
     first = order[new]
-    totals = np.add.reduceat(counts[order], new) if len(new) else counts[:0]
+    totals = np.add.reduceat(counts[order], new, dtype=np.int64) if len(new) else counts[:0].astype(np.int64)
     return [c[first] for c in columns], totals
 
 
@@ -60,12 +60,13 @@ class Suffixes:
         self.words, self.codes, self.counts = words, codes, counts
 
     def packed(self) -> tuple[bytes, bytes]:
-        numbers = np.concatenate([self.codes.ravel(), self.counts]).astype("<u4" if self.counts.max(initial=0) < 1 << 32 else "<u8")
-        return _pack(b" ".join(self.words)), numbers.dtype.str.encode() + _pack(numbers.tobytes())
+        # Codes and, in one slice of text, counts fit 32 bits.
+        numbers = np.concatenate([self.codes.ravel(), self.counts]).astype("<i4")
+        return _pack(b" ".join(self.words)), _pack(numbers.tobytes())
 
     @classmethod
     def unpacked(cls, words: bytes, numbers: bytes) -> Suffixes:
-        values = np.frombuffer(_unpack(numbers[3:]), dtype=numbers[:3].decode()).astype(np.int64).reshape(4, -1)
+        values = np.frombuffer(_unpack(numbers), dtype="<i4").reshape(4, -1)
         return cls(_unpack(words).split(b" "), values[:3], values[3])
 
     def part(self, rows: np.ndarray) -> Suffixes:
@@ -152,7 +153,7 @@ def _below(s: Suffixes, parents: set, depth: int) -> np.ndarray:
     if not hit:
         return np.zeros(len(s.counts), dtype=bool)
     wide = len(s.words) + 1
-    pair = [sum(c * wide**k for k, c in enumerate(cs)) for cs in (found, s.codes[:depth])]
+    pair = [sum(c.astype(np.int64) * wide**k for k, c in enumerate(cs)) for cs in (found, s.codes[:depth])]
     return np.isin(pair[1], pair[0][hit])
 
 
@@ -176,7 +177,7 @@ def _deal(bounds: list[tuple], long: set, longer: set):
                 if hot:
                     among = np.flatnonzero(np.isin(s.codes[0], hot) & keep)
                     wide = len(s.words) + 1
-                    pair, again = np.unique(s.codes[0][among] * wide + s.codes[1][among], return_inverse=True)
+                    pair, again = np.unique(s.codes[0][among].astype(np.int64) * wide + s.codes[1][among], return_inverse=True)
                     names = [(s.words[p // wide - 1], s.words[p % wide - 1]) for p in pair]
                     where[among] = np.array([bisect_right(bounds, (lang.encode(), *n)) - 1 for n in names], dtype=np.int64)[again]
                     done = np.array([(lang, *n) in longer for n in names], dtype=bool)[again]
@@ -198,10 +199,13 @@ def _subtree(lang: str, parts: list[Suffixes], long: set, least: int):
     words = pa.chunked_array([pa.array(p.words, pa.binary()) for p in parts])
     coded = plain(words.dictionary_encode())
     names = coded.dictionary.to_pylist()
-    codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64) + 1
+    codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int32) + 1
     ends = np.cumsum([len(p.words) for p in parts])
-    renamed = [np.concatenate([[0], codes[end - len(p.words) : end]])[p.codes] for p, end in zip(parts, ends)]
-    leaves, totals = _summed(list(np.concatenate(renamed, axis=1)), np.concatenate([p.counts for p in parts]))
+    none = np.zeros(1, dtype=np.int32)
+    renamed = [np.concatenate([none, codes[end - len(p.words) : end]])[p.codes] for p, end in zip(parts, ends)]
+    counts = np.concatenate([p.counts for p in parts])
+    parts.clear()
+    leaves, totals = _summed(list(np.concatenate(renamed, axis=1)), counts)
     merged = Suffixes(names, np.stack(leaves), totals)
     frequent = (totals >= least) & (leaves[2] > 0)
     yield _nodes(lang, merged, [c[frequent] for c in leaves], totals[frequent])
