@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldstay.operators.ranking import join_on, row_slot
+from fieldstay.session import durable
 
 # Widths in days of the bins of each level, and how many bins of a level a range may touch before the next is its own.
 BIN_DAYS = (8, 512, 32_768, 2_097_152)
@@ -71,21 +72,53 @@ def unresolved_count(df: DataFrame, ref: DataFrame, on: Mapping[str, str]) -> Da
     return df.withColumns(keys).join(known, list(keys), "left_anti").agg(F.count(F.lit(1)).alias("unresolved"))
 
 
-def _bins(first: Column, last: Column) -> Column:
-    """(level, bin, own) of the day bins a date range touches: those of its own level, the finest on which it touches
-    few, and those of all coarser levels. A range of a thousand years takes no more rows than one of a year."""
+def _level(first: Column, last: Column) -> Column:
+    """The finest level on which a date range touches few day bins."""
     lo, hi = F.unix_date(F.least(first, last)), F.unix_date(F.greatest(first, last))
     level = F.lit(len(BIN_DAYS) - 1)
     for n in reversed(range(len(BIN_DAYS) - 1)):
         level = F.when(F.floor(hi / BIN_DAYS[n]) - F.floor(lo / BIN_DAYS[n]) < MOST_BINS, n).otherwise(level)
+    return level
+
+
+def _bins(first: Column, last: Column, levels: Sequence[int], wanted: Callable[[int], Column]) -> Column:
+    """(_at, _bin) of the day bins a date range touches on the wanted ones of some levels. No coarser than its own level, a
+    range of a thousand years takes no more rows than one of a year."""
+    lo, hi = F.unix_date(F.least(first, last)), F.unix_date(F.greatest(first, last))
 
     def at(n: int) -> Column:
         numbers = F.sequence(F.floor(lo / BIN_DAYS[n]), F.floor(hi / BIN_DAYS[n]))
-        own = (level == n).alias("_own")
-        rows = F.transform(numbers, lambda b: F.struct(F.lit(n).alias("_level"), b.alias("_bin"), own))
-        return F.when(level <= n, rows).otherwise(F.array())
+        rows = F.transform(numbers, lambda b: F.struct(F.lit(n).alias("_at"), b.alias("_bin")))
+        return F.when(wanted(n), rows).otherwise(F.array())
+
+    return F.inline(F.concat(*(at(n) for n in levels)))
+
+
+def _meetings(questions: DataFrame, stays: DataFrame, place: Sequence[str]) -> DataFrame:
+    """Questions with the stays of their place whose dates (``_from``, ``_to``, with their ``_level``) share a day bin.
+
+    Ranges meet on the level of the longer one. Short ranges, nearly all, only take bins of the finest level; on
+    coarser levels only the places with a longer range on the other side take part.
+    """
+    first, last, fine, coarse = F.col("_from"), F.col("_to"), [0], range(1, len(BIN_DAYS))
+    on = [*place, "_at", "_bin"]
+
+    def bins(side: DataFrame, levels, wanted) -> DataFrame:
+        return side.select("*", _bins(first, last, levels, wanted)).drop("_from", "_to", "_level")
+
+    def short(side: DataFrame) -> DataFrame:
+        return bins(side.where("_level = 0"), fine, lambda n: F.lit(True))
+
+    def longer(side: DataFrame) -> DataFrame:
+        return bins(side.where("_level > 0"), coarse, lambda n: F.col("_level") == n)
+
+    def around(side: DataFrame, other: DataFrame, wanted) -> DataFrame:
+        places = other.where("_level > 0").select(*place).distinct()
+        return bins(side.join(places, list(place), "left_semi"), coarse, wanted)
 
-    return F.concat(*(at(n) for n in range(len(BIN_DAYS))))
+    met = short(questions).join(short(stays), on)
+    met = met.unionByName(around(questions, stays, lambda n: F.col("_level") <= n).join(longer(stays), on))
+    return met.unionByName(longer(questions).join(around(stays, questions, lambda n: F.col("_level") < n), on))
 
 
 def link_by_dates(tasks: DataFrame, reservations: DataFrame) -> DataFrame:
@@ -96,9 +129,8 @@ def link_by_dates(tasks: DataFrame, reservations: DataFrame) -> DataFrame:
     wins, then the lowest id.
 
     Reservations with equal dates and tasks with equal dates have equal answers, so both sides are
-    reduced to distinct dates first. They then meet on (property, region, day bin), on the level of the
-    longer range: neither a busy property nor a long history makes a group of all pairs, and a date far
-    off by a typing error takes few rows.
+    reduced to distinct dates first. They then meet on (property, region, day bin): neither a busy property
+    nor a long history makes a group of all pairs, and a date far off by a typing error takes few rows.
     """
     place = ["property_pk", "region_code"]
     asked = [*place, "_cleaning", "scheduled_date", "checkin_date", "checkout_date"]
@@ -110,24 +142,21 @@ def link_by_dates(tasks: DataFrame, reservations: DataFrame) -> DataFrame:
     questions = (
         open_tasks.select(*asked).distinct()
         .where(F.col("property_pk").isNotNull() & F.col("region_code").isNotNull() & starts.isNotNull())
-        .select("*", F.inline(_bins(starts, ends)))
+        .select("*", starts.alias("_from"), ends.alias("_to"), _level(starts, ends).alias("_level"))
     )
     stays = (
         reservations.where(F.col("checkin_date").isNotNull() & F.col("checkout_date").isNotNull())
         .groupBy(*place, F.col("checkin_date").alias("_in"), F.col("checkout_date").alias("_out"))
         .agg(F.min("id").alias("_res"))
-        .select("*", F.inline(_bins(F.col("_in"), F.date_add("_out", 1))))
+        .select("*", F.col("_in").alias("_from"), F.date_add("_out", 1).alias("_to"), _level(F.col("_in"), F.date_add("_out", 1)).alias("_level"))
     )
     same = (F.col("checkin_date") == F.col("_in")) & (F.col("checkout_date") == F.col("_out"))
     around = F.col("_cleaning") & F.col("scheduled_date").between(F.col("_in"), F.date_add("_out", 1))
     overlap = (F.col("checkin_date") <= F.col("_out")) & (F.col("checkout_date") >= F.col("_in"))
     rule = F.when(same, 1).when(around, 2).when(overlap, 3)
     distance = F.abs(F.date_diff(F.coalesce("checkin_date", "scheduled_date"), F.col("_in")))
-    meet = [*place, "_level", "_bin"]
-    met = questions.where("_own").drop("_own").join(stays.drop("_own"), meet)
-    met = met.unionByName(questions.where("not _own").drop("_own").join(stays.where("_own").drop("_own"), meet))
     answers = (
-        met
+        _meetings(durable(questions), durable(stays), place)
         .withColumn("_rule", rule)
         .where(F.col("_rule").isNotNull())
         .groupBy(*asked)

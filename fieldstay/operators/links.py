@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from fieldstay.functions.parsing import amount, lenient_timestamp, non_empty
 from fieldstay.operators.ranking import positions
+from fieldstay.session import durable
 
 _STATUS = "struct<code string, name string, stage string>"
 LINK_SCHEMA = (
@@ -67,14 +68,28 @@ def fold_requirements(requirements: DataFrame, part_rows: int = 10_000) -> DataF
 
     Entries are in (section, id) order, NULLs last. A list holds at most ``part_rows`` entries; a
     larger task continues in further parts, so nothing is dropped and no list grows without bound.
+
+    Which tasks are larger is counted first, combined before the exchange; there are at most one in ``part_rows`` rows.
+    The others' lists are built by one exchange, as none is longer than a part; only the larger tasks are numbered.
     """
     order = ["section_name", *[c for c in FOLDED if c != "section_name"]]
-    numbered = positions(requirements.select("task_pk", *FOLDED), ["task_pk"], order, "_pos")
-    return (
+    entries = requirements.select("task_pk", *FOLDED)
+    large = durable(entries.groupBy("task_pk").count().where(F.col("count") > part_rows).select(F.col("task_pk").alias("_large")))
+    same = F.col("task_pk").eqNullSafe(F.col("_large"))
+    # Structs are ordered with NULLs first: a flag before each column brings them last.
+    place = F.struct(*[c for name in order for c in (F.col(name).isNull().alias(f"_null_{name}"), F.col(name))])
+    short = (
+        entries.join(large, same, "left_anti").groupBy("task_pk")
+        .agg(F.array_sort(F.collect_list(place)).alias("_l"))
+        .select("task_pk", F.lit(0).alias("part"), F.to_json(F.transform("_l", lambda e: F.struct(*[e[c].alias(c) for c in FOLDED]))).alias("requirements"))
+    )
+    numbered = positions(entries.join(large, same, "left_semi"), ["task_pk"], order, "_pos")
+    parts = (
         numbered.groupBy("task_pk", F.floor(F.col("_pos") / part_rows).cast("int").alias("part"))
         .agg(F.array_sort(F.collect_list(F.struct("_pos", F.struct(*FOLDED).alias("r")))).alias("_l"))
         .select("task_pk", "part", F.to_json(F.transform("_l", lambda e: e["r"])).alias("requirements"))
     )
+    return short.unionByName(parts)
 
 
 SUB_STATUS = T.ArrayType(

@@ -160,8 +160,9 @@ def _load(
 ) -> DataFrame:
     """Stage the load of one entity; the outcome of each region."""
     # A page that cannot be read holds its region back: its rows stay as they are and the last success too.
-    bodies = [pages, *child_pages.values()]
-    broken = reduce(DataFrame.unionByName, [unreadable_pages(p) for p in bodies])
+    # Pages of children without a parent id are skipped, whatever they hold.
+    named = [p.where(F.col("parent_id") != "") for p in child_pages.values()]
+    broken = reduce(DataFrame.unionByName, [unreadable_pages(p, "data") for p in named], unreadable_pages(pages))
     failed = durable(broken.groupBy("region_code").agg(count_all().alias("pages"), F.min("reason").alias("reason")))
     child_pages = {k: p.join(failed, "region_code", "left_anti") for k, p in child_pages.items()}
     if entity.name == "tasks" and change.exists("properties"):

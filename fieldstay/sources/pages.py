@@ -27,10 +27,15 @@ def _envelope(body: Column, element: T.DataType, key: str) -> Column:
     return F.when(is_list, as_list).otherwise(as_object)
 
 
-def unreadable_pages(pages: DataFrame) -> DataFrame:
-    """(region_code, reason) of pages whose body is missing or is no whole JSON value."""
-    broken = pages.where(F.try_parse_json("body").isNull())
-    return broken.select("region_code", F.concat(F.lit("no JSON: "), F.coalesce(F.left("body", F.lit(40)), F.lit("no body"))).alias("reason"))
+def unreadable_pages(pages: DataFrame, key: str = "results") -> DataFrame:
+    """(region_code, reason) of pages whose body is missing, is no whole JSON value, or is neither a list nor an object
+    with ``key``, such as an error the source answered with."""
+    whole = F.try_parse_json("body").isNotNull()
+    is_list = F.ltrim("body").startswith("[")
+    is_object = F.ltrim("body").startswith("{") & F.coalesce(F.array_contains(F.json_object_keys("body"), key), F.lit(False))
+    reason = F.when(F.col("body").isNull() | ~whole, "no JSON: ").when(~(is_list | is_object), "no list: ")
+    shown = F.concat(reason, F.coalesce(F.left("body", F.lit(40)), F.lit("no body")))
+    return pages.select("region_code", shown.alias("reason")).where(F.col("reason").isNotNull())
 
 
 def unwrap_pages(pages: DataFrame, schema: T.StructType, key: str = "results") -> DataFrame:
