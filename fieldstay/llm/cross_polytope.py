@@ -138,29 +138,51 @@ def _roots(rows: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         root = after
 
 
+class _Rows:
+    """Rows of the comparing step as numpy arrays; unit vectors and bucket numbers lie one after the other."""
+
+    def __init__(self, rows: pa.Table):
+        rows = rows.combine_chunks()
+        self.key, self.i, self.j, self.mine, self.classes, self.weights = (
+            rows[c].to_numpy() for c in ("key", "i", "j", "mine", "class", "n")
+        )
+        self.groups = rows["grp"].combine_chunks().dictionary_encode().indices.to_numpy()
+        lists = rows["vec"].combine_chunks()
+        values = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        lengths = lists.value_lengths().to_numpy()
+        self.vec_at = np.concatenate([[0], np.cumsum(lengths)])
+        values = values / np.repeat(np.maximum.reduceat(np.abs(values), self.vec_at[:-1]), lengths)
+        self.values = values / np.repeat(np.sqrt(np.add.reduceat(values * values, self.vec_at[:-1])), lengths)
+        keys = rows["keys"].combine_chunks()
+        self.buckets = keys.flatten().to_numpy()
+        self.key_at = np.concatenate([[0], np.cumsum(keys.value_lengths().to_numpy())])
+
+    def starts(self) -> np.ndarray:
+        changed = np.ones(len(self.key), dtype=bool)
+        changed[1:] = (self.key[1:] != self.key[:-1]) | (self.i[1:] != self.i[:-1]) | (self.j[1:] != self.j[:-1])
+        return np.flatnonzero(changed)
+
+    def vectors(self, start: int, end: int) -> np.ndarray:
+        lengths = np.diff(self.vec_at[start : end + 1])
+        if (lengths != lengths[0]).any():
+            raise ValueError("vectors of different lengths met in a bucket")
+        return self.values[self.vec_at[start] : self.vec_at[end]].reshape(end - start, -1)
+
+
 def _compare(threshold: float):
     """Rows sorted by bucket and pair of blocks become ``(class, links, root)``: how many rows the class links to
     here that it does not meet in a bucket before, and the smallest class it reaches here."""
 
-    def unit(rows: pa.Table, key: int):
-        m = rows.num_rows
-        if m < 2:
+    def unit(rows: _Rows, start: int, end: int):
+        if end - start < 2:
             return None
-        order = np.argsort(rows["class"].to_numpy(), kind="stable")
-        rows = rows.take(pa.array(order))
-        classes, weights = rows["class"].to_numpy(), rows["n"].to_numpy()
-        mine, i, j = (rows[c].to_numpy() for c in ("mine", "i", "j"))
-        groups = rows["grp"].combine_chunks().dictionary_encode().indices.to_numpy()
-        lists = rows["vec"].combine_chunks()
-        lengths = lists.value_lengths().to_numpy()
-        a = np.flatnonzero(mine == i)
-        b = np.flatnonzero(mine == j)
-        same = i[0] == j[0]
-        if not len(a) or not len(b) or (lengths != lengths[0]).any():
-            if len(np.unique(lengths)) > 1:
-                raise ValueError("vectors of different lengths met in a bucket")
+        key, vectors = int(rows.key[start]), rows.vectors(start, end)
+        mine, groups = rows.mine[start:end], rows.groups[start:end]
+        same = rows.i[start] == rows.j[start]
+        a = np.flatnonzero(mine == rows.i[start])
+        b = a if same else np.flatnonzero(mine == rows.j[start])
+        if not len(a) or not len(b):
             return None
-        vectors = _matrix(lists)
         near = _near(vectors[a], vectors[b], threshold) & (groups[a][:, None] == groups[b][None, :])
         if same:
             near = np.triu(near, 1)
@@ -170,45 +192,43 @@ def _compare(threshold: float):
         ra, rb = np.flatnonzero(near.any(axis=1)), np.flatnonzero(near.any(axis=0))
         near = near[np.ix_(ra, rb)]
         a, b = a[ra], b[rb]
-        keys = rows["keys"].combine_chunks()
-        own = [np.asarray(keys[int(r)].values) for r in np.concatenate([a, b])]
+        own = [rows.buckets[rows.key_at[start + r] : rows.key_at[start + r + 1]] for r in np.concatenate([a, b])]
         fresh = near & ~_met_before(own, key, len(a))
-        links = np.zeros(m, dtype=np.int64)
+        classes, weights = rows.classes[start:end], rows.weights[start:end]
+        links = np.zeros(end - start, dtype=np.int64)
         links[a] += (fresh * weights[b][None, :]).sum(axis=1)
         links[b] += (fresh * weights[a][:, None]).sum(axis=0)
-        p, q = np.nonzero(near)
-        root = _roots(m, a[p], b[q])
         some = np.unique(np.concatenate([a, b]))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(classes[some]), pa.array(links[some]), pa.array(classes[root[some]])], names=["class", "links", "root"]
-        )
+        # Places in ascending order of the class, so that the least place is the least class.
+        place = np.empty(end - start, dtype=np.int64)
+        order = some[np.argsort(classes[some], kind="stable")]
+        place[order] = np.arange(len(order))
+        p, q = np.nonzero(near)
+        root = _roots(len(order), place[a[p]], place[b[q]])
+        return classes[order], links[order], classes[order][root]
+
+    def done(rows: _Rows, starts: np.ndarray, ends: np.ndarray):
+        found = [x for x in map(lambda s, e: unit(rows, int(s), int(e)), starts, ends) if x is not None]
+        if found:
+            columns = [pa.array(np.concatenate([f[k] for f in found])) for k in range(3)]
+            yield pa.RecordBatch.from_arrays(columns, names=["class", "links", "root"])
 
     def run(batches):
         held = None
         for batch in batches:
             part = pa.Table.from_batches([batch])
             held = part if held is None else pa.concat_tables([held, part])
-            yield from done(held, last=False)
-            held = held.slice(cut(held)[-1])
+            if held.num_rows < BLOCK:
+                continue
+            rows = _Rows(held)
+            starts = rows.starts()
+            # The last unit may go on in the next batch.
+            yield from done(rows, starts[:-1], starts[1:])
+            held = held.slice(int(starts[-1]))
         if held is not None and held.num_rows:
-            yield from done(held, last=True)
-
-    def cut(rows: pa.Table) -> np.ndarray:
-        marks = [rows[c].to_numpy() for c in ("key", "i", "j")]
-        changed = np.zeros(rows.num_rows, dtype=bool)
-        changed[0] = True
-        for m in marks:
-            changed[1:] |= m[1:] != m[:-1]
-        return np.flatnonzero(changed)
-
-    def done(rows: pa.Table, last: bool):
-        starts = cut(rows)
-        ends = [*starts[1:], *([rows.num_rows] if last else [])]
-        keys = rows["key"].to_numpy()
-        for start, end in zip(starts, ends):
-            found = unit(rows.slice(start, end - start), int(keys[start]))
-            if found is not None:
-                yield found
+            rows = _Rows(held)
+            starts = rows.starts()
+            yield from done(rows, starts, np.append(starts[1:], held.num_rows))
 
     return run
 
