@@ -46,6 +46,36 @@ def check(name: str, query: Callable[[Domain], DataFrame], tables: str = "", sql
         ORACLES[name] = with_domain(tables, sql)
 
 
+# Contents as figures --------------------------------------------------------------------------
+
+
+def contents(name: str, df: DataFrame) -> DataFrame:
+    """One row a column of a portable frame: its rows, values that are not NULL, and the sum of 28 bits of a hash of
+    each value, doubles to six digits."""
+    made = portable(df)
+
+    def printed(f: T.StructField):
+        c = F.col(f"`{f.name}`")
+        return c.cast("decimal(28,6)").cast("string") if isinstance(f.dataType, T.DoubleType) else c.cast("string")
+
+    def figures(f: T.StructField):
+        bits = F.conv(F.substring(F.md5(printed(f).cast("binary")), 1, 7), 16, 10).cast("long")
+        return F.struct(F.lit(f.name).alias("column_name"), F.count(printed(f)).alias("filled"), F.coalesce(F.sum(bits), F.lit(0)).alias("content"))
+
+    row = made.agg(F.count(F.lit(1)).alias("view_rows"), F.array(*[figures(f) for f in made.schema]).alias("columns"))
+    # A view without rows has no values to list.
+    return row.where("view_rows > 0").select(F.lit(name).alias("view_name"), "view_rows", F.inline("columns"))
+
+
+def contents_sql(name: str, sql: str) -> str:
+    """The same of a statement's result."""
+    printed = "CASE WHEN typeof(COLUMNS(*)) = 'DOUBLE' THEN CAST(TRY_CAST(COLUMNS(*) AS DECIMAL(28, 6)) AS VARCHAR) ELSE CAST(COLUMNS(*) AS VARCHAR) END"
+    known = "v <> 'no value'"
+    return f"""SELECT '{name}' AS view_name, count(*) AS view_rows, column_name, {cnt(known)} AS filled,
+ CAST(coalesce(sum(CAST('0x' || left(md5(v), 7) AS BIGINT)) FILTER (WHERE {known}), 0) AS BIGINT) AS content
+FROM (UNPIVOT (SELECT coalesce({printed}, 'no value') FROM ({sql})) ON COLUMNS(*) INTO NAME column_name VALUE v) GROUP BY column_name"""
+
+
 # SQL fragments ---------------------------------------------------------------------------------
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks.binding import CLOCK, Domain
-from checks.registry import ORACLES, big, check, cnt, div, pct, rnd, stamp, text
+from checks.registry import ORACLES, big, check, cnt, contents, contents_sql, div, pct, rnd, stamp, text
 from fieldstay.plans import boards, properties, regions, registry, trends, workers
 from fieldstay.plans.common import LAST
 from fieldstay.session import scratch_path
@@ -511,6 +511,6 @@ def pruned_board(d: Domain) -> DataFrame:
 check("pruned_by_finish", pruned_board, "tasks", leaderboard_sql("housekeeping").replace(f"INTERVAL {WINDOW} DAY", "INTERVAL 90 DAY"))
 
 # A refresh runs every view with its regular 90 days; the statements above are reused with that window.
-check("refresh_all", lambda d: registry.refresh_report(d, CLOCK), "", "\nUNION ALL ".join(
-    f"SELECT '{n}' AS view_name, count(*) AS view_rows FROM ({ORACLES[n].replace(f'INTERVAL {WINDOW} DAY', 'INTERVAL 90 DAY')})"
-    for n in registry.REFRESHED))
+REGULAR = {n: ORACLES[n].replace(f"INTERVAL {WINDOW} DAY", "INTERVAL 90 DAY") for n in registry.REFRESHED}
+check("refresh_all", lambda d: registry.refresh_report(d, CLOCK, figures=lambda n, df: contents(n, df.drop("refreshed_at"))), "",
+      "\nUNION ALL ".join(contents_sql(n, sql) for n, sql in REGULAR.items()))

@@ -124,11 +124,16 @@ def refresh_all(
         return dict(zip(wanted, pool.map(refresh, wanted), strict=True))
 
 
-def refresh_report(tables: Mapping[str, DataFrame], clock: Clock, folder: str | None = None) -> DataFrame:
-    """Refresh every regular view; one line per view with its row count."""
+def refresh_report(
+    tables: Mapping[str, DataFrame], clock: Clock, folder: str | None = None,
+    figures: Callable[[str, DataFrame], DataFrame] | None = None,
+) -> DataFrame:
+    """Refresh every regular view; one line per view with its row count, or what ``figures`` makes of its name and its
+    stored rows."""
     spark = tables["regions"].sparkSession
     views = refresh_all(tables, clock, folder or scratch_path(spark, "views"))
-    counts = [
-        df.agg(F.lit(name).alias("view_name"), count_all().alias("view_rows")) for name, df in views.items()
-    ]
-    return reduce(DataFrame.union, counts)
+
+    def count(name: str, df: DataFrame) -> DataFrame:
+        return df.agg(F.lit(name).alias("view_name"), count_all().alias("view_rows"))
+
+    return reduce(DataFrame.union, [(figures or count)(name, df) for name, df in views.items()])
