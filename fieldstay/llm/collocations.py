@@ -13,14 +13,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fieldstay.llm.storage import map_arrow, materialise, ranked, release, slots_for
+from fieldstay.llm.storage import ARROW_SETTING, map_arrow, materialise, ranked, release, slots_for
 from fieldstay.llm.words import batches_of, plain, split_words
 
 # A group's subtree is built from at most twice so many suffixes.
 BUDGET = 1 << 19
 # The budget grows where there would be more groups than this, so the list of their bounds stays small.
 MOST_GROUPS = 1 << 18
-SLICE_BYTES = 1 << 22
+SLICE_BYTES = 1 << 21
+# Packed suffixes handed to a task at a time.
+PACKS = 16
 BREAK = "."
 CODEC = "zstd"
 
@@ -271,11 +273,12 @@ def phrase_counts(
     The driver holds the first prefix of every group and the lengthened prefixes: fewer than ``2 * MOST_GROUPS``, as
     the budget grows where a corpus would have more groups.
     """
+    usual = docs.sparkSession.conf.get(ARROW_SETTING)
     given = docs.select(F.col(f"`{text_col}`").alias("text"), F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang"))
     stored = materialise(map_arrow(given, _write_suffixes, "lang string, words binary, numbers binary"), "suffixes")
 
     def counted(depth: int, long: set) -> DataFrame:
-        found = map_arrow(stored, _prefixes(depth, long), NODE).groupBy("lang", "w1", "w2", "w3").agg(F.sum("f").alias("f"))
+        found = map_arrow(stored, _prefixes(depth, long), NODE, PACKS).groupBy("lang", "w1", "w2", "w3").agg(F.sum("f").alias("f"))
         return materialise(found.select("lang", "w1", "w2", "w3", "f"), f"prefixes-{depth}")
 
     words = counted(1, set())
@@ -294,13 +297,14 @@ def phrase_counts(
         if longer:
             known.append(counted(3, longer))
     bounds = _bounds(grouped, budget)
-    dealt = map_arrow(stored, _deal(bounds, long, longer), "grp long, lang string, words binary, numbers binary")
+    dealt = map_arrow(stored, _deal(bounds, long, longer), "grp long, lang string, words binary, numbers binary", PACKS)
     arranged = dealt.repartition("grp").sortWithinPartitions("grp", "lang")
-    nodes = map_arrow(arranged, _build(long, least), NODE)
+    nodes = map_arrow(arranged, _build(long, least), NODE, PACKS)
     for table in known:
         nodes = nodes.unionByName(table.filter(F.col("f") >= least))
     out = materialise(nodes, "phrases")
     release(stored)
+    docs.sparkSession.conf.set(ARROW_SETTING, usual)
     return out, totals
 
 

@@ -9,9 +9,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from fieldstay.llm.storage import map_arrow
-from fieldstay.llm.training import labelled_sample, platt, sigmoid
+from fieldstay.llm.storage import map_arrow, materialise, release, whole_row
+from fieldstay.llm.training import fitting, labelled_sample, platt, sigmoid
 from fieldstay.llm.words import Words, batches_of, buckets, plain, split_words
 
 STATISTICS = (
@@ -182,7 +183,7 @@ def train(
 
 
 def features(texts: DataFrame, *, size: int) -> DataFrame:
-    """``(label, index, value, dense)`` of ``(id, text, label, *metadata)``: what training needs of each text."""
+    """``(id, label, index, value, dense)`` of ``(id, text, *metadata, label)``: what training needs of each text."""
 
     def run(batches):
         for whole in batches:
@@ -193,15 +194,17 @@ def features(texts: DataFrame, *, size: int) -> DataFrame:
                 lists = pa.array(rows.offsets, pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [
+                        part.column(0),
                         part.column(part.schema.get_field_index("label")),
                         pa.ListArray.from_arrays(lists, pa.array(rows.index.astype(np.int32))),
                         pa.ListArray.from_arrays(lists, pa.array(rows.value.astype(np.float32))),
                         pa.FixedSizeListArray.from_arrays(pa.array(dense.ravel()), dense.shape[1]).cast(pa.list_(pa.float64())),
                     ],
-                    names=["label", "index", "value", "dense"],
+                    names=["id", "label", "index", "value", "dense"],
                 )
 
-    return map_arrow(texts, run, "label int, index array<int>, value array<float>, dense array<double>")
+    kind = texts.schema["id"].dataType.simpleString()
+    return map_arrow(texts, run, f"id {kind}, label int, index array<int>, value array<float>, dense array<double>")
 
 
 def fit(
@@ -210,18 +213,22 @@ def fit(
     train_entries: int = 6_000_000,
 ) -> Model | None:
     """Train on at most ``train_rows`` labelled documents outside the held-out fold, with at most ``train_entries``
-    distinct words together; both bound what reaches the driver. None where no row is labelled."""
+    distinct words together; both bound what reaches the driver. Documents are taken in the order of a hash of their
+    id; one that would pass the bound is left out and those after it are still taken. They are learned in that order,
+    so the model depends on the rows and not on how they are partitioned. Of an id with several texts the one with the
+    least hash counts. None where no row is labelled."""
     sample = labelled_sample(
         docs, labels, label, id_col=id_col, text_col=text_col, folds=folds, held_out=held_out, rows=train_rows, extra=metadata
     )
     # Numbers in a column of any name; the label is the last column.
-    shaped = sample.select("id", "text", *(F.col(c).cast("double").alias(f"m{i}") for i, c in enumerate(metadata)), "label")
-    parts, held = [], 0
-    for row in features(shaped, size=size).toLocalIterator():
-        held += len(row["index"])
-        if held > train_entries:
-            break
-        parts.append((row["label"], np.array(row["index"]), np.array(row["value"]), np.array(row["dense"])))
+    shaped = sample.select("id", "text", *(F.col(f"x{i}").cast("double").alias(f"m{i}") for i in range(len(metadata))), "label")
+    made = materialise(features(shaped, size=size), "quality-features")
+    taken = fitting(made.select("id", F.size("index").alias("n")), train_entries)
+    chosen = made.sparkSession.createDataFrame([(i,) for i in taken], made.select("id").schema)
+    rows = made.join(F.broadcast(chosen), "id").toLocalIterator()
+    parts = {r["id"]: (r["label"], np.array(r["index"]), np.array(r["value"]), np.array(r["dense"])) for r in rows}
+    release(made)
+    parts = [parts[i] for i in taken]
     if not parts:
         return None
     rows = Rows(
@@ -237,13 +244,14 @@ def score(
     keep: tuple[str, ...] = (), size: int = 1 << 16,
 ) -> DataFrame:
     """``keep`` columns and ``score`` (0 to 1) of every whole text. Null and empty texts are scored by their (zero)
-    statistics; without a model the score is 0.5. A kept column named ``score`` is replaced; no rows give no rows.
+    statistics; without a model the score is 0.5. Kept columns may have any names, one named ``score`` is replaced; no
+    rows give no rows.
     """
     keep = tuple(c for c in keep if c != "score")
     kept = docs.select(
-        F.struct(F.lit(1).alias("_one"), *(F.col(c) for c in keep)).alias("kept"),
-        F.col(text_col).alias("text"),
-        *(F.col(c).cast("double").alias(f"m{i}") for i, c in enumerate(metadata)),
+        F.struct(F.lit(1).alias("one"), F.struct(F.lit(1).alias("one"), *(F.col(f"`{c}`") for c in keep)).alias("row")).alias("kept"),
+        F.col(f"`{text_col}`").alias("text"),
+        *(F.col(f"`{c}`").cast("double").alias(f"m{i}") for i, c in enumerate(metadata)),
     )
 
     def run(batches):
@@ -257,5 +265,14 @@ def score(
                     result = sigmoid(model.slope * raw_scores(model, rows) + model.offset)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(result)], names=["kept", "score"])
 
-    shape = kept.schema["kept"].dataType.simpleString()
-    return map_arrow(kept, run, f"kept {shape}, score double").select(*(F.col(f"kept.`{c}`") for c in keep), "score")
+    shape = StructType([kept.schema["kept"], StructField("score", DoubleType())])
+    return map_arrow(kept, run, shape).select(*(F.col("kept.row").getField(c).alias(c) for c in keep), "score")
+
+
+def accept(
+    docs: DataFrame, model: Model | None, least: float, *, text_col: str = "text", metadata: tuple[str, ...] = (), size: int = 1 << 16
+) -> DataFrame:
+    """The rows of ``docs``, all columns whatever their names, whose score is ``least`` or more."""
+    whole = docs.select(F.col(f"`{text_col}`").alias("text"), *(F.col(f"`{c}`").alias(f"figure{i}") for i, c in enumerate(metadata)), whole_row(docs).alias("row"))
+    scored = score(whole, model, metadata=tuple(f"figure{i}" for i in range(len(metadata))), keep=("row",), size=size)
+    return scored.filter(F.col("score") >= least).select("row.*")

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from fieldstay.llm.cutting_stock import column_generation, rounded
-from fieldstay.llm.storage import numbered, slots_for
+from fieldstay.llm.storage import materialise, numbered, slots_for
 
-OWN = ("_class", "_slot", "_from", "_to", "_first", "_each", "_place", "rank", "sequence_id", "offset")
+OWN = ("_class", "_row", "_slot", "_from", "_to", "_first", "_each", "_place", "rank", "sequence_id", "offset")
 
 
 def plan(histogram: dict[int, int], classes: int) -> tuple[list[tuple], int]:
@@ -39,7 +39,7 @@ def pack(pieces: DataFrame, *, capacity: int = 2048, grain: int = 8, key: tuple[
     Lengths are rounded up to ``grain`` tokens for the plan only, so the histogram that reaches the driver has at
     most ``capacity / grain`` rows at any scale and a piece wastes less than ``grain`` tokens. The linear program's
     patterns, rounded down, and first-fit bins for the rest say how many pieces of which class share a sequence;
-    pieces get a rank in their class (dealt out by a hash of ``key``, so that no class is numbered in one task) and
+    pieces get a rank in their class (dealt out by a number of their own, so that no class is numbered in one task) and
     find their sequence by the interval of ranks. Pieces without a length are left out; no pieces give no rows.
     Other columns are carried; columns named like those added are replaced.
     """
@@ -58,8 +58,14 @@ def pack(pieces: DataFrame, *, capacity: int = 2048, grain: int = 8, key: tuple[
     table = F.broadcast(
         spark.createDataFrame(intervals, "_class int, _from long, _to long, _first long, _each long, _place long")
     )
-    slotted = kept.withColumn("_slot", F.pmod(F.xxhash64(*key), F.lit(slots_for(spark))).cast("int"))
-    order = [F.desc("length"), *key]
+    # Rows are dealt out by a number of their own, so many pieces with one key are dealt out too; stored, so that
+    # every pass sees the same numbers.
+    slotted = materialise(
+        kept.withColumn("_row", F.monotonically_increasing_id())
+        .withColumn("_slot", F.pmod(F.xxhash64("_row"), F.lit(slots_for(spark))).cast("int")),
+        "slotted-pieces",
+    )
+    order = [F.desc("length"), *key, "_row"]
     ranked = numbered(slotted, "_class", order, "_slot")
     placed = (
         ranked.join(table, "_class")
@@ -70,7 +76,7 @@ def pack(pieces: DataFrame, *, capacity: int = 2048, grain: int = 8, key: tuple[
     # A sequence holds at most ``capacity`` pieces.
     ahead = Window.partitionBy("sequence_id").orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
     return placed.withColumn("offset", F.coalesce(F.sum("length").over(ahead), F.lit(0))).drop(
-        "_class", "_slot", "_from", "_to", "_first", "_each", "_place", "rank"
+        "_class", "_row", "_slot", "_from", "_to", "_first", "_each", "_place", "rank"
     )
 
 

@@ -215,14 +215,14 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_factor_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return with_quality(docs, table(spark, sf_dir, "labels"), ("doc_id",)).select(
+    model = quality_model(docs, table(spark, sf_dir, "labels"))
+    return factor_machine.score(docs, model, metadata=METADATA, keep=("doc_id",)).select(
         "doc_id", in_fold("doc_id", 5, 0).alias("held_out"), "score", (F.col("score") >= ACCEPTED).cast("int").alias("predicted")
     )
 
 
-def with_quality(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...]) -> DataFrame:
-    model = factor_machine.fit(docs, labels, metadata=METADATA, folds=5, held_out=0)
-    return factor_machine.score(docs, model, metadata=METADATA, keep=keep)
+def quality_model(docs: DataFrame, labels: DataFrame) -> factor_machine.Model | None:
+    return factor_machine.fit(docs, labels, metadata=METADATA, folds=5, held_out=0)
 
 
 def op11_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:

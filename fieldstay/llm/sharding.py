@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from fieldstay.llm.storage import materialise, numbered, slots_for
 
-KEY_DIGITS = 32
+KEY_DIGITS = 48
 # Hexadecimal digits a round adds to an open probe: 4,096 cells.
 STEP = 3
 # Sorts behind every digit, so ``cell + AFTER`` is the boundary behind a cell.
@@ -26,10 +26,11 @@ class Open(NamedTuple):
 
 
 def sort_key(text: Column, row_id: Column) -> Column:
-    """32 hexadecimal digits: a hash of the text, so that equal texts lie together, then one of the id and the text, so
-    that a large group of equal texts can be divided."""
+    """48 hexadecimal digits: a hash of the text, so that equal texts lie together, then one of the id and the text, then
+    one of the row's number, so that a large group of equal texts, or of equal rows, can be divided."""
     digits = lambda h: F.lpad(F.hex(h), 16, "0")
-    return F.concat(digits(F.xxhash64(text)), digits(F.xxhash64(row_id.cast("string"), text, F.lit(1))))
+    number = F.xxhash64(F.monotonically_increasing_id())
+    return F.concat(digits(F.xxhash64(text)), digits(F.xxhash64(row_id.cast("string"), text, F.lit(1))), digits(number))
 
 
 def byte_size(text: Column) -> Column:
@@ -90,10 +91,11 @@ def assign(
 ) -> DataFrame:
     """``(id, size, *carry, shard, slot)`` of every row; ``slot`` counts from 0 without gaps in each shard.
 
-    Rows are ordered by a hash of the text and then one of the id, and cut where the bytes below come nearest to
-    equal parts. The numeric columns are written once for the counting rounds; then rows are exchanged once, by shard
+    Rows are ordered by a hash of the text, then one of the id, then one of the row's number, and cut where the bytes
+    below come nearest to equal parts. The numeric columns are written once for the counting rounds; then rows are exchanged once, by shard
     and a hash that divides a shard into as many parts as there are shuffle partitions, and numbered part by part.
-    Null texts have size 1; null ids are kept; rows equal in id and text lie together; no rows give no rows. Columns
+    Null texts have size 1; null ids are kept; rows equal in id and text lie together where they fit into a shard; no
+    rows give no rows. Columns
     beyond ``carry`` are not carried.
     """
     text, row_id = F.col(text_col), F.col(id_col)
@@ -103,18 +105,19 @@ def assign(
     bounds = splitters(keyed, shards, tolerance)
     parts = slots_for(docs.sparkSession)
     placed = keyed.withColumn("shard", shard_of(F.col("key"), bounds)).withColumn(
-        "part", F.pmod(F.xxhash64("key", "id"), F.lit(parts)).cast("int")
+        "part", F.pmod(F.xxhash64("key"), F.lit(parts)).cast("int")
     )
-    return numbered(placed, "shard", ["key", "id"], "part").withColumnRenamed("rank", "slot").drop("part", "key")
+    return numbered(placed, "shard", ["key"], "part").withColumnRenamed("rank", "slot").drop("part", "key")
 
 
 def write_shards(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text", shards: int = 16, tolerance: float = 0.001) -> None:
     """Write the rows of ``docs``, all columns, as Parquet in one folder a shard (``shard=N``); a column named
-    ``shard`` is replaced. The texts are read for their keys, and again to be exchanged once into place."""
+    ``shard`` is replaced. The texts are read for their keys, and again to be exchanged once into place; rows equal in
+    id and text may get other numbers then, which changes their shards and not the bytes of a shard by much."""
     key = sort_key(F.col(text_col), F.col(id_col))
     keyed = materialise(docs.select(byte_size(F.col(text_col)).alias("size"), key.alias("key")), "keys")
     bounds = splitters(keyed, shards, tolerance)
     parts = max(1, slots_for(docs.sparkSession) // shards)
     placed = docs.withColumn("shard", shard_of(key, bounds))
-    dealt = placed.repartition(shards * parts, "shard", F.pmod(F.xxhash64(id_col, text_col), F.lit(parts)))
+    dealt = placed.repartition(shards * parts, "shard", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(parts)))
     dealt.write.partitionBy("shard").parquet(path)

@@ -7,11 +7,13 @@ from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
 from fieldstay.session import scratch_path, tune
 
 ARROW_ROWS = 2_000
+ARROW_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -49,9 +51,9 @@ def release(*tables: DataFrame) -> None:
             hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
-def map_arrow(df: DataFrame, run, schema: str) -> DataFrame:
+def map_arrow(df: DataFrame, run, schema: str | StructType, rows: int = ARROW_ROWS) -> DataFrame:
     """``mapInArrow`` with batches of few rows, so that a worker's memory stays small where texts are long."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    df.sparkSession.conf.set(ARROW_SETTING, rows)
     return df.mapInArrow(run, schema)
 
 
@@ -60,34 +62,36 @@ def slots_for(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def whole_row(docs: DataFrame) -> Column:
+    """All columns of a row as one struct, so that no name of theirs can meet one that an operator adds; ``row.*`` of it
+    are the columns again."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def with_row_key(docs: DataFrame, id_col: str, text_col: str, *, carry: bool = False) -> DataFrame:
-    """``(row_key, id, text)``, or with ``carry`` all columns and ``row_key``: a long that is never null, differs
-    between rows that differ in id or text, and is ordered as the ids are (nulls first; equal ids by the hash of the
-    text). A column already named ``row_key`` is replaced.
+    """``(row_key, id, text)``, or with ``carry`` also ``row``, the whole row as a struct. ``row_key`` is a long that is
+    never null, differs between rows that differ in id or text, and is ordered as the ids are (nulls first; equal ids
+    by the hash of the text).
 
     Ids that are unique longs are their own keys, which one pass over the id column finds out. Otherwise the
     distinct (id, text hash) pairs are sorted by range and numbered, whatever the type of the id.
     Rows equal in both share a key and are one document.
     """
     spark = docs.sparkSession
-    columns = [F.col(id_col).alias("id"), F.col(text_col).alias("text")]
-    if carry:
-        columns = [F.col(f"`{c}`") for c in docs.columns if c != "row_key"]
-    own_id, own_text = (id_col, text_col) if carry else ("id", "text")
-    rows = docs.select(*columns)
+    own = [F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")]
+    rows = docs.select(*own, *([whole_row(docs).alias("row")] if carry else []))
     if docs.schema[id_col].dataType.simpleString() in ("bigint", "int"):
-        ids = docs.groupBy(id_col).agg(F.count("*").alias("_n"))
-        odd = ids.filter((F.col("_n") > 1) | F.col(id_col).isNull())
+        odd = rows.groupBy("id").agg(F.count("*").alias("n")).filter((F.col("n") > 1) | F.col("id").isNull())
         if not odd.take(1):
-            return rows.withColumn("row_key", F.col(own_id).cast("long"))
-    tagged = rows.withColumn("_tag", F.xxhash64(own_text))
-    pairs = tagged.select(F.col(own_id).alias("_id"), F.col("_tag").alias("_t")).distinct()
+            return rows.withColumn("row_key", F.col("id").cast("long"))
+    tagged = rows.withColumn("tag", F.xxhash64("text"))
+    pairs = tagged.select(F.col("id").alias("key_id"), F.col("tag").alias("key_tag")).distinct()
     keys = materialise(
-        pairs.repartitionByRange(slots_for(spark), "_id", "_t").sortWithinPartitions("_id", "_t")
+        pairs.repartitionByRange(slots_for(spark), "key_id", "key_tag").sortWithinPartitions("key_id", "key_tag")
         .withColumn("row_key", F.monotonically_increasing_id()),
         "row-keys",
-    )
-    same = F.col(own_id).eqNullSafe(F.col("_id")) & (F.col("_tag") == F.col("_t"))
+    )
+    same = F.col("id").eqNullSafe(F.col("key_id")) & (F.col("tag") == F.col("key_tag"))
     return tagged.join(keys, same).select(*rows.columns, "row_key")
 
 

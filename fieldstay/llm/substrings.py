@@ -13,6 +13,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
 from fieldstay.llm.storage import map_arrow, materialise, release, with_row_key
@@ -219,21 +220,14 @@ def repeated_spans(rows: DataFrame, k: int = 20) -> DataFrame:
     return spans
 
 
-def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 20, carry: bool = False) -> DataFrame:
-    """``(id, n_words, n_removed, kept_text, spans)`` of every row, or with ``carry`` all columns and those four. Words
-    (runs of bytes other than ASCII white space) covered by a window of ``k`` words that also starts earlier (smaller
-    id; in the same document, an earlier word) are removed; windows are judged on the input. ``kept_text`` has the
-    other words joined by one space; ``spans`` lists the repeated paths with their source (``n`` null: a copy of the
-    whole source).
+ADDED = ("n_words", "n_removed", "kept_text", "spans")
 
-    Null and empty texts have no words (``kept_text`` empty). Rows equal in id and text are one document and get the
-    same result; equal ids with different texts are ordered by a hash of the text, null ids come first. Carried columns
-    named like the added ones are replaced; without ``carry`` other columns are not carried; no rows give no rows.
-    """
-    added = ("row_key", "n_words", "n_removed", "kept_text", "spans")
-    rows = with_row_key(docs.drop(*added) if carry else docs, id_col, text_col, carry=carry)
-    own_id, own_text = (id_col, text_col) if carry else ("id", "text")
-    texts = rows.select("row_key", F.col(own_text).alias("text"))
+
+def _removed(docs: DataFrame, id_col: str, text_col: str, k: int, carry: bool) -> DataFrame:
+    """``(id, text, n_words, n_removed, kept_text, spans)`` of every row, with ``carry`` the whole row as ``row`` in place of
+    ``id`` and ``text``."""
+    rows = with_row_key(docs, id_col, text_col, carry=carry)
+    texts = rows.select("row_key", "text")
     # A copy's every window starts earlier; without copies far fewer edges remain.
     copies = materialise(exact_copies(texts), "copies")
     spans = repeated_spans(texts.join(copies, "row_key", "left_anti"), k)
@@ -242,10 +236,10 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     listed = spans.unionByName(whole).groupBy("row_key").agg(
         F.collect_list(F.struct("start", "n", "source_key", "source_start")).alias("spans")
     )
-    kept = [c for c in rows.columns if c not in ("row_key", "text")] if not carry else docs.drop(*added).columns
+    own = "row" if carry else "id"
     shaped = rows.join(listed, "row_key", "left").select(
-        F.struct(F.lit(1).alias("_one"), *(F.col(f"`{c}`") for c in kept), F.col("spans").alias("spans")).alias("kept"),
-        F.col(own_text).alias("text"),
+        F.struct(F.lit(1).alias("one"), F.col(own), F.col("spans")).alias("kept"),
+        F.col("text"),
         F.col("spans.start").alias("begin"),
         F.col("spans.n").alias("size"),
     )
@@ -273,6 +267,37 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                     names=["kept", "n_words", "n_removed", "kept_text"],
                 )
 
-    shape = shaped.schema["kept"].dataType.simpleString()
-    done = map_arrow(shaped, run, f"kept {shape}, n_words long, n_removed long, kept_text string")
-    return done.select(*(F.col(f"kept.`{c}`") for c in kept), "n_words", "n_removed", "kept_text", "kept.spans")
+    shape = StructType([shaped.schema["kept"], *StructType.fromDDL("n_words long, n_removed long, kept_text string").fields])
+    return map_arrow(shaped, run, shape).select(f"kept.{own}", "n_words", "n_removed", "kept_text", "kept.spans")
+
+
+def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", k: int = 20, carry: bool = False) -> DataFrame:
+    """``(id, n_words, n_removed, kept_text, spans)`` of every row, or with ``carry`` all columns and those four. Words
+    (runs of bytes other than ASCII white space) covered by a window of ``k`` words that also starts earlier (smaller
+    id; in the same document, an earlier word) are removed; windows are judged on the input. ``kept_text`` has the
+    other words joined by one space; ``spans`` lists the repeated paths with their source (``n`` null: a copy of the
+    whole source).
+
+    Null and empty texts have no words (``kept_text`` empty). Rows equal in id and text are one document and get the
+    same result; equal ids with different texts are ordered by a hash of the text, null ids come first. Carried columns
+    may have any names, those of the four added ones are replaced; without ``carry`` other columns are not carried; no
+    rows give no rows.
+    """
+    done = _removed(docs, id_col, text_col, k, carry)
+    if not carry:
+        return done
+    kept = [F.col("row").getField(c).alias(c) for c in docs.columns if c not in ADDED]
+    return done.select(*kept, *ADDED)
+
+
+def clean_texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = None, k: int = 20) -> DataFrame:
+    """``docs``, all rows and columns whatever their names, with the words of repeated passages removed from the text. A
+    text that loses none stays as it is; in others the words left are joined by one space, and ``length_col``, if named,
+    counts their characters."""
+    done = _removed(docs, id_col, text_col, k, carry=True)
+    changed = F.col("n_removed") > 0
+    new = {text_col: F.col("kept_text")}
+    if length_col:
+        new[length_col] = F.length("kept_text").cast(docs.schema[length_col].dataType)
+    old = {c: F.col("row").getField(c) for c in docs.columns}
+    return done.select(*[(F.when(changed, new[c]).otherwise(old[c]) if c in new else old[c]).alias(c) for c in docs.columns])

@@ -119,7 +119,9 @@ def write_token_files(
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("tag"))
-    ordered = rows.repartitionByRange(slots_for(spark), "id", "tag").sortWithinPartitions("id", "tag")
+    # A number of their own deals out many rows with one id and text.
+    rows = rows.withColumn("row", F.monotonically_increasing_id())
+    ordered = rows.repartitionByRange(slots_for(spark), "id", "tag", "row").sortWithinPartitions("id", "tag", "row")
     with freeing_shuffles(spark):
         manifest = materialise(
             map_arrow(ordered.select("id", "text"), run, "file_no long, file string, records long, tokens long"), "manifest"

@@ -16,18 +16,32 @@ def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, *, id_col: str, text_col: str, folds: int, held_out: int, rows: int,
     extra: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``(id, text, label, *extra)`` of at most ``rows`` labelled documents whose fold is not ``held_out``, chosen by a
-    hash of the id. Null ids and labels are left out; an id labelled twice counts once, with its larger label.
+    """``(id, text, label, x0, x1, ...)`` of at most ``rows`` labelled documents whose fold is not ``held_out``, chosen by a
+    hash of the id, with the ``extra`` columns. Null ids and labels are left out; an id labelled twice counts once, with
+    its larger label; of an id with several texts the one with the least hash counts (ties: the least extra columns).
 
     The chosen ids are at most ``rows``, so they are broadcast and the texts are not exchanged.
     """
-    usable = labels.select(F.col(id_col).alias("_id"), F.col(label).cast("int").alias("label")).filter(
+    usable = labels.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{label}`").cast("int").alias("label")).filter(
         F.col("_id").isNotNull() & F.col("label").isNotNull() & (remainder("_id", folds) != held_out)
     )
     chosen = usable.groupBy("_id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("_id"), "_id").limit(rows)
-    columns = [F.col(id_col).alias("id"), F.col(text_col).alias("text"), *(F.col(c) for c in extra)]
-    own = docs.select(*columns)
-    return own.join(F.broadcast(chosen), own["id"] == chosen["_id"]).drop("_id").dropDuplicates(["id"])
+    more = [F.col(f"`{c}`").alias(f"x{i}") for i, c in enumerate(extra)]
+    own = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), *more)
+    met = own.join(F.broadcast(chosen), own["id"] == chosen["_id"]).drop("_id")
+    first = F.min(F.struct(F.xxhash64("text").alias("h"), "text", "label", *[f"x{i}" for i in range(len(extra))]))
+    return met.groupBy("id").agg(first.alias("r")).select("id", "r.text", "r.label", *[f"r.x{i}" for i in range(len(extra))])
+
+
+def fitting(sizes: DataFrame, most: int) -> list:
+    """Ids of ``(id, n)`` in the order of a hash of the id, as many as together stay within ``most``; one that does not fit
+    is left out and the next are tried. The rows are those of a bounded sample."""
+    taken, held = [], 0
+    for row in sizes.filter(F.col("n") <= most).orderBy(F.xxhash64("id"), "id").toLocalIterator():
+        if held + row["n"] <= most:
+            held += row["n"]
+            taken.append(row["id"])
+    return taken
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:

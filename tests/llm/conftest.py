@@ -3,7 +3,8 @@ import random
 import pytest
 
 # Extra columns named like those the operators add.
-CLASHING = "score string, shard string, slot string, n_words string, row_key string, kept string, spans string, rank string, id string"
+NAMES = "score shard slot n_words row_key kept spans rank id _tag _id _t _row_key _kept tag key_id row start width place hashes a.b x0 m0".split()
+CLASHING = ", ".join(f"`{n}` string" for n in NAMES)
 SCHEMA = f"doc_id long, text string, lang string, source string, n_chars long, {CLASHING}"
 WORDS = [f"w{i:02d}" for i in range(60)]
 
@@ -51,7 +52,7 @@ def edge_rows():
 
 @pytest.fixture(scope="session")
 def edge_docs(spark, edge_rows):
-    data = [(i, t, None if n % 3 else "en", None, None if n % 2 else 7, *["x"] * 9) for n, (i, t) in enumerate(edge_rows)]
+    data = [(i, t, None if n % 3 else "en", None, None if n % 2 else 7, *[f"its {c}" for c in NAMES]) for n, (i, t) in enumerate(edge_rows)]
     return spark.createDataFrame(data, SCHEMA).repartition(3)
 
 
