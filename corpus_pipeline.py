@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldstay.llm import decontamination, queries, simhash, substrings
+from fieldstay.llm import decontamination, factor_machine, queries, simhash, substrings
 from fieldstay.llm.storage import materialise, with_row_key
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score reaches the accepted one; the others go."""
-    scored = queries.with_quality(docs, queries.table(spark, sf_dir, "labels"), tuple(docs.columns))
-    return scored.filter(F.col("score") >= queries.ACCEPTED).select(*docs.columns)
+    model = queries.quality_model(docs, queries.table(spark, sf_dir, "labels"))
+    return factor_machine.accept(docs, model, queries.ACCEPTED, metadata=queries.METADATA)
 
 
 def simhash_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,18 +20,14 @@ def simhash_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     that id the first by a hash of the text; of rows equal in both, one."""
     keyed = with_row_key(docs, "doc_id", "text", carry=True)
     found = simhash.near_duplicates(keyed, id_col="row_key", shingle=3, distance=2)
-    kept = found.select(F.col("component_id").alias("_kept")).distinct()
-    return keyed.join(kept, F.col("row_key") == F.col("_kept"), "left_semi").dropDuplicates(["row_key"]).select(*docs.columns)
+    kept = found.select(F.col("component_id").alias("row_key")).distinct()
+    return keyed.join(kept, "row_key", "left_semi").dropDuplicates(["row_key"]).select("row.*")
 
 
 def substring_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document without the words of repeated passages. A document that loses none keeps its text as it is; in
     others the words left are joined by one space and ``n_chars`` is counted anew."""
-    cleaned = substrings.remove_repeats(docs, k=20, carry=True)
-    changed = F.col("n_removed") > 0
-    return cleaned.withColumn("text", F.when(changed, F.col("kept_text")).otherwise(F.col("text"))).withColumn(
-        "n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    ).select(*docs.columns)
+    return substrings.clean_texts(docs, length_col="n_chars", k=20)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
