@@ -45,6 +45,11 @@ def edge_texts():
     return rows
 
 
+@pytest.fixture(scope="session")
+def edge_names():
+    return NAMES
+
+
 @pytest.fixture(scope="session")
 def edge_rows():
     return edge_texts()

@@ -10,15 +10,16 @@ import corpus_pipeline
 from fieldstay.llm import decontamination, factor_machine, packing, queries, sharding, substrings, token_files, toxicity
 from fieldstay.llm.storage import materialise
 
-from .conftest import NAMES, sentence
+WORDS = [f"w{i:02d}" for i in range(60)]
 
 
-def whole(df):
-    return Counter(map(str, df.collect()))
+def sentence(seed, n):
+    pick = random.Random(seed)
+    return " ".join(pick.choice(WORDS) for _ in range(n))
 
 
 @pytest.mark.parametrize("unique", [True, False])
-def test_stages_keep_columns_of_any_name(spark, edge_docs, unique, tmp_path):
+def test_stages_keep_columns_of_any_name(spark, edge_docs, edge_names, unique):
     docs = edge_docs
     if unique:
         docs = docs.filter("doc_id is not null").dropDuplicates(["doc_id"])
@@ -33,7 +34,7 @@ def test_stages_keep_columns_of_any_name(spark, edge_docs, unique, tmp_path):
     ):
         assert made.columns == docs.columns
         rows = made.collect()
-        assert rows and all(r[n] == f"its {n}" for r in rows for n in NAMES)
+        assert rows and all(r[n] == f"its {n}" for r in rows for n in edge_names)
     carried = substrings.remove_repeats(docs, carry=True)
     own = [c for c in docs.columns if c not in substrings.ADDED]
     assert carried.columns == [*own, *substrings.ADDED]
