@@ -24,12 +24,13 @@ def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
     return left.join(renamed, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def row_slot(df: DataFrame, slots: int = 1024) -> Column:
-    """A number from 1 to ``slots`` by the row's content.
+def row_slot(df: DataFrame) -> Column:
+    """A number by the row's content, from 1 to eight times the shuffle partitions, so that every partition gets some.
 
     It depends on nothing but the row, so a task that is run again after a lost executor sends every
     row where the first run sent it.
     """
+    slots = 8 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     plain = [f.name for f in df.schema if f.dataType.typeName() not in ("map", "variant")]
     return F.pmod(F.xxhash64(*plain), F.lit(slots)) + 1
 

@@ -111,6 +111,37 @@ def test_task_stream_survives_bad_events_and_logs(spark, tmp_path, tasks, compan
     assert log == {1: None, 2: "payload is not JSON", 4: None, 5: None}
 
 
+def test_a_batch_writes_as_much_as_it_changes(spark, tmp_path, companies, rows):
+    schema = "task_id string, region_code string, task_status string, started_at timestamp, finished_at timestamp, synced_at timestamp, created_month string"
+    table = rows(schema, *((str(i), "n", "new", None, None, None, f"2025-{i % 12 + 1:02d}-01") for i in range(1200)))
+    store = SnapshotStore(spark, str(tmp_path / "store"))
+    store.write("tasks", table, "created_month", key=["task_id", "region_code", "created_month"], finder="task_id")
+    landing = tmp_path / "in"
+    landing.mkdir()
+    before = store.folders("tasks")
+
+    def run(name, *payloads):
+        lines = [json.dumps({"event_id": i, "received_at": "2025-01-01T00:00:00Z", "payload": json.dumps(p)}) for i, p in enumerate(payloads)]
+        (landing / name).write_text("\n".join(lines) + "\n")
+        ev.start_task_stream(ev.read_event_stream(spark, str(landing)), store, companies, CLOCK, str(tmp_path / "ckpt")).awaitTermination()
+
+    run("a.json", {"task": {"id": 12, "company_id": 1, "status": "x"}}, {"event_type": "task-deleted", "task": {"id": 25, "company_id": 1}},
+        {"task": {"id": 24, "company_id": 1, "status": "y"}}, {"task": {"id": 9999, "company_id": 1, "status": "z"}})
+    after = store.folders("tasks")
+    assert {v for v in after if after[v] != before[v]} == {"2025-01-01", "2025-02-01"}
+    assert all(f[0] == before[v][0] for v, f in after.items())
+    written = spark.read.parquet(*[f for v, fs in after.items() for f in fs[1:]])
+    assert written.count() == 3 and set(written.columns) >= {"_seq", "_gone"}
+    assert set(store.find("tasks", rows("task_id string", ("12",), ("25",)))) >= {"2025-01-01", "2025-02-01"}
+    assert len(store.find("tasks", rows("task_id string", ("12",)))) < 4
+    run("b.json", {"task": {"id": 12, "company_id": 1, "status": "again"}})
+    got = {r.task_id: r.task_status for r in store.read("tasks").where("task_status <> 'new'").collect()}
+    assert got == {"12": "again", "24": "y"} and store.read("tasks").count() == 1199
+    store.compact("tasks", most=0)
+    assert {r.task_id: r.task_status for r in store.read("tasks").where("task_status <> 'new'").collect()} == got
+    assert store.read("tasks").count() == 1199 and store.read("event_log").count() == 5
+
+
 def test_property_stream_keeps_the_newest(spark, tmp_path, companies, rows):
     mirror = rows("property_id string, region_code string, property_status string, synced_at timestamp",
                   ("11", "n", "dirty", None), ("12", "s", "dirty", None))
@@ -160,6 +191,26 @@ def test_write_refreshed_replaces_only_its_days(spark, rows, tmp_path):
     assert got == {"01": (1, 1, 2.0), "02": (2, 2, 2.0), "03": (1, 1, 2.0)}
 
 
+def test_refresh_reads_only_what_has_changed(spark, rows, tmp_path):
+    store = SnapshotStore(spark, str(tmp_path / "store"))
+    schema = "m string, v int"
+    store.write("facts", rows(schema, ("a", 1), ("a", 2), ("b", 5), ("c", 7)), "m")
+    seen = []
+
+    def build(facts):
+        seen.append(sorted({r.m for r in facts.collect()}))
+        return facts.groupBy("m").agg(F.sum("v").alias("total"))
+
+    def totals():
+        return {r.m: r.total for r in store.read("sums").collect()}
+
+    assert rollups.refresh_changed(store, "facts", "sums", build) == ["a", "b", "c"] and totals() == {"a": 3, "b": 5, "c": 7}
+    store.replace("facts", rows(schema, ("b", 50)), ["b"])
+    store.drop("facts", ["c"])
+    assert rollups.refresh_changed(store, "facts", "sums", build) == ["b"] and totals() == {"a": 3, "b": 50}
+    assert rollups.refresh_changed(store, "facts", "sums", build) == [] and seen == [["a", "b", "c"], ["b"]]
+
+
 def test_log_marks(events, companies):
     log = ev.event_log(ev.resolve_region(ev.normalise_task_events(events({"task": {"id": 1}})), companies), "task", "task_id")
     (row,) = ev.mark_processed(log, CLOCK, F.lit("boom")).collect()
