@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from math import log2
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldstay.llm.expressions import BLANKS, pieces, window_starts
-from fieldstay.llm.storage import materialise
+from fieldstay.llm.storage import materialise, release
 
 WINDOW = 8
 
@@ -49,7 +50,7 @@ def repeated_words(frame: DataFrame, words: str, out: str, width: int = WINDOW)
 
 def statistics(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words)`` and further counts of every whole text."""
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     rows = rows.withColumn("words", pieces(F.col("text"), BLANKS))
     more = {
         "n_distinct": F.size(F.array_distinct("words")),
@@ -123,106 +124,125 @@ def _histograms(cells: DataFrame, rows: Column, figures: list[str]) -> dict[str,
     return {f: sorted(v) for f, v in out.items()}
 
 
-def _thresholds(binned: DataFrame, edges: dict[str, list[float]]) -> dict[str, list[float]]:
-    """The threshold behind each edge: midway to the next value that occurs above it, so that a rule keeps its distance
-    from the rows on either side. At most bins times figures rows reach the driver."""
-    stacked = ", ".join(f"'{n}', bin_{n}, {n}" for n in edges)
-    least = binned.selectExpr(f"stack({len(edges)}, {stacked}) as (figure, bin, value)").groupBy("figure", "bin").agg(F.min("value").alias("value"))
-    values: dict[str, dict[int, float]] = {n: {} for n in edges}
-    for row in least.collect():
-        values[row["figure"]][row["bin"]] = row["value"]
-    out = {}
-    for n, own in edges.items():
-        above = [min((v for b, v in values[n].items() if b > i), default=e) for i, e in enumerate(own)]
-        out[n] = [(e + a) / 2 for e, a in zip(own, above, strict=True)]
-    return out
+# Shares of the rows at which a figure may be cut, closer together at the ends, where a rare kind of junk lies.
+ENDS = (1 / 2048, 1 / 1024, 1 / 512, 1 / 256, 1 / 128)
 
 
-def _best_test(histograms: dict, edges: dict[str, list[float]], bad: int, good: int, least: int) -> tuple[float, Test, int, int] | None:
-    """The test with the largest gain: rejected rows that stay, times the rise in the log of their share."""
-    from math import log2
+def cuts_of(values: list[float], parts: int) -> list[float]:
+    """Where a figure with these values may be cut: behind every value if there are few, else behind the values at even
+    shares of the rows and at finer ones towards the ends; each midway to the next value, so that a rule keeps its
+    distance from the rows on either side."""
+    values, distinct = sorted(values), sorted(set(values))
+    if len(distinct) <= parts:
+        behind = distinct[:-1]
+    else:
+        shares = {*ENDS, *(1 - e for e in ENDS), *(i / parts for i in range(1, parts))}
+        behind = sorted({values[int(share * len(values))] for share in shares} - {distinct[-1]})
+    following = dict(zip(distinct, distinct[1:]))
+    return sorted({(v + following[v]) / 2 for v in behind})
+
+
+def _cuts(rows: DataFrame, names: list[str], parts: int, sample_rows: int) -> dict[str, list[float]]:
+    """The cuts of each figure, from at most ``sample_rows`` of the rows, chosen by a hash of their figures."""
+    sample = rows.select(*names).orderBy(F.xxhash64(*names), *names).limit(sample_rows).collect()
+    return {n: cuts_of([r[n] for r in sample], parts) for n in names}
+
 
+def _best_test(
+    histograms: dict, cuts: dict[str, list[float]], bad: int, good: int, least: int, aside: set[tuple[str, bool]]
+) -> tuple[float, Test, int, int] | None:
+    """The test with the largest gain: rejected rows that stay, times the rise in the log of their share."""
     before, best = log2((bad + 1) / (bad + good + 2)), None
     for figure, rows in histograms.items():
         low_bad = low_good = 0
         for b, n_bad, n_good in rows:
             low_bad, low_good = low_bad + n_bad, low_good + n_good
-            if b >= len(edges[figure]):
+            if b >= len(cuts[figure]):
                 continue
             for above, kept_bad, kept_good in ((False, low_bad, low_good), (True, bad - low_bad, good - low_good)):
-                if kept_bad < least:
+                if kept_bad < least or (figure, above) in aside:
                     continue
                 gain = kept_bad * (log2((kept_bad + 1) / (kept_bad + kept_good + 2)) - before)
                 if gain > 1e-9 and (best is None or gain > best[0] + 1e-9):
-                    best = (gain, Test(figure, above, edges[figure][b]), kept_bad, kept_good)
+                    best = (gain, Test(figure, above, cuts[figure][b]), kept_bad, kept_good)
     return best
 
 
+def _grow(cells: DataFrame, first: dict, cuts: dict[str, list[float]], holds, least: int, aside: set) -> list[Test]:
+    """Tests added one by one, each with the largest gain on what the others leave, until only rejected rows are left or
+    nothing gains. ``first`` are the histograms without a test."""
+    tests: list[Test] = []
+    chosen, histograms = ~F.col("prune"), first
+    while True:
+        any_figure = next((v for v in histograms.values() if v), [])
+        bad, good = sum(r[1] for r in any_figure), sum(r[2] for r in any_figure)
+        best = _best_test(histograms, cuts, bad, good, least, set() if tests else aside) if bad else None
+        if best is None:
+            return tests
+        tests.append(best[1])
+        if best[3] == 0:
+            return tests
+        chosen = chosen & holds(best[1])
+        histograms = _histograms(cells, chosen, list(cuts))
+
+
 def learn(
-    figures: DataFrame, names: list[str], *, bins: int = 48, most_rules: int = 8, most_tests: int = 3, least_hits: int = 5,
-    precision: float = 0.9,
+    figures: DataFrame, names: list[str], *, parts: int = 64, sample_rows: int = 20_000, least_hits: int = 5, precision: float = 0.9,
 ) -> list[Rule]:
     """A decision list over rows ``(figure columns, bad, prune)``: ``bad`` 1 for a rejected row, 0 for an accepted one,
     ``prune`` true for the third on which rules are pruned.
 
-    Thresholds lie at quantiles of each figure, so rows collapse to counts by bin and every growing step is one grouped
-    count over them. A rule grows by the test with the largest information gain until it is pure or gains nothing; it
-    is then cut back to the beginning that is most precise on the pruning rows. Rules that stay below ``precision`` or
-    cover fewer than ``least_hits`` rejected rows there end the list. Covered rows are taken out before the next rule.
+    A rule grows by the test with the largest information gain until it is pure or gains nothing; it is then cut back
+    to the beginning that is most precise on the pruning rows. A rule below ``precision`` or with fewer than
+    ``least_hits`` rejected rows there is dropped, its first figure and direction are set aside as beginnings, and the
+    next best is grown. The rows a kept rule covers are taken out, figures are cut anew on what is left, and the search
+    goes on until no beginning gains.
+
+    Cuts come from at most ``sample_rows`` of the remaining rows; all counts are over all of them, by the cells that the
+    cuts make, so a growing step is one grouped count over few rows.
     """
-    shares = [i / bins for i in range(1, bins)]
-    row = figures.agg(*(F.percentile_approx(n, shares, 10_000).alias(n) for n in names)).first()
-    edges = {n: sorted(set(row[n] or [])) for n in names}
-
-    def bin_of(name: str) -> Column:
-        # How many edges lie below the figure: a test "<= edge b" holds for bins up to b.
-        limits = F.array(*(F.lit(float(e)) for e in edges[name])) if edges[name] else F.array().cast("array<double>")
-        return F.size(F.filter(limits, lambda e: e < F.col(name)))
-
-    binned = figures.select(*names, *(bin_of(n).alias(f"bin_{n}") for n in names), F.col("bad").cast("long").alias("bad"), (1 - F.col("bad")).cast("long").alias("good"), "prune")
-    grouped = binned.groupBy(*(f"bin_{n}" for n in names), "prune").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
-    cells = materialise(grouped, "cells")
-    limits = _thresholds(binned, edges)
-
-    def holds(test: Test) -> Column:
-        at = limits[test.figure].index(test.threshold)
-        return F.col(f"bin_{test.figure}") > at if test.above else F.col(f"bin_{test.figure}") <= at
-
-    left, rules = F.lit(True), []
-    while len(rules) < most_rules:
-        chosen, tests = left & ~F.col("prune"), []
-        while len(tests) < most_tests:
-            histograms = _histograms(cells, chosen, names)
-            first = next((v for v in histograms.values() if v), [])
-            bad, good = sum(r[1] for r in first), sum(r[2] for r in first)
-            best = _best_test(histograms, limits, bad, good, least_hits) if bad else None
-            if best is None:
-                break
-            tests.append(best[1])
-            chosen = chosen & holds(best[1])
-            if best[3] == 0:
-                break
-        if not tests:
-            break
-        # Each beginning of the rule on the pruning rows, in one job.
-        condition, counts = F.lit(True), []
-        for i, test in enumerate(tests):
-            condition = condition & holds(test)
-            counts += [F.sum(F.when(condition, F.col(k)).otherwise(0)).alias(f"{k}{i}") for k in ("bad", "good")]
-        seen = cells.filter(left & F.col("prune")).agg(*counts).first()
-        scored = [((seen[f"bad{i}"] or 0), (seen[f"good{i}"] or 0)) for i in range(len(tests))]
-        worth = [(b + 1) / (b + g + 2) for b, g in scored]
-        cut = max(range(len(tests)), key=lambda i: (round(worth[i], 4), -i))
-        hits, errors = scored[cut]
-        if hits < least_hits or hits < precision * (hits + errors):
-            break
-        rule = Rule(tuple(tests[: cut + 1]), hits, errors)
+    rows, rules = figures, []
+    while True:
+        cuts = _cuts(rows.filter(~F.col("prune")), names, parts, sample_rows)
+
+        def bin_of(name: str, cuts: dict = cuts) -> Column:
+            # How many cuts lie below the figure: a test "<= cut b" holds for bins up to b.
+            limits = F.array(*(F.lit(float(e)) for e in cuts[name])) if cuts[name] else F.array().cast("array<double>")
+            return F.size(F.filter(limits, lambda e: e < F.col(name)))
+
+        def holds(test: Test, cuts: dict = cuts) -> Column:
+            at = cuts[test.figure].index(test.threshold)
+            return F.col(f"bin_{test.figure}") > at if test.above else F.col(f"bin_{test.figure}") <= at
+
+        binned = rows.select(*(bin_of(n).alias(f"bin_{n}") for n in names), F.col("bad").cast("long").alias("bad"), (1 - F.col("bad")).cast("long").alias("good"), "prune")
+        cells = materialise(binned.groupBy(*(f"bin_{n}" for n in names), "prune").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")), "cells")
+        first, aside, rule = _histograms(cells, ~F.col("prune"), names), set(), None
+        while rule is None:
+            tests = _grow(cells, first, cuts, holds, least_hits, aside)
+            if not tests:
+                release(cells)
+                return rules
+            rule = _pruned(cells.filter("prune"), tests, holds, least_hits, precision)
+            aside.add((tests[0].figure, tests[0].above))
+        release(cells)
         rules.append(rule)
-        covered = F.lit(True)
-        for test in rule.tests:
-            covered = covered & holds(test)
-        left = left & ~covered
-    return rules
+        rows = materialise(rows.filter(~F.coalesce(rule.column(), F.lit(False))), "uncovered")
+
+
+def _pruned(cells: DataFrame, tests: list[Test], holds, least_hits: int, precision: float) -> Rule | None:
+    """The beginning of a rule that is most precise on the pruning rows, in one job; none if that is not good enough."""
+    condition, counts = F.lit(True), []
+    for i, test in enumerate(tests):
+        condition = condition & holds(test)
+        counts += [F.sum(F.when(condition, F.col(k)).otherwise(0)).alias(f"{k}{i}") for k in ("bad", "good")]
+    seen = cells.agg(*counts).first()
+    scored = [((seen[f"bad{i}"] or 0), (seen[f"good{i}"] or 0)) for i in range(len(tests))]
+    worth = [(b + 1) / (b + g + 2) for b, g in scored]
+    cut = max(range(len(tests)), key=lambda i: (round(worth[i], 4), -i))
+    hits, errors = scored[cut]
+    if hits < least_hits or hits < precision * (hits + errors):
+        return None
+    return Rule(tuple(tests[: cut + 1]), hits, errors)
 
 
 def verdict(rules: list[Rule]) -> Column:

@@ -49,6 +49,80 @@ def test_rules_learn_conjunctions(spark):
     assert {t.figure for t in rules[0].tests} == {"a", "b"}
 
 
+def plain_rules(rows, names, parts, least, precision):
+    """The rules by the same steps over lists: rows are (figures, bad, prune)."""
+
+    def gain(bad, good, before):
+        return bad * (np.log2((bad + 1) / (bad + good + 2)) - before)
+
+    def meets(row, tests):
+        return all((row[0][f] > t) == above for f, above, t in tests)
+
+    left, rules = list(rows), []
+    while True:
+        grow = [r for r in left if not r[2]]
+        prune = [r for r in left if r[2]]
+        cuts = {f: quality_rules.cuts_of([r[0][f] for r in grow], parts) for f in range(len(names))}
+        aside, rule = set(), None
+        while rule is None:
+            tests = []
+            while True:
+                rest = [r for r in grow if meets(r, tests)]
+                bad, good, best = sum(r[1] for r in rest), sum(1 - r[1] for r in rest), None
+                before = np.log2((bad + 1) / (bad + good + 2))
+                for f in range(len(names)):
+                    for cut in cuts[f]:
+                        for above in (False, True):
+                            kept = [r[1] for r in rest if (r[0][f] > cut) == above]
+                            if sum(kept) < least or (not tests and (f, above) in aside):
+                                continue
+                            g = gain(sum(kept), len(kept) - sum(kept), before)
+                            if g > 1e-9 and (best is None or g > best[0] + 1e-9):
+                                best = (g, (f, above, cut), len(kept) - sum(kept))
+                if not bad or best is None:
+                    break
+                tests.append(best[1])
+                if best[2] == 0:
+                    break
+            if not tests:
+                return rules
+            worth = []
+            for n in range(1, len(tests) + 1):
+                hit = [r[1] for r in prune if meets(r, tests[:n])]
+                worth.append((round((sum(hit) + 1) / (len(hit) + 2), 4), -n, sum(hit), len(hit) - sum(hit)))
+            _, n, hits, errors = max(worth)
+            aside.add(tests[0][:2])
+            if hits >= least and hits >= precision * (hits + errors):
+                rule = tests[:-n]
+        rules.append([(names[f], above, cut) for f, above, cut in rule])
+        left = [r for r in left if not meets(r, rule)]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_rules_are_those_of_a_plain_learner(spark, seed):
+    random = np.random.default_rng(seed)
+    rows = []
+    for i in range(900):
+        a, b, c = (round(float(x), 2) for x in random.random(3))
+        # Two frequent kinds, a rare one, and labels that are wrong now and then.
+        bad = (a > 0.7 and b <= 0.4) or c > 0.93 or (a < 0.03 and c < 0.8)
+        rows.append(((a, b, c), int(bad) if random.random() > 0.03 else int(not bad), i % 3 == 0))
+    frame = spark.createDataFrame([(*f, b, p) for f, b, p in rows], "a double, b double, c double, bad int, prune boolean").repartition(4)
+    got = [[tuple(t) for t in rule.tests] for rule in quality_rules.learn(frame, ["a", "b", "c"], parts=16, least_hits=4, precision=0.8)]
+    want = plain_rules(rows, ["a", "b", "c"], 16, 4, 0.8)
+    assert got == want and len(got) >= 2
+
+
+def test_a_rare_kind_behind_a_useless_one_is_found(spark):
+    """The best beginning fails on the pruning rows; the search goes on and finds the others."""
+    rows = [(i % 97, 0, 0, i % 3 == 0) for i in range(3000)]
+    rows += [(500 + i, 0, 1, False) for i in range(60)]
+    rows += [(i % 97, 9, 1, i % 3 == 0) for i in range(24)]
+    frame = spark.createDataFrame([(float(a), float(b), c, p) for a, b, c, p in rows], "a double, b double, bad int, prune boolean")
+    rules = quality_rules.learn(frame, ["a", "b"])
+    assert [[(t.figure, t.above) for t in r.tests] for r in rules] == [[("b", True)]]
+
+
 def test_rules_without_labels(edge_docs, no_docs, no_labels, edge_labels):
     judged, rules = quality_rules.judge(edge_docs, no_labels)
     assert rules == [] and all(r.kept != r.base_failed for r in judged.collect())
