@@ -17,10 +17,10 @@ from fieldstay.llm.storage import ARROW_SETTING, map_arrow, materialise, ranked,
 from fieldstay.llm.words import batches_of, plain, split_words
 
 # A group's subtree is built from at most twice so many suffixes.
-BUDGET = 1 << 19
+BUDGET = 1 << 20
 # The budget grows where there would be more groups than this, so the list of their bounds stays small.
 MOST_GROUPS = 1 << 18
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 22
 # Packed suffixes handed to a task at a time.
 PACKS = 16
 BREAK = "."
