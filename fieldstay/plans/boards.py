@@ -278,6 +278,7 @@ def operational_alerts(tables: Tables, clock: Clock) -> DataFrame:
             when, F.struct(text(kind).alias("alert_type"), text(severity).alias("severity"), message.alias("alert_message"))
         )
 
+    # The kinds, severities, words and limits of the five rules.
     # A task can raise both alerts; one scan serves the two rules.
     idle = tasks.where(stage("new") & ((waiting > 7) | (priority("urgent") & (waiting > 1)))).select(
         "region_code", "task_id", "task_name", "type_department", "created_at",

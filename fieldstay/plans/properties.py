@@ -146,6 +146,7 @@ def property_maintenance_burden(tables: Tables, clock: Clock) -> DataFrame:
     )
 
 
+# The scores, their weights and limits, and the names of the grades below.
 def _turnaround_score(with_middle: bool) -> Column:
     """80 at or under the regional mean, 60 up to half above it, else 40; 50 without data."""
     limit = F.coalesce("_region_turnaround", F.lit(200.0))

@@ -201,6 +201,7 @@ def housekeeping_schedule_performance(
         F.percentile("tasks_90d", F.lit(0.75)).alias("_p75"),
     )
     rate = F.col("on_time_rate")
+    # The names and limits of the bands.
     return (
         join_on(ranked, region, ["region_code"])
         .withColumns(
