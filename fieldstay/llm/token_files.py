@@ -94,7 +94,7 @@ def write_token_files(
         records = tokens = at = 0
         data = index = None
         for whole in batches:
-            for batch in batches_of(whole, "text", 1 << 23):
+            for batch in batches_of(whole, "text", 1 << 22):
                 if data is None:
                     data, index = store.open_output_stream(own), store.open_output_stream(f"{own}.idx")
                 ids, offsets = coder.encode(batch.column(1))

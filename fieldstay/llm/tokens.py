@@ -21,7 +21,7 @@ from fieldstay.llm.storage import map_arrow
 from fieldstay.llm.words import batches_of, plain, split_words
 
 # Words remembered per worker; beyond it the memory starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 300_000
 TAIL = b".,;:!?"
 # Unknown words handed to the library in one text.
 JOINED = 2_000
@@ -147,7 +147,7 @@ def token_pieces(
     def run(batches):
         coder = encoder(tokenizer, end_id, by_word)
         for whole in batches:
-            for batch in batches_of(whole, "text", 1 << 23):
+            for batch in batches_of(whole, "text", 1 << 22):
                 ids, offsets = coder.encode(batch.column(1))
                 totals = np.diff(offsets)
                 step = longest or max(1, int(totals.max(initial=1)))
