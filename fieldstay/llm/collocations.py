@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fieldstay.llm.storage import ARROW_SETTING, map_arrow, materialise, ranked, release, slots_for
+from fieldstay.llm.storage import ARROW_SETTING, map_arrow, materialise, ranked, release, slots_for, trim
 from fieldstay.llm.words import batches_of, plain, split_words
 
 # A group's subtree is built from at most twice so many suffixes.
@@ -110,6 +110,7 @@ def _write_suffixes(batches):
             for lang, suffixes in _suffixes(some.column("text"), some.column("lang")):
                 words, numbers = suffixes.packed()
                 yield pa.RecordBatch.from_pydict({"lang": [lang], "words": [words], "numbers": [numbers]})
+            trim()
 
 
 def _read(batch: pa.RecordBatch):
@@ -144,6 +145,7 @@ def _prefixes(depth: int, long: set):
                     rows = _below(s, parents, depth - 1) & (s.codes[depth - 1] > 0)
                 if len(s.counts[rows]):
                     yield _nodes(lang, s, *_summed([c[rows] for c in s.codes[:depth]], s.counts[rows]))
+            trim()
 
     return run
 
@@ -192,6 +194,7 @@ def _deal(bounds: list[tuple], long: set, longer: set):
                     yield pa.RecordBatch.from_pydict(
                         {"grp": pa.array([where[some[0]]], pa.int64()), "lang": [lang], "words": [words], "numbers": [numbers]}
                     )
+            trim()
 
     return run
 
@@ -227,10 +230,12 @@ def _build(long: set, least: int):
                 if at is not None and at != (group.as_py(), lang):
                     yield from _subtree(at[1], parts, long, least)
                     parts = []
+                    trim()
                 at = (group.as_py(), lang)
                 parts.append(s)
         if parts:
             yield from _subtree(at[1], parts, long, least)
+        trim()
 
     return run
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Sequence
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -14,6 +16,7 @@ from fieldstay.session import scratch_path, tune
 
 ARROW_ROWS = 2_000
 ARROW_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_malloc_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -57,6 +60,13 @@ def map_arrow(df: DataFrame, run, schema: str | StructType, rows: int = ARROW_RO
     return df.mapInArrow(run, schema)
 
 
+def trim() -> None:
+    """Hand memory that a worker no longer uses back to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    if _malloc_trim is not None:
+        _malloc_trim(0)
+
+
 def slots_for(spark: SparkSession) -> int:
     """How many ways to deal out rows by a hash: the shuffle partitions the session is set to."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
