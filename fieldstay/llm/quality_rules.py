@@ -151,7 +151,8 @@ def _cuts(rows: DataFrame, names: list[str], parts: int, sample_rows: int) -> di
 def _best_test(
     histograms: dict, cuts: dict[str, list[float]], bad: int, good: int, least: int, aside: set[tuple[str, bool]]
 ) -> tuple[float, Test, int, int] | None:
-    """The test with the largest gain: rejected rows that stay, times the rise in the log of their share."""
+    """The test with the largest gain, of a bit at least: rejected rows that stay, times the rise in the log of their
+    share."""
     before, best = log2((bad + 1) / (bad + good + 2)), None
     for figure, rows in histograms.items():
         low_bad = low_good = 0
@@ -163,7 +164,7 @@ def _best_test(
                 if kept_bad < least or (figure, above) in aside:
                     continue
                 gain = kept_bad * (log2((kept_bad + 1) / (kept_bad + kept_good + 2)) - before)
-                if gain > 1e-9 and (best is None or gain > best[0] + 1e-9):
+                if gain >= 1 and (best is None or gain > best[0] + 1e-9):
                     best = (gain, Test(figure, above, cuts[figure][b]), kept_bad, kept_good)
     return best
 
@@ -194,8 +195,8 @@ def learn(
 
     A rule grows by the test with the largest information gain until it is pure or gains nothing; it is then cut back
     to the beginning that is most precise on the pruning rows. A rule below ``precision`` or with fewer than
-    ``least_hits`` rejected rows there is dropped, its first figure and direction are set aside as beginnings, and the
-    next best is grown. The rows a kept rule covers are taken out, figures are cut anew on what is left, and the search
+    ``least_hits`` rejected rows there is dropped, the figures and directions it tests are set aside as beginnings, and
+    the next best is grown. The rows a kept rule covers are taken out, figures are cut anew on what is left, and the search
     goes on until no beginning gains.
 
     Cuts come from at most ``sample_rows`` of the remaining rows; all counts are over all of them, by the cells that the
@@ -223,7 +224,7 @@ def learn(
                 release(cells)
                 return rules
             rule = _pruned(cells.filter("prune"), tests, holds, least_hits, precision)
-            aside.add((tests[0].figure, tests[0].above))
+            aside |= {(t.figure, t.above) for t in tests}
         release(cells)
         rules.append(rule)
         rows = materialise(rows.filter(~F.coalesce(rule.column(), F.lit(False))), "uncovered")

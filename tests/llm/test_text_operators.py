@@ -77,7 +77,7 @@ def plain_rules(rows, names, parts, least, precision):
                             if sum(kept) < least or (not tests and (f, above) in aside):
                                 continue
                             g = gain(sum(kept), len(kept) - sum(kept), before)
-                            if g > 1e-9 and (best is None or g > best[0] + 1e-9):
+                            if g >= 1 and (best is None or g > best[0] + 1e-9):
                                 best = (g, (f, above, cut), len(kept) - sum(kept))
                 if not bad or best is None:
                     break
@@ -91,7 +91,7 @@ def plain_rules(rows, names, parts, least, precision):
                 hit = [r[1] for r in prune if meets(r, tests[:n])]
                 worth.append((round((sum(hit) + 1) / (len(hit) + 2), 4), -n, sum(hit), len(hit) - sum(hit)))
             _, n, hits, errors = max(worth)
-            aside.add(tests[0][:2])
+            aside |= {t[:2] for t in tests}
             if hits >= least and hits >= precision * (hits + errors):
                 rule = tests[:-n]
         rules.append([(names[f], above, cut) for f, above, cut in rule])
