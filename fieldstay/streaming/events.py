@@ -284,7 +284,7 @@ def _update_tasks(change: Transaction, events: DataFrame, clock: Clock, column:
     left = apply_task_deletes(hit, events)
     gone = hit.join(left.select(*state.key), list(state.key), "left_anti").withColumn("_deleted", F.lit(True))
     after = _updated_tasks(left, events, clock).where(F.col("op") == "update").drop("op").withColumn("_deleted", F.lit(False))
-    change.change("tasks", after.unionByName(gone), F.col("_deleted"))
+    change.change("tasks", after.unionByName(gone), F.col("_deleted"), inserts=False)
 
 
 def start_property_stream(
@@ -331,7 +331,7 @@ def _update_mirror(change: Transaction, events: DataFrame, clock: Clock) -> None
         return
     named = events.select("property_id", "region_code").distinct()
     hit = mirror.join(named, ["property_id", "region_code"], "left_semi")
-    change.change("properties", _updated_properties(hit, events, clock).where(F.col("op") == "update").drop("op"))
+    change.change("properties", _updated_properties(hit, events, clock).where(F.col("op") == "update").drop("op"), inserts=False)
 
 
 def _update_status(change: Transaction, events: DataFrame) -> None:

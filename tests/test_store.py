@@ -176,3 +176,11 @@ def test_a_change_needs_a_key(store, rows):
     with pytest.raises(ValueError), store.begin() as change:
         change.change("t", rows(SCHEMA, ("a", "x", 2)))
     assert content(store) == [("a", "x", 1)]
+
+
+def test_rows_appended_and_then_replaced_count_once(filled, rows):
+    with filled.begin() as change:
+        change.append("t", rows(SCHEMA, ("d", "x", 4), ("e", "y", 5)))
+        change.replace("t", change.read("t", ["x"]), ["x"])
+        filled.replace("t", rows(SCHEMA, ("c", "z", 30)), ["z"])
+    assert content(filled) == [("a", "x", 1), ("b", "y", 2), ("c", "z", 30), ("d", "x", 4), ("e", "y", 5)]
