@@ -63,33 +63,47 @@ def link_rows(tasks: DataFrame, synced_at: Column) -> DataFrame:
     )
 
 
+# Entries of a task that are put in order as one list; a task with more is numbered by ranges.
+LISTED = 10_000
+
+
 def fold_requirements(requirements: DataFrame, part_rows: int = 10_000) -> DataFrame:
     """Requirements of a task as ordered JSON lists: (task_pk, part, requirements).
 
     Entries are in (section, id) order, NULLs last. A list holds at most ``part_rows`` entries; a
     larger task continues in further parts, so nothing is dropped and no list grows without bound.
 
-    Which tasks are larger is counted first, combined before the exchange; there are at most one in ``part_rows`` rows.
-    The others' lists are built by one exchange, as none is longer than a part; only the larger tasks are numbered.
+    Which tasks have more than ``LISTED`` entries, or than a part, is counted first, combined before the exchange; there
+    are at most one in ``LISTED`` rows. The others come together by one exchange and are cut into parts there; only the
+    large tasks, if there are any, are numbered.
     """
     order = ["section_name", *[c for c in FOLDED if c != "section_name"]]
     entries = requirements.select("task_pk", *FOLDED)
-    large = durable(entries.groupBy("task_pk").count().where(F.col("count") > part_rows).select(F.col("task_pk").alias("_large")))
+    most = max(part_rows, LISTED)
+    large = durable(entries.groupBy("task_pk").count().where(F.col("count") > most).select(F.col("task_pk").alias("_large")))
+    if large.isEmpty():
+        return _listed_parts(entries, order, part_rows)
     same = F.col("task_pk").eqNullSafe(F.col("_large"))
-    # Structs are ordered with NULLs first: a flag before each column brings them last.
-    place = F.struct(*[c for name in order for c in (F.col(name).isNull().alias(f"_null_{name}"), F.col(name))])
-    short = (
-        entries.join(large, same, "left_anti").groupBy("task_pk")
-        .agg(F.array_sort(F.collect_list(place)).alias("_l"))
-        .select("task_pk", F.lit(0).alias("part"), F.to_json(F.transform("_l", lambda e: F.struct(*[e[c].alias(c) for c in FOLDED]))).alias("requirements"))
-    )
     numbered = positions(entries.join(large, same, "left_semi"), ["task_pk"], order, "_pos")
     parts = (
         numbered.groupBy("task_pk", F.floor(F.col("_pos") / part_rows).cast("int").alias("part"))
         .agg(F.array_sort(F.collect_list(F.struct("_pos", F.struct(*FOLDED).alias("r")))).alias("_l"))
         .select("task_pk", "part", F.to_json(F.transform("_l", lambda e: e["r"])).alias("requirements"))
     )
-    return short.unionByName(parts)
+    return _listed_parts(entries.join(large, same, "left_anti"), order, part_rows).unionByName(parts)
+
+
+def _listed_parts(entries: DataFrame, order: list[str], part_rows: int) -> DataFrame:
+    """The parts of tasks whose entries fit in one list."""
+    # Structs are ordered with NULLs first: a flag before each column brings them last.
+    place = F.struct(*[c for name in order for c in (F.col(name).isNull().alias(f"_null_{name}"), F.col(name))])
+    numbers = F.sequence(F.lit(0), F.floor((F.size("_l") - 1) / part_rows).cast("int"))
+    cut = F.transform(numbers, lambda n: F.struct(n.alias("part"), F.slice("_l", n * part_rows + 1, F.lit(part_rows)).alias("_p")))
+    return (
+        entries.groupBy("task_pk").agg(F.array_sort(F.collect_list(place)).alias("_l"))
+        .select("task_pk", F.inline(cut))
+        .select("task_pk", "part", F.to_json(F.transform("_p", lambda e: F.struct(*[e[c].alias(c) for c in FOLDED]))).alias("requirements"))
+    )
 
 
 SUB_STATUS = T.ArrayType(

@@ -198,6 +198,27 @@ def test_fold_continues_in_parts(spark, rows):
         assert order == sorted(order)
 
 
+def test_fold_numbers_only_the_tasks_too_large_for_a_list(spark, monkeypatch):
+    none = F.lit(None).cast("string")
+    df = spark.range(30).select(
+        F.when(F.col("id") < 14, 1).when(F.col("id") < 21, 2).cast("long").alias("task_pk"),
+        F.lpad((F.col("id") % 9).cast("string"), 3, "0").alias("requirement_id"),
+        F.when(F.col("id") % 4 > 0, F.concat(F.lit("S"), (F.col("id") % 2).cast("string"))).alias("section_name"),
+        *[none.alias(c) for c in ("action", "response", "type_requirement", "note", "home_element_name")],
+        F.lit(True).alias("photo_required"),
+    )
+
+    def folded():
+        return {(r.task_pk, r.part): r.requirements for r in links.fold_requirements(df, part_rows=3).collect()}
+
+    monkeypatch.setattr(links, "LISTED", 8)
+    numbered = folded()
+    monkeypatch.undo()
+    monkeypatch.setattr(links, "positions", None)
+    assert folded() == numbered and len(numbered) == 5 + 3 + 3
+    assert not links.fold_requirements(df.limit(0)).collect()
+
+
 def test_count_blocking(rows):
     df = rows(
         "s string",
