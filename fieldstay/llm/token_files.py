@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from fieldstay.llm.storage import freeing_shuffles, map_arrow, materialise, slots_for
-from fieldstay.llm.tokens import binary_slices, encoder
+from fieldstay.llm.tokens import REMEMBERED, binary_slices, encoder
 from fieldstay.llm.words import batches_of
 
 # The mask of record-file checksums.
@@ -74,7 +74,7 @@ def put(store: fs.FileSystem, source: str, target: str) -> None:
 
 def write_token_files(
     docs: DataFrame, folder: str, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text",
-    end_id: int | None = 1, by_word: bool = True,
+    end_id: int | None = 1, by_word: bool = True, remembered: int = REMEMBERED,
 ) -> DataFrame:
     """Encode every whole text (null: empty) and write the ids in ascending order of the id (nulls first, equal ids
     in the order of their texts' hash) as record files in ``folder``, a folder all executors reach by ``pyarrow.fs``.
@@ -89,7 +89,7 @@ def write_token_files(
         task = TaskContext.get()
         number, attempt = task.partitionId(), task.taskAttemptId()
         store, root = fs.FileSystem.from_uri(folder)
-        coder = encoder(tokenizer, end_id, by_word)
+        coder = encoder(tokenizer, end_id, by_word, remembered)
         name, own = f"part-{number:06d}", f"{root}/.part-{number:06d}-{attempt}"
         records = tokens = at = 0
         data = index = None

@@ -2,7 +2,7 @@
 
 A tokenizer whose pre-tokenizer drops white space and never joins characters across it gives a text the ids of
 its blank-separated words, one after the other. Each distinct word of a batch is therefore encoded once by the
-library, and recent words are remembered per Python worker. For other tokenizers pass ``by_word=False``.
+library, and up to ``remembered`` words of late are remembered per Python worker: those met again stay. For other tokenizers pass ``by_word=False``.
 """
 
 from __future__ import annotations
@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from fieldstay.llm.storage import map_arrow
 from fieldstay.llm.words import batches_of, plain, split_words
 
-# Words remembered per worker; beyond it the memory starts anew.
-REMEMBERED = 300_000
+# Words remembered per worker, by a caller that shares it with other steps; alone a worker has room for more.
+REMEMBERED, REMEMBERED_ALONE = 300_000, 1_000_000
 TAIL = b".,;:!?"
 # Unknown words handed to the library in one text.
 JOINED = 2_000
@@ -30,7 +30,7 @@ _encoders: dict = {}
 
 
 class Encoder:
-    def __init__(self, path: str, end_id: int | None, by_word: bool):
+    def __init__(self, path: str, end_id: int | None, by_word: bool, remembered: int = REMEMBERED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -46,7 +46,10 @@ class Encoder:
         self.ends_word = np.zeros(max(vocab.values(), default=0) + 1, bool)
         if suffix:
             self.ends_word[[i for token, i in vocab.items() if token.endswith(suffix)]] = True
+        # Words of late, and those from before that: a word that is met again in time stays.
         self.memory: dict[bytes, bytes] = {}
+        self.earlier: dict[bytes, bytes] = {}
+        self.half = remembered // 2
         vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.width = 2 if max([vocabulary - 1, *self.end]) < 1 << 16 else 4
 
@@ -72,11 +75,17 @@ class Encoder:
 
     def _ids_of(self, words: list[bytes]) -> list[bytes]:
         """The ids of each distinct word as little-endian bytes."""
-        if len(self.memory) + len(words) > REMEMBERED:
-            self.memory = {}
-        memory = self.memory
+        if len(self.memory) + len(words) > self.half:
+            self.memory, self.earlier = {}, self.memory
+        memory, earlier = self.memory, self.earlier
         out = list(map(memory.get, words))
-        holes = [i for i, ids in enumerate(out) if ids is None]
+        holes = []
+        for i in [i for i, ids in enumerate(out) if ids is None]:
+            out[i] = earlier.get(words[i])
+            if out[i] is None:
+                holes.append(i)
+            else:
+                memory[words[i]] = out[i]
         missing, split = {}, {}
         for i in holes:
             # ASCII letters and the punctuation behind them are separate pieces for the pre-tokenizer.
@@ -118,8 +127,8 @@ class Encoder:
         return flat, offsets
 
 
-def encoder(path: str, end_id: int | None, by_word: bool) -> Encoder:
-    key = (path, end_id, by_word)
+def encoder(path: str, end_id: int | None, by_word: bool, remembered: int = REMEMBERED) -> Encoder:
+    key = (path, end_id, by_word, remembered)
     if key not in _encoders:
         _encoders.clear()
         _encoders[key] = Encoder(*key)
@@ -136,7 +145,7 @@ def binary_slices(ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
 
 def token_pieces(
     docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", end_id: int | None = 1,
-    longest: int | None = None, by_word: bool = True,
+    longest: int | None = None, by_word: bool = True, remembered: int = REMEMBERED,
 ) -> DataFrame:
     """``(id, doc_tokens, start, length, ids)``: the token ids of every whole text (null: empty), in pieces of at
     most ``longest`` ids. ``ids`` is binary, little-endian unsigned 32-bit numbers. Each document ends with
@@ -145,7 +154,7 @@ def token_pieces(
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        coder = encoder(tokenizer, end_id, by_word)
+        coder = encoder(tokenizer, end_id, by_word, remembered)
         for whole in batches:
             for batch in batches_of(whole, "text", 1 << 22):
                 ids, offsets = coder.encode(batch.column(1))

@@ -36,6 +36,17 @@ def test_encoder_equals_the_library():
     assert np.diff(offsets).tolist() == [2, 0, 1]
 
 
+def test_words_met_again_are_remembered(monkeypatch):
+    coder, asked = tokens.Encoder(PATH, 1, True, 12), Counter()
+    library = coder._library
+    monkeypatch.setattr(coder, "_library", lambda words: asked.update(words) or library(words))
+    for n in range(6):
+        text = f"often again new{n}a new{n}b."
+        ids, _ = coder.encode(pa.array([text]))
+        assert ids.tolist() == ids_of(text).tolist()
+    assert asked["often"] == asked["again"] == 1 and len(coder.memory) + len(coder.earlier) <= 18
+
+
 def test_token_files_round_trip(spark, edge_docs, edge_rows, no_docs, tmp_path):
     folder = str(tmp_path / "files")
     manifest = token_files.write_token_files(edge_docs, folder, PATH)
