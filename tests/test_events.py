@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fieldstay.functions.times import Clock
+from fieldstay.session import durable
 from fieldstay.sources.snapshot import SnapshotStore
 from fieldstay.streaming import events as ev
 from fieldstay.streaming import rollups
@@ -111,6 +112,25 @@ def test_task_stream_survives_bad_events_and_logs(spark, tmp_path, tasks, compan
     assert log == {1: None, 2: "payload is not JSON", 4: None, 5: None}
 
 
+def test_a_batch_is_parsed_and_stored_once(spark, tmp_path, companies, rows, monkeypatch):
+    stored = []
+    monkeypatch.setattr(ev, "durable", lambda df: stored.append(df.columns) or durable(df))
+    table = rows("task_id string, region_code string, task_status string, started_at timestamp, finished_at timestamp, synced_at timestamp, created_month string",
+                 ("7", "n", "new", None, None, None, "2025-01-01"))
+    store = SnapshotStore(spark, str(tmp_path / "store"))
+    store.write("tasks", table, "created_month")
+    landing = tmp_path / "in"
+    landing.mkdir()
+    payloads = ['{"task":{"id":7,"company_id":1,"status":"first"}}', "{broken"]
+    (landing / "a.json").write_text("\n".join(json.dumps({"event_id": i, "received_at": "2025-01-01T00:00:00Z", "payload": p}) for i, p in enumerate(payloads)))
+    ev.start_task_stream(ev.read_event_stream(spark, str(landing)), store, companies, CLOCK, str(tmp_path / "ckpt")).awaitTermination()
+    assert sum("event_id" in columns for columns in stored) == 1
+    assert [r.task_status for r in store.read("tasks").collect()] == ["first"]
+    log = store.read("event_log")
+    assert {r.event_id: (r.processed, r.error_message) for r in log.collect()} == {0: (True, None), 1: (True, "payload is not JSON")}
+    assert ev.ERROR not in log.columns
+
+
 def test_a_batch_writes_as_much_as_it_changes(spark, tmp_path, companies, rows):
     schema = "task_id string, region_code string, task_status string, started_at timestamp, finished_at timestamp, synced_at timestamp, created_month string"
     table = rows(schema, *((str(i), "n", "new", None, None, None, f"2025-{i % 12 + 1:02d}-01") for i in range(1200)))
