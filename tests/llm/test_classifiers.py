@@ -72,7 +72,7 @@ def test_odd_rows_are_scored(edge_docs, edge_labels, no_docs, no_labels, edge_ro
     for labels in (edge_labels, no_labels):
         model = factor_machine.fit(edge_docs, labels, metadata=("n_chars",))
         rows = factor_machine.score(edge_docs, model, metadata=("n_chars",), keep=("doc_id", "text", "n_words")).collect()
-        assert len(rows) == len(edge_rows) and all(0 <= r.score <= 1 and r.n_words == "x" for r in rows)
+        assert len(rows) == len(edge_rows) and all(0 <= r.score <= 1 and r.n_words == "its n_words" for r in rows)
         net = toxicity.fit(edge_docs, labels)
         found = toxicity.score(edge_docs, net).collect()
         assert len(found) == len(edge_rows) and all(0 <= r.score <= 1 and r.flagged is not None for r in found)
