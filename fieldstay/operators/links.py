@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,9 +25,20 @@ LINK_SCHEMA = (
 FOLDED = "requirement_id section_name action response type_requirement photo_required note home_element_name".split()
 
 
-def link_rows(tasks: DataFrame, synced_at: Column) -> DataFrame:
+LINK_KEY = ("reservation_id", "task_id", "region_code")
+
+
+def link_records(tasks: DataFrame) -> DataFrame:
+    """(region_code, reservation_id, task_id, record) of the objects that :func:`link_rows` makes rows of: the key is read,
+    the rest of the object stays text."""
+    key = F.from_json("record", "id string")["id"].alias("task_id")
+    rows = tasks.select("region_code", F.col("reservation_id").cast("string").alias("reservation_id"), key, "record")
+    return rows.where(F.col("task_id").isNotNull())
+
+
+def link_rows(tasks: DataFrame, synced_at: Column, carried: Sequence[str] = ()) -> DataFrame:
     """Link rows from (region_code, reservation_id, ``record`` JSON text); lists default to ``[]``,
-    the whole object is kept as ``raw_payload``, objects without an id are skipped."""
+    the whole object is kept as ``raw_payload``, objects without an id are skipped. ``carried`` columns come along."""
     t = tasks.withColumn("t", F.from_json("record", LINK_SCHEMA)).where(F.col("t.id").isNotNull())
 
     def plain(*names: str) -> list[Column]:
@@ -60,6 +73,7 @@ def link_rows(tasks: DataFrame, synced_at: Column) -> DataFrame:
         *[listed(n) for n in ("assignments", "supplies", "costs", "tags", "task_tags")],
         F.col("record").alias("raw_payload"),
         synced_at.alias("synced_at"),
+        *carried,
     )
 
 

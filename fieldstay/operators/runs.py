@@ -11,14 +11,17 @@ from pyspark.sql import functions as F
 
 from fieldstay.functions.times import Clock
 from fieldstay.operators import export, keys, maintenance, merge, reconcile
-from fieldstay.operators.links import link_rows
+from fieldstay.operators.links import LINK_KEY, link_records, link_rows
 from fieldstay.operators.load import close_runs, logged_runs
+from fieldstay.operators.ranking import first_per_key, join_on
 from fieldstay.plans.common import count_all
 from fieldstay.session import durable
 from fieldstay.sources.snapshot import Snapshot, SnapshotStore, touched_values
 
 MARKS = "table_name string, region_code string, last_pushed_at timestamp, rows_pushed long"
 LINKS = "reservation_tasks"
+LINK_FKS = ("reservation_pk", "task_pk")
+FEW = 16
 CHUNK = 500
 
 
@@ -83,20 +86,25 @@ def load_links(store: SnapshotStore, records: DataFrame, clock: Clock, fetches:
 
     def run(seen: Snapshot) -> DataFrame:
         with store.begin(seen) as change:
-            batch = durable(link_rows(records, clock.timestamp()))
+            # Records wait as text. What becomes of a link and its keys is found on the key columns alone; the text
+            # is moved to meet its outcome and read into columns where it is stored.
+            staged = durable(link_records(records), compression="zstd")
             blank = F.lit(None).cast("bigint")
             if not change.exists(LINKS):
-                shape = batch.where(F.lit(False)).withColumns({"reservation_pk": blank, "task_pk": blank})
+                shape = link_rows(staged, clock.timestamp()).where(F.lit(False)).withColumns({fk: blank for fk in LINK_FKS})
                 change.write(LINKS, shape, "region_code")
-            touched = touched_values(batch, "region_code")
-            merged = merge.upsert_links(change.read(LINKS, touched), batch)
+            touched = touched_values(staged, "region_code")
+            old = change.read(LINKS, touched)
+            known = old.select(*LINK_KEY, *LINK_FKS, *[F.col(fk).alias(f"_was_{fk}") for fk in LINK_FKS], blank.alias("_copies"))
+            merged = merge.upsert_links(known, staged.groupBy(*LINK_KEY).agg(count_all().alias("_copies")))
             here = {"region_code": "region_code"}
             for table, key, fk in (("reservations", "reservation_id", "reservation_pk"), ("tasks", "task_id", "task_pk")):
                 if change.exists(table):
                     merged = keys.overwrite_key(merged, change.read(table), {key: key, **here}, fk)
             merged = durable(merged)
             if touched:
-                change.upsert(LINKS, merged, touched)
+                rows = _merged_links(staged, old, merged, clock, len(touched))
+                change.upsert(LINKS, rows, touched, arranged=True)
             written = merged.where(F.col("op") != "keep").groupBy("region_code").agg(
                 F.count_if(F.col("op") == "insert").alias("inserted"), F.count_if(F.col("op") == "update").alias("updated")
             )
@@ -107,6 +115,33 @@ def load_links(store: SnapshotStore, records: DataFrame, clock: Clock, fetches:
         return store.attempt(run)
 
 
+def _merged_links(staged: DataFrame, old: DataFrame, merged: DataFrame, clock: Clock, regions: int) -> DataFrame:
+    """The link rows of what was decided in ``merged`` (key, foreign keys before and after, op): changed ones from
+    the staged records, the others as they are stored. Of more than ``FEW`` regions the rows are brought together by region;
+    of fewer each task writes a file for each."""
+
+    def placed(df: DataFrame) -> DataFrame:
+        return df.hint("rebalance", F.col("region_code")) if regions > FEW else df
+
+    changed, kept = merged.where(F.col("op") != "keep"), merged.where(F.col("op") == "keep")
+    doubled = durable(changed.where(F.col("_copies") > 1).select(*LINK_KEY).distinct())
+    if not doubled.isEmpty():
+        parsed = link_rows(join_on(staged, doubled, LINK_KEY, "left_semi"), clock.timestamp())
+        greatest = first_per_key(parsed, LINK_KEY, [F.col(c).desc_nulls_last() for c in parsed.columns if c not in LINK_KEY])
+        single = join_on(staged, doubled, LINK_KEY, "left_anti")
+        staged = single.unionByName(greatest.select(*LINK_KEY, F.col("raw_payload").alias("record")))
+    texts = join_on(staged, changed.select(*LINK_KEY, *LINK_FKS, "op"), LINK_KEY, "inner")
+    rows = link_rows(placed(texts), clock.timestamp(), (*LINK_FKS, "op"))
+    if kept.isEmpty():
+        return rows
+    # Rows with a NULL in their key may be there several times: they are told apart by the keys they had.
+    was = [f"_was_{fk}" for fk in LINK_FKS]
+    after = kept.select(*LINK_KEY, *was, *[F.col(fk).alias(f"_new_{fk}") for fk in LINK_FKS]).distinct()
+    stored = join_on(old.withColumnsRenamed(dict(zip(LINK_FKS, was))), after, [*LINK_KEY, *was], "inner")
+    stored = stored.withColumnsRenamed({f"_new_{fk}": fk for fk in LINK_FKS}).withColumn("op", F.lit("keep")).drop(*was)
+    return rows.unionByName(placed(stored))
+
+
 def _link_outcomes(started: DataFrame, written: DataFrame, fetches: DataFrame | None) -> DataFrame:
     if fetches is None:
         fetches = started.select("region_code", F.lit(False).alias("failed")).where(F.lit(False))

@@ -2,10 +2,12 @@
 
 import json
 from datetime import datetime
+from unittest import mock
 
 import pytest
 
 from fieldstay.functions.times import Clock
+from fieldstay.operators import keys, runs
 from fieldstay.operators.load import load_entity, repair_keys
 from fieldstay.sources.snapshot import SnapshotStore
 
@@ -96,3 +98,30 @@ def test_keys_are_repaired_when_the_parent_arrives_later(store, pages):
     got = by(store.read("reservations"), "reservation_id")
     assert got["r1"].property_pk == store.read("properties").first().id and got["r2"].property_pk is None
     assert repair_keys(store, "reservations") == 0
+
+
+def test_links_find_their_keys_without_their_text(store, rows):
+    def records(*data):
+        return rows("region_code string, reservation_id string, record string", *[(r, s, json.dumps(b)) for r, s, b in data])
+
+    def stored():
+        got = store.read("reservation_tasks").collect()
+        return sorted((r.region_code or "", r.reservation_id or "", r.task_id, r.task_name, r.reservation_pk or 0, r.task_pk or 0, r.synced_at.day) for r in got)
+
+    store.write("reservations", rows("id long, reservation_id string, region_code string", (1, "r1", "n")), "region_code")
+    store.write("tasks", rows("id long, task_id string, region_code string", (7, "t1", "n"), (8, "t2", "n")), "region_code")
+    seen, find = [], keys.overwrite_key
+    with mock.patch.object(keys, "overwrite_key", side_effect=lambda df, *a: seen.append(df.columns) or find(df, *a)):
+        runs.load_links(store, records(
+            ("n", "r1", {"id": "t1", "name": "a"}), ("n", "r1", {"id": "t1", "name": "b"}), ("n", "r2", {"id": "t2", "name": "c"}),
+            ("n", None, {"id": "t1", "name": "d"}), ("n", "r1", {"name": "no id"}), ("s", "r1", {"id": "t1", "name": "e"})), DAY1)
+        first = [("n", "", "t1", "d", 0, 7, 1), ("n", "r1", "t1", "b", 1, 7, 1), ("n", "r2", "t2", "c", 0, 8, 1), ("s", "r1", "t1", "e", 0, 0, 1)]
+        assert stored() == first
+        # Rows that are kept get a key that has arrived meanwhile; a key that is gone stays; a NULL in a key matches nothing.
+        store.write("reservations", rows("id long, reservation_id string, region_code string", (2, "r2", "n")), "region_code")
+        counts = runs.load_links(store, records(("n", "r1", {"id": "t1", "name": "z"}), ("n", None, {"id": "t1", "name": "d"})), DAY2)
+    assert stored() == [("n", "", "t1", "d", 0, 7, 1), ("n", "", "t1", "d", 0, 7, 2), ("n", "r1", "t1", "z", 1, 7, 2), ("n", "r2", "t2", "c", 2, 8, 1), first[3]]
+    assert [tuple(r) for r in counts.collect()] == [("n", 1, 1)]
+    runs.load_links(store, records(("n", "r9", {"id": "t9"})), DAY2)
+    assert len(stored()) == 6
+    assert len(seen) == 4 and not any("raw_payload" in columns or "assignments" in columns for columns in seen)
