@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 from fieldstay.functions.times import Clock
 from fieldstay.operators import keys, records, runlog
 from fieldstay.operators.entities import ENTITIES, Child, Entity, child_schema, record_schema
-from fieldstay.operators.merge import upsert_child, upsert_parent
+from fieldstay.operators.merge import child_key, inserted_rows, upsert_child, upsert_parent
+from fieldstay.operators.ranking import first_per_key
 from fieldstay.plans.common import count_all
 from fieldstay.session import durable
-from fieldstay.sources.pages import pages_of_known_parents, unreadable_pages, unwrap_child_pages, unwrap_pages
+from fieldstay.sources.pages import checked_pages, unreadable_pages, unwrap_child_pages
 from fieldstay.sources.snapshot import Snapshot, SnapshotStore, Transaction, touched_values
 
 TIMES = ("created_at", "updated_at", "started_at", "finished_at", "assigned_at", "uploaded_at")
@@ -68,10 +69,25 @@ def _number_new_rows(change: Transaction, table: str, merged: DataFrame) -> Data
     last = placed.where(F.col("id").isNull()).agg(F.max("_new")).first()[0]
     if last is None:
         return placed.drop("_new")
+    first = _first_id(change, table, last)
+    return placed.withColumn("id", F.coalesce("id", F.lit(first) + F.col("_new"))).drop("_new")
+
+
+def _first_id(change: Transaction, table: str, last: int) -> int:
+    """The first id of a block for rows numbered from 0 to ``last``."""
     known = table in change.store.snapshot().ids
     least = 1 if known else (change.read(table).agg(F.max("id")).first()[0] or 0) + 1
-    first = change.store.reserve(table, last + 1, least)
-    return placed.withColumn("id", F.coalesce("id", F.lit(first) + F.col("_new"))).drop("_new")
+    return change.store.reserve(table, last + 1, least)
+
+
+def _all_new(change: Transaction, table: str, batch: DataFrame, touched: list[str], stamp: Column | None = None) -> DataFrame | None:
+    """The merge result of a stored batch of one row a key, numbered in ``_new``, if none of its partitions is stored: every
+    row is inserted and there is nothing to merge with, so the batch is not moved or stored again. Else None."""
+    if any(v in change.state(table).parts for v in touched):
+        return None
+    first = _first_id(change, table, batch.agg(F.max("_new")).first()[0])
+    numbered = batch.withColumn("id", F.lit(first) + F.col("_new"))
+    return inserted_rows(numbered, change.read(table, touched), {}, stamp)
 
 
 def load_parents(change: Transaction, entity: Entity, parsed: DataFrame, clock: Clock) -> tuple[DataFrame, list[str]]:
@@ -85,17 +101,24 @@ def load_parents(change: Transaction, entity: Entity, parsed: DataFrame, clock:
     stamped = batch.withColumn("updated_at", clock.timestamp())
     kept = [c for c in ("finished_at", "scheduled_date") if c in batch.columns]
     _open(change, entity.name, stamped, column, extra, key=key, ranges=kept, finder=entity.id_column)
-    batch = durable(batch)
+    batch = durable(batch.withColumn("_new", F.monotonically_increasing_id()))
     touched = touched_values(batch, column)
-    merged = upsert_parent(
-        change.read(entity.name, touched), batch, entity.natural_key, partition_column=entity.partition_column,
-        no_update=entity.no_update, stamp=clock.timestamp(),
-    )
+    fresh = _all_new(change, entity.name, batch, touched, clock.timestamp()) if touched else None
+    batch = batch.drop("_new")
+    merged = fresh
+    if fresh is None:
+        merged = upsert_parent(
+            change.read(entity.name, touched), batch, entity.natural_key, partition_column=entity.partition_column,
+            no_update=entity.no_update, stamp=clock.timestamp(),
+        )
     for fk, table, on in links:
         if change.exists(table):
             merged = keys.fill_key(merged, change.read(table), on, fk)
-    merged = _number_new_rows(change, entity.name, merged)
+    if fresh is None:
+        merged = _number_new_rows(change, entity.name, merged)
     change.upsert(entity.name, merged, touched)
+    if fresh is not None:
+        merged = batch.withColumn("op", F.lit("insert"))
     counts = merged.where(F.col("op") != "keep").groupBy("region_code").agg(
         count_all().alias("records_processed"), F.count_if(F.col("op") == "insert").alias("records_new")
     )
@@ -109,27 +132,32 @@ def load_children(
     Rows without a stored parent are dropped. ``parents`` has the stored parents' ids and, where they are stored by
     month, their ``parent_month``."""
     on = {"parent_api_id": entity.id_column, "region_code": "region_code"}
-    batch = typed(keys.require_key(rows, parents, on, child.parent_fk).drop("parent_api_id"))
+    column, period = _child_period(entity, child)
+    month = [column] if column == "parent_month" else []
+    batch = typed(keys.require_key(rows, parents, on, child.parent_fk, also=month).drop("parent_api_id"))
     if child.table == "task_tags":
         if not change.exists("tags"):
             return
         tag = {"tag_id": "tag_id", "region_code": "region_code"}
         batch = keys.require_key(batch, change.read("tags"), tag, "tag_pk").drop("tag_id")
-    column, period = _child_period(entity, child)
-    if column == "parent_month":
-        months = parents.select(F.col("id").alias(child.parent_fk), column)
-        batch = batch.join(months, child.parent_fk)
-    batch = durable(batch.withColumn(column, period))
+    batch = batch.withColumn(column, period)
+    order = [F.col("arrival").asc()]
+    # The first of equal keys is chosen before the rows are stored; their partition is in the key.
+    if child.natural_key:
+        batch = first_per_key(batch, child_key(child.natural_key, child.partition_column), order)
+    batch = durable(batch.withColumn("_new", F.monotonically_increasing_id()))
     key = [*child.natural_key, *([column] if child.natural_key and column not in child.natural_key else [])]
-    _open(change, child.table, batch.drop("arrival"), column, {"id": "bigint"}, key=key)
+    _open(change, child.table, batch.drop("arrival", "_new"), column, {"id": "bigint"}, key=key)
     touched = touched_values(batch, column)
     if not touched:
         return
-    merged = upsert_child(
-        change.read(child.table, touched), batch, child.natural_key, [F.col("arrival").asc()],
-        partition_column=child.partition_column,
-    )
-    change.upsert(child.table, _number_new_rows(change, child.table, merged), touched)
+    merged = _all_new(change, child.table, batch, touched)
+    if merged is None:
+        merged = upsert_child(
+            change.read(child.table, touched), batch.drop("_new"), child.natural_key, order, partition_column=child.partition_column
+        )
+        merged = _number_new_rows(change, child.table, merged)
+    change.upsert(child.table, merged, touched)
 
 
 def load_entity(
@@ -161,14 +189,17 @@ def _load(
     """Stage the load of one entity; the outcome of each region."""
     # A page that cannot be read holds its region back: its rows stay as they are and the last success too.
     # Pages of children without a parent id are skipped, whatever they hold.
+    # Pages are checked and their records parsed in one pass; parents and every child list read the columns they need.
+    of_known = change.read("properties") if entity.name == "tasks" and change.exists("properties") else None
+    checked = durable(checked_pages(pages, record_schema(entity), of_known))
+    first = F.col("reason").isNotNull() & F.coalesce(F.col("pos") == 0, F.lit(True))
     named = [p.where(F.col("parent_id") != "") for p in child_pages.values()]
-    broken = reduce(DataFrame.unionByName, [unreadable_pages(p, "data") for p in named], unreadable_pages(pages))
+    broken = reduce(DataFrame.unionByName, [unreadable_pages(p, "data") for p in named], checked.where(first).select("region_code", "reason"))
     failed = durable(broken.groupBy("region_code").agg(count_all().alias("pages"), F.min("reason").alias("reason")))
-    child_pages = {k: p.join(failed, "region_code", "left_anti") for k, p in child_pages.items()}
-    if entity.name == "tasks" and change.exists("properties"):
-        pages = pages_of_known_parents(pages, change.read("properties"))
-    # Records are parsed once; parents and every child list read the columns they need.
-    parsed = durable(unwrap_pages(pages.join(failed, "region_code", "left_anti"), record_schema(entity)))
+    parsed = checked.where(F.col("pos").isNotNull()).select("region_code", "page", "pos", "record")
+    if not failed.isEmpty():
+        child_pages = {k: p.join(failed, "region_code", "left_anti") for k, p in child_pages.items()}
+        parsed = parsed.join(failed, "region_code", "left_anti")
     counts, touched = load_parents(change, entity, parsed, clock)
     wanted = [c for c in entity.children.values() if c.source or child_pages]
     if wanted:

@@ -84,14 +84,14 @@ def merge(
     merged = old.join(new, on, "left").select(*shape)
     if insert:
         present = target.select(*keys).join(source.select(*keys), list(keys), "left_semi")
-        merged = merged.unionByName(_inserted(source.join(present, list(keys), "left_anti"), target, defaults, stamp))
+        merged = merged.unionByName(inserted_rows(source.join(present, list(keys), "left_anti"), target, defaults, stamp))
     return merged
 
 
-def _inserted(
+def inserted_rows(
     rows: DataFrame, target: DataFrame, defaults: Mapping[str, Column], stamp: Column | None
 ) -> DataFrame:
-    """Batch rows in the table's shape."""
+    """Batch rows in the table's shape, as :func:`merge` inserts them."""
     out = []
     for f in target.schema:
         if f.name == "updated_at" and stamp is not None:
@@ -132,6 +132,11 @@ def upsert_parent(
     )
 
 
+def child_key(natural_key: Sequence[str], partition_column: str | None) -> list[str]:
+    """What tells the rows of a child table apart."""
+    return [*natural_key, *([partition_column] if partition_column and partition_column not in natural_key else [])]
+
+
 def upsert_child(
     target: DataFrame,
     batch: DataFrame,
@@ -144,11 +149,9 @@ def upsert_child(
     columns are updated, a table of key columns only ignores matches, no key means append."""
     payload = [c for c in batch.columns if c in target.columns]
     if not natural_key:
-        appended = _inserted(batch, target, {}, None)
+        appended = inserted_rows(batch, target, {}, None)
         return target.withColumn("op", F.lit("keep")).unionByName(appended)
-    keys = [*natural_key]
-    if partition_column and partition_column not in keys:
-        keys.append(partition_column)
+    keys = child_key(natural_key, partition_column)
     first = first_per_key(batch, keys, order).select(*payload)
     only_keys = not [c for c in payload if c not in keys and c != "id"]
     return merge(target, first, keys, no_update=["id"], update=not only_keys)

@@ -5,9 +5,10 @@ from datetime import datetime
 from unittest import mock
 
 import pytest
+from pyspark.sql import functions as F
 
 from fieldstay.functions.times import Clock
-from fieldstay.operators import keys, runs
+from fieldstay.operators import keys, load, runs
 from fieldstay.operators.load import load_entity, repair_keys
 from fieldstay.sources.snapshot import SnapshotStore
 
@@ -125,3 +126,26 @@ def test_links_find_their_keys_without_their_text(store, rows):
     runs.load_links(store, records(("n", "r9", {"id": "t9"})), DAY2)
     assert len(stored()) == 6
     assert len(seen) == 4 and not any("raw_payload" in columns or "assignments" in columns for columns in seen)
+
+
+def test_pages_are_read_once_and_new_months_are_not_merged(spark, store, pages):
+    load_entity(store, "properties", pages((0, [prop(1)])), DAY1)
+    read = spark.sparkContext.accumulator(0)
+
+    def landed(*bodies):
+        return pages(*bodies).withColumn("body", F.udf(lambda text: read.add(1) or text, "string")("body"))
+
+    costs = [{"id": 1, "cost": "3.5"}, {"id": 1, "cost": "9"}, {"id": 2, "cost": "1"}]
+    with mock.patch.object(load, "upsert_child", side_effect=AssertionError), mock.patch.object(load, "upsert_parent", side_effect=AssertionError):
+        status = load_entity(store, "tasks", landed((1, [task(100, 1, costs=costs), task(100, 1, name="again")]), (999, [task(500, 999)]), (1, [])), DAY1)
+    assert read.value == 3
+    assert [(r.sync_status, r.records_processed, r.records_new) for r in status.collect()] == [("success", 1, 1)]
+    (first,) = store.read("tasks").collect()
+    assert (first.task_id, first.task_name, first.updated_at) == ("100", "T100", DAY1.now)
+    assert sorted((r.task_pk, r.cost_id, r.cost) for r in store.read("task_costs").collect()) == [(first.id, "1", 3.5), (first.id, "2", 1.0)]
+    ids = {r.cost_id: r.id for r in store.read("task_costs").collect()}
+    load_entity(store, "tasks", landed((1, [task(100, 1, costs=[{"id": 2, "cost": "7"}, {"id": 3, "cost": "8"}]), task(101, 1)])), DAY2)
+    assert by(store.read("tasks"), "task_id")["100"].id == first.id and store.read("tasks").select("id").distinct().count() == 2
+    after = by(store.read("task_costs"), "cost_id")
+    assert {k: r.cost for k, r in after.items()} == {"1": 3.5, "2": 7.0, "3": 8.0}
+    assert {k: after[k].id for k in ids} == ids and after["3"].id not in ids.values()
